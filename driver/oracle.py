@@ -37,16 +37,16 @@ def stream_ctes(ids_sql: str, salts: list[int]) -> str:
     """CTEs ending in ``drawn(id, v)``: v[k] is the k-th stream of the row."""
     seeds = ", ".join(
         str((xxhash.xxh64_intdigest(struct.pack("<q", value), seed=42) + P5 + 8) % MASK) for value in salts)
-    m = wide(MASK)
+    low = f"& {wide(MASK - 1)}"
     return f"""ids AS ({ids_sql}),
-x0 AS (SELECT id, (id::UHUGEINT * {wide(P2)}) % {m} AS x FROM ids),
-x1 AS (SELECT id, (((x * {wide(2**31)}) % {m} + x // {wide(2**33)}) * {wide(P1)}) % {m} AS x FROM x0),
+x0 AS (SELECT id, (id::UHUGEINT * {wide(P2)}) {low} AS x FROM ids),
+x1 AS (SELECT id, ((((x << 31) {low}) + (x >> 33)) * {wide(P1)}) {low} AS x FROM x0),
 h1 AS (SELECT id, list_transform([{seeds}]::UHUGEINT[], lambda h: xor(h, x)) AS v FROM x1),
 h2 AS (SELECT id, list_transform(v, lambda h:
-  ((((h * {wide(2**27)}) % {m} + h // {wide(2**37)}) * {wide(P1)}) % {m} + {wide(P4)}) % {m}) AS v FROM h1),
-h3 AS (SELECT id, list_transform(v, lambda h: (xor(h, h // {wide(2**33)}) * {wide(P2)}) % {m}) AS v FROM h2),
-h4 AS (SELECT id, list_transform(v, lambda h: (xor(h, h // {wide(2**29)}) * {wide(P3)}) % {m}) AS v FROM h3),
-drawn AS (SELECT id, list_transform(v, lambda h: (xor(h, h // {wide(2**32)}) // 2::UHUGEINT)::BIGINT) AS v FROM h4)"""
+  ((((((h << 27) {low}) + (h >> 37)) * {wide(P1)}) {low}) + {wide(P4)}) {low}) AS v FROM h1),
+h3 AS (SELECT id, list_transform(v, lambda h: (xor(h, h >> 33) * {wide(P2)}) {low}) AS v FROM h2),
+h4 AS (SELECT id, list_transform(v, lambda h: (xor(h, h >> 29) * {wide(P3)}) {low}) AS v FROM h3),
+drawn AS (SELECT id, list_transform(v, lambda h: (xor(h, h >> 32) >> 1)::BIGINT) AS v FROM h4)"""
 
 
 class Rendering:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from functools import cache
 
 from driver.generated import generated_queries
+from driver.star_queries import star_queries
 
 
 @cache
 def registry() -> dict:
-    return generated_queries()
+    return star_queries() | generated_queries()

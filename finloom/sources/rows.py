@@ -31,4 +31,5 @@ def hash_sample(table: DataFrame, keys: list[str], buckets: int, seed: int = 42)
     if buckets <= 1:
         return table
     marker = F.lit(seed).cast("bigint")
-    return table.where(F.pmod(F.xxhash64(marker, *[F.col(k) for k in keys]), F.lit(buckets)) == 0)
+    draw = F.shiftrightunsigned(F.xxhash64(marker, *[F.col(k) for k in keys]), 1)
+    return table.where(draw % buckets == 0)
