@@ -139,12 +139,15 @@ def generated_queries() -> dict[str, tuple[Callable, str]]:
 
 
 def generated_star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """The ledger fact over the orders' ids and every dimension it refers to, at the driver tables' sizes."""
+    """The ledger fact over the orders' ids and the keys of its dimensions, at the driver tables' sizes."""
     sizes = domain_sizes(spark, sf)
     fact = TABLES["general_ledger_fact"]
     tables = {"general_ledger_fact": project(spark, sf, "orders", fact, s.Options())}
     for parent in dependencies("general_ledger_fact"):
-        tables[parent] = build_table(spark, parent, sizes[parent], None, sizes)
+        checked = sorted({column for _, _, table, column in ledger_relations() + natural_relations()
+                          if table == parent})
+        if checked:
+            tables[parent] = build_table(spark, parent, sizes[parent], None, sizes, columns=checked)
     return tables
 
 

@@ -53,7 +53,9 @@ class Rendering:
     """Collects the streams a table needs while its columns are rendered."""
 
     def __init__(self, spec: s.TableSpec, rows: str, sizes: dict[str, str], seed: int = s.DEFAULT_SEED,
-                 options: s.Options = DEFAULT_OPTIONS):
+                 options: s.Options = DEFAULT_OPTIONS, columns: list[str] | None = None):
+        self.wanted_only = columns is not None
+        self.wanted = columns or [name for name, _ in spec.fields()]
         self.spec, self.rows, self.sizes, self.seed, self.options = spec, rows, sizes, seed, options
         self.streams: dict[str, int] = {}
         self.made: dict[str, str] = {}
@@ -66,7 +68,10 @@ class Rendering:
         return self.rows if table == self.spec.name else self.sizes[table]
 
     def render(self) -> str:
+        needed = {name for name in self.wanted}
         for column in self.spec.columns:
+            if self.wanted_only and not needed & {name for name, _ in column.fields()}:
+                continue
             made = sql_of(column, self)
             rate = clamp_rate(column.null_rate)
             threshold = round(rate * 1_000_000)
@@ -76,7 +81,7 @@ class Rendering:
                 made = {name: f"CASE WHEN {gate} % 1000000 >= {threshold} THEN {sql} END"
                         for name, sql in made.items()}
             self.made.update(made)
-        return ",\n  ".join(f'{self.made[name]} AS "{name}"' for name, _ in self.spec.fields())
+        return ",\n  ".join(f'{self.made[name]} AS "{name}"' for name in self.wanted)
 
     def salts(self) -> list[int]:
         return [salt(self.seed, self.spec.name, name) for name in self.streams] or [0]

@@ -36,20 +36,12 @@ def hierarchy_rows(spark: SparkSession, sf: str) -> tuple[int, int]:
             size(spark, sf, "customer") * COST_CENTER_COVERAGE // 100)
 
 
-def hierarchies(spark: SparkSession, sf: str, options: Options = Options()) -> dict[str, DataFrame]:
-    """The four partial hierarchies, sized from the driver tables."""
+def hierarchy(spark: SparkSession, sf: str, name: str, columns: list[str], options: Options = Options()) -> DataFrame:
+    """One partial hierarchy, sized from the driver tables."""
     sizes = domain_sizes(spark, sf, {"profit_center", "cost_center_dim_v"})
     pc_rows, cc_rows = hierarchy_rows(spark, sf)
-
-    def made(name: str, rows: int) -> DataFrame:
-        return build_table(spark, name, rows, None, sizes, options=options)
-
-    return {
-        "segment_pc": made("segment_profit_center_hierarchy", pc_rows),
-        "dischannel_pc": made("dischannel_profit_center_hierarchy", pc_rows),
-        "segment_cc": made("segment_cost_center_hierarchy_dim_v", cc_rows),
-        "dischannel_cc": made("dischannel_cost_center_hierarchy_dim_v", cc_rows),
-    }
+    rows = pc_rows if "profit_center" in name else cc_rows
+    return build_table(spark, name, rows, None, sizes, columns=columns, options=options)
 
 
 def pc_key(column: str, rows: int) -> Column:
@@ -76,14 +68,14 @@ def star_survivor_aggregate(spark: SparkSession, sf: str) -> DataFrame:
     Each side of the order join is filtered by its own hierarchies first, so
     only survivors are shuffled by order key.
     """
-    h = hierarchies(spark, sf)
-    segment_pc = h["segment_pc"].select(F.col("profit_center_nbr").alias("seg_pc"),
-                                        F.col("profit_center_hierarchy_nm").alias("segment_nm"))
-    dischannel_pc = h["dischannel_pc"].select(F.col("distrchnl_profit_center_nbr").alias("dis_pc"),
-                                              F.col("profit_center_hierarchy_nm").alias("dischannel_nm"))
-    segment_cc = h["segment_cc"].select(F.col("cost_center_nbr").alias("seg_cc"),
-                                        F.col("cost_center_hierarchy_nm").alias("cost_center_group_nm"))
-    dischannel_cc = h["dischannel_cc"].select(F.col("cost_center_nbr").alias("dis_cc"))
+    segment_pc = hierarchy(spark, sf, "segment_profit_center_hierarchy",
+                           ["profit_center_nbr", "profit_center_hierarchy_nm"]).toDF("seg_pc", "segment_nm")
+    dischannel_pc = hierarchy(spark, sf, "dischannel_profit_center_hierarchy",
+                              ["distrchnl_profit_center_nbr", "profit_center_hierarchy_nm"]
+                              ).toDF("dis_pc", "dischannel_nm")
+    segment_cc = hierarchy(spark, sf, "segment_cost_center_hierarchy_dim_v",
+                           ["cost_center_nbr", "cost_center_hierarchy_nm"]).toDF("seg_cc", "cost_center_group_nm")
+    dischannel_cc = hierarchy(spark, sf, "dischannel_cost_center_hierarchy_dim_v", ["cost_center_nbr"]).toDF("dis_cc")
     part = read(spark, sf, "part").select("p_partkey", "p_brand")
     customer = read(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = read(spark, sf, "nation").select("n_nationkey", "n_regionkey")
@@ -105,50 +97,64 @@ def star_survivor_aggregate(spark: SparkSession, sf: str) -> DataFrame:
          "sales_qty": F.sum(money("l_quantity")).cast("decimal(38,2)")})
 
 
-def hierarchy_sql(name: str, options: Options = Options()) -> str:
+def hierarchy_sql(name: str, columns: list[str], options: Options = Options()) -> str:
     sizes = domain_sql()
     source, percent = (("part", PROFIT_CENTER_COVERAGE) if "profit_center" in name
                        else ("customer", COST_CENTER_COVERAGE))
     rows = f"(SELECT count(*) * {percent} // 100 FROM {source})"
     ids = f"SELECT unnest(generate_series(1, {rows}))::BIGINT AS id"
-    return f"({table_sql(ids, Rendering(TABLES[name], rows, sizes, options=options))})"
+    return f"({table_sql(ids, Rendering(TABLES[name], rows, sizes, options=options, columns=columns))})"
 
 
 def key_width(table: str) -> str:
     return f"greatest(6, length((SELECT count(*) FROM {table})::VARCHAR))::INT"
 
 
-PC_SQL = f"'PC_' || lpad((l_partkey + 1)::VARCHAR, {key_width('part')}, '0')"
-CC_SQL = f"'CC_' || lpad((o_custkey + 1)::VARCHAR, {key_width('customer')}, '0')"
 PERIOD_SQL = "(year(o_orderdate) * 100 + month(o_orderdate))::INTEGER"
 
 
+LINES_SQL = f"""w_pc AS (SELECT {key_width('part')} AS pc_width),
+lines AS MATERIALIZED (SELECT lineitem.*, 'PC_' || lpad((l_partkey + 1)::VARCHAR, pc_width, '0') AS pc FROM lineitem, w_pc)"""
+HEADS_SQL = f"""w_cc AS (SELECT {key_width('customer')} AS cc_width),
+heads AS MATERIALIZED (SELECT orders.*, 'CC_' || lpad((o_custkey + 1)::VARCHAR, cc_width, '0') AS cc,
+  {PERIOD_SQL} AS fiscal_year_period_nbr FROM orders, w_cc)"""
+
+
 def star_survivor_sql() -> str:
-    return f"""SELECT {PERIOD_SQL} AS fiscal_year_period_nbr, l_returnflag, l_linestatus,
+    names = ["profit_center_nbr", "profit_center_hierarchy_nm"]
+    distributed = ["distrchnl_profit_center_nbr", "profit_center_hierarchy_nm"]
+    cost = ["cost_center_nbr", "cost_center_hierarchy_nm"]
+    return f"""WITH {LINES_SQL}, {HEADS_SQL},
+sp AS MATERIALIZED {hierarchy_sql('segment_profit_center_hierarchy', names)},
+dp AS MATERIALIZED {hierarchy_sql('dischannel_profit_center_hierarchy', distributed)},
+sc AS MATERIALIZED {hierarchy_sql('segment_cost_center_hierarchy_dim_v', cost)},
+dc AS MATERIALIZED {hierarchy_sql('dischannel_cost_center_hierarchy_dim_v', ['cost_center_nbr'])}
+SELECT fiscal_year_period_nbr, l_returnflag, l_linestatus,
   sp.profit_center_hierarchy_nm AS segment_nm, dp.profit_center_hierarchy_nm AS dischannel_nm,
   sc.cost_center_hierarchy_nm AS cost_center_group_nm, r_name, p_brand, c_mktsegment, count(*) AS row_count,
   sum(l_extendedprice::DECIMAL(18,2))::DECIMAL(38,2) AS company_currency_amt,
   sum(l_quantity::DECIMAL(18,2))::DECIMAL(38,2) AS sales_qty
-FROM lineitem
-JOIN orders ON l_orderkey = o_orderkey
+FROM lines
+JOIN sp ON sp.profit_center_nbr = pc
+JOIN dp ON dp.distrchnl_profit_center_nbr = pc
+JOIN heads ON l_orderkey = o_orderkey
+JOIN sc ON sc.cost_center_nbr = cc
+JOIN dc ON dc.cost_center_nbr = cc
 JOIN part ON l_partkey = p_partkey
 JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey
-JOIN {hierarchy_sql('segment_profit_center_hierarchy')} sp ON sp.profit_center_nbr = {PC_SQL}
-JOIN {hierarchy_sql('dischannel_profit_center_hierarchy')} dp ON dp.distrchnl_profit_center_nbr = {PC_SQL}
-JOIN {hierarchy_sql('segment_cost_center_hierarchy_dim_v')} sc ON sc.cost_center_nbr = {CC_SQL}
-JOIN {hierarchy_sql('dischannel_cost_center_hierarchy_dim_v')} dc ON dc.cost_center_nbr = {CC_SQL}
 GROUP BY ALL"""
 
 
 def survival(spark: SparkSession, sf: str) -> DataFrame:
     """Measured against estimated join survival: per hierarchy and for both together."""
-    h = hierarchies(spark, sf)
     pc_rows, cc_rows = hierarchy_rows(spark, sf)
     sizes = {"pc": pc_rows, "cc": cc_rows, "part": size(spark, sf, "part"), "customer": size(spark, sf, "customer")}
-    pc = Branch(h["segment_pc"], "profit_center_nbr", "profit_center_nbr")
-    cc = Branch(h["segment_cc"], "cost_center_nbr", "cost_center_nbr")
+    pc = Branch(hierarchy(spark, sf, "segment_profit_center_hierarchy", ["profit_center_nbr"]),
+                "profit_center_nbr", "profit_center_nbr")
+    cc = Branch(hierarchy(spark, sf, "segment_cost_center_hierarchy_dim_v", ["cost_center_nbr"]),
+                "cost_center_nbr", "cost_center_nbr")
     keyed_orders = orders_with_key(spark, sf).select("o_orderkey", "cost_center_nbr")
     lines = lines_with_key(spark, sf).select("l_orderkey", "profit_center_nbr")
     facts = lines.join(keyed_orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -283,10 +289,10 @@ LEVELS = [f"profit_center_level_{n}_cd" for n in range(1, 10)]
 
 def hierarchy_level_totals(spark: SparkSession, sf: str) -> DataFrame:
     """Line totals for every member of every level of a ragged profit centre hierarchy."""
-    ragged = Options(ragged=True)
-    hierarchy = hierarchies(spark, sf, ragged)["segment_pc"].select(F.col("profit_center_nbr").alias("seg_pc"), *LEVELS)
+    ragged = hierarchy(spark, sf, "segment_profit_center_hierarchy", ["profit_center_nbr", *LEVELS],
+                       Options(ragged=True)).withColumnRenamed("profit_center_nbr", "seg_pc")
     lines = lines_with_key(spark, sf).select("profit_center_nbr", money("l_extendedprice").alias("price"))
-    joined = star_join(lines, [Branch(hierarchy, "profit_center_nbr", "seg_pc")])
+    joined = star_join(lines, [Branch(ragged, "profit_center_nbr", "seg_pc")])
     totals = level_totals(joined, LEVELS, {"sum_price": "price"})
     return totals.withColumn("sum_price", F.col("sum_price").cast("decimal(38,2)"))
 
@@ -294,8 +300,10 @@ def hierarchy_level_totals(spark: SparkSession, sf: str) -> DataFrame:
 def hierarchy_level_totals_sql() -> str:
     members = "\nUNION ALL\n".join(
         f"SELECT '{level}' AS level_nm, {level} AS member, price FROM j WHERE {level} IS NOT NULL" for level in LEVELS)
-    return f"""WITH j AS (SELECT h.*, l_extendedprice::DECIMAL(18,2) AS price FROM lineitem
-  JOIN {hierarchy_sql('segment_profit_center_hierarchy', Options(ragged=True))} h ON h.profit_center_nbr = {PC_SQL}),
+    wanted = hierarchy_sql("segment_profit_center_hierarchy", ["profit_center_nbr", *LEVELS], Options(ragged=True))
+    return f"""WITH {LINES_SQL},
+h AS MATERIALIZED {wanted},
+j AS MATERIALIZED (SELECT h.*, l_extendedprice::DECIMAL(18,2) AS price FROM lines JOIN h ON h.profit_center_nbr = pc),
 m AS ({members})
 SELECT level_nm, member, count(*)::BIGINT AS row_count, sum(price)::DECIMAL(38,2) AS sum_price FROM m GROUP BY ALL"""
 

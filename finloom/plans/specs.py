@@ -7,7 +7,7 @@ A table is a tuple of these, so the same declaration gives the projection
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,12 +47,19 @@ class Build:
     seed: int = DEFAULT_SEED
     domains: Mapping[str, Domain] = field(default_factory=dict)
     options: Options = Options()
+    owners: Mapping[str, Spec] = field(default_factory=dict)
     made: dict[str, Column] = field(default_factory=dict)
 
     @property
     def id(self) -> Column:
         return F.expr(self.row_id)
 
+    def column(self, name: str) -> Column:
+        """The Column of that name; only columns somebody asks for are ever made."""
+        if name not in self.made:
+            self.made.update(self.owners[name].make(self))
+        return self.made[name]
+
     def draw(self, name: str) -> str:
         return streams.stream(self.row_id, self.seed, self.table, name)
 
@@ -308,7 +315,7 @@ class YearOf(Spec):
     type: str = field(default="int", kw_only=True)
 
     def value(self, b):
-        return fn.fiscal_year(b.made[self.period])
+        return fn.fiscal_year(b.column(self.period))
 
 
 @dataclass(frozen=True)
@@ -331,7 +338,7 @@ class PaddedId(Spec):
     key: str | None = None
 
     def value(self, b):
-        number = b.made[self.key] if self.key else b.id
+        number = b.column(self.key) if self.key else b.id
         return fn.padded(number, b.width(self.pad, b.size_of(self.table)))
 
 
@@ -342,7 +349,7 @@ class Label(Spec):
     form: str
 
     def value(self, b):
-        return F.concat(*[b.made[body] if is_column else F.lit(body) for body, is_column in self.pieces()])
+        return F.concat(*[b.column(body) if is_column else F.lit(body) for body, is_column in self.pieces()])
 
     def pieces(self) -> list[tuple[str, bool]]:
         found = []
@@ -387,15 +394,17 @@ class TableSpec:
         if self.max_rows is not None and rows > self.max_rows:
             raise ValueError(f"{self.name} has at most {self.max_rows} distinct rows, not {rows}")
 
-    def with_columns(self, *more: Spec) -> TableSpec:
-        return replace(self, columns=self.columns + more)
-
-    def project(self, source: DataFrame, b: Build) -> DataFrame:
+    def project(self, source: DataFrame, b: Build, columns: Sequence[str] | None = None,
+                extra: Sequence[tuple[str, Column]] = ()) -> DataFrame:
         """One select over the row ids: a narrow stage, whatever the column count."""
         self.check_rows(b.rows)
-        for spec in self.columns:
-            b.made.update(spec.make(b))
-        return source.select(*[b.made[name].alias(name) for name, _ in self.fields()])
+        b.owners = {name: spec for spec in self.columns for name, _ in spec.fields()}
+        names = list(b.owners) if columns is None else list(columns)
+        unknown = [name for name in names if name not in b.owners]
+        if unknown:
+            raise KeyError(f"{self.name} has no columns {unknown}")
+        return source.select(*[b.column(name).alias(name) for name in names],
+                             *[column.alias(name) for name, column in extra])
 
 
 def level_family(stem: str, levels: int, first_full: int, step: float, **shapes: str) -> tuple[Spec, ...]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -40,8 +40,8 @@ def project_table(
     seed: int = DEFAULT_SEED,
     domains=None,
     options: Options = Options(),
-    extra: Iterable[tuple[str, Column]] = (),
-    columns: Iterable[str] | None = None,
+    extra: Sequence[tuple[str, Column]] = (),
+    columns: Sequence[str] | None = None,
     rename: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Generate a table over any DataFrame holding the ids ``1..rows``, once each.
@@ -51,25 +51,14 @@ def project_table(
     """
     spec = find(spec) if isinstance(spec, str) else spec
     build = Build(spec.name, rows, row_id, sizes or {}, seed, read_domains(domains), options)
-    made = spec.project(source, build) if not extra else _with_extra(source, spec, build, extra)
-    if columns is not None:
-        made = made.select(*columns)
-    if rename:
-        made = made.withColumnsRenamed(dict(rename))
-    return made
-
-
-def _with_extra(source, spec, build, extra):
-    spec.check_rows(build.rows)
-    for column in spec.columns:
-        build.made.update(column.make(build))
-    return source.select(*[build.made[name].alias(name) for name, _ in spec.fields()],
-                         *[column.alias(name) for name, column in extra])
+    made = spec.project(source, build, columns, extra)
+    return made.withColumnsRenamed(dict(rename)) if rename else made
 
 
 def build_table(spark: SparkSession, name: str, rows: int, partitions: int | None = None,
                 sizes: Mapping[str, int] | None = None, **choices) -> DataFrame:
     """Generate ``rows`` rows of a catalogue table; the values do not depend on ``partitions``."""
     if name.lower() == calendar.TABLE:
-        return calendar.calendar(spark, rows)
+        periods = calendar.calendar(spark, rows)
+        return periods.select(*choices["columns"]) if choices.get("columns") else periods
     return project_table(row_ids(spark, rows, partitions, ROW_ID), name, rows, sizes, **choices)
