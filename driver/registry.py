@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import cache
 
+from driver.check_queries import check_queries
 from driver.generated import generated_queries
 from driver.star_queries import star_queries
 
 
 @cache
 def registry() -> dict:
-    return star_queries() | generated_queries()
+    return star_queries() | check_queries() | generated_queries()
