@@ -98,7 +98,8 @@ BUILD_OVER = {
 SEEDED = {"division_text": "nation", "division_text_dim_v": "nation", "atscale_geo_security": "customer"}
 
 
-def project(spark: SparkSession, sf: str, source: str, spec: s.TableSpec, options: s.Options) -> DataFrame:
+def project(spark: SparkSession, sf: str, source: str, spec: s.TableSpec, options: s.Options,
+            columns: list[str] | None = None) -> DataFrame:
     needed = {getattr(c, "table", None) for c in spec.columns} | {getattr(c, "domain", None) for c in spec.columns}
     rows = spec.max_rows or size(spark, sf, source)
     ids = row_ids_of(spark, sf, source)
@@ -106,7 +107,7 @@ def project(spark: SparkSession, sf: str, source: str, spec: s.TableSpec, option
         ids = ids.selectExpr(f"({ROW_ID} - 1) % {spec.max_rows} + 1 AS {ROW_ID}").distinct()
         rows = min(rows, spec.max_rows)
     tune_session(spark)
-    return project_table(ids, spec, rows, domain_sizes(spark, sf, needed), options=options)
+    return project_table(ids, spec, rows, domain_sizes(spark, sf, needed), options=options, columns=columns)
 
 
 def generator(source: str, spec: s.TableSpec, options: s.Options = s.Options()) -> tuple[Callable, str]:
@@ -142,7 +143,8 @@ def generated_star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """The ledger fact over the orders' ids and the keys of its dimensions, at the driver tables' sizes."""
     sizes = domain_sizes(spark, sf)
     fact = TABLES["general_ledger_fact"]
-    tables = {"general_ledger_fact": project(spark, sf, "orders", fact, s.Options())}
+    references = sorted({column for _, column, _, _ in ledger_relations() + natural_relations()})
+    tables = {"general_ledger_fact": project(spark, sf, "orders", fact, s.Options(), [*fact.key, *references])}
     for parent in dependencies("general_ledger_fact"):
         checked = sorted({column for _, _, table, column in ledger_relations() + natural_relations()
                           if table == parent})

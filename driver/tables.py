@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from finloom.plans.tables import ROW_ID
 from finloom.sources.values import DIVISION_ROWS
@@ -31,13 +32,23 @@ KEYS = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey
         "part": "p_partkey", "orders": "o_orderkey", "events": "event_id"}
 
 
+SCHEMAS: dict[tuple[str, str], StructType] = {}
+SIZES: dict[tuple[str, str], int] = {}
+
+
 def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{table}.parquet")
+    """A driver table; its schema is inferred once, later reads need no job."""
+    path = f"{sf}/{table}.parquet"
+    if (sf, table) not in SCHEMAS:
+        SCHEMAS[sf, table] = spark.read.parquet(path).schema
+    return spark.read.schema(SCHEMAS[sf, table]).parquet(path)
 
 
 def size(spark: SparkSession, sf: str, table: str) -> int:
-    """Row count; answered from the Parquet footers."""
-    return read(spark, sf, table).count()
+    """Row count, answered from the Parquet footers; the driver's tables never change."""
+    if (sf, table) not in SIZES:
+        SIZES[sf, table] = read(spark, sf, table).count()
+    return SIZES[sf, table]
 
 
 def domain_sizes(spark: SparkSession, sf: str, needed=None) -> dict[str, int]:

@@ -6,34 +6,31 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finloom.functions.values import sql_literal
+
 REPORT_COLUMNS = ("family", "table_name", "column_name", "reference", "row_count", "distinct_keys",
                   "failures", "status", "ok")
 QUICK_ERROR = 0.02
 
 
-def _report(counts: DataFrame, family: str, table: str, column: str, reference: str, ok: Column) -> DataFrame:
-    status = (F.when(F.col("row_count") == 0, F.lit("empty"))
-              .when(F.col("ok"), F.lit("ok")).otherwise(F.lit("failed")))
-    return (counts
-            .withColumns({"family": F.lit(family), "table_name": F.lit(table), "column_name": F.lit(column),
-                          "reference": F.lit(reference), "ok": F.coalesce(ok, F.lit(False))})
-            .withColumn("status", status)
-            .select(*REPORT_COLUMNS))
-
-
-def _total(column: Column) -> Column:
-    return F.coalesce(F.sum(column), F.lit(0)).cast("bigint")
+def _report(counts: DataFrame, family: str, table: str, column: str, reference: str, ok: str) -> DataFrame:
+    """One report row from a one-row frame of (row_count, distinct_keys, failures); ``ok`` is SQL over those."""
+    labels = [f"{sql_literal(text)} AS {name}" for name, text in
+              zip(REPORT_COLUMNS, (family, table, column, reference))]
+    return counts.selectExpr(
+        *labels, "row_count", "distinct_keys", "failures",
+        f"CASE WHEN row_count = 0 THEN 'empty' WHEN {ok} THEN 'ok' ELSE 'failed' END AS status",
+        f"coalesce({ok}, false) AS ok")
 
 
-def all_present(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+def _quoted(names: Sequence[str]) -> list[str]:
+    return [f"`{name}`" for name in names]
 
 
-def any_absent(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+UNIQUE = "failures = 0 AND row_count > 0"
 
 
 def key_check(df: DataFrame, table: str, keys: Sequence[str], quick: bool = False) -> DataFrame:
@@ -43,23 +40,24 @@ def key_check(df: DataFrame, table: str, keys: Sequence[str], quick: bool = Fals
     third of the table is folded map-side. ``quick`` estimates the distinct
     count (about 2 % off) without moving the keys at all.
     """
-    label = ",".join(keys)
+    label, quoted = ",".join(keys), _quoted(keys)
     if quick:
-        counts = df.agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.approx_count_distinct(F.struct(*keys) if len(keys) > 1 else F.col(keys[0]), QUICK_ERROR)
-            .alias("distinct_keys"),
-            F.count_if(any_absent(keys)).alias("absent"))
-        gap = F.abs(F.col("row_count") - F.col("distinct_keys"))
-        within = gap <= F.ceil(F.col("row_count") * 3 * QUICK_ERROR)
-        counts = counts.withColumn("failures", F.when(within, F.col("absent")).otherwise(gap))
-        return _report(counts.drop("absent"), "key_quick", table, label, "",
-                       (F.col("failures") == 0) & (F.col("row_count") > 0))
-    counts = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-              .agg(_total(F.col("n")).alias("row_count"),
-                   F.count_if(all_present(keys)).alias("distinct_keys"))
-              .withColumn("failures", F.col("row_count") - F.col("distinct_keys")))
-    return _report(counts, "key", table, label, "", (F.col("failures") == 0) & (F.col("row_count") > 0))
+        value = quoted[0] if len(keys) == 1 else f"struct({', '.join(quoted)})"
+        absent = " OR ".join(f"{key} IS NULL" for key in quoted)
+        counts = (df.selectExpr(f"{value} AS value", f"{absent} AS absent")
+                  .agg(F.expr("count(1) AS row_count"),
+                       F.expr(f"approx_count_distinct(value, {QUICK_ERROR}D) AS distinct_keys"),
+                       F.expr("count_if(absent) AS absent"))
+                  .selectExpr("row_count", "distinct_keys", f"""CASE
+                      WHEN abs(row_count - distinct_keys) <= ceil(row_count * {3 * QUICK_ERROR}D) THEN absent
+                      ELSE abs(row_count - distinct_keys) END AS failures"""))
+        return _report(counts, "key_quick", table, label, "", UNIQUE)
+    present = " AND ".join(f"{key} IS NOT NULL" for key in quoted)
+    counts = (df.groupBy(*keys).agg(F.expr("count(1) AS n"))
+              .agg(F.expr("coalesce(sum(n), 0L) AS row_count"),
+                   F.expr(f"count_if({present}) AS distinct_keys"))
+              .selectExpr("row_count", "distinct_keys", "row_count - distinct_keys AS failures"))
+    return _report(counts, "key", table, label, "", UNIQUE)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -75,17 +73,15 @@ def reference_check(fact: DataFrame, table: str, column: str, ref: DataFrame, re
     column is read, a hot key costs no more than a rare one, the join reuses
     the grouping's partitioning, and duplicated parents cannot inflate counts.
     """
-    grouped = fact.groupBy(F.col(column).alias("child_key")).agg(F.count(F.lit(1)).alias("n"))
-    parents = ref.select(F.col(ref_column).alias("parent_key")).where("parent_key is not null").distinct()
-    orphan = F.col("parent_key").isNull()
-    if not nulls_are_orphans:
-        orphan = orphan & F.col("child_key").isNotNull()
-    counts = (grouped.join(parents, F.col("child_key") == F.col("parent_key"), "left")
-              .agg(_total(F.col("n")).alias("row_count"),
-                   F.count("child_key").alias("distinct_keys"),
-                   _total(F.when(orphan, F.col("n"))).alias("failures")))
+    grouped = fact.groupBy(F.col(column).alias("child_key")).agg(F.expr("count(1) AS n"))
+    parents = ref.select(F.col(ref_column).alias("parent_key")).where("parent_key IS NOT NULL").distinct()
+    orphan = "parent_key IS NULL" + ("" if nulls_are_orphans else " AND child_key IS NOT NULL")
+    counts = (grouped.join(parents, F.expr("child_key = parent_key"), "left")
+              .agg(F.expr("coalesce(sum(n), 0L) AS row_count"),
+                   F.expr("count(child_key) AS distinct_keys"),
+                   F.expr(f"coalesce(sum(n) FILTER (WHERE {orphan}), 0L) AS failures")))
     family = "foreign_key" if nulls_are_orphans else "natural_key"
-    return _report(counts, family, table, column, f"{ref_table}.{ref_column}", F.col("failures") == 0)
+    return _report(counts, family, table, column, f"{ref_table}.{ref_column}", "failures = 0")
 
 
 def orphan_rows(fact: DataFrame, column: str, ref: DataFrame, ref_column: str,
