@@ -11,9 +11,12 @@ from driver.tables import domain_sizes, domain_sql, ids_sql, row_ids_of, size
 from finloom.operators.checks import integrity_report
 from finloom.operators.writer import tune_session
 from finloom.plans import specs as s
-from finloom.plans.dataset import contract_of, dependencies
+from finloom.plans.dataset import build_dataset, contract_of, dependencies
+from finloom.plans.hierarchies import profit_center_hierarchy
 from finloom.plans.tables import ROW_ID, TABLES, build_table, project_table
 from finloom.sources import values as v
+from finloom.sources.location import shared_folder
+from finloom.sources.volumes import Volumes
 
 # One small declared table per group of column generators.
 SHOWCASE = {
@@ -135,6 +138,9 @@ def generated_queries() -> dict[str, tuple[Callable, str]]:
         "customer", TABLES["cost_center_dim_v"], s.Options(link_codes=True))
     found["build_general_ledger_fact_independent"] = generator(
         "orders", TABLES["general_ledger_fact"], s.Options(independent_codes=True))
+    shared = profit_center_hierarchy("profit_center_hierarchy", extra=(s.Pick("extra_cd", ("A", "B"), (3, 1)),))
+    found["build_profit_center_hierarchy"] = generator("part", shared)
+    found["dataset_build_integrity"] = (dataset_build_integrity, dataset_build_integrity_sql())
     found["generated_star_integrity"] = (generated_star_integrity, generated_star_integrity_sql())
     return found
 
@@ -171,7 +177,41 @@ def generated_star_integrity(spark: SparkSession, sf: str) -> DataFrame:
                             ledger_relations(), natural_relations())
 
 
+# What the dataset job writes in its registered query: the fact and some of its dimensions.
+DATASET_TABLES = ("general_ledger_fact", "calendar_fiscal_period_v", "profit_center", "company_code",
+                  "gl_account_dim", "version_forecast_mapping")
+
+
+def dataset_build_integrity(spark: SparkSession, sf: str) -> DataFrame:
+    """Run the dataset job at the driver tables' sizes, then check what was written.
+
+    Relations to tables that were not written are left out of the report.
+    """
+    volumes = Volumes({**domain_sizes(spark, sf), "general_ledger_fact": size(spark, sf, "orders")})
+    place = shared_folder(spark, "dataset")
+    written = build_dataset(spark, place, volumes, DATASET_TABLES)
+    tables = {table: place.read(spark, table) for table in written}
+    keys = {table: contract_of(table, spark).key for table in written}
+    return integrity_report(tables, keys, ledger_relations(), natural_relations())
+
+
+def dataset_build_integrity_sql() -> str:
+    sizes = domain_sql() | {"general_ledger_fact": "(SELECT count(*) FROM orders)"}
+    keys = [f"""SELECT 'key', '{table}', '{",".join(contract_key(table))}', '', ({sizes[table]})::BIGINT,
+  ({sizes[table]})::BIGINT, 0::BIGINT""" for table in DATASET_TABLES if table != "general_ledger_fact"]
+    return star_report_sql([r for r in ledger_relations() if r[2] in DATASET_TABLES],
+                           [r for r in natural_relations() if r[2] in DATASET_TABLES], keys)
+
+
+def contract_key(table: str) -> tuple[str, ...]:
+    return ("fiscal_year_period_nbr",) if table == "calendar_fiscal_period_v" else TABLES[table].key
+
+
 def generated_star_integrity_sql() -> str:
+    return star_report_sql(ledger_relations(), natural_relations(), [])
+
+
+def star_report_sql(foreign: list[tuple], natural: list[tuple], more: list[str]) -> str:
     """Parents are the dense ranges themselves, so orphans are keys outside ``1..size``."""
     rendering = Rendering(TABLES["general_ledger_fact"], "(SELECT count(*) FROM orders)", domain_sql())
     ctes = table_ctes(ids_sql("orders"), rendering, "fact")
@@ -194,12 +234,12 @@ def generated_star_integrity_sql() -> str:
     parts = ["""SELECT 'key' AS family, 'general_ledger_fact' AS table_name, 'general_ledger_fact_id' AS column_name,
   '' AS reference, count(*)::BIGINT AS row_count, count(DISTINCT general_ledger_fact_id)::BIGINT AS distinct_keys,
   (count(*) - count(DISTINCT general_ledger_fact_id))::BIGINT AS failures FROM fact"""]
-    for family, relations in (("foreign_key", ledger_relations()), ("natural_key", natural_relations())):
+    for family, relations in (("foreign_key", foreign), ("natural_key", natural)):
         for child, column, parent, parent_column in relations:
             parts.append(f"""SELECT '{family}', '{child}', '{column}', '{parent}.{parent_column}', count(*)::BIGINT,
   count(DISTINCT f."{column}")::BIGINT, count(*) FILTER (p.k IS NULL)::BIGINT
   FROM fact f LEFT JOIN ({parent_sql(parent, column)}) p ON f."{column}" = p.k""")
-    union = "\nUNION ALL\n".join(parts)
+    union = "\nUNION ALL\n".join(parts + more)
     return f"""WITH {ctes},
 checks AS ({union})
 SELECT family, table_name, column_name, reference, row_count, distinct_keys, failures,

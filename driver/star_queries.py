@@ -76,18 +76,21 @@ def star_survivor_aggregate(spark: SparkSession, sf: str) -> DataFrame:
     segment_cc = hierarchy(spark, sf, "segment_cost_center_hierarchy_dim_v",
                            ["cost_center_nbr", "cost_center_hierarchy_nm"]).toDF("seg_cc", "cost_center_group_nm")
     dischannel_cc = hierarchy(spark, sf, "dischannel_cost_center_hierarchy_dim_v", ["cost_center_nbr"]).toDF("dis_cc")
+    pc_rows, cc_rows = hierarchy_rows(spark, sf)
     part = read(spark, sf, "part").select("p_partkey", "p_brand")
     customer = read(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = read(spark, sf, "nation").select("n_nationkey", "n_regionkey")
     region = read(spark, sf, "region").select("r_regionkey", "r_name")
 
     lines = star_join(lines_with_key(spark, sf), [
-        Branch(segment_pc, "profit_center_nbr", "seg_pc"), Branch(dischannel_pc, "profit_center_nbr", "dis_pc"),
-        Branch(part, "l_partkey", "p_partkey")])
+        Branch(segment_pc, "profit_center_nbr", "seg_pc", pc_rows),
+        Branch(dischannel_pc, "profit_center_nbr", "dis_pc", pc_rows),
+        Branch(part, "l_partkey", "p_partkey", size(spark, sf, "part"))])
     heads = star_join(orders_with_key(spark, sf), [
-        Branch(segment_cc, "cost_center_nbr", "seg_cc"), Branch(dischannel_cc, "cost_center_nbr", "dis_cc"),
-        Branch(customer, "o_custkey", "c_custkey"), Branch(nation, "c_nationkey", "n_nationkey"),
-        Branch(region, "n_regionkey", "r_regionkey")])
+        Branch(segment_cc, "cost_center_nbr", "seg_cc", cc_rows),
+        Branch(dischannel_cc, "cost_center_nbr", "dis_cc", cc_rows),
+        Branch(customer, "o_custkey", "c_custkey", size(spark, sf, "customer")),
+        Branch(nation, "c_nationkey", "n_nationkey"), Branch(region, "n_regionkey", "r_regionkey")])
     return star_aggregate(
         lines, [Branch(heads, "l_orderkey", "o_orderkey")],
         ["fiscal_year_period_nbr", "l_returnflag", "l_linestatus", "segment_nm", "dischannel_nm",
@@ -152,9 +155,9 @@ def survival(spark: SparkSession, sf: str) -> DataFrame:
     pc_rows, cc_rows = hierarchy_rows(spark, sf)
     sizes = {"pc": pc_rows, "cc": cc_rows, "part": size(spark, sf, "part"), "customer": size(spark, sf, "customer")}
     pc = Branch(hierarchy(spark, sf, "segment_profit_center_hierarchy", ["profit_center_nbr"]),
-                "profit_center_nbr", "profit_center_nbr")
+                "profit_center_nbr", "profit_center_nbr", pc_rows)
     cc = Branch(hierarchy(spark, sf, "segment_cost_center_hierarchy_dim_v", ["cost_center_nbr"]),
-                "cost_center_nbr", "cost_center_nbr")
+                "cost_center_nbr", "cost_center_nbr", cc_rows)
     keyed_orders = orders_with_key(spark, sf).select("o_orderkey", "cost_center_nbr")
     lines = lines_with_key(spark, sf).select("l_orderkey", "profit_center_nbr")
     facts = lines.join(keyed_orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -292,7 +295,7 @@ def hierarchy_level_totals(spark: SparkSession, sf: str) -> DataFrame:
     ragged = hierarchy(spark, sf, "segment_profit_center_hierarchy", ["profit_center_nbr", *LEVELS],
                        Options(ragged=True)).withColumnRenamed("profit_center_nbr", "seg_pc")
     lines = lines_with_key(spark, sf).select("profit_center_nbr", money("l_extendedprice").alias("price"))
-    joined = star_join(lines, [Branch(ragged, "profit_center_nbr", "seg_pc")])
+    joined = star_join(lines, [Branch(ragged, "profit_center_nbr", "seg_pc", hierarchy_rows(spark, sf)[0])])
     totals = level_totals(joined, LEVELS, {"sum_price": "price"})
     return totals.withColumn("sum_price", F.col("sum_price").cast("decimal(38,2)"))
 

@@ -3,31 +3,52 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+BROADCAST_BYTES = 256 * 1024 * 1024
+TEXT_BYTES, VALUE_BYTES, ROW_BYTES = 64, 16, 32
+
+
 @dataclass(frozen=True)
 class Branch:
-    """One dimension or hierarchy of the star, equi-joined on ``fact_key = key``."""
+    """One dimension or hierarchy of the star, equi-joined on ``fact_key = key``.
+
+    ``rows`` is an upper bound of its size when one is known, as it is for every
+    declared or counted dimension.
+    """
 
     table: DataFrame
     fact_key: str
     key: str
+    rows: int | None = None
+
+    def bytes_bound(self) -> int | None:
+        """Generous size bound from the row bound and the column types."""
+        if self.rows is None:
+            return None
+        width = sum(TEXT_BYTES if kind == "string" else VALUE_BYTES for _, kind in self.table.dtypes)
+        return self.rows * (ROW_BYTES + width)
+
+    def side(self, limit: int = BROADCAST_BYTES) -> DataFrame:
+        """The table, marked for broadcast only when its size bound is within the limit."""
+        bound = self.bytes_bound()
+        return F.broadcast(self.table) if bound is not None and bound <= limit else self.table
 
 
-def star_join(fact: DataFrame, branches: Sequence[Branch]) -> DataFrame:
+def star_join(fact: DataFrame, branches: Sequence[Branch], broadcast_limit: int = BROADCAST_BYTES) -> DataFrame:
     """Inner-join the branches in the order given; put the ones that filter most first.
 
-    No hint is set: Spark broadcasts a branch whose size it has checked against
-    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sorts and merges,
-    where adaptive execution splits hot fact keys.
+    A branch with a proven small size is broadcast, so the fact is not moved for
+    it. Any other is left to Spark: its own size check, or a sort-merge join in
+    which adaptive execution splits hot fact keys.
     """
     joined = fact
     for branch in branches:
-        joined = joined.join(branch.table, F.col(branch.fact_key) == F.col(branch.key), "inner")
+        joined = joined.join(branch.side(broadcast_limit), F.col(branch.fact_key) == F.col(branch.key), "inner")
     return joined
 
 
@@ -61,7 +82,7 @@ def surviving_rows(fact: DataFrame, branches: Sequence[Branch]) -> DataFrame:
     """Fact rows that find a partner in every branch; a semi join cannot multiply rows."""
     kept = fact
     for branch in branches:
-        keys = branch.table.select(F.col(branch.key).alias("parent_key"))
+        keys = replace(branch, table=branch.table.select(F.col(branch.key).alias("parent_key"))).side()
         kept = kept.join(keys, F.col(branch.fact_key) == F.col("parent_key"), "left_semi")
     return kept
 

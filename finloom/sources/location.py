@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -43,3 +45,12 @@ class Location:
         if self.schema is not None:
             quoted = ".".join(f"`{part}`" for part in self.schema.split("."))
             spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted}")
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> Location:
+    """A fresh folder every executor can reach: under ``spark.checkpoint.dir``.
+
+    Only where that is unset, as on a single machine, the local temporary folder serves.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    return Location(path=f"{base.rstrip('/')}/finloom-{purpose}-{uuid.uuid4().hex}")
