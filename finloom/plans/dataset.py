@@ -7,12 +7,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from finloom.operators.checks import integrity_report
 from finloom.operators.writer import TUNING, session_settings, write_table
 from finloom.plans import calendar
 from finloom.plans.specs import DEFAULT_SEED, Options, TextKey
 from finloom.plans.tables import FACT_NAMES, TABLES, build_table, find, table_names
 from finloom.sources.contract import Contract, ContractColumn, ContractRelation
 from finloom.sources.location import Location
+from finloom.sources.rows import bucket_count, hash_sample
 from finloom.sources.volumes import Volumes
 
 DIMENSION_ORDER = (
@@ -144,3 +146,29 @@ def build_dataset(
             write_table(step.build(), location, step.table, mode, (partition_by or {}).get(step.table, ()))
             written.append(step.table)
     return written
+
+
+CENTRAL_FACT = "general_ledger_fact"
+
+
+def verify_dataset(spark: SparkSession, location: Location, tables: Iterable[str] | None = None,
+                   sample_rows: int | None = 1_000_000) -> DataFrame:
+    """One report on a written dataset: keys, the central fact's references, the secondary facts' natural keys.
+
+    Tables that are absent leave their checks out. References are checked on
+    about ``sample_rows`` rows per fact, always the same ones; None checks all.
+    """
+    found = {name: location.find(spark, name) for name in (tables or table_names())}
+    present = {name: df for name, df in found.items() if df is not None}
+    keys = {name: contract_of(name, spark).key for name in present}
+
+    def sample(name: str, df: DataFrame) -> DataFrame:
+        if sample_rows is None:
+            return df
+        return hash_sample(df, list(keys[name]), buckets[name])
+
+    facts = [name for name in (CENTRAL_FACT, *SECONDARY_FACTS) if name in present]
+    buckets = {name: bucket_count(present[name].count(), sample_rows) for name in facts} if sample_rows else {}
+    foreign = [(CENTRAL_FACT, r.column, r.ref_table, r.ref_column) for r in contract_of(CENTRAL_FACT).relations]
+    natural = [(fact, column, *parent) for fact in SECONDARY_FACTS for column, parent in NATURAL_KEYS.items()]
+    return integrity_report(present, keys, foreign, natural, sample)

@@ -32,14 +32,17 @@ class Location:
             return spark.table(self.name(table))
         return spark.read.parquet(self.name(table))
 
-    def exists(self, spark: SparkSession, table: str) -> bool:
-        if self.schema is not None:
-            return spark.catalog.tableExists(self.name(table))
+    def find(self, spark: SparkSession, table: str) -> DataFrame | None:
+        """The table, or None when there is none."""
+        if self.schema is not None and not spark.catalog.tableExists(self.name(table)):
+            return None
         try:
-            self.read(spark, table)
-            return True
+            return self.read(spark, table)
         except AnalysisException:
-            return False
+            return None
+
+    def exists(self, spark: SparkSession, table: str) -> bool:
+        return self.find(spark, table) is not None
 
     def ensure(self, spark: SparkSession) -> None:
         if self.schema is not None:

@@ -5,12 +5,11 @@ from pyspark.sql import types as T
 
 from finloom.operators import checks
 from finloom.operators.writer import session_settings, tune_session, write_table
-from finloom.plans.dataset import CURRENT_TABLES, NATURAL_KEYS, SECONDARY_FACTS, build_dataset, contract_of, plan
+from finloom.plans.dataset import CURRENT_TABLES, build_dataset, plan, verify_dataset
 from finloom.plans.tables import table_names
 from finloom.sources.contract import Contract, base_type, read_contracts, spark_type
 from finloom.sources.domains import read_domains
 from finloom.sources.location import Location
-from finloom.sources.rows import bucket_count, hash_sample
 from finloom.sources.volumes import DEFAULT_VOLUMES, Volumes
 
 SMALL = {name: 60 for name in DEFAULT_VOLUMES} | {
@@ -24,20 +23,26 @@ def test_full_dataset_is_sound(spark, tmp_path):
     place = Location(path=str(tmp_path / "star"))
     written = build_dataset(spark, place, SMALL, tables=table_names())
     assert sorted(written) == sorted(table_names())
-    tables = {name: place.read(spark, name) for name in written}
-    keys = {name: contract_of(name, spark).key for name in written}
-    relations = [(name, r.column, r.ref_table, r.ref_column) for name in ("general_ledger_fact", "cis_fact")
-                 for r in contract_of(name).relations]
-    natural = [(fact, column, *parent) for fact in SECONDARY_FACTS for column, parent in NATURAL_KEYS.items()]
-    buckets = bucket_count(3000, 1000)
-    thin = lambda name, df: hash_sample(df, list(keys[name]), buckets) if name == "general_ledger_fact" else df
-    report = checks.integrity_report(tables, keys, relations, natural, thin)
+    report = verify_dataset(spark, place, sample_rows=1000)
     checks.require_ok(report)
     assert report.where("family = 'natural_key'").count() == 8
+    assert report.where("family = 'foreign_key'").count() == 14
+    assert report.where("family = 'key'").count() == 30
     sampled = report.where("table_name = 'general_ledger_fact' and family = 'foreign_key'").first()
     assert 800 < sampled.row_count < 1200
 
 
+def test_verify_leaves_out_absent_tables_and_can_check_every_row(spark, tmp_path):
+    place = Location(path=str(tmp_path / "part"))
+    build_dataset(spark, place, SMALL, tables=["general_ledger_fact", "profit_center"])
+    report = verify_dataset(spark, place, sample_rows=None)
+    assert {(r.column_name, r.row_count) for r in report.where("family = 'foreign_key'").collect()} == {
+        ("profit_center_id", 3000)}
+    build_dataset(spark, place, SMALL, tables=["profit_center"], overrides={"profit_center": {"rows": 30}})
+    with pytest.raises(checks.IntegrityError, match="profit_center_id"):
+        checks.require_ok(verify_dataset(spark, place))
+
+
 def test_rebuild_gives_the_same_rows_for_other_partitions(spark, tmp_path):
     one, two = Location(path=str(tmp_path / "a")), Location(path=str(tmp_path / "b"))
     build_dataset(spark, one, SMALL, tables=["general_ledger_fact"])
