@@ -54,8 +54,8 @@ class Rendering:
 
     def __init__(self, spec: s.TableSpec, rows: str, sizes: dict[str, str], seed: int = s.DEFAULT_SEED,
                  options: s.Options = DEFAULT_OPTIONS, columns: list[str] | None = None):
-        self.wanted_only = columns is not None
         self.wanted = columns or [name for name, _ in spec.fields()]
+        self.owners = {name: column for column in spec.columns for name, _ in column.fields()}
         self.spec, self.rows, self.sizes, self.seed, self.options = spec, rows, sizes, seed, options
         self.streams: dict[str, int] = {}
         self.made: dict[str, str] = {}
@@ -67,21 +67,21 @@ class Rendering:
     def size(self, table: str) -> str:
         return self.rows if table == self.spec.name else self.sizes[table]
 
-    def render(self) -> str:
-        needed = {name for name in self.wanted}
-        for column in self.spec.columns:
-            if self.wanted_only and not needed & {name for name, _ in column.fields()}:
-                continue
+    def column(self, name: str) -> str:
+        """SQL of one column, rendered when first asked for."""
+        if name not in self.made:
+            column = self.owners[name]
             made = sql_of(column, self)
-            rate = clamp_rate(column.null_rate)
-            threshold = round(rate * 1_000_000)
+            threshold = round(clamp_rate(column.null_rate) * 1_000_000)
             if threshold > 0:
                 shared = column.path if self.options.ragged and column.path else column.name
                 gate = self.draw(f"{shared}#null")
-                made = {name: f"CASE WHEN {gate} % 1000000 >= {threshold} THEN {sql} END"
-                        for name, sql in made.items()}
+                made = {key: f"CASE WHEN {gate} % 1000000 >= {threshold} THEN {sql} END" for key, sql in made.items()}
             self.made.update(made)
-        return ",\n  ".join(f'{self.made[name]} AS "{name}"' for name in self.wanted)
+        return self.made[name]
+
+    def render(self) -> str:
+        return ",\n  ".join(f'{self.column(name)} AS "{name}"' for name in self.wanted)
 
     def salts(self) -> list[int]:
         return [salt(self.seed, self.spec.name, name) for name in self.streams] or [0]
@@ -236,7 +236,7 @@ def _(c: s.Period, r):
 
 @sql_of.register
 def _(c: s.YearOf, r):
-    return {c.name: f"({r.made[c.period]} // 100)::INTEGER"}
+    return {c.name: f"({r.column(c.period)} // 100)::INTEGER"}
 
 
 @sql_of.register
@@ -246,13 +246,13 @@ def _(c: s.NumberOf, r):
 
 @sql_of.register
 def _(c: s.PaddedId, r):
-    number = r.made[c.key] if c.key else "id"
+    number = r.column(c.key) if c.key else "id"
     return {c.name: f"lpad(({number})::VARCHAR, {width_sql(c.pad, r.size(c.table))}, '0')"}
 
 
 @sql_of.register
 def _(c: s.Label, r):
-    return {c.name: "(" + " || ".join(r.made[body] if is_column else quoted(body)
+    return {c.name: "(" + " || ".join(r.column(body) if is_column else quoted(body)
                                       for body, is_column in c.pieces()) + ")"}
 
 

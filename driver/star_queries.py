@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driver.generated import project
 from driver.oracle import Rendering, table_sql
-from driver.tables import domain_sizes, domain_sql, read, size
+from driver.tables import domain_sizes, domain_sql, ids_sql, read, size
 from finloom import functions as fn
 from finloom.functions.keys import pad_width
 from finloom.operators.star import (
@@ -16,6 +17,9 @@ from finloom.operators.star import (
     surviving_rows,
 )
 from finloom.plans.calendar import calendar, calendar_columns
+from finloom.plans.ledger import (
+    FACT_GROUPS, HIERARCHY_KEYS, SUMS, SURVIVAL_FILTERS, ledger_aggregate, ledger_survivors,
+)
 from finloom.plans.specs import Options
 from finloom.plans.tables import TABLES, build_table
 
@@ -311,10 +315,94 @@ m AS ({members})
 SELECT level_nm, member, count(*)::BIGINT AS row_count, sum(price)::DECIMAL(38,2) AS sum_price FROM m GROUP BY ALL"""
 
 
+# The ledger star itself, generated at the driver tables' sizes ------------------------------------------------
+
+LEDGER_COLUMNS = {
+    "general_ledger_fact": ["profit_center_nbr", "cost_center_nbr", "product_id", *FACT_GROUPS, *SUMS],
+    "finance_product_dim_v": ["product_id", "global_sport_focus_desc"],
+    "segment_profit_center_hierarchy": ["profit_center_nbr", "profit_center_hierarchy_nm"],
+    "dischannel_profit_center_hierarchy": ["distrchnl_profit_center_nbr", "profit_center_hierarchy_nm"],
+    "segment_cost_center_hierarchy_dim_v": ["cost_center_nbr", "cost_center_hierarchy_nm"],
+    "dischannel_cost_center_hierarchy_dim_v": ["cost_center_nbr", "cost_center_hierarchy_nm"],
+}
+
+
+def ledger_tables(spark: SparkSession, sf: str) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """The fact over the orders' ids, its product dimension and calendar, and the partial hierarchies."""
+    pc_rows, cc_rows = hierarchy_rows(spark, sf)
+    sizes = domain_sizes(spark, sf) | {"general_ledger_fact": size(spark, sf, "orders")}
+    sizes |= {name: pc_rows if "profit_center" in name else cc_rows for name, _, _ in HIERARCHY_KEYS}
+    tables = {name: build_table(spark, name, sizes[name], None, sizes, columns=columns)
+              for name, columns in LEDGER_COLUMNS.items() if name != "general_ledger_fact"}
+    tables["calendar_fiscal_period_v"] = calendar(spark)
+    tables["general_ledger_fact"] = project(spark, sf, "orders", TABLES["general_ledger_fact"], Options(),
+                                            LEDGER_COLUMNS["general_ledger_fact"])
+    return tables, sizes
+
+
+def ledger_star_aggregate(spark: SparkSession, sf: str) -> DataFrame:
+    return ledger_aggregate(*ledger_tables(spark, sf))
+
+
+def ledger_ctes() -> str:
+    sizes = domain_sql()
+
+    def whole(name: str, source: str) -> str:
+        rendering = Rendering(TABLES[name], f"(SELECT count(*) FROM {source})", sizes, columns=LEDGER_COLUMNS[name])
+        return f"{name} AS MATERIALIZED ({table_sql(ids_sql(source), rendering)})"
+
+    parts = [whole("general_ledger_fact", "orders"), whole("finance_product_dim_v", "part")]
+    parts += [f"{name} AS MATERIALIZED {hierarchy_sql(name, LEDGER_COLUMNS[name])}" for name, _, _ in HIERARCHY_KEYS]
+    return ",\n".join(parts)
+
+
+LEDGER_JOINS = """FROM general_ledger_fact f
+JOIN segment_profit_center_hierarchy a ON a.profit_center_nbr = f.profit_center_nbr
+JOIN dischannel_profit_center_hierarchy b ON b.distrchnl_profit_center_nbr = f.profit_center_nbr
+JOIN segment_cost_center_hierarchy_dim_v c ON c.cost_center_nbr = f.cost_center_nbr
+JOIN dischannel_cost_center_hierarchy_dim_v d ON d.cost_center_nbr = f.cost_center_nbr"""
+
+
+def ledger_star_aggregate_sql() -> str:
+    groups = ", ".join(f"f.{name}" for name in FACT_GROUPS)
+    sums = ", ".join(f"sum(f.{name})::DECIMAL(38,5) AS {name}" for name in SUMS)
+    return f"""WITH {ledger_ctes()}
+SELECT {groups},
+  'FY' || (f.fiscal_year_period_nbr // 100) || 'Q' || ((f.fiscal_year_period_nbr % 100 - 1) // 3 + 1) AS fiscal_year_quarter_cd, p.global_sport_focus_desc, a.profit_center_hierarchy_nm AS segment_hierarchy_nm,
+  b.profit_center_hierarchy_nm AS dischannel_hierarchy_nm, c.cost_center_hierarchy_nm AS segment_cost_hierarchy_nm,
+  d.cost_center_hierarchy_nm AS dischannel_cost_hierarchy_nm, count(*) AS row_count, {sums}
+{LEDGER_JOINS}
+JOIN finance_product_dim_v p ON p.product_id = f.product_id
+GROUP BY ALL"""
+
+
+def ledger_survival(spark: SparkSession, sf: str) -> DataFrame:
+    """Ledger rows that survive all four hierarchies, per fiscal period, beside the share that was expected."""
+    tables, sizes = ledger_tables(spark, sf)
+    booked = tables["general_ledger_fact"].groupBy("fiscal_year_period_nbr").agg(F.count(F.lit(1)).alias("row_count"))
+    kept = (ledger_survivors(tables, sizes).groupBy(F.col("fiscal_year_period_nbr").alias("kept_period"))
+            .agg(F.count(F.lit(1)).alias("kept")))
+    return (booked.join(kept, F.col("fiscal_year_period_nbr") == F.col("kept_period"), "left")
+            .select("fiscal_year_period_nbr", "row_count", F.coalesce("kept", F.lit(0)).alias("surviving"),
+                    F.lit(survival_estimate(sizes, SURVIVAL_FILTERS)).alias("estimated_share")))
+
+
+def ledger_survival_sql() -> str:
+    return f"""WITH {ledger_ctes()},
+kept AS (SELECT f.fiscal_year_period_nbr AS p, count(*) AS n {LEDGER_JOINS} GROUP BY 1),
+sizes AS (SELECT (SELECT count(*) FROM part) AS parts, (SELECT count(*) FROM customer) AS customers)
+SELECT fiscal_year_period_nbr, count(*) AS row_count, coalesce(any_value(kept.n), 0) AS surviving,
+  any_value(((parts * {PROFIT_CENTER_COVERAGE} // 100)::DOUBLE / parts::DOUBLE)
+    * ((customers * {COST_CENTER_COVERAGE} // 100)::DOUBLE / customers::DOUBLE)) AS estimated_share
+FROM general_ledger_fact LEFT JOIN kept ON p = fiscal_year_period_nbr, sizes GROUP BY 1"""
+
+
 def star_queries() -> dict[str, tuple[Callable, str]]:
     return {
         "star_survivor_aggregate": (star_survivor_aggregate, star_survivor_sql()),
         "survival_estimate_vs_measured": (survival, SURVIVAL_SQL),
+        "ledger_star_aggregate": (ledger_star_aggregate, ledger_star_aggregate_sql()),
+        "ledger_survival": (ledger_survival, ledger_survival_sql()),
         "fiscal_calendar": (fiscal_calendar, FISCAL_CALENDAR_SQL),
         "fiscal_calendar_of_orders": (fiscal_calendar_of_orders, FISCAL_CALENDAR_OF_ORDERS_SQL),
         "fiscal_rollup": (fiscal_rollup, FISCAL_ROLLUP_SQL),
