@@ -22,6 +22,10 @@ TUNING = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# A generated table is one projection: nothing to fuse it with, and its split
+# form compiles faster than one whole-stage class.
+BUILD_TUNING = {"spark.sql.codegen.wholeStage": "false"}
+
 
 def tune_session(spark: SparkSession, shuffle_partitions: int | None = None) -> None:
     """Runtime settings for building and checking; shuffle partitions only when asked."""

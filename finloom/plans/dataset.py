@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from finloom.operators.checks import integrity_report
-from finloom.operators.writer import TUNING, session_settings, write_table
+from finloom.operators.writer import BUILD_TUNING, TUNING, session_settings, write_table
 from finloom.plans import calendar
 from finloom.plans.specs import DEFAULT_SEED, Options, TextKey
 from finloom.plans.tables import FACT_NAMES, TABLES, build_table, find, table_names
@@ -44,7 +44,7 @@ SECONDARY_FACTS = ("cis_fact", "consolidated_balance_sheet_fact")
 class Step:
     table: str
     rows: int
-    partitions: int
+    partitions: int | None
     build: Callable[[], DataFrame]
 
 
@@ -136,7 +136,7 @@ def build_dataset(
     volumes = volumes if isinstance(volumes, Volumes) else Volumes(volumes)
     volumes = volumes.with_overrides(overrides, table_names())
     location.ensure(spark)
-    settings = dict(TUNING)
+    settings = TUNING | BUILD_TUNING
     settings["spark.sql.shuffle.partitions"] = str(volumes.shuffle_partitions())
     written = []
     with session_settings(spark, settings):

@@ -61,4 +61,5 @@ def build_table(spark: SparkSession, name: str, rows: int, partitions: int | Non
     if name.lower() == calendar.TABLE:
         periods = calendar.calendar(spark, rows)
         return periods.select(*choices["columns"]) if choices.get("columns") else periods
-    return project_table(row_ids(spark, rows, partitions, ROW_ID), name, rows, sizes, **choices)
+    width = len(choices.get("columns") or find(name).fields())
+    return project_table(row_ids(spark, rows, partitions, ROW_ID, width), name, rows, sizes, **choices)

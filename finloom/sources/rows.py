@@ -6,15 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TARGET_ROWS_PER_PARTITION = 1_000_000
+CELLS_PER_TASK = 1_000_000
 
 
-def partitions_for(rows: int, target: int = TARGET_ROWS_PER_PARTITION) -> int:
-    return max(1, -(-rows // target))
+def partitions_for(rows: int, columns: int = 1, parallelism: int = 1) -> int:
+    """One partition per million rows; a smaller wide table is spread over the cores it can keep busy."""
+    by_rows = -(-rows // TARGET_ROWS_PER_PARTITION)
+    by_cells = -(-rows * columns // CELLS_PER_TASK)
+    return max(1, by_rows, min(parallelism, by_cells))
 
 
-def row_ids(spark: SparkSession, rows: int, partitions: int | None = None, name: str = "__row_id") -> DataFrame:
-    """The ids ``1..rows``; partitions follow the row count unless given."""
-    return spark.range(1, rows + 1, 1, partitions or partitions_for(rows)).withColumnRenamed("id", name)
+def row_ids(spark: SparkSession, rows: int, partitions: int | None = None, name: str = "__row_id",
+            columns: int = 1) -> DataFrame:
+    """The ids ``1..rows``; partitions follow the size of the table unless given."""
+    parts = partitions or partitions_for(rows, columns, spark.sparkContext.defaultParallelism)
+    return spark.range(1, rows + 1, 1, parts).withColumnRenamed("id", name)
 
 
 def bucket_count(total_rows: int, wanted_rows: int) -> int:

@@ -6,7 +6,6 @@ from collections.abc import Mapping
 
 from finloom.functions.fiscal import period_count
 from finloom.sources.domains import load_mapping
-from finloom.sources.rows import partitions_for
 from finloom.sources.values import DIVISION_ROWS
 
 # Settings of a table that declares nothing.
@@ -86,9 +85,10 @@ class Volumes:
         wanted = int(self._declared.get(table.lower(), {}).get("rows", DEFAULT_ROWS))
         return period_count(wanted) if table == "calendar_fiscal_period_v" else wanted
 
-    def partitions(self, table: str) -> int:
+    def partitions(self, table: str) -> int | None:
+        """Declared partitions; None leaves them to the size of the table."""
         declared = self._declared.get(table.lower(), {}).get("partitions")
-        return int(declared) if declared else partitions_for(self.rows(table))
+        return int(declared) if declared else None
 
     def shuffle_partitions(self, table: str = "general_ledger_fact") -> int:
         return int(self._declared.get(table.lower(), {}).get("shuffle_partitions", DEFAULT_SHUFFLE_PARTITIONS))

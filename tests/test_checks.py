@@ -112,7 +112,14 @@ def test_sample_repeats_and_ignores_partitioning(spark):
     assert first.exceptAll(second).isEmpty() and second.exceptAll(first).isEmpty()
     assert 4_500 < first.count() < 5_500
     assert hash_sample(ids, ["id"], 1).count() == 50_000
-    assert bucket_count(10, 1_000) == 1 and partitions_for(0) == 1 and partitions_for(2_000_001) == 3
+    assert bucket_count(10, 1_000) == 1
+
+
+def test_partitions_follow_rows_and_width():
+    assert partitions_for(0) == 1 and partitions_for(2_000_001) == 3
+    assert partitions_for(2_000_000_000, 36, 64) == 2000
+    assert partitions_for(250_000, 64, 8) == 8 and partitions_for(250_000, 64, 64) == 16
+    assert partitions_for(1000, 10, 64) == 1
 
 
 def test_conformance_checks_ignore_nulls_where_they_should(spark):

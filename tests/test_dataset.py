@@ -77,7 +77,8 @@ def test_volume_defaults_and_caps():
     volumes = Volumes({"calendar_fiscal_period_v": 384, "division_text": 500, "general_ledger_fact": 2_000_000_000})
     assert volumes.domain_sizes() == {"calendar_fiscal_period_v": 192, "division_text": 20,
                                       "general_ledger_fact": 2_000_000_000}
-    assert volumes.partitions("general_ledger_fact") == 2000
+    assert volumes.partitions("general_ledger_fact") is None
+    assert Volumes({"company_code": {"rows": 5, "partitions": 3}}).partitions("company_code") == 3
     assert volumes.rows("company_code") == 1000 and volumes.shuffle_partitions() == 400
     assert not volumes.declares("company_code")
 
