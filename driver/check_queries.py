@@ -43,7 +43,7 @@ def keyed(spark: SparkSession, sf: str) -> list[tuple[str, DataFrame, tuple[str,
 
 
 def pk_uniqueness(spark: SparkSession, sf: str) -> DataFrame:
-    return checks.union_reports([checks.key_check(df, table, keys) for table, df, keys in keyed(spark, sf)])
+    return checks.run_checks(spark, [checks.KeyCheck(table, df, keys) for table, df, keys in keyed(spark, sf)])
 
 
 def key_part(table: str, source: str, keys: tuple[str, ...]) -> str:
@@ -80,16 +80,23 @@ def solvent(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fk_orphans(spark: SparkSession, sf: str) -> DataFrame:
-    parts = [checks.reference_check(read(spark, sf, child), child, column, read(spark, sf, parent), parent, key)
-             for child, column, parent, key in REFERENCES]
-    orders, nation = read(spark, sf, "orders"), read(spark, sf, "nation")
-    parts.append(checks.reference_check(orders, "orders", "o_custkey", solvent(spark, sf), "solvent", "c_custkey"))
+    wanted = [checks.ReferenceCheck(child, read(spark, sf, child), column, parent, read(spark, sf, parent), key)
+              for child, column, parent, key in REFERENCES]
+    orders, nation, customer = (read(spark, sf, table) for table in ("orders", "nation", "customer"))
     open_orders = orders.withColumn("open_custkey", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")))
-    parts.append(checks.reference_check(open_orders, "orders", "open_custkey", read(spark, sf, "customer"),
-                                        "customer", "c_custkey"))
-    parts.append(checks.reference_check(read(spark, sf, "customer"), "customer", "c_nationkey",
-                                        nation.unionByName(nation), "nation_twice", "n_nationkey"))
-    return checks.union_reports(parts)
+    wanted += [
+        checks.ReferenceCheck("orders", orders, "o_custkey", "solvent", solvent(spark, sf), "c_custkey"),
+        checks.ReferenceCheck("orders", open_orders, "open_custkey", "customer", customer, "c_custkey"),
+        checks.ReferenceCheck("customer", customer, "c_nationkey", "nation_twice", nation.unionByName(nation),
+                              "n_nationkey")]
+    return checks.run_checks(spark, wanted)
+
+
+def fk_orphans_by_join(spark: SparkSession, sf: str) -> DataFrame:
+    """The same kind of check one relation at a time, as a join."""
+    return checks.union_reports([
+        checks.reference_check(read(spark, sf, child), child, column, read(spark, sf, parent), parent, key)
+        for child, column, parent, key in REFERENCES])
 
 
 def reference_part(family: str, child: str, column: str, parent: str, key: str, child_sql: str | None = None,
@@ -110,6 +117,10 @@ SOLVENT_SQL = "SELECT * FROM customer WHERE c_acctbal >= 0"
 OPEN_ORDERS_SQL = "SELECT *, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS open_custkey FROM orders"
 
 
+def fk_orphans_by_join_sql() -> str:
+    return report_sql([reference_part("foreign_key", *relation) for relation in REFERENCES])
+
+
 def fk_orphans_sql() -> str:
     parts = [reference_part("foreign_key", *relation) for relation in REFERENCES]
     parts.append(reference_part("foreign_key", "orders", "o_custkey", "solvent", "c_custkey", None, SOLVENT_SQL))
@@ -180,7 +191,7 @@ def integrity_report(spark: SparkSession, sf: str) -> DataFrame:
     tables = {table: read(spark, sf, table) for table in ALL_TABLES[:8]}
     keys = {table: (key,) for table, key in KEYS.items()} | {"absent": ("id",)}
     foreign = [*REFERENCES, ("lineitem", "l_suppkey", "absent", "id")]
-    return checks.integrity_report(tables, keys, foreign, [("events", "user_id", "customer", "c_custkey")])
+    return checks.integrity_report(spark, tables, keys, foreign, [("events", "user_id", "customer", "c_custkey")])
 
 
 def integrity_report_sql() -> str:
@@ -407,6 +418,7 @@ def check_queries() -> dict[str, tuple[Callable, str]]:
         "pk_uniqueness": (pk_uniqueness, pk_uniqueness_sql()),
         "pk_duplicates": (pk_duplicates, PK_DUPLICATES_SQL),
         "fk_orphans": (fk_orphans, fk_orphans_sql()),
+        "fk_orphans_by_join": (fk_orphans_by_join, fk_orphans_by_join_sql()),
         "fk_orphan_rows": (fk_orphan_rows, FK_ORPHAN_ROWS_SQL),
         "fk_orphan_keys": (fk_orphan_keys, FK_ORPHAN_KEYS_SQL),
         "natural_key_orphans": (natural_key_orphans, natural_key_orphans_sql()),

@@ -173,7 +173,7 @@ def natural_relations() -> list[tuple[str, str, str, str]]:
 
 
 def generated_star_integrity(spark: SparkSession, sf: str) -> DataFrame:
-    return integrity_report(generated_star(spark, sf), {"general_ledger_fact": ("general_ledger_fact_id",)},
+    return integrity_report(spark, generated_star(spark, sf), {"general_ledger_fact": ("general_ledger_fact_id",)},
                             ledger_relations(), natural_relations())
 
 
@@ -192,7 +192,7 @@ def dataset_build_integrity(spark: SparkSession, sf: str) -> DataFrame:
     written = build_dataset(spark, place, volumes, DATASET_TABLES)
     tables = {table: place.read(spark, table) for table in written}
     keys = {table: contract_of(table, spark).key for table in written}
-    return integrity_report(tables, keys, ledger_relations(), natural_relations())
+    return integrity_report(spark, tables, keys, ledger_relations(), natural_relations())
 
 
 def dataset_build_integrity_sql() -> str:

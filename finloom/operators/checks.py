@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -131,7 +132,100 @@ def require_ok(report: DataFrame, shown: int = 50) -> None:
         raise IntegrityError("failed checks:\n" + "\n".join(lines))
 
 
+@dataclass(frozen=True)
+class KeyCheck:
+    table: str
+    df: DataFrame
+    keys: tuple[str, ...]
+
+
+@dataclass(frozen=True)
+class ReferenceCheck:
+    table: str
+    df: DataFrame
+    column: str
+    ref_table: str
+    ref: DataFrame
+    ref_column: str
+    nulls_are_orphans: bool = True
+
+
+INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+
+
+def _type(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
+
+
+def _key_rows(df: DataFrame, check: int, value: str, integral: bool, child: bool) -> DataFrame:
+    """(check, number, text, n, parent): a key of either kind, counted for a child and flagged for a parent."""
+    number = f"cast({value} AS bigint)" if integral else "cast(NULL AS bigint)"
+    text = "cast(NULL AS string)" if integral else f"cast({value} AS string)"
+    return df.selectExpr(f"{check} AS check", f"{number} AS number", f"{text} AS text",
+                         f"{1 if child else 0}L AS n", f"{'false' if child else 'true'} AS parent")
+
+
+def run_checks(spark: SparkSession, wanted: Sequence[KeyCheck | ReferenceCheck]) -> DataFrame:
+    """All checks in one pass: the keys of every table meet in a single grouping.
+
+    Children bring a count per key value and parents a flag, so an orphan is a
+    group without a flag and no join is needed. However many checks there are,
+    the report takes one shuffle of map-side folded keys and a tiny second one,
+    and no key value, however frequent, lands on one task as rows.
+    """
+    parts, labels, apart = [], [], []
+    for item in wanted:
+        check = len(labels)
+        if isinstance(item, KeyCheck):
+            quoted = _quoted(item.keys)
+            single = len(quoted) == 1
+            present = " AND ".join(f"{key} IS NOT NULL" for key in quoted)
+            value = quoted[0] if single else f"CASE WHEN {present} THEN to_json(struct({', '.join(quoted)})) END"
+            parts.append(_key_rows(item.df, check, value, single and _type(item.df, item.keys[0]) in INTEGRAL, True))
+            labels.append(("key", item.table, ",".join(item.keys), ""))
+            continue
+        kinds = {_type(item.df, item.column), _type(item.ref, item.ref_column)}
+        integral = kinds <= set(INTEGRAL)
+        if len(kinds) > 1 and not integral:
+            apart.append(reference_check(item.df, item.table, item.column, item.ref, item.ref_table, item.ref_column,
+                                         item.nulls_are_orphans))
+            continue
+        parent = item.ref.where(F.col(item.ref_column).isNotNull())
+        parts.append(_key_rows(item.df, check, f"`{item.column}`", integral, True))
+        parts.append(_key_rows(parent, check, f"`{item.ref_column}`", integral, False))
+        labels.append(("foreign_key" if item.nulls_are_orphans else "natural_key", item.table, item.column,
+                       f"{item.ref_table}.{item.ref_column}"))
+    if not labels:
+        return union_reports(apart)
+    # One empty row per check keeps the checks of empty tables in the report.
+    parts.append(spark.range(0, len(labels), 1, 1).selectExpr(
+        "cast(id AS int) AS check", "cast(NULL AS bigint) AS number", "cast(NULL AS string) AS text",
+        "0L AS n", "false AS parent"))
+    named = ", ".join(f"struct({', '.join(sql_literal(text) for text in label)})" for label in labels)
+    counted = (union_reports(parts)
+               .groupBy("check", "number", "text")
+               .agg(F.expr("sum(n) AS n"), F.expr("bool_or(parent) AS parent"))
+               .selectExpr("check", "n", "parent", "number IS NOT NULL OR text IS NOT NULL AS present")
+               .groupBy("check")
+               .agg(F.expr("sum(n) AS row_count"),
+                    F.expr("count_if(present AND n > 0) AS distinct_keys"),
+                    F.expr("coalesce(sum(n) FILTER (WHERE NOT parent), 0L) AS unmatched"),
+                    F.expr("coalesce(sum(n) FILTER (WHERE NOT parent AND present), 0L) AS unmatched_present"))
+               .selectExpr(f"get(array({named}), check) AS label", "row_count", "distinct_keys", "unmatched",
+                           "unmatched_present"))
+    report = (counted
+              .selectExpr("label.col1 AS family", "label.col2 AS table_name", "label.col3 AS column_name",
+                          "label.col4 AS reference", "row_count", "distinct_keys",
+                          """CASE label.col1 WHEN 'key' THEN row_count - distinct_keys
+                             WHEN 'foreign_key' THEN unmatched ELSE unmatched_present END AS failures""")
+              .withColumn("ok", F.expr("failures = 0 AND (row_count > 0 OR family <> 'key')"))
+              .withColumn("status", F.expr("CASE WHEN row_count = 0 THEN 'empty' WHEN ok THEN 'ok' ELSE 'failed' END"))
+              .select(*REPORT_COLUMNS))
+    return union_reports([report, *apart])
+
+
 def integrity_report(
+    spark: SparkSession,
     tables: Mapping[str, DataFrame],
     keys: Mapping[str, Sequence[str]],
     foreign_keys: Iterable[tuple[str, str, str, str]],
@@ -143,10 +237,10 @@ def integrity_report(
     Foreign and natural keys are (table, column, parent table, parent column).
     ``sample`` may thin a fact before its references are checked.
     """
-    reports = [key_check(tables[name], name, key) for name, key in keys.items() if name in tables and key]
+    wanted = [KeyCheck(name, tables[name], tuple(key)) for name, key in keys.items() if name in tables and key]
     for relations, nulls in ((foreign_keys, True), (natural_keys, False)):
-        reports += [reference_check(sample(child, tables[child]), child, column, tables[parent], parent,
-                                    parent_column, nulls)
-                    for child, column, parent, parent_column in relations
-                    if child in tables and parent in tables]
-    return union_reports(reports)
+        wanted += [ReferenceCheck(child, sample(child, tables[child]), column, parent, tables[parent], parent_column,
+                                  nulls)
+                   for child, column, parent, parent_column in relations
+                   if child in tables and parent in tables]
+    return run_checks(spark, wanted)

@@ -171,4 +171,4 @@ def verify_dataset(spark: SparkSession, location: Location, tables: Iterable[str
     buckets = {name: bucket_count(present[name].count(), sample_rows) for name in facts} if sample_rows else {}
     foreign = [(CENTRAL_FACT, r.column, r.ref_table, r.ref_column) for r in contract_of(CENTRAL_FACT).relations]
     natural = [(fact, column, *parent) for fact in SECONDARY_FACTS for column, parent in NATURAL_KEYS.items()]
-    return integrity_report(present, keys, foreign, natural, sample)
+    return integrity_report(spark, present, keys, foreign, natural, sample)

@@ -33,6 +33,31 @@ def test_reference_check_against_brute_force(spark, seed, nulls):
     assert row.ok == (wanted == 0) and row.status == ("ok" if wanted == 0 else "failed")
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_all_checks_in_one_pass_equal_the_single_checks(spark, seed):
+    child, parent = frame(spark, skewed(seed)), frame(spark, [p for p in range(60) if p % 4] + [7, 7, None], "p")
+    texts = child.selectExpr("k", "concat('K_', k) AS t")
+    text_parent = parent.selectExpr("concat('K_', p) AS p")
+    ints = child.selectExpr("cast(k AS int) AS k")
+    decimals = child.selectExpr("cast(k AS decimal(10,2)) AS k")
+    pairs = spark.createDataFrame([(1, "a"), (1, "b"), (1, "a"), (None, "a")], "x int, y string")
+    empty = frame(spark, [])
+    wanted, single = [], []
+    for name, df, column, ref in (("longs", child, "k", parent), ("ints", ints, "k", parent),
+                                  ("texts", texts, "t", text_parent), ("decimals", decimals, "k", parent),
+                                  ("empty", empty, "k", parent), ("orphaned", child, "k", empty.toDF("p"))):
+        for nulls in (True, False):
+            wanted.append(checks.ReferenceCheck(name, df, column, "p", ref, "p", nulls))
+            single.append(checks.reference_check(df, name, column, ref, "p", "p", nulls))
+    for name, df, keys in (("longs", child, ["k"]), ("texts", texts, ["t"]), ("pairs", pairs, ["x", "y"]),
+                           ("empty", empty, ["k"]), ("good", spark.range(5), ["id"])):
+        wanted.append(checks.KeyCheck(name, df, tuple(keys)))
+        single.append(checks.key_check(df, name, keys))
+    together, apart = checks.run_checks(spark, wanted), checks.union_reports(single)
+    assert sorted(map(tuple, together.collect()), key=str) == sorted(map(tuple, apart.collect()), key=str)
+    assert together.count() == len(wanted)
+
+
 def test_duplicate_parents_do_not_inflate(spark):
     child = frame(spark, [1, 2, 2])
     row = checks.reference_check(child, "c", "k", frame(spark, [1, 1, 2, 2], "p"), "p", "p").first()
@@ -91,7 +116,7 @@ def test_gate(spark):
 
 def test_report_leaves_out_absent_tables(spark):
     tables = {"a": frame(spark, [1, 2]), "b": frame(spark, [1, 3])}
-    report = checks.integrity_report(tables, {"a": ("k",), "gone": ("k",)},
+    report = checks.integrity_report(spark, tables, {"a": ("k",), "gone": ("k",)},
                                      [("b", "k", "a", "k"), ("b", "k", "gone", "k")], [("b", "k", "a", "k")])
     assert sorted((r.family, r.failures) for r in report.collect()) == [
         ("foreign_key", 1), ("key", 0), ("natural_key", 1)]

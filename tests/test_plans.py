@@ -26,6 +26,16 @@ def test_reference_check_moves_each_side_once(spark):
     assert "other" not in plan
 
 
+def test_a_whole_report_takes_one_shuffle_of_keys(spark):
+    with session_settings(spark, NO_BROADCAST):
+        fact = spark.range(1000).selectExpr("id", "id % 10 AS k")
+        dims = [spark.range(20).toDF("d") for _ in range(5)]
+        wanted = [checks.KeyCheck("fact", fact, ("id",))]
+        wanted += [checks.ReferenceCheck("fact", fact, "k", f"d{n}", dim, "d") for n, dim in enumerate(dims)]
+        plan = physical(checks.run_checks(spark, wanted))
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
 def test_star_join_broadcasts_only_within_the_bound(spark):
     fact = spark.range(1000).selectExpr("id", "id % 10 AS k")
     dim = spark.range(10).selectExpr("id AS d")
