@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finloom.functions import parse_text_key, template_regex
-from finloom.functions.values import clamp_rate
+from finloom.functions.values import clamp_rate, sql_literal
 from finloom.operators.checks import union_reports
 from finloom.sources.contract import Contract, spark_type
 
@@ -137,8 +137,11 @@ def contract_check(spark: SparkSession, df: DataFrame, contract: Contract) -> Da
     declared = {c.name for c in contract.columns}
     findings += [(contract.name, name, "extra", "", kind, 1) for name, kind in actual.items()
                  if name not in declared]
-    shape = spark.createDataFrame(
-        findings, "table_name string, column_name string, rule string, expected string, actual string, failures long")
+    fields = ("table_name", "column_name", "rule", "expected", "actual")
+    entries = [", ".join(f"'{name}', {sql_literal(text)}" for name, text in zip(fields, finding))
+               + f", 'failures', {finding[-1]}L" for finding in findings]
+    literal = ", ".join(f"named_struct({entry})" for entry in entries)
+    shape = spark.range(1).selectExpr(f"inline(array({literal}))")
     required = [c.name for c in contract.columns if c.is_required and c.name in actual]
     parts = [shape]
     if required:
