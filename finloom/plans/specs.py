@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from finloom import functions as fn
 from finloom.functions import fiscal, streams
-from finloom.functions.values import clamp_rate
+from finloom.functions.values import clamp_rate, weight_slots
 from finloom.sources.domains import Domain
 
 DEFAULT_SEED = 42
@@ -196,16 +196,26 @@ class Pick(Spec):
     def stream_name(self, options: Options) -> str:
         return self.name if options.independent_codes or not self.draws_as else self.draws_as
 
-    def value(self, b):
-        values, weights = self.values, self.weights
+    def choices(self, b: Build) -> tuple[Sequence, Sequence[int] | None]:
+        """Values and weights after any replacement."""
         own = b.domain(self.name)
-        if own and own.values:
-            values, weights = own.values, own.weights
-            if self.type in ("int", "bigint"):
-                values = [int(v) for v in values]
-            else:
-                values = [str(v) for v in values]
-        return fn.pick(b.draw(self.stream_name(b.options)), values, weights, self.type)
+        if not own or not own.values:
+            return self.values, self.weights
+        convert = int if self.type in ("int", "bigint") else str
+        return [convert(v) for v in own.values], own.weights
+
+    def value(self, b):
+        values, weights = self.choices(b)
+        name = self.stream_name(b.options)
+        if name != self.name and not self._pairs_with(b.owners[name].choices(b), (values, weights)):
+            name = self.name
+        return fn.pick(b.draw(name), values, weights, self.type)
+
+    @staticmethod
+    def _pairs_with(partner: tuple, own: tuple) -> bool:
+        """Two lists name the same members only while they are equally long and equally weighted."""
+        slots = [weight_slots(weights) if weights else None for _, weights in (partner, own)]
+        return len(partner[0]) == len(own[0]) and slots[0] == slots[1]
 
 
 @dataclass(frozen=True)

@@ -141,6 +141,16 @@ def test_domains_replace_defaults_and_the_longer_name_wins(spark):
     assert frame.where("amt not between 1 and 2").isEmpty()
 
 
+def test_paired_lists_stay_paired_only_while_they_match(spark):
+    pair = (s.Pick("cd", ("a", "b"), (3, 1)), s.Pick("nm", ("A", "B"), (3, 1), draws_as="cd"))
+    mixed = F.col("nm") != F.upper("cd")
+    assert build(spark, pair).where(mixed).isEmpty()
+    both = read_domains({"cd": {"values": ["x", "y", "z"]}, "nm": {"values": ["X", "Y", "Z"]}})
+    assert build(spark, pair, domains=both).where(mixed).isEmpty()
+    one = build(spark, pair, domains=read_domains({"cd": {"values": ["x", "y", "z"]}}))
+    assert {row.nm for row in one.where("cd = 'z'").select("nm").distinct().collect()} == {"A", "B"}
+
+
 def test_subset_extra_and_rename(spark):
     frame = build(spark, MIXED, columns=["kind", "id"], extra=[("twice", F.col(ROW_ID) * 2)], rename={"kind": "sort"})
     assert frame.columns == ["sort", "id", "twice"]
