@@ -53,7 +53,11 @@ class Location:
 def shared_folder(spark: SparkSession, purpose: str) -> Location:
     """A fresh folder every executor can reach: under ``spark.checkpoint.dir``.
 
-    Only where that is unset, as on a single machine, the local temporary folder serves.
+    Only a local session without that setting may use the temporary folder of the machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.gettempdir()
     return Location(path=f"{base.rstrip('/')}/finloom-{purpose}-{uuid.uuid4().hex}")

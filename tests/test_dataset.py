@@ -1,4 +1,5 @@
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import types as T
@@ -9,7 +10,7 @@ from finloom.plans.dataset import CURRENT_TABLES, build_dataset, plan, verify_da
 from finloom.plans.tables import table_names
 from finloom.sources.contract import Contract, base_type, read_contracts, spark_type
 from finloom.sources.domains import read_domains
-from finloom.sources.location import Location
+from finloom.sources.location import Location, shared_folder
 from finloom.sources.volumes import DEFAULT_VOLUMES, Volumes
 
 SMALL = {name: 60 for name in DEFAULT_VOLUMES} | {
@@ -121,6 +122,19 @@ def test_location_is_either_path_or_schema():
         Location(path="a", schema="b")
 
 
+def session_like(master, **settings):
+    return SimpleNamespace(conf=SimpleNamespace(get=settings.get), sparkContext=SimpleNamespace(master=master))
+
+
+def test_shared_folder_follows_the_session():
+    cluster = session_like("spark://host:7077", **{"spark.checkpoint.dir": "hdfs://shared/"})
+    place = shared_folder(cluster, "x")
+    assert place.path.startswith("hdfs://shared/finloom-x-") and place.path != shared_folder(cluster, "x").path
+    assert shared_folder(session_like("local[2]"), "x").path.startswith("/")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session_like("spark://host:7077"), "x")
+
+
 def test_settings_are_put_back(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     with session_settings(spark, {"spark.sql.shuffle.partitions": "3"}):
