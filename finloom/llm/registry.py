@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import corpus_pipeline
 
+from finloom.llm.quality import op5_quality
 from finloom.llm.simhash import op4_simhash
 
 
 def registry() -> dict:
     return {
         "op4_simhash": (op4_simhash, None),
+        "op5_quality": (op5_quality, None),
         "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     }
