@@ -6,6 +6,7 @@ import corpus_pipeline
 
 from finloom.llm.line_dedup import OP1_SQL, op1_line_dedup
 from finloom.llm.nearest import OP2_SQL, op2_nearest
+from finloom.llm.packing import OP3_SQL, op3_length_buckets
 from finloom.llm.quality import op5_quality
 from finloom.llm.simhash import op4_simhash
 
@@ -14,6 +15,7 @@ def registry() -> dict:
     return {
         "op1_line_dedup": (op1_line_dedup, OP1_SQL),
         "op2_nearest": (op2_nearest, OP2_SQL),
+        "op3_length_buckets": (op3_length_buckets, OP3_SQL),
         "op4_simhash": (op4_simhash, None),
         "op5_quality": (op5_quality, None),
         "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
