@@ -52,6 +52,15 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def settled(value: Column) -> Column:
+    """The value, computed once where it stands.
+
+    Catalyst would copy a column's expression into each of its uses (into lambdas too, once per element, and into
+    filters it pushes down). It leaves columns alone whose expression it can't move.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def bytes_of(frame: DataFrame) -> int:
     """Catalyst's size estimate of a frame; for a file scan that is what the files hold."""
     return int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
+from finloom.llm.decontaminate import OP9_SQL, op9_decontaminate
 from finloom.llm.line_dedup import OP1_SQL, op1_line_dedup
 from finloom.llm.nearest import OP2_SQL, op2_nearest
 from finloom.llm.packing import OP3_SQL, op3_length_buckets
@@ -18,5 +19,6 @@ def registry() -> dict:
         "op3_length_buckets": (op3_length_buckets, OP3_SQL),
         "op4_simhash": (op4_simhash, None),
         "op5_quality": (op5_quality, None),
+        "op9_decontaminate": (op9_decontaminate, OP9_SQL),
         "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     }
