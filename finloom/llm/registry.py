@@ -9,6 +9,7 @@ from finloom.llm.line_dedup import OP1_SQL, op1_line_dedup
 from finloom.llm.nearest import OP2_SQL, op2_nearest
 from finloom.llm.packing import OP3_SQL, op3_length_buckets
 from finloom.llm.quality import op5_quality
+from finloom.llm.sentence_spans import OP6_SQL, op6_sentence_spans
 from finloom.llm.simhash import op4_simhash
 
 
@@ -19,6 +20,7 @@ def registry() -> dict:
         "op3_length_buckets": (op3_length_buckets, OP3_SQL),
         "op4_simhash": (op4_simhash, None),
         "op5_quality": (op5_quality, None),
+        "op6_sentence_spans": (op6_sentence_spans, OP6_SQL),
         "op9_decontaminate": (op9_decontaminate, OP9_SQL),
         "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     }
