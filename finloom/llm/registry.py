@@ -11,6 +11,7 @@ from finloom.llm.packing import OP3_SQL, op3_length_buckets
 from finloom.llm.quality import op5_quality
 from finloom.llm.sentence_spans import OP6_SQL, op6_sentence_spans
 from finloom.llm.simhash import op4_simhash
+from finloom.llm.token_ids import op7_token_ids
 
 
 def registry() -> dict:
@@ -21,6 +22,7 @@ def registry() -> dict:
         "op4_simhash": (op4_simhash, None),
         "op5_quality": (op5_quality, None),
         "op6_sentence_spans": (op6_sentence_spans, OP6_SQL),
+        "op7_token_ids": (op7_token_ids, None),
         "op9_decontaminate": (op9_decontaminate, OP9_SQL),
         "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     }
