@@ -6,6 +6,7 @@ import corpus_pipeline
 
 from finloom.llm.decontaminate import OP9_SQL, op9_decontaminate
 from finloom.llm.line_dedup import OP1_SQL, op1_line_dedup
+from finloom.llm.main_text import op10_main_text
 from finloom.llm.nearest import OP2_SQL, op2_nearest
 from finloom.llm.packing import OP3_SQL, op3_length_buckets
 from finloom.llm.quality import op5_quality
@@ -24,5 +25,6 @@ def registry() -> dict:
         "op6_sentence_spans": (op6_sentence_spans, OP6_SQL),
         "op7_token_ids": (op7_token_ids, None),
         "op9_decontaminate": (op9_decontaminate, OP9_SQL),
+        "op10_main_text": (op10_main_text, None),
         "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     }
