@@ -12,6 +12,7 @@ from finloom.llm.packing import OP3_SQL, op3_length_buckets
 from finloom.llm.quality import op5_quality
 from finloom.llm.sentence_spans import OP6_SQL, op6_sentence_spans
 from finloom.llm.simhash import op4_simhash
+from finloom.llm.substrings import op8_suffix_array
 from finloom.llm.token_ids import op7_token_ids
 
 
@@ -24,6 +25,7 @@ def registry() -> dict:
         "op5_quality": (op5_quality, None),
         "op6_sentence_spans": (op6_sentence_spans, OP6_SQL),
         "op7_token_ids": (op7_token_ids, None),
+        "op8_suffix_array": (op8_suffix_array, None),
         "op9_decontaminate": (op9_decontaminate, OP9_SQL),
         "op10_main_text": (op10_main_text, None),
         "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
