@@ -61,9 +61,38 @@ def settled(value: Column) -> Column:
     return F.when(F.monotonically_increasing_id() >= 0, value)
 
 
-def bytes_of(frame: DataFrame) -> int:
-    """Catalyst's size estimate of a frame; for a file scan that is what the files hold."""
-    return int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+FILTER_WORDS = 1 << 16  # longs of a filter: 512 KB
+
+
+def among(values: list[Column], rows: DataFrame, keys: list[str]) -> Column:
+    """True where the values are those of a row in ``rows`` (by ``keys``), and rarely elsewhere.
+
+    A bit array of fixed size. It keeps most rows that a join would drop from its shuffle; with very many keys it keeps
+    all, and the join alone decides.
+    """
+
+    def spot(columns: list[Column]) -> Column:
+        return F.pmod(F.xxhash64(*columns), F.lit(FILTER_WORDS * 64))
+
+    def bit(at: Column) -> Column:
+        return F.pmod(at, F.lit(64)).cast("int")
+
+    at = spot([F.col(key) for key in keys])
+    words = (rows.select((at / 64).cast("int").alias("i"), bit(at).alias("b")).distinct()
+             .groupBy("i").agg(F.expr("bit_or(shiftleft(1L, b))").alias("v")))
+    bits = cut(array_of(words, FILTER_WORDS), "filter").scalar()
+    own = spot(values)
+    word = F.element_at(bits, (own / 64).cast("int") + 1)
+    return F.call_function("shiftrightunsigned", word, bit(own)).bitwiseAND(F.lit(1)) == 1
+
+
+def array_of(numbers: DataFrame, size: int) -> DataFrame:
+    """One row with one array ``numbers``: column ``v`` by index ``i`` of at most ``size`` rows, zero where absent."""
+    spark = numbers.sparkSession
+    every = spark.range(size).select(F.col("id").cast("int").alias("i"))
+    filled = every.join(numbers, "i", "left").select("i", F.coalesce("v", F.lit(0)).cast("long").alias("v"))
+    return filled.agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("s")).select(
+        F.expr("transform(s, x -> x.v)").alias("numbers"))
 
 
 def components(links: DataFrame, purpose: str = "components") -> DataFrame:

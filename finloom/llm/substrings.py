@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finloom.llm.common import cut, drop_folder, table, text_of, work_folder
+from finloom.llm.common import among, cut, drop_folder, table, text_of, work_folder
 from finloom.llm.suffixes import permuted_common_prefixes, suffix_array
 
 LENGTH, GRAM = 200, 32
@@ -37,7 +37,6 @@ WINDOW = LENGTH - GRAM + 1
 CHUNK = 1 << 19  # strings looked at together
 SHARD_BYTES = 1 << 21
 HOT = 512
-FILTER_WORDS = 1 << 16  # longs of the filter that picks documents: 512 KB
 BASE = 0x9E3779B97F4A7C15
 SEPARATOR = 255  # no byte of UTF-8
 
@@ -232,21 +231,7 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
 
 
 def picked(docs: DataFrame, rows: DataFrame, key: str, row: str) -> Column:
-    """True for every document among ``rows`` and for few others."""
-
-    def spot(a: Column, b: Column) -> Column:
-        return F.pmod(F.xxhash64(a, b), F.lit(FILTER_WORDS * 64))
-
-    at = spot(F.col(key), F.col(row))
-    words = (rows.select((at / 64).cast("int").alias("i"), F.pmod(at, F.lit(64)).cast("int").alias("b")).distinct()
-             .groupBy("i").agg(F.expr("bit_or(shiftleft(1L, b))").alias("v")))
-    every = docs.sparkSession.range(FILTER_WORDS).select(F.col("id").cast("int").alias("i"))
-    filled = every.join(words, "i", "left").select("i", F.coalesce("v", F.lit(0)).cast("long").alias("v"))
-    bits = cut(filled.agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "v"))), lambda x: x["v"])
-                          .alias("bits")), "substring-filter")
-    own = spot(docs["doc_id"], docs["row"])
-    word = F.element_at(bits.scalar(), (own / 64).cast("int") + 1)
-    return F.call_function("shiftrightunsigned", word, F.pmod(own, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return among([docs["doc_id"], docs["row"]], rows, [key, row])
 
 
 def matching(docs: DataFrame, rows: DataFrame, key: str, row: str, how: str = "inner") -> DataFrame:
