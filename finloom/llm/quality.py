@@ -69,7 +69,8 @@ class Ftrl:
     def fit(self, examples: list[tuple[np.ndarray, np.ndarray, int]], epochs: int) -> np.ndarray:
         z, n = np.zeros(BUCKETS), np.zeros(BUCKETS)
         for _ in range(epochs):
-            for index, values, label in examples:
+            for index, stored, label in examples:
+                values = stored.astype(float)
                 weights = self.weights(z[index], n[index])
                 gradient = (probability(weights @ values) - label) * values
                 grown = n[index] + gradient**2
@@ -111,7 +112,7 @@ def train(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
                                 "value": [values.astype(np.float32).tobytes() for _, values in built]})
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        examples = [(np.frombuffer(at, np.int32), np.frombuffer(value, np.float32).astype(float), label)
+        examples = [(np.frombuffer(at, np.int32), np.frombuffer(value, np.float32), label)  # views of the bytes
                     for batch in batches
                     for at, value, label in zip(batch["at"], batch["value"], batch["label"], strict=True)]
         weights = Ftrl().fit(examples, epochs)
