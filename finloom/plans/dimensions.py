@@ -85,20 +85,20 @@ FINANCE_PRODUCT = TableSpec("finance_product_dim_v", ("product_id",), (
     DenseKey("product_id"),
     Pick("primary_platform_desc", v.PLATFORMS, (40, 35, 10, 8, 7)),
     Template("style_nm", "rrrr dddd"),
-    Pick("franchise_nm", v.FRANCHISES, (15, 12, 15, 10, 8, 8, 5, 5, 5, 5, 4, 3, 3, 2)),
+    Pick("franchise_nm", v.FRANCHISES, (22, 18, 14, 11, 9, 8, 6, 5, 4, 3)),
     Pick("gender_desc", v.GENDERS, (35, 30, 15, 10, 7, 3)),
     Pick("global_category_core_focus_desc", v.CORE_FOCUS, (25, 20, 15, 12, 12, 5, 4, 4, 3)),
     Template("product_cd", "rrr-ddddd-ddd"),
-    Pick("team_nm", v.TEAMS, (60, 10, 10, 10, 10)),
-    Pick("league_desc", v.LEAGUES, (20, 15, 15, 10, 40)),
+    Pick("team_nm", v.TEAMS, (70, 6, 6, 5, 5, 4, 4)),
+    Pick("league_desc", v.LEAGUES, (51, 9, 8, 8, 7, 7, 6, 4)),
     words("athlete_full_nm", 4, 7, null_rate=0.7),
-    Pick("product_company_nm", v.BRANDS[:4], (65, 20, 10, 5)),
+    Pick("product_company_nm", v.BRANDS[:4], (48, 27, 16, 9)),
     Pick("age_desc", v.AGES, (55, 20, 8, 8, 9)),
     words("consumer_construct_dimension_nm", 9),
     words("fields_of_play_nm", 7, 5),
     Pick("merchandising_classification_desc", v.MERCHANDISING, (40, 20, 20, 15, 5)),
-    Pick("consumer_construct_segment_nm", v.CONSUMER_SEGMENTS, (25, 30, 20, 15, 10)),
-    Pick("brand_nm", v.BRANDS, (65, 20, 10, 3, 2)),
+    Pick("consumer_construct_segment_nm", v.CONSUMER_SEGMENTS, (24, 22, 18, 14, 12, 10)),
+    Pick("brand_nm", v.BRANDS, (40, 24, 14, 10, 7, 5)),
     Pick("sub_category_desc", v.SUB_CATEGORIES, (35, 20, 15, 10, 8, 7, 5)),
     flag("blank_usage_ind", 5),
     Pick("silhouette_desc", v.SILHOUETTES, (40, 25, 15, 8, 5, 4, 3)),
@@ -111,7 +111,7 @@ FINANCE_PRODUCT = TableSpec("finance_product_dim_v", ("product_id",), (
     Pick("global_sport_focus_derived_desc", v.SPORTS, (25, 20, 20, 20, 15)),
     Pick("global_sport_focus_desc", v.SPORTS, (25, 20, 20, 20, 15)),
     words("global_sport_sub_focus_desc", 9),
-    Pick("sub_brand_desc", v.SUB_BRANDS, (20, 15, 15, 12, 12, 13, 13)),
+    Pick("sub_brand_desc", v.SUB_BRANDS, (26, 21, 18, 14, 12, 9)),
     Template("sub_brand_cd", "rrd"),
 ))
 
@@ -121,7 +121,7 @@ FINANCE_CUSTOMER = TableSpec("finance_customer_dim_v", ("finance_customer_id",),
     Pick("channel_desc", v.CUSTOMER_CHANNELS, (30, 25, 20, 10, 10, 5)),
     words("customer_nm", 8, 7),
     words("customer_owner_group_nm", 7, 6),
-    Pick("marketplace_channel_nm", v.MARKET_CHANNELS, (25, 30, 20, 15, 10)),
+    Pick("marketplace_channel_nm", v.MARKET_CHANNELS, (28, 24, 16, 13, 9, 6, 4)),
     Pick("geo_marketplace_unit_nm", v.GEOGRAPHIES[:5], (30, 25, 15, 15, 15)),
     words("integrated_business_planning_level_1_desc", 6, 6),
     words("integrated_business_planning_level_2_desc", 6, 6, 4),
