@@ -1,4 +1,4 @@
-"""Fiscal periods as ``YYYYPP`` ints: twelve per year, at most ``MAX_PERIODS`` in one calendar."""
+"""Fiscal periods as ``YYYYPP`` ints: twelve per year, ``MAX_PERIODS`` in a calendar of the default span."""
 
 from __future__ import annotations
 
@@ -12,9 +12,11 @@ MAX_PERIODS = YEARS * 12
 
 
 def period_count(requested: int | None, years: int = YEARS) -> int:
-    """How many periods a calendar of the requested size holds; none or < 1 means all."""
+    """How many periods a calendar of the requested size holds; none or < 1 means all, more than it has raises."""
     full = years * 12
-    return full if requested is None or requested < 1 else min(int(requested), full)
+    if requested is not None and requested > full:
+        raise ValueError(f"a calendar of {years} years has {full} periods, not {requested}: ask for more years")
+    return full if requested is None or requested < 1 else int(requested)
 
 
 def nth_period(position: Column, start_year: int = START_YEAR) -> Column:

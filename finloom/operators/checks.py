@@ -6,7 +6,8 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,6 @@ from finloom.functions.values import sql_literal
 
 REPORT_COLUMNS = ("family", "table_name", "column_name", "reference", "row_count", "distinct_keys",
                   "failures", "status", "ok")
-QUICK_ERROR = 0.02
 
 
 def _report(counts: DataFrame, family: str, table: str, column: str, reference: str, ok: str) -> DataFrame:
@@ -34,27 +34,17 @@ def _quoted(names: Sequence[str]) -> list[str]:
 UNIQUE = "failures = 0 AND row_count > 0"
 
 
-def key_check(df: DataFrame, table: str, keys: Sequence[str], quick: bool = False) -> DataFrame:
+def key_check(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     """Is the key unique and never NULL, and is there any row?
 
     Rows are counted per key before anything is compared, so a key that fills a
-    third of the table is folded map-side. ``quick`` estimates the distinct
-    count (about 2 % off) without moving the keys at all.
+    third of the table is folded map-side.
     """
-    label, quoted = ",".join(keys), _quoted(keys)
-    if quick:
-        value = quoted[0] if len(keys) == 1 else f"struct({', '.join(quoted)})"
-        absent = " OR ".join(f"{key} IS NULL" for key in quoted)
-        counts = (df.selectExpr(f"{value} AS value", f"{absent} AS absent")
-                  .agg(F.expr("count(1) AS row_count"),
-                       F.expr(f"approx_count_distinct(value, {QUICK_ERROR}D) AS distinct_keys"),
-                       F.expr("count_if(absent) AS absent"))
-                  .selectExpr("row_count", "distinct_keys", f"""CASE
-                      WHEN abs(row_count - distinct_keys) <= ceil(row_count * {3 * QUICK_ERROR}D) THEN absent
-                      ELSE abs(row_count - distinct_keys) END AS failures"""))
-        return _report(counts, "key_quick", table, label, "", UNIQUE)
-    present = " AND ".join(f"{key} IS NOT NULL" for key in quoted)
-    counts = (df.groupBy(*keys).agg(F.expr("count(1) AS n"))
+    label = ",".join(keys)
+    named = [f"key_{i}" for i in range(len(keys))]  # the key's own names may be anything
+    present = " AND ".join(f"{name} IS NOT NULL" for name in named)
+    counts = (df.selectExpr(*[f"{key} AS {name}" for key, name in zip(_quoted(keys), named, strict=True)])
+              .groupBy(*named).agg(F.expr("count(1) AS n"))
               .agg(F.expr("coalesce(sum(n), 0L) AS row_count"),
                    F.expr(f"count_if({present}) AS distinct_keys"))
               .selectExpr("row_count", "distinct_keys", "row_count - distinct_keys AS failures"))
@@ -89,8 +79,10 @@ def orphan_rows(fact: DataFrame, column: str, ref: DataFrame, ref_column: str,
                 nulls_are_orphans: bool = True) -> DataFrame:
     """The rows that point at no parent. The parent side is left as stored, so adaptive skew splitting applies."""
     parents = ref.select(F.col(ref_column).alias("parent_key"))
-    orphans = fact.join(parents, F.col(column) == F.col("parent_key"), "left_anti")
-    return orphans if nulls_are_orphans else orphans.where(F.col(column).isNotNull())
+    present = fact.where(F.col(column).isNotNull())
+    orphans = present.join(parents, F.col(column) == F.col("parent_key"), "left_anti")
+    # NULL keys match nothing: they are not shuffled to find that out.
+    return orphans.unionByName(fact.where(F.col(column).isNull())) if nulls_are_orphans else orphans
 
 
 def orphan_keys(fact: DataFrame, column: str, ref: DataFrame, ref_column: str) -> DataFrame:
@@ -100,18 +92,16 @@ def orphan_keys(fact: DataFrame, column: str, ref: DataFrame, ref_column: str) -
 
 
 def row_counts(spark: SparkSession, load: Callable[[str], DataFrame], tables: Iterable[str]) -> DataFrame:
-    """Rows per table; a table that cannot be read becomes a row with its reason."""
-    parts = []
+    """Rows per table, counted now; a table that cannot be found, read or counted becomes a row with its reason."""
+    rows = []
     for table in tables:
         try:
-            counts = load(table).agg(F.count(F.lit(1)).alias("row_count"))
-            parts.append(counts.select(F.lit(table).alias("table_name"), "row_count", F.lit("ok").alias("status")))
-        except AnalysisException as error:
-            reason = error.getCondition() or "unreadable"
-            parts.append(spark.range(1).select(F.lit(table).alias("table_name"),
-                                               F.lit(None).cast("bigint").alias("row_count"),
-                                               F.lit(reason).alias("status")))
-    return union_reports(parts)
+            rows.append((table, load(table).count(), "ok"))
+        except PySparkException as error:
+            rows.append((table, None, error.getCondition() or "unreadable"))
+        except Py4JJavaError as error:  # what a task met, passed on without a condition
+            rows.append((table, None, error.java_exception.getClass().getSimpleName()))
+    return spark.createDataFrame(rows, "table_name string, row_count bigint, status string")
 
 
 def union_reports(reports: Sequence[DataFrame]) -> DataFrame:
@@ -124,11 +114,18 @@ class IntegrityError(AssertionError):
     """A report holds failed checks."""
 
 
-def require_ok(report: DataFrame, shown: int = 50) -> None:
-    """Raise unless every check of the report passed. Empty fact samples count as passed, empty keys do not."""
-    failed = report.where(~F.col("ok")).limit(shown).collect()
+def require_ok(report: DataFrame, shown: int = 50, skipped_ok: bool = False) -> None:
+    """Raise unless every check of the report passed. Empty fact samples count as passed, empty keys do not.
+
+    A skipped check has no verdict; it raises too unless ``skipped_ok``.
+    """
+    bad = ~F.coalesce("ok", F.lit(skipped_ok))
+    failed = report.where(bad).limit(shown + 1).collect()
     if failed:
-        lines = [", ".join(f"{k}={v}" for k, v in row.asDict().items() if v not in ("", None)) for row in failed]
+        lines = [", ".join(f"{k}={v}" for k, v in row.asDict().items() if v not in ("", None))
+                 for row in failed[:shown]]
+        if len(failed) > shown:
+            lines.append(f"and more: {report.where(bad).count()} in all, {shown} shown")
         raise IntegrityError("failed checks:\n" + "\n".join(lines))
 
 
@@ -151,6 +148,7 @@ class ReferenceCheck:
 
 
 INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+FOLDED = (*INTEGRAL, "string")
 
 
 def _type(df: DataFrame, column: str) -> str:
@@ -160,33 +158,34 @@ def _type(df: DataFrame, column: str) -> str:
 def _key_rows(df: DataFrame, check: int, value: str, integral: bool, child: bool) -> DataFrame:
     """(check, number, text, n, parent): a key of either kind, counted for a child and flagged for a parent."""
     number = f"cast({value} AS bigint)" if integral else "cast(NULL AS bigint)"
-    text = "cast(NULL AS string)" if integral else f"cast({value} AS string)"
+    text = "cast(NULL AS string)" if integral else value
     return df.selectExpr(f"{check} AS check", f"{number} AS number", f"{text} AS text",
                          f"{1 if child else 0}L AS n", f"{'false' if child else 'true'} AS parent")
 
 
 def run_checks(spark: SparkSession, wanted: Sequence[KeyCheck | ReferenceCheck]) -> DataFrame:
-    """All checks in one pass: the keys of every table meet in a single grouping.
+    """All checks in one report; single whole-number and text keys in one pass, every other key natively on its own.
 
-    Children bring a count per key value and parents a flag, so an orphan is a
-    group without a flag and no join is needed. However many checks there are,
-    the report takes one shuffle of map-side folded keys and a tiny second one,
-    and no key value, however frequent, lands on one task as rows.
+    In the shared pass the keys of every table meet in a single grouping. Children bring a count per key value and
+    parents a flag, so an orphan is a group without a flag and no join is needed. However many checks there are, it
+    takes one shuffle of map-side folded keys and a tiny second one, and no key value, however frequent, lands on
+    one task as rows. Composite keys and other types are grouped by their own columns: a value is never turned into
+    text, so what counts as equal is what a grouping or a join calls equal.
     """
     parts, labels, apart = [], [], []
     for item in wanted:
         check = len(labels)
         if isinstance(item, KeyCheck):
-            quoted = _quoted(item.keys)
-            single = len(quoted) == 1
-            present = " AND ".join(f"{key} IS NOT NULL" for key in quoted)
-            value = quoted[0] if single else f"CASE WHEN {present} THEN to_json(struct({', '.join(quoted)})) END"
-            parts.append(_key_rows(item.df, check, value, single and _type(item.df, item.keys[0]) in INTEGRAL, True))
-            labels.append(("key", item.table, ",".join(item.keys), ""))
+            kind = _type(item.df, item.keys[0])
+            if len(item.keys) > 1 or kind not in FOLDED:
+                apart.append(key_check(item.df, item.table, item.keys))
+                continue
+            parts.append(_key_rows(item.df, check, _quoted(item.keys)[0], kind in INTEGRAL, True))
+            labels.append(("key", item.table, item.keys[0], ""))
             continue
         kinds = {_type(item.df, item.column), _type(item.ref, item.ref_column)}
         integral = kinds <= set(INTEGRAL)
-        if len(kinds) > 1 and not integral:
+        if not integral and kinds != {"string"}:
             apart.append(reference_check(item.df, item.table, item.column, item.ref, item.ref_table, item.ref_column,
                                          item.nulls_are_orphans))
             continue
@@ -232,15 +231,28 @@ def integrity_report(
     natural_keys: Iterable[tuple[str, str, str, str]] = (),
     sample: Callable[[str, DataFrame], DataFrame] = lambda table, df: df,
 ) -> DataFrame:
-    """All checks in one report; a check whose table is absent is left out.
+    """All checks in one report; a check whose table is absent is a row with status ``skipped`` and no verdict.
 
     Foreign and natural keys are (table, column, parent table, parent column).
     ``sample`` may thin a fact before its references are checked.
     """
-    wanted = [KeyCheck(name, tables[name], tuple(key)) for name, key in keys.items() if name in tables and key]
+    wanted, skipped = [], []
+    for name, key in keys.items():
+        if name in tables and key:
+            wanted.append(KeyCheck(name, tables[name], tuple(key)))
+        elif key:
+            skipped.append(("key", name, ",".join(key), ""))
     for relations, nulls in ((foreign_keys, True), (natural_keys, False)):
-        wanted += [ReferenceCheck(child, sample(child, tables[child]), column, parent, tables[parent], parent_column,
-                                  nulls)
-                   for child, column, parent, parent_column in relations
-                   if child in tables and parent in tables]
-    return run_checks(spark, wanted)
+        for child, column, parent, parent_column in relations:
+            if child in tables and parent in tables:
+                wanted.append(ReferenceCheck(child, sample(child, tables[child]), column, parent, tables[parent],
+                                             parent_column, nulls))
+            else:
+                skipped.append(("foreign_key" if nulls else "natural_key", child, column, f"{parent}.{parent_column}"))
+    reports = [run_checks(spark, wanted)] if wanted else []
+    if skipped:
+        names = ", ".join(f"struct({', '.join(sql_literal(text) for text in label)})" for label in skipped)
+        counts = [f"cast(NULL AS bigint) AS {name}" for name in ("row_count", "distinct_keys", "failures")]
+        reports.append(spark.range(1).selectExpr(f"inline(array({names})) AS (family, table_name, column_name, reference)")
+                       .selectExpr("*", *counts, "'skipped' AS status", "cast(NULL AS boolean) AS ok"))
+    return union_reports(reports)

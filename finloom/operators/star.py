@@ -120,10 +120,14 @@ def level_totals(df: DataFrame, levels: Sequence[str], sums: Mapping[str, str])
 
 def fiscal_roll_up(df: DataFrame, period: str, calendar: DataFrame, levels: Sequence[str],
                    sums: Mapping[str, str]) -> DataFrame:
-    """Roll up by calendar attributes; the facts are folded per period before they meet the calendar."""
+    """Roll up by calendar attributes; the facts are folded per period before they meet the calendar.
+
+    Facts of periods that the calendar does not hold (or without one) form members of their own, whose attributes
+    are NULL, and are part of every total.
+    """
     per_period = df.groupBy(F.col(period).alias("__period")).agg(
         F.count(F.lit(1)).alias("row_count"), *[F.sum(column).alias(name) for name, column in sums.items()])
-    dated = per_period.join(calendar, F.col("__period") == F.col("fiscal_year_period_nbr"), "inner")
+    dated = per_period.join(calendar, F.col("__period") == F.col("fiscal_year_period_nbr"), "left")
     kept = sum((1 - F.grouping(level).cast("int") for level in levels), F.lit(0))
     return dated.rollup(*levels).agg(kept.alias("level"), F.sum("row_count").alias("row_count"),
                                      *[F.sum(name).alias(name) for name in sums])

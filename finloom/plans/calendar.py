@@ -71,7 +71,7 @@ def calendar_columns(period: Column, start_year: int = fiscal.START_YEAR) -> lis
 
 def calendar(spark: SparkSession, rows: int | None = None, start_year: int = fiscal.START_YEAR,
              years: int = fiscal.YEARS) -> DataFrame:
-    """The first ``rows`` periods, at most ``years`` times twelve."""
+    """The first ``rows`` periods; more than ``years`` times twelve raise."""
     count = fn.period_count(rows, years)
     positions = spark.range(0, count, 1, 1).select(fn.nth_period(F.col("id"), start_year).alias("period"))
     return positions.select(*calendar_columns(F.col("period"), start_year))

@@ -28,12 +28,15 @@ class Options:
     ragged: one depth per row, so a NULL level has only NULL levels below it.
     link_codes: make free-standing codes such as ``PC_123456`` real references.
     strict_pads: refuse a domain that outgrows its pad instead of widening it.
+    start_year, years: the span of the fiscal calendar.
     """
 
     independent_codes: bool = False
     ragged: bool = False
     link_codes: bool = False
     strict_pads: bool = False
+    start_year: int = fiscal.START_YEAR
+    years: int = fiscal.YEARS
 
 
 @dataclass
@@ -124,7 +127,7 @@ class TextKey(Spec):
         return helper + [(self.name, "string")]
 
     def make(self, b):
-        rows = max(b.rows, b.size_of(self.domain)) if self.domain and self.domain in b.sizes else b.rows
+        rows = max(b.rows, b.size_of(self.domain)) if self.domain else b.rows
         made = {self.counter: fn.dense_key(b.id)} if self.counter else {}
         return made | {self.name: fn.text_key(b.id, self.prefix, b.width(self.pad, rows))}
 
@@ -312,11 +315,12 @@ class Period(Spec):
 
     table: str = "calendar_fiscal_period_v"
     declared: bool = True
-    start_year: int = fiscal.START_YEAR
+    start_year: int | None = None  # of its own calendar, if that is not the dataset's
     type: str = field(default="int", kw_only=True)
 
     def value(self, b):
-        return fn.fiscal_period(b.draw(self.name), b.size_of(self.table), self.start_year)
+        start = b.options.start_year if self.start_year is None else self.start_year
+        return fn.fiscal_period(b.draw(self.name), b.size_of(self.table), start, b.options.years)
 
 
 @dataclass(frozen=True)
@@ -335,7 +339,9 @@ class NumberOf(Spec):
     table: str
 
     def value(self, b):
-        members = min(99, max(1, b.size_of(self.table)))
+        members = max(1, b.size_of(self.table))
+        if members > 99:
+            raise ValueError(f"{b.table}.{self.name} numbers its members with two digits; {self.table} has {members}")
         return fn.padded(fn.ref(b.draw(self.name), members), 2)
 
 
@@ -409,6 +415,13 @@ class TableSpec:
         """One select over the row ids: a narrow stage, whatever the column count."""
         self.check_rows(b.rows)
         b.owners = {name: spec for spec in self.columns for name, _ in spec.fields()}
+        lost = [name for name in b.domains if name.startswith(f"{self.name}.")
+                and name.split(".", 1)[1] not in b.owners]
+        if lost:
+            raise KeyError(f"domains for columns that {self.name} does not have: {lost}")
+        fixed = [name for name, spec in b.owners.items() if b.domain(name) and not isinstance(spec, (Pick, Whole, Amount))]
+        if fixed:
+            raise ValueError(f"{self.name}: no domain can replace the values of {fixed}")
         names = list(b.owners) if columns is None else list(columns)
         unknown = [name for name in names if name not in b.owners]
         if unknown:

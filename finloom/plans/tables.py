@@ -59,7 +59,8 @@ def build_table(spark: SparkSession, name: str, rows: int, partitions: int | Non
                 sizes: Mapping[str, int] | None = None, **choices) -> DataFrame:
     """Generate ``rows`` rows of a catalogue table; the values do not depend on ``partitions``."""
     if name.lower() == calendar.TABLE:
-        periods = calendar.calendar(spark, rows)
+        options = choices.get("options") or Options()
+        periods = calendar.calendar(spark, rows, options.start_year, options.years)
         return periods.select(*choices["columns"]) if choices.get("columns") else periods
     width = len(choices.get("columns") or find(name).fields())
     return project_table(row_ids(spark, rows, partitions, ROW_ID, width), name, rows, sizes, **choices)

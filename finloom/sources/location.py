@@ -10,6 +10,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
+ABSENT = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
+
+
 @dataclass(frozen=True)
 class Location:
     """One place for both writing and checking. Give ``path`` (any Hadoop file system) or ``schema``."""
@@ -38,8 +41,10 @@ class Location:
             return None
         try:
             return self.read(spark, table)
-        except AnalysisException:
-            return None
+        except AnalysisException as error:
+            if error.getCondition() in ABSENT:
+                return None
+            raise
 
     def exists(self, spark: SparkSession, table: str) -> bool:
         return self.find(spark, table) is not None
@@ -51,7 +56,7 @@ class Location:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> Location:
-    """A fresh folder every executor can reach: under ``spark.checkpoint.dir``.
+    """A fresh folder every executor can reach, under ``spark.checkpoint.dir``.
 
     Only a local session without that setting may use the temporary folder of the machine.
     """
@@ -61,3 +66,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> Location:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.gettempdir()
     return Location(path=f"{base.rstrip('/')}/finloom-{purpose}-{uuid.uuid4().hex}")
+
+
+def passing_folder(spark: SparkSession, purpose: str) -> Location:
+    """A shared folder that the file system drops when the session ends."""
+    found = shared_folder(spark, purpose)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found.path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return found

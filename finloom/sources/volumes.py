@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from finloom.functions.fiscal import period_count
 from finloom.sources.domains import load_mapping
 from finloom.sources.values import DIVISION_ROWS
 
@@ -54,7 +53,8 @@ class Volumes:
     """Declared sizes. A value is a row count or ``{rows, partitions, shuffle_partitions}``."""
 
     def __init__(self, declared: Mapping | str | None = None):
-        source = load_mapping(declared) if isinstance(declared, str) else (declared or DEFAULT_VOLUMES)
+        source = load_mapping(declared) if isinstance(declared, str) else declared
+        source = DEFAULT_VOLUMES if source is None else source
         self._declared = {}
         for name, entry in source.items():
             if name == "environment":
@@ -69,7 +69,7 @@ class Volumes:
 
     def with_overrides(self, overrides: Mapping[str, Mapping] | None, known: list[str]) -> Volumes:
         """A copy for one run; a name that is no table raises."""
-        changed = Volumes({name: dict(entry) for name, entry in self._declared.items()} or {})
+        changed = Volumes({name: dict(entry) for name, entry in self._declared.items()})
         for name, entry in (overrides or {}).items():
             if name.lower() not in known:
                 raise KeyError(f"override for unknown table {name}")
@@ -82,8 +82,7 @@ class Volumes:
         return "rows" in self._declared.get(table.lower(), {})
 
     def rows(self, table: str) -> int:
-        wanted = int(self._declared.get(table.lower(), {}).get("rows", DEFAULT_ROWS))
-        return period_count(wanted) if table == "calendar_fiscal_period_v" else wanted
+        return int(self._declared.get(table.lower(), {}).get("rows", DEFAULT_ROWS))
 
     def partitions(self, table: str) -> int | None:
         """Declared partitions; None leaves them to the size of the table."""
@@ -94,9 +93,5 @@ class Volumes:
         return int(self._declared.get(table.lower(), {}).get("shuffle_partitions", DEFAULT_SHUFFLE_PARTITIONS))
 
     def domain_sizes(self) -> dict[str, int]:
-        """Rows each table really holds, for every table that declares a size."""
-        sizes = {name: self.rows(name) for name in self._declared if self.declares(name)}
-        for name in ("division_text", "division_text_dim_v"):
-            if name in sizes:
-                sizes[name] = min(sizes[name], DIVISION_ROWS)
-        return sizes
+        """Rows of every table that declares a size. A table that can't hold so many raises when it is built."""
+        return {name: self.rows(name) for name in self._declared if self.declares(name)}

@@ -72,12 +72,33 @@ def test_key_check(spark, values, ok, status):
     assert row.distinct_keys == len({v for v in values if v is not None})
 
 
-def test_quick_key_check(spark):
-    ids = spark.range(200_000)
-    assert checks.key_check(ids, "t", ["id"], quick=True).first().ok
-    assert not checks.key_check(ids.selectExpr("id % 1000 as id"), "t", ["id"], quick=True).first().ok
-    assert not checks.key_check(ids.selectExpr("nullif(id, 5) as id"), "t", ["id"], quick=True).first().ok
-    assert checks.key_check(ids.selectExpr("id", "id % 3 as b"), "t", ["id", "b"], quick=True).first().ok
+KEY_KINDS = {
+    "timestamp": ["timestamp'2024-01-01 00:00:00.000001'", "timestamp'2024-01-01 00:00:00.000002'", "NULL"],
+    "double": ["0.0D", "-0.0D", "double('NaN')", "double('NaN')", "1.5D"],
+    "decimal": ["1.10BD", "1.1BD", "2.00BD"], "date": ["date'2024-01-01'", "date'2024-01-02'"],
+    "binary": ["X'00FF'", "X'00'", "X'00FF'"], "boolean": ["true", "false", "true"], "text": ["'1'", "'01'", "'1'"],
+}
+
+
+@pytest.mark.parametrize("kind", sorted(KEY_KINDS))
+def test_one_pass_agrees_with_single_checks_for_every_type(spark, kind):
+    rows = ", ".join(f"({value}, {n % 2})" for n, value in enumerate(KEY_KINDS[kind]))
+    df = spark.sql(f"SELECT * FROM VALUES {rows} AS t(k, n)")
+    parents = df.limit(1).withColumnRenamed("k", "p")
+    wanted = [checks.KeyCheck("one", df, ("k",)), checks.KeyCheck("two", df, ("k", "n")),
+              checks.ReferenceCheck("ref", df, "k", "parents", parents, "p"),
+              checks.ReferenceCheck("nat", df, "k", "parents", parents, "p", False)]
+    single = [checks.key_check(df, "one", ["k"]), checks.key_check(df, "two", ["k", "n"]),
+              checks.reference_check(df, "ref", "k", parents, "parents", "p"),
+              checks.reference_check(df, "nat", "k", parents, "parents", "p", False)]
+    found = {r.table_name: tuple(r) for r in checks.run_checks(spark, wanted).collect()}
+    assert found == {r.table_name: tuple(r) for r in checks.union_reports(single).collect()}
+
+
+def test_microseconds_tell_composite_keys_apart(spark):
+    df = spark.sql("SELECT 1 AS a, k FROM VALUES (timestamp'2024-01-01 00:00:00.000001'), "
+                   "(timestamp'2024-01-01 00:00:00.000002') AS t(k)")
+    assert checks.run_checks(spark, [checks.KeyCheck("t", df, ("a", "k"))]).first().ok
 
 
 def test_empty_fact_passes_but_is_marked(spark):
@@ -110,23 +131,37 @@ def test_gate(spark):
     checks.require_ok(good)
     with pytest.raises(checks.IntegrityError, match="table_name=bad"):
         checks.require_ok(checks.union_reports([good, bad]))
+    many = checks.union_reports([bad] * 4)
+    with pytest.raises(checks.IntegrityError, match="4 in all, 2 shown"):
+        checks.require_ok(many, shown=2)
     with pytest.raises(ValueError):
         checks.union_reports([])
 
 
-def test_report_leaves_out_absent_tables(spark):
+def test_checks_of_absent_tables_are_skipped_rows(spark):
     tables = {"a": frame(spark, [1, 2]), "b": frame(spark, [1, 3])}
     report = checks.integrity_report(spark, tables, {"a": ("k",), "gone": ("k",)},
                                      [("b", "k", "a", "k"), ("b", "k", "gone", "k")], [("b", "k", "a", "k")])
-    assert sorted((r.family, r.failures) for r in report.collect()) == [
+    assert sorted((r.family, r.failures) for r in report.where("status <> 'skipped'").collect()) == [
         ("foreign_key", 1), ("key", 0), ("natural_key", 1)]
+    skipped = report.where("status = 'skipped'")
+    assert sorted((r.family, r.table_name, r.reference, r.ok) for r in skipped.collect()) == [
+        ("foreign_key", "b", "gone.k", None), ("key", "gone", "", None)]
+    with pytest.raises(checks.IntegrityError, match="skipped"):
+        checks.require_ok(skipped)
+    checks.require_ok(skipped, skipped_ok=True)
 
 
 def test_row_counts_capture_errors(spark, tmp_path):
     frame(spark, [1, 2]).write.parquet(str(tmp_path / "a"))
-    report = checks.row_counts(spark, lambda t: spark.read.parquet(str(tmp_path / t)), ["a", "b"])
-    assert {r.table_name: (r.row_count, r.status) for r in report.collect()} == {
-        "a": (2, "ok"), "b": (None, "PATH_NOT_FOUND")}
+    frame(spark, [1, 2]).write.parquet(str(tmp_path / "c"))
+    for part in (tmp_path / "c").glob("part-*"):
+        part.write_bytes(b"PAR1 this is no longer a table PAR1")
+    schema = "k bigint"
+    report = checks.row_counts(spark, lambda t: spark.read.schema(schema).parquet(str(tmp_path / t)), ["a", "b", "c"])
+    found = {r.table_name: (r.row_count, r.status) for r in report.collect()}
+    assert found["a"] == (2, "ok") and found["b"] == (None, "PATH_NOT_FOUND")
+    assert found["c"][0] is None and found["c"][1] != "ok"
 
 
 def test_sample_repeats_and_ignores_partitioning(spark):

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from finloom.operators import checks
 from finloom.operators.writer import session_settings, tune_session, write_table
+from finloom.plans.specs import Options
 from finloom.plans.dataset import CURRENT_TABLES, build_dataset, plan, verify_dataset
 from finloom.plans.tables import table_names
 from finloom.sources.contract import Contract, base_type, read_contracts, spark_type
@@ -26,6 +27,7 @@ def test_full_dataset_is_sound(spark, tmp_path):
     assert sorted(written) == sorted(table_names())
     report = verify_dataset(spark, place, sample_rows=1000)
     checks.require_ok(report)
+    assert report.where("status like 'sampled 1/%'").count() == 14
     assert report.where("family = 'natural_key'").count() == 8
     assert report.where("family = 'foreign_key'").count() == 14
     assert report.where("family = 'key'").count() == 30
@@ -33,15 +35,18 @@ def test_full_dataset_is_sound(spark, tmp_path):
     assert 800 < sampled.row_count < 1200
 
 
-def test_verify_leaves_out_absent_tables_and_can_check_every_row(spark, tmp_path):
+def test_verify_skips_absent_tables_and_checks_every_row(spark, tmp_path):
     place = Location(path=str(tmp_path / "part"))
     build_dataset(spark, place, SMALL, tables=["general_ledger_fact", "profit_center"])
-    report = verify_dataset(spark, place, sample_rows=None)
-    assert {(r.column_name, r.row_count) for r in report.where("family = 'foreign_key'").collect()} == {
-        ("profit_center_id", 3000)}
+    report = verify_dataset(spark, place)
+    assert {(r.column_name, r.row_count) for r in
+            report.where("family = 'foreign_key' and status <> 'skipped'").collect()} == {("profit_center_id", 3000)}
+    with pytest.raises(checks.IntegrityError, match="skipped"):
+        checks.require_ok(report)
+    checks.require_ok(report, skipped_ok=True)
     build_dataset(spark, place, SMALL, tables=["profit_center"], overrides={"profit_center": {"rows": 30}})
     with pytest.raises(checks.IntegrityError, match="profit_center_id"):
-        checks.require_ok(verify_dataset(spark, place))
+        checks.require_ok(verify_dataset(spark, place), skipped_ok=True)
 
 
 def test_rebuild_gives_the_same_rows_for_other_partitions(spark, tmp_path):
@@ -74,10 +79,23 @@ def test_overrides_hold_for_one_run_and_unknown_names_raise(spark):
         Volumes({"company_code": {"size": 1}})
 
 
-def test_volume_defaults_and_caps():
+def test_sizes_that_a_table_cannot_hold_raise(spark, tmp_path):
+    place = Location(path=str(tmp_path / "x"))
+    for name in ("calendar_fiscal_period_v", "division_text"):
+        with pytest.raises(ValueError):
+            build_dataset(spark, place, {name: 500}, tables=[name])
+    build_dataset(spark, place, {"calendar_fiscal_period_v": 500}, tables=["calendar_fiscal_period_v"],
+                  options=Options(start_year=1990, years=50))
+    periods = place.read(spark, "calendar_fiscal_period_v")
+    assert periods.count() == 500 and periods.agg({"fiscal_year_period_nbr": "min"}).first()[0] == 199001
+
+
+def test_volume_defaults():
     volumes = Volumes({"calendar_fiscal_period_v": 384, "division_text": 500, "general_ledger_fact": 2_000_000_000})
-    assert volumes.domain_sizes() == {"calendar_fiscal_period_v": 192, "division_text": 20,
+    assert volumes.domain_sizes() == {"calendar_fiscal_period_v": 384, "division_text": 500,
                                       "general_ledger_fact": 2_000_000_000}
+    assert Volumes({}).domain_sizes() == {} and Volumes({}).with_overrides({}, []).domain_sizes() == {}
+    assert Volumes().rows("general_ledger_fact") == 2_000_000_000
     assert volumes.partitions("general_ledger_fact") is None
     assert Volumes({"company_code": {"rows": 5, "partitions": 3}}).partitions("company_code") == 3
     assert volumes.rows("company_code") == 1000 and volumes.shuffle_partitions() == 400

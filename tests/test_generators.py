@@ -170,7 +170,9 @@ def test_int_key_refuses_too_many_rows():
 
 
 def test_fiscal_periods(spark):
-    assert fn.period_count(None) == fn.period_count(0) == fn.period_count(384) == 192
+    assert fn.period_count(None) == fn.period_count(0) == fn.period_count(192) == 192
+    with pytest.raises(ValueError):
+        fn.period_count(193)
     assert fn.period_count(30) == 30
     periods = spark.range(30).select(fn.nth_period(F.col("id")).alias("p")).collect()
     assert [row.p for row in periods][::12] == [201801, 201901, 202001]

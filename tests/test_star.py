@@ -74,6 +74,13 @@ def test_fiscal_roll_up_totals(spark):
         (0, None, None): 7}
 
 
+def test_facts_outside_the_calendar_stay_in_the_totals(spark):
+    df = spark.createDataFrame([(201801, 1), (203501, 2), (None, 4)], "p int, n int")
+    rows = fiscal_roll_up(df, "p", calendar(spark, 24), ["fiscal_year_nbr"], {"s": "n"}).collect()
+    assert sorted((r.level, r.fiscal_year_nbr or 0, r.row_count, r.s) for r in rows) == [
+        (0, 0, 3, 7), (1, 0, 2, 6), (1, 2018, 1, 1)]
+
+
 def test_calendar_matches_the_standard_library(spark):
     import calendar as months
     import datetime
