@@ -27,15 +27,18 @@ REFERENCES = (
     ("customer", "c_nationkey", "nation", "n_nationkey"),
     ("nation", "n_regionkey", "region", "r_regionkey"),
     ("events", "user_id", "customer", "c_custkey"),
+    ("labels", "doc_id", "documents", "doc_id"),
 )
+CORPUS_KEYS = {"documents": ("doc_id",), "embeddings": ("vec_id",), "pages": ("page_id",), "benchmark": ("item_id",),
+               "labels": ("doc_id",), "conversations": ("conv_id", "turn")}
+TABLE_KEYS = {table: (key,) for table, key in KEYS.items()} | {"lineitem": ("l_orderkey", "l_linenumber")} | CORPUS_KEYS
 REPORT_TAIL = """CASE WHEN row_count = 0 THEN 'empty' WHEN {ok} THEN 'ok' ELSE 'failed' END AS status, {ok} AS ok"""
 
 
 # Keys ---------------------------------------------------------------------------------------------------------
 
 def keyed(spark: SparkSession, sf: str) -> list[tuple[str, DataFrame, tuple[str, ...]]]:
-    found = [(table, read(spark, sf, table), (key,)) for table, key in KEYS.items()]
-    found.append(("lineitem", read(spark, sf, "lineitem"), ("l_orderkey", "l_linenumber")))
+    found = [(table, read(spark, sf, table), keys) for table, keys in TABLE_KEYS.items()]
     late = F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("open_key")
     found.append(("orders_null_key", read(spark, sf, "orders").select(late), ("open_key",)))
     found.append(("events_refund", read(spark, sf, "events").where("event_type = 'refund'"), ("event_id",)))
@@ -54,8 +57,7 @@ def key_part(table: str, source: str, keys: tuple[str, ...]) -> str:
 
 
 def pk_uniqueness_sql() -> str:
-    parts = [key_part(table, f"SELECT {key} FROM {table}", (key,)) for table, key in KEYS.items()]
-    parts.append(key_part("lineitem", "SELECT l_orderkey, l_linenumber FROM lineitem", ("l_orderkey", "l_linenumber")))
+    parts = [key_part(table, f"SELECT {', '.join(keys)} FROM {table}", keys) for table, keys in TABLE_KEYS.items()]
     parts.append(key_part("orders_null_key", "SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS open_key FROM orders",
                           ("open_key",)))
     parts.append(key_part("events_refund", "SELECT event_id FROM events WHERE event_type = 'refund'", ("event_id",)))
@@ -64,6 +66,27 @@ def pk_uniqueness_sql() -> str:
             f"{REPORT_TAIL.format(ok=ok)} FROM c")
 
 
+def pk_uniqueness_composite(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys that hold a timestamp, a fraction and a text: compared as they are, never as text."""
+    events, lines = read(spark, sf, "events"), read(spark, sf, "lineitem")
+    return checks.run_checks(spark, [
+        checks.KeyCheck("events", events, ("user_id", "ts")), checks.KeyCheck("events", events, ("ts",)),
+        checks.KeyCheck("lineitem", lines, ("l_orderkey", "l_extendedprice", "l_returnflag")),
+        checks.KeyCheck("lineitem", lines, ("l_extendedprice",))])
+
+
+PK_UNIQUENESS_COMPOSITE = (("events", ("user_id", "ts")), ("events", ("ts",)),
+                           ("lineitem", ("l_orderkey", "l_extendedprice", "l_returnflag")),
+                           ("lineitem", ("l_extendedprice",)))
+
+
+def pk_uniqueness_composite_sql() -> str:
+    parts = [key_part(table, f"SELECT {', '.join(keys)} FROM {table}", keys) for table, keys in PK_UNIQUENESS_COMPOSITE]
+    ok = "(row_count = distinct_keys AND row_count > 0)"
+    return (f"WITH c AS ({' UNION ALL '.join(parts)}) SELECT *, row_count - distinct_keys AS failures, "
+            f"{REPORT_TAIL.format(ok=ok)} FROM c")
+
+
 def pk_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return checks.duplicate_keys(read(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -188,19 +211,21 @@ TABLE_ROW_COUNTS_SQL = " UNION ALL ".join(
 
 
 def integrity_report(spark: SparkSession, sf: str) -> DataFrame:
-    tables = {table: read(spark, sf, table) for table in ALL_TABLES[:8]}
-    keys = {table: (key,) for table, key in KEYS.items()} | {"absent": ("id",)}
+    tables = {table: read(spark, sf, table) for table in ALL_TABLES}
+    keys = TABLE_KEYS | {"absent": ("id",)}
     foreign = [*REFERENCES, ("lineitem", "l_suppkey", "absent", "id")]
     return checks.integrity_report(spark, tables, keys, foreign, [("events", "user_id", "customer", "c_custkey")])
 
 
 def integrity_report_sql() -> str:
-    keys = [key_part(table, f"SELECT {key} FROM {table}", (key,)) for table, key in KEYS.items()]
+    keys = [key_part(table, f"SELECT {', '.join(key)} FROM {table}", key) for table, key in TABLE_KEYS.items()]
     ok = "(row_count = distinct_keys AND row_count > 0)"
     references = [reference_part("foreign_key", *relation) for relation in REFERENCES]
     references.append(reference_part("natural_key", "events", "user_id", "customer", "c_custkey"))
     return f"""SELECT *, row_count - distinct_keys AS failures, {REPORT_TAIL.format(ok=ok)}
-FROM ({' UNION ALL '.join(keys)}) UNION ALL ({report_sql(references)})"""
+FROM ({' UNION ALL '.join(keys)}) UNION ALL ({report_sql(references)})
+UNION ALL SELECT 'key', 'absent', 'id', '', NULL, NULL, NULL, 'skipped', NULL
+UNION ALL SELECT 'foreign_key', 'lineitem', 'l_suppkey', 'absent.id', NULL, NULL, NULL, 'skipped', NULL"""
 
 
 SAMPLE_ROWS = 1000
@@ -415,24 +440,25 @@ def generated_conformance_sql() -> str:
 
 def check_queries() -> dict[str, tuple[Callable, str]]:
     return {
-        "pk_uniqueness": (pk_uniqueness, pk_uniqueness_sql()),
+        "pk_uniqueness": (pk_uniqueness, pk_uniqueness_sql),
+        "pk_uniqueness_composite": (pk_uniqueness_composite, pk_uniqueness_composite_sql),
         "pk_duplicates": (pk_duplicates, PK_DUPLICATES_SQL),
-        "fk_orphans": (fk_orphans, fk_orphans_sql()),
-        "fk_orphans_by_join": (fk_orphans_by_join, fk_orphans_by_join_sql()),
+        "fk_orphans": (fk_orphans, fk_orphans_sql),
+        "fk_orphans_by_join": (fk_orphans_by_join, fk_orphans_by_join_sql),
         "fk_orphan_rows": (fk_orphan_rows, FK_ORPHAN_ROWS_SQL),
         "fk_orphan_keys": (fk_orphan_keys, FK_ORPHAN_KEYS_SQL),
-        "natural_key_orphans": (natural_key_orphans, natural_key_orphans_sql()),
+        "natural_key_orphans": (natural_key_orphans, natural_key_orphans_sql),
         "table_row_counts": (table_row_counts, TABLE_ROW_COUNTS_SQL),
-        "integrity_report": (integrity_report, integrity_report_sql()),
-        "fact_sample": (fact_sample, FACT_SAMPLE_SQL.format(
+        "integrity_report": (integrity_report, integrity_report_sql),
+        "fact_sample": (fact_sample, lambda: FACT_SAMPLE_SQL.format(
             ctes=stream_ctes("SELECT o_orderkey::BIGINT AS id FROM orders", [42]))),
         "contract_check": (contract_check, CONTRACT_CHECK_SQL),
         "domain_check": (domain_check, DOMAIN_CHECK_SQL),
         "domain_offenders": (domain_offenders, DOMAIN_OFFENDERS_SQL),
         "weight_check": (weight_check, WEIGHT_CHECK_SQL),
-        "null_rates": (null_rates, null_rates_sql()),
+        "null_rates": (null_rates, null_rates_sql),
         "template_check": (template_check, TEMPLATE_CHECK_SQL),
         "range_check": (range_check, RANGE_CHECK_SQL),
         "key_round_trip": (key_round_trip, KEY_ROUND_TRIP_SQL),
-        "generated_conformance": (generated_conformance, generated_conformance_sql()),
+        "generated_conformance": (generated_conformance, generated_conformance_sql),
     }

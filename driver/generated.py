@@ -15,7 +15,7 @@ from finloom.plans.dataset import build_dataset, contract_of, dependencies
 from finloom.plans.hierarchies import profit_center_hierarchy
 from finloom.plans.tables import ROW_ID, TABLES, build_table, project_table
 from finloom.sources import values as v
-from finloom.sources.location import shared_folder
+from finloom.sources.location import passing_folder
 from finloom.sources.volumes import Volumes
 
 # One small declared table per group of column generators.
@@ -122,7 +122,7 @@ def generator(source: str, spec: s.TableSpec, options: s.Options = s.Options())
         rows = str(spec.max_rows)
     else:
         ids, rows = ids_sql(source), f"(SELECT count(*) FROM {source})"
-    return run, table_sql(ids, Rendering(spec, rows, domain_sql(), options=options))
+    return run, lambda: table_sql(ids, Rendering(spec, rows, domain_sql(), options=options))
 
 
 def generated_queries() -> dict[str, tuple[Callable, str]]:
@@ -140,8 +140,8 @@ def generated_queries() -> dict[str, tuple[Callable, str]]:
         "orders", TABLES["general_ledger_fact"], s.Options(independent_codes=True))
     shared = profit_center_hierarchy("profit_center_hierarchy", extra=(s.Pick("extra_cd", ("A", "B"), (3, 1)),))
     found["build_profit_center_hierarchy"] = generator("part", shared)
-    found["dataset_build_integrity"] = (dataset_build_integrity, dataset_build_integrity_sql())
-    found["generated_star_integrity"] = (generated_star_integrity, generated_star_integrity_sql())
+    found["dataset_build_integrity"] = (dataset_build_integrity, dataset_build_integrity_sql)
+    found["generated_star_integrity"] = (generated_star_integrity, generated_star_integrity_sql)
     return found
 
 
@@ -188,11 +188,13 @@ def dataset_build_integrity(spark: SparkSession, sf: str) -> DataFrame:
     Relations to tables that were not written are left out of the report.
     """
     volumes = Volumes({**domain_sizes(spark, sf), "general_ledger_fact": size(spark, sf, "orders")})
-    place = shared_folder(spark, "dataset")
+    place = passing_folder(spark, "dataset")
     written = build_dataset(spark, place, volumes, DATASET_TABLES)
     tables = {table: place.read(spark, table) for table in written}
     keys = {table: contract_of(table, spark).key for table in written}
-    return integrity_report(spark, tables, keys, ledger_relations(), natural_relations())
+    foreign, natural = ([r for r in relations if r[2] in tables]
+                        for relations in (ledger_relations(), natural_relations()))
+    return integrity_report(spark, tables, keys, foreign, natural)
 
 
 def dataset_build_integrity_sql() -> str:

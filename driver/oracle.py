@@ -11,9 +11,6 @@ import string
 import struct
 from functools import singledispatch
 
-import xxhash
-
-from finloom.functions.fiscal import MAX_PERIODS
 from finloom.functions.streams import salt
 from finloom.functions.templates import template_runs
 from finloom.functions.values import amount_units, clamp_rate, weight_slots
@@ -35,6 +32,8 @@ def wide(number: int) -> str:
 
 def stream_ctes(ids_sql: str, salts: list[int]) -> str:
     """CTEs ending in ``drawn(id, v)``: v[k] is the k-th stream of the row."""
+    import xxhash  # only whoever asks for SQL needs it
+
     seeds = ", ".join(
         str((xxhash.xxh64_intdigest(struct.pack("<q", value), seed=42) + P5 + 8) % MASK) for value in salts)
     low = f"& {wide(MASK - 1)}"
@@ -230,8 +229,9 @@ def _(c: s.Day, r):
 
 @sql_of.register
 def _(c: s.Period, r):
-    place = f"({r.draw(c.name)} % least({MAX_PERIODS}, {r.size(c.table)}))"
-    return {c.name: f"(({c.start_year} + {place} // 12) * 100 + {place} % 12 + 1)::INTEGER"}
+    place = f"({r.draw(c.name)} % {r.size(c.table)})"
+    start = r.options.start_year if c.start_year is None else c.start_year
+    return {c.name: f"(({start} + {place} // 12) * 100 + {place} % 12 + 1)::INTEGER"}
 
 
 @sql_of.register

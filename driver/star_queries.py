@@ -26,7 +26,6 @@ from finloom.plans.tables import TABLES, build_table
 # Share of each dimension that its hierarchies cover, in percent.
 PROFIT_CENTER_COVERAGE = 40
 COST_CENTER_COVERAGE = 50
-FIRST_YEAR, YEARS = 1995, 7
 
 MONEY = "decimal(18,2)"
 
@@ -195,12 +194,18 @@ SELECT filter_nm, row_count, surviving, surviving::DOUBLE / row_count::DOUBLE AS
 FROM r, c"""
 
 
+def order_years(spark: SparkSession, sf: str) -> tuple[int, int]:
+    """First year of the orders and how many years they span."""
+    first, last = read(spark, sf, "orders").agg(F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate"))).first()
+    return (first, last - first + 1) if first is not None else (2000, 1)
+
+
 def fiscal_calendar(spark: SparkSession, sf: str) -> DataFrame:
     """All calendar columns for every period, with the orders booked in it."""
     booked = (read(spark, sf, "orders")
               .groupBy(fn.period_of_date(F.col("o_orderdate")).alias("period"))
               .agg(F.count(F.lit(1)).alias("n"), F.sum(money("o_totalprice")).alias("amt")))
-    periods = calendar(spark, YEARS * 12, FIRST_YEAR, YEARS)
+    periods = calendar(spark, None, *order_years(spark, sf))
     return (periods.join(booked, F.col("fiscal_year_period_nbr") == F.col("period"), "left")
             .select(*periods.columns, F.coalesce("n", F.lit(0)).alias("order_count"),
                     F.col("amt").cast("decimal(38,2)").alias("order_amt")))
@@ -210,7 +215,7 @@ def fiscal_calendar_of_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Calendar columns derived on the order rows' own periods, without a join."""
     periods = (read(spark, sf, "orders").select(fn.period_of_date(F.col("o_orderdate")).alias("period"))
                .groupBy("period").agg(F.count(F.lit(1)).alias("order_count")))
-    return periods.select(*calendar_columns(F.col("period"), FIRST_YEAR), "order_count")
+    return periods.select(*calendar_columns(F.col("period"), order_years(spark, sf)[0]), "order_count")
 
 
 CALENDAR_COLUMNS_SQL = """p AS fiscal_year_period_nbr, strftime(s, '%B') AS month_long_nm, strftime(s, '%b') AS month_short_nm,
@@ -234,12 +239,12 @@ def calendar_ctes(periods_sql: str) -> str:
 split AS (SELECT p, (p // 100)::INTEGER AS y, (p % 100)::INTEGER AS m FROM periods),
 parts AS (SELECT *, make_date(y, m, 1) AS s, last_day(make_date(y, m, 1)) AS e, lpad(m::VARCHAR, 2, '0') AS mm,
   ((m - 1) // 3 + 1)::INTEGER AS q, ((m - 1) // 6 + 1)::INTEGER AS h,
-  ((y - {FIRST_YEAR}) * 12 + m)::INTEGER AS n FROM split),
+  ((y - (SELECT year(min(o_orderdate)) FROM orders)) * 12 + m)::INTEGER AS n FROM split),
 cal AS (SELECT {CALENDAR_COLUMNS_SQL} FROM parts)"""
 
 
-ALL_PERIODS_SQL = (f"SELECT (({FIRST_YEAR} + k // 12) * 100 + k % 12 + 1)::INTEGER AS p "
-                   f"FROM (SELECT unnest(generate_series(0, {YEARS * 12 - 1})) AS k)")
+ALL_PERIODS_SQL = ("SELECT (y * 100 + m)::INTEGER AS p FROM (SELECT unnest(generate_series(year(min(o_orderdate)), "
+                   "year(max(o_orderdate)))) AS y FROM orders), (SELECT unnest(generate_series(1, 12)) AS m)")
 
 FISCAL_CALENDAR_SQL = f"""WITH {calendar_ctes(ALL_PERIODS_SQL)},
 booked AS (SELECT {PERIOD_SQL} AS period, count(*) AS n, sum(o_totalprice::DECIMAL(18,2)) AS amt FROM orders GROUP BY 1)
@@ -255,7 +260,7 @@ def fiscal_rollup(spark: SparkSession, sf: str) -> DataFrame:
     """Order totals by year, season and quarter, with the totals of every prefix."""
     orders = (read(spark, sf, "orders")
               .select(fn.period_of_date(F.col("o_orderdate")).alias("period"), money("o_totalprice").alias("price")))
-    return fiscal_roll_up(orders, "period", calendar(spark, YEARS * 12, FIRST_YEAR, YEARS),
+    return fiscal_roll_up(orders, "period", calendar(spark, None, *order_years(spark, sf)),
                           ["fiscal_year_nbr", "season_nm", "fiscal_year_quarter_cd"], {"order_amt": "price"}
                           ).withColumn("order_amt", F.col("order_amt").cast("decimal(38,2)"))
 
@@ -299,8 +304,11 @@ def hierarchy_level_totals(spark: SparkSession, sf: str) -> DataFrame:
     ragged = hierarchy(spark, sf, "segment_profit_center_hierarchy", ["profit_center_nbr", *LEVELS],
                        Options(ragged=True)).withColumnRenamed("profit_center_nbr", "seg_pc")
     lines = lines_with_key(spark, sf).select("profit_center_nbr", money("l_extendedprice").alias("price"))
-    joined = star_join(lines, [Branch(ragged, "profit_center_nbr", "seg_pc", hierarchy_rows(spark, sf)[0])])
-    totals = level_totals(joined, LEVELS, {"sum_price": "price"})
+    # One row per key meets the hierarchy, so one key is shuffled in place of nine level texts.
+    folded = lines.groupBy("profit_center_nbr").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("price"))
+    joined = star_join(folded, [Branch(ragged, "profit_center_nbr", "seg_pc", hierarchy_rows(spark, sf)[0])])
+    totals = level_totals(joined, LEVELS, {"sum_price": "price", "n": "n"}).drop("row_count").withColumnRenamed(
+        "n", "row_count")
     return totals.withColumn("sum_price", F.col("sum_price").cast("decimal(38,2)"))
 
 
@@ -399,13 +407,13 @@ FROM general_ledger_fact LEFT JOIN kept ON p = fiscal_year_period_nbr, sizes GRO
 
 def star_queries() -> dict[str, tuple[Callable, str]]:
     return {
-        "star_survivor_aggregate": (star_survivor_aggregate, star_survivor_sql()),
+        "star_survivor_aggregate": (star_survivor_aggregate, star_survivor_sql),
         "survival_estimate_vs_measured": (survival, SURVIVAL_SQL),
-        "ledger_star_aggregate": (ledger_star_aggregate, ledger_star_aggregate_sql()),
-        "ledger_survival": (ledger_survival, ledger_survival_sql()),
+        "ledger_star_aggregate": (ledger_star_aggregate, ledger_star_aggregate_sql),
+        "ledger_survival": (ledger_survival, ledger_survival_sql),
         "fiscal_calendar": (fiscal_calendar, FISCAL_CALENDAR_SQL),
         "fiscal_calendar_of_orders": (fiscal_calendar_of_orders, FISCAL_CALENDAR_OF_ORDERS_SQL),
         "fiscal_rollup": (fiscal_rollup, FISCAL_ROLLUP_SQL),
         "hierarchy_rollup": (hierarchy_rollup, HIERARCHY_ROLLUP_SQL),
-        "hierarchy_level_totals": (hierarchy_level_totals, hierarchy_level_totals_sql()),
+        "hierarchy_level_totals": (hierarchy_level_totals, hierarchy_level_totals_sql),
     }
