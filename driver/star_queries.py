@@ -13,8 +13,7 @@ from driver.tables import domain_sizes, domain_sql, ids_sql, read, size
 from finloom import functions as fn
 from finloom.functions.keys import pad_width
 from finloom.operators.star import (
-    Branch, fiscal_roll_up, level_totals, roll_up, star_aggregate, star_join, survival_by_key, survival_estimate,
-    surviving_rows,
+    Branch, fiscal_roll_up, level_totals, roll_up, star_aggregate, star_join, survival_estimate,
 )
 from finloom.plans.calendar import calendar, calendar_columns
 from finloom.plans.ledger import (
@@ -154,29 +153,35 @@ GROUP BY ALL"""
 
 
 def survival(spark: SparkSession, sf: str) -> DataFrame:
-    """Measured against estimated join survival: per hierarchy and for both together."""
+    """Measured against estimated join survival: per hierarchy and for both together.
+
+    Lines are read once and folded per order before the one join with the orders; all three answers come from that.
+    """
     pc_rows, cc_rows = hierarchy_rows(spark, sf)
     sizes = {"pc": pc_rows, "cc": cc_rows, "part": size(spark, sf, "part"), "customer": size(spark, sf, "customer")}
-    pc = Branch(hierarchy(spark, sf, "segment_profit_center_hierarchy", ["profit_center_nbr"]),
-                "profit_center_nbr", "profit_center_nbr", pc_rows)
-    cc = Branch(hierarchy(spark, sf, "segment_cost_center_hierarchy_dim_v", ["cost_center_nbr"]),
-                "cost_center_nbr", "cost_center_nbr", cc_rows)
-    keyed_orders = orders_with_key(spark, sf).select("o_orderkey", "cost_center_nbr")
+
+    def flagged(rows: DataFrame, name: str, column: str, covered: int) -> DataFrame:
+        keys = hierarchy(spark, sf, name, [column]).select(F.col(column).alias("covered")).distinct()
+        return rows.join(Branch(keys, column, "covered", covered).side(), F.col(column) == F.col("covered"), "left")
+
     lines = lines_with_key(spark, sf).select("l_orderkey", "profit_center_nbr")
-    facts = lines.join(keyed_orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    kept = (surviving_rows(lines, [pc])
-            .join(surviving_rows(keyed_orders, [cc]), F.col("l_orderkey") == F.col("o_orderkey"))
-            .agg(F.count(F.lit(1)).alias("surviving")))
-    parts = [
-        (survival_by_key(lines, pc), "profit_center", survival_estimate(sizes, [("pc", "part")])),
-        (survival_by_key(facts, cc), "cost_center", survival_estimate(sizes, [("cc", "customer")])),
-        (kept.withColumn("row_count", F.lit(size(spark, sf, "lineitem")).cast("bigint")), "both",
-         survival_estimate(sizes, [("pc", "part"), ("cc", "customer")])),
-    ]
-    rows = [part.select(F.lit(name).alias("filter_nm"), "row_count", "surviving",
-                        (F.col("surviving") / F.col("row_count")).alias("measured_share"),
-                        F.lit(estimate).alias("estimated_share")) for part, name, estimate in parts]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+    folded = (flagged(lines, "segment_profit_center_hierarchy", "profit_center_nbr", pc_rows)
+              .groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.count("covered").alias("n_pc")))
+    heads = orders_with_key(spark, sf).select("o_orderkey", "cost_center_nbr")
+    heads = (flagged(heads, "segment_cost_center_hierarchy_dim_v", "cost_center_nbr", cc_rows)
+             .select("o_orderkey", F.col("covered").isNotNull().alias("in_cc")))
+    totals = folded.join(heads, F.col("l_orderkey") == F.col("o_orderkey"), "left").agg(*[
+        F.coalesce(F.sum(F.when(condition, F.col(column))), F.lit(0)).cast("bigint").alias(name)
+        for name, column, condition in (
+            ("lines", "n", F.lit(True)), ("ordered", "n", F.col("o_orderkey").isNotNull()), ("pc", "n_pc", F.lit(True)),
+            ("cc", "n", F.col("in_cc")), ("both", "n_pc", F.col("in_cc")))])
+    answers = [("profit_center", "lines", "pc", [("pc", "part")]), ("cost_center", "ordered", "cc", [("cc", "customer")]),
+               ("both", "lines", "both", [("pc", "part"), ("cc", "customer")])]
+    rows = F.inline(F.array(*[
+        F.struct(F.lit(name).alias("filter_nm"), F.col(base).alias("row_count"), F.col(kept).alias("surviving"),
+                 F.lit(survival_estimate(sizes, filters)).alias("estimated_share"))
+        for name, base, kept, filters in answers]))
+    return totals.select(rows).withColumn("measured_share", F.try_divide(F.col("surviving"), F.col("row_count")))
 
 
 SURVIVAL_SQL = f"""WITH n AS (SELECT (SELECT count(*) FROM part) AS parts, (SELECT count(*) FROM customer) AS customers),
