@@ -42,13 +42,17 @@ class Branch:
 def star_join(fact: DataFrame, branches: Sequence[Branch], broadcast_limit: int = BROADCAST_BYTES) -> DataFrame:
     """Inner-join the branches in the order given; put the ones that filter most first.
 
-    A branch with a proven small size is broadcast, so the fact is not moved for
-    it. Any other is left to Spark: its own size check, or a sort-merge join in
-    which adaptive execution splits hot fact keys.
+    Branches with a proven small size are broadcast, so the fact is not moved for them, as long as all of them together
+    stay within the limit. Any other is left to Spark: its own size check, or a sort-merge join in which adaptive
+    execution splits hot fact keys.
     """
-    joined = fact
+    joined, left = fact, broadcast_limit
     for branch in branches:
-        joined = joined.join(branch.side(broadcast_limit), F.col(branch.fact_key) == F.col(branch.key), "inner")
+        bound = branch.bytes_bound()
+        side = branch.side(left)
+        if bound is not None and bound <= left:
+            left -= bound
+        joined = joined.join(side, F.col(branch.fact_key) == F.col(branch.key), "inner")
     return joined
 
 
