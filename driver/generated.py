@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from driver.oracle import Rendering, table_ctes, table_sql
 from driver.tables import domain_sizes, domain_sql, ids_sql, row_ids_of, size
@@ -125,6 +126,24 @@ def generator(source: str, spec: s.TableSpec, options: s.Options = s.Options())
     return run, lambda: table_sql(ids, Rendering(spec, rows, domain_sql(), options=options))
 
 
+def renamed(source: str, spec: s.TableSpec, names: dict[str, str]) -> tuple[Callable, Callable]:
+    """A table under other column names, with one column of the caller's own."""
+    kept = {old: new for old, new in names.items() if old in [name for name, _ in spec.fields()]}
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        sizes = domain_sizes(spark, sf)
+        return project_table(row_ids_of(spark, sf, source), spec, size(spark, sf, source), sizes, rename=kept,
+                             extra=[("parity", F.expr(f"{ROW_ID} % 2"))])
+
+    def sql() -> str:
+        rendering = Rendering(spec, f"(SELECT count(*) FROM {source})", domain_sql())
+        pairs = ", ".join(f'"{old}" AS "{new}"' for old, new in kept.items())
+        key = spec.key[0]
+        return f"SELECT * RENAME ({pairs}), \"{key}\" % 2 AS parity FROM ({table_sql(ids_sql(source), rendering)})"
+
+    return run, sql
+
+
 def generated_queries() -> dict[str, tuple[Callable, str]]:
     found = {}
     for name, (source, columns) in SHOWCASE.items():
@@ -140,6 +159,8 @@ def generated_queries() -> dict[str, tuple[Callable, str]]:
         "orders", TABLES["general_ledger_fact"], s.Options(independent_codes=True))
     shared = profit_center_hierarchy("profit_center_hierarchy", extra=(s.Pick("extra_cd", ("A", "B"), (3, 1)),))
     found["build_profit_center_hierarchy"] = generator("part", shared)
+    found["build_company_code_renamed"] = renamed("supplier", TABLES["company_code"],
+                                                  {"company_cd": "firm_code", "company_nm": "firm_name"})
     found["dataset_build_integrity"] = (dataset_build_integrity, dataset_build_integrity_sql)
     found["generated_star_integrity"] = (generated_star_integrity, generated_star_integrity_sql)
     return found
