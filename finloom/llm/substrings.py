@@ -6,9 +6,9 @@
 2. One grouping by anchor tells stretches whose anchor occurs once (nothing repeats), those whose anchor always has
    the same stretch (all of it repeats) and the rest. Of the rest each different stretch is fetched once.
 3. Shards of stretches are sorted by induced sorting; the common prefixes of neighbours in the suffix array, taken in
-   order of places, show which strings repeat. A shard holds whole anchors and a bounded number of bytes. An anchor with
-   ``HOT`` or more different stretches is not put in one shard: its strings are dealt by their own hash, and
-   those that meet another are found by counting.
+   order of places, show which strings repeat. A shard holds whole anchors and a bounded number of bytes. An anchor whose
+   different stretches are more than fit a shard is split: its strings are dealt by their own hash, and those that
+   meet another are found by counting.
 4. The strings found are mapped back to every occurrence of their stretch, and to bytes per document.
 
 Copies never multiply: equal stretches are folded before they are shuffled, however many there are. Documents without a
@@ -35,8 +35,7 @@ from finloom.llm.suffixes import permuted_common_prefixes, suffix_array
 LENGTH, GRAM = 200, 32
 WINDOW = LENGTH - GRAM + 1
 CHUNK = 1 << 19  # strings looked at together
-SHARD_BYTES = 1 << 21
-HOT = 512
+SHARD_BYTES = 1 << 21  # a shard is closed beyond this, and an anchor with more is split
 BASE = 0x9E3779B97F4A7C15
 SEPARATOR = 255  # no byte of UTF-8
 
@@ -128,7 +127,13 @@ def shard_repeats(texts: list[bytes]) -> list[np.ndarray]:
     """For each stretch which of its strings also start elsewhere in the shard."""
     joined = np.frombuffer(bytes([SEPARATOR]).join(texts) + bytes([SEPARATOR]), np.uint8)
     order = suffix_array(joined)
-    common = permuted_common_prefixes(joined, order, LENGTH) >= LENGTH
+    # Only strings that lie within their stretch count, and what equals one lies within its own.
+    lengths = np.array([len(text) for text in texts])
+    starts = np.cumsum(lengths + 1) - lengths - 1
+    wanted = np.zeros(len(joined) + 1, np.int8)
+    wanted[starts] = 1
+    wanted[starts + lengths - LENGTH + 1] = -1
+    common = permuted_common_prefixes(joined, order, LENGTH, np.cumsum(wanted[:-1]) > 0) >= LENGTH
     # A string repeats if it agrees with the suffix before it or the one after it.
     repeated = common.copy()
     repeated[order[:-1][common[order[1:]]]] = True
@@ -201,7 +206,8 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
     each = cut(mixed.groupBy("anchor", "under").agg(
         F.count("*").alias("n"), F.min(F.struct("doc_id", "row", "first", "starts")).alias("from")),
         "substring-mixed")
-    hot = each.groupBy("anchor").agg(F.count("*").alias("variants")).where(F.col("variants") >= HOT).select("anchor")
+    hot = each.groupBy("anchor").agg(F.sum(F.col("from.starts") + LENGTH - 1).alias("size")).where(
+        F.col("size") > SHARD_BYTES).select("anchor")
     hot = cut(hot, "substring-hot")
     wanted = (each.select("anchor", "under", "from.*").groupBy("doc_id", "row").agg(
         F.collect_list(F.struct("anchor", "under", "first", "starts")).alias("parts")))  # of one document each

@@ -130,10 +130,12 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     return induce(text, symbols, smaller, stars)
 
 
-def permuted_common_prefixes(text: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:
+def permuted_common_prefixes(text: np.ndarray, order: np.ndarray, limit: int,
+                             wanted: np.ndarray | None = None) -> np.ndarray:
     """For each place the common prefix with the suffix before it in ``order``, up to ``limit`` symbols of a byte.
 
-    In order of places: comparing in steps of eight bytes, only suffixes that still agree go on.
+    In order of places: comparing in steps of eight bytes, only suffixes that still agree go on. Where ``wanted`` is
+    given, only its places are compared; the others get zero.
     """
     size = len(text)
     padded = np.concatenate([text.astype(np.uint8), np.zeros(limit + 16, np.uint8)])
@@ -141,7 +143,7 @@ def permuted_common_prefixes(text: np.ndarray, order: np.ndarray, limit: int) ->
     before = np.full(size, -1, np.int64)
     before[order[1:]] = order[:-1]
     out = np.zeros(size, np.int64)
-    at = np.flatnonzero(before >= 0)
+    at = np.flatnonzero(before >= 0 if wanted is None else (before >= 0) & wanted)
     other = before[at]
     for step in range(0, limit, 8):
         if not len(at):
