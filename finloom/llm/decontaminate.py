@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finloom.llm.common import cut, fresh, settled, table
+from finloom.llm.common import among, cut, fresh, settled, table
 
 WINDOW, LITERALS, ENOUGH = 8, 4, 6
 BROADCAST_ROWS = 500_000  # of 24 bytes
@@ -86,7 +86,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # The words behind the hits: only documents that have any are read again.
     spots = hits.groupBy("doc_id", "row").agg(F.collect_list(F.struct("doc_pos", "hash")).alias("spots"))
     spots = spots.select(F.col("doc_id").alias("spot_id"), F.col("row").alias("spot_row"), "spots")
-    seen = (texts.join(spots, texts["doc_id"].eqNullSafe(F.col("spot_id")) & (F.col("row") == F.col("spot_row")))
+    spots = cut(spots, "leak-spots")
+    near = texts.where(among([texts["doc_id"], texts["row"]], spots, ["spot_id", "spot_row"]))
+    seen = (near.join(spots, near["doc_id"].eqNullSafe(F.col("spot_id")) & (F.col("row") == F.col("spot_row")))
             .select("doc_id", "row", settled(words_of(F.col("text"))).alias("words"), "spots"))
     seen = seen.select("doc_id", "row", F.explode(F.transform("spots", lambda s: F.struct(
         s["doc_pos"].alias("doc_pos"), s["hash"].alias("hash"),
