@@ -26,9 +26,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finloom.llm.common import table
+from finloom.llm.common import cut, table
 
 CELL = 64
+BROADCAST_ROWS = 200_000  # busy hosts, of about 50 bytes
 SAME_PAGES = 8
 TEMPLATE_SHARE = 0.3
 DEPTH = 200  # elements nested deeper stand beside each other, as browsers do it
@@ -276,6 +277,9 @@ def main_texts(pages: DataFrame) -> DataFrame:
                          F.lower(F.coalesce(F.regexp_extract("url", HOST, 1), F.lit(""))).alias("host"))
     many = (named.groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") > CELL)
             .select(F.col("host").alias("many"), F.ceil(F.col("n") / CELL).alias("cells")))
+    many = cut(many, "busy-hosts")
+    if many.count() <= BROADCAST_ROWS:  # pages then move once, by host and cell
+        many = F.broadcast(many)
     dealt = (named.join(many, F.col("host") == F.col("many"), "left")
              .withColumn("cell", F.coalesce(F.pmod(F.xxhash64("page_id", "url"), "cells"), F.lit(0))))
 
@@ -286,7 +290,9 @@ def main_texts(pages: DataFrame) -> DataFrame:
                              "n_chars": [len(text) for text in texts]})
 
     kinds = dict(pages.dtypes)
-    return dealt.select("page_id", "url", "html", "host", "cell").groupBy("host", "cell").applyInPandas(
+    # Beyond that bound the join has dealt pages by host alone: the cells are dealt anew.
+    dealt = dealt.select("page_id", "url", "html", "host", "cell").repartition("host", "cell")
+    return dealt.groupBy("host", "cell").applyInPandas(
         wrap, f"page_id {kinds['page_id']}, url string, text string, n_chars long")
 
 
