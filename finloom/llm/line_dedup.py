@@ -4,8 +4,8 @@ A line is the set of its lower-cased words. A later line goes when an earlier on
 number) has a Jaccard similarity of at least ``threshold`` with it, whether that earlier line stays or not. Lines
 of fewer than ``min_words`` distinct words are never removed: so little text is no sign of copying.
 
-1. Words are counted over the corpus in ``RANKS`` hash buckets. The bucket's rank followed by the word's hash is
-   one long that orders words from rare to common and still identifies the word.
+1. Words are counted over the corpus in ``RANKS`` hash buckets. The level of a bucket's count followed by 58 bits
+   of the word's hash is one long that orders words from rare to common and identifies the word.
 2. Equal sets become one row with their first occurrence, so copies never meet each other in a join.
 3. Similar sets share a word among their rarest ones (prefix filter). The join on it keeps pairs whose sizes and
    word positions still allow the similarity; a 64-bit parity of the words bounds their symmetric difference.
@@ -23,17 +23,16 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finloom.llm.common import cut, fresh, table
+from finloom.llm.common import among, array_of, cut, fresh, settled, table
 
 THRESHOLD = Fraction(4, 5)
 MIN_WORDS = 5
-RANKS = 1 << 16
+RANKS = 1 << 18  # buckets of a byte each
 SKETCH = 1 << 16
 HOT = 512
-FILTER_WORDS = 1 << 16  # longs of the filter that picks lines to verify: 512 KB
 SPLIT = "'[\\\\x09-\\\\x0D ]+'"
 
 
@@ -41,27 +40,13 @@ def words_sql(text: str) -> str:
     return f"array_remove(split(lower({text}), {SPLIT}), '')"
 
 
-def array_of(numbers: DataFrame, size: int) -> DataFrame:
-    """One row with one array: column ``v`` by index ``i`` of at most ``size`` rows, zero where absent."""
-    spark = numbers.sparkSession
-    every = spark.range(size).select(F.col("id").cast("int").alias("i"))
-    filled = every.join(numbers, "i", "left").select("i", F.coalesce("v", F.lit(0)).cast("long").alias("v"))
-    return filled.agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("s")).select(
-        F.expr("transform(s, x -> x.v)").alias("numbers"))
-
-
-def word_ranks(docs: DataFrame) -> Column:
-    """For each hash bucket of words the high bits that put rare buckets first: an array of ``RANKS`` numbers.
-
-    It passes the driver as a constant, because lambdas take no subqueries; its size is fixed.
-    """
+def word_ranks(docs: DataFrame) -> DataFrame:
+    """One row with ``RANKS`` bytes: for each hash bucket of words the level of its count."""
     counted = (docs.select(F.explode(F.expr(words_sql("text"))).alias("w"))
                .select(F.expr(f"cast(xxhash64(w) & {RANKS - 1} as int)").alias("i"))
                .groupBy("i").agg(F.count("*").alias("n")))
-    # At most RANKS rows of two numbers are ordered in one task.
-    ordered = counted.selectExpr("i", f"row_number() over (order by n, i) - 1 - {RANKS // 2} as v")
-    numbers = array_of(ordered, RANKS).first()["numbers"]
-    return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")
+    levels = counted.select("i", F.least(F.lit(31), F.floor(0.7 * F.log2(F.col("n") + 1))).alias("v"))
+    return array_of(levels, RANKS).select(F.col("numbers").cast("array<tinyint>").alias("numbers"))
 
 
 def overlap_sql(threshold: Fraction, a: str, b: str) -> str:
@@ -76,15 +61,17 @@ def lines_of(docs: DataFrame) -> DataFrame:
         F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
-def with_codes(lines: DataFrame, ranks: Column) -> DataFrame:
+def with_codes(lines: DataFrame, ranks: DataFrame) -> DataFrame:
     """The distinct words of each line as sorted codes, rare ones first."""
-    hashed = lines.withColumn("h", F.expr(f"array_distinct(transform({words_sql('line')}, w -> xxhash64(w)))"))
-    return hashed.withColumn("codes", F.array_sort(F.transform("h", lambda x: F.shiftleft(
-        F.element_at(ranks, x.bitwiseAND(RANKS - 1).cast("int") + 1), 48).bitwiseOR(
-        F.shiftrightunsigned(x, 16))))).drop("line")
+    words = F.array_distinct(F.transform(F.expr(words_sql("line")), lambda w: F.xxhash64(w)))
+    hashed = lines.withColumn("h", settled(words)).withColumn("numbers", ranks.scalar())
+    codes = F.transform("h", lambda x: F.shiftleft(
+        F.element_at("numbers", x.bitwiseAND(RANKS - 1).cast("int") + 1).cast("long"), 58).bitwiseOR(
+        F.shiftrightunsigned(x, 6)))
+    return hashed.withColumn("codes", settled(F.sort_array(codes))).drop("line", "numbers")
 
 
-def set_lines(docs: DataFrame, ranks: Column, threshold: Fraction, min_words: int) -> DataFrame:
+def set_lines(docs: DataFrame, ranks: DataFrame, threshold: Fraction, min_words: int) -> DataFrame:
     """The lines long enough to count, with the 128-bit name of their set, its size, parity and prefix."""
     top, below = threshold.numerator, threshold.denominator
     return (with_codes(lines_of(docs), ranks).withColumn("n", F.size("codes")).where(F.col("n") >= min_words)
@@ -93,7 +80,7 @@ def set_lines(docs: DataFrame, ranks: Column, threshold: Fraction, min_words: in
                     F.expr("aggregate(h, 0L, (a, x) -> a ^ shiftleft(1L, cast(shiftrightunsigned(x, 58) as int)))")
                     .alias("parity"),
                     F.expr(f"transform(slice(codes, 1, cast(n - ({top} * n + {below - 1}) div {below} + 1 as int)),"
-                           " x -> cast(shiftright(x, 32) as int))").alias("prefix")))
+                           " x -> cast(shiftright(shiftleft(x, 32), 32) as int))").alias("prefix")))
 
 
 def postings(sets: DataFrame, *more: str) -> DataFrame:
@@ -119,63 +106,73 @@ def hot_codes(sets: DataFrame) -> DataFrame:
                "lines-hot")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, ranks: Column, threshold: Fraction) -> DataFrame:
-    """The pairs of set ids (``a``, ``b``) whose similarity reaches the threshold."""
-    pairs = cut(pairs.distinct(), "lines-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    wanted = cut(sets.join(ids, "id", "left_semi").select("id", "first.*", "h1", "h2"), "lines-wanted")
-    # A bit per wanted line keeps most other lines from the shuffle below; the join decides.
-    spot = F.pmod(F.xxhash64("doc_id", "row", "line_no"), F.lit(FILTER_WORDS * 64))
-    word, bit = (spot / 64).cast("int"), F.pmod(spot, F.lit(64)).cast("int")
-    bits = cut(array_of(wanted.select(word.alias("i"), bit.alias("b")).distinct().groupBy("i").agg(
-        F.expr("bit_or(shiftleft(1L, b))").alias("v")), FILTER_WORDS), "lines-filter")
-    likely = (lines_of(docs).withColumn("i", word).withColumn("b", bit).withColumn("bits", bits.scalar())
-              .where("(shiftrightunsigned(element_at(bits, i + 1), b) & 1) = 1")
-              .select("doc_id", "row", "line_no", "line"))
-    same = [likely[c].eqNullSafe(wanted[c]) for c in ("doc_id", "row", "line_no")]
-    read = (likely.join(wanted, same).select("id", "h1", "h2", "line"))
-    coded = cut(with_codes(read, ranks).where((F.xxhash64("codes") == F.col("h1"))
-                                              & (F.xxhash64(F.lit("second"), "codes") == F.col("h2")))
-                .dropDuplicates(["id"]).select("id", "codes"), "lines-coded")
+def word_sets(ids: DataFrame, sets: DataFrame, docs: DataFrame, ranks: DataFrame) -> DataFrame:
+    """The full word sets of some ids, read again from the lines where they first occur."""
+    wanted = cut(sets.join(ids.distinct(), "id", "left_semi").select("id", "first.*", "h1", "h2"), "lines-wanted")
+    lines = lines_of(docs)
+    place = ["doc_id", "row", "line_no"]
+    likely = lines.where(among([lines[c] for c in place], wanted, place))
+    same = [likely[c].eqNullSafe(wanted[c]) for c in place]
+    read = likely.join(wanted, same).select("id", "h1", "h2", "line")
+    return cut(with_codes(read, ranks).where((F.xxhash64("codes") == F.col("h1"))
+                                             & (F.xxhash64(F.lit("second"), "codes") == F.col("h2")))
+               .dropDuplicates(["id"]).select("id", "codes"), "lines-coded")
+
+
+def alike(pairs: DataFrame, coded: DataFrame, threshold: Fraction) -> DataFrame:
+    """Ids of the later sets of those pairs (``later``, ``earlier``) whose similarity reaches the threshold."""
     need = overlap_sql(threshold, "size(x)", "size(y)")
-    return (pairs.join(coded.select(F.col("id").alias("a"), F.col("codes").alias("x")), "a")
-            .join(coded.select(F.col("id").alias("b"), F.col("codes").alias("y")), "b")
-            .where(f"size(array_intersect(x, y)) >= {need}").select("a", "b"))
+    return (pairs.join(coded.select(F.col("id").alias("later"), F.col("codes").alias("x")), "later")
+            .join(coded.select(F.col("id").alias("earlier"), F.col("codes").alias("y")), "earlier")
+            .where(f"size(array_intersect(x, y)) >= {need}").select(F.col("later").alias("id")).distinct())
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, ranks: DataFrame, threshold: Fraction) -> DataFrame:
+    """Ids of the sets that resemble an earlier one of their pairs (``later``, ``earlier``, ``apart``).
+
+    A set goes as soon as one pair holds. Each set's closest pair by parity is verified first; only sets that it does
+    not settle are held against all their others.
+    """
+    pairs = cut(pairs, "lines-pairs")
+    coded = word_sets(pairs.select(F.explode(F.array("later", "earlier")).alias("id")), sets, docs, ranks)
+    closest = pairs.groupBy("later").agg(F.min(F.struct("apart", "earlier")).alias("p")).select("later", "p.earlier")
+    settled_first = cut(alike(closest, coded, threshold), "lines-settled")
+    rest = pairs.join(settled_first.withColumnRenamed("id", "later"), "later", "left_anti")
+    return settled_first.unionByName(alike(rest, coded, threshold))
 
 
-def later_sets(sets: DataFrame, docs: DataFrame, ranks: Column, threshold: Fraction) -> DataFrame:
+def later_sets(sets: DataFrame, docs: DataFrame, ranks: DataFrame, threshold: Fraction) -> DataFrame:
     """Ids of the sets that resemble a set which occurs earlier."""
+    apart = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity"))).alias("apart")
     hot = hot_codes(sets)
     usual = postings(sets).join(hot, "code", "left_anti")
     found = (usual.alias("a").join(usual.alias("b"), F.expr("a.code = b.code and a.id < b.id and " + fits(threshold)))
-             .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")))
+             .select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), apart).distinct())
     firsts = sets.select("id", "first")
-    gone = None
-    if not hot.isEmpty():
-        busy = postings(sets, "first").join(hot, "code", "left_semi")
-        busy = cut(busy, "lines-busy")
-        pivots = busy.groupBy("code").agg(F.min(F.struct("first", "id", "n", "pos", "parity")).alias("p")).select(
-            "code", "p.*")
-        earlier = F.expr("b.first < a.first and " + fits(threshold))
-        star = (busy.alias("a").join(pivots.alias("b"), F.expr("a.code = b.code") & earlier)
-                .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")))
-        gone = cut(verified(star, sets, docs, ranks, threshold).select(F.col("a").alias("id")).distinct(),
-                   "lines-gone")
-        rest = busy.join(gone, "id", "left_anti")
-        found = found.unionByName(
-            rest.alias("a").join(busy.alias("b"), F.expr("a.code = b.code") & earlier)
-            .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")))
-    pairs = verified(found, sets, docs, ranks, threshold)
-    later = (pairs.join(firsts.select(F.col("id").alias("a"), F.col("first").alias("fa")), "a")
+    turned = F.col("fa") > F.col("fb")
+    found = (found.join(firsts.select(F.col("id").alias("a"), F.col("first").alias("fa")), "a")
              .join(firsts.select(F.col("id").alias("b"), F.col("first").alias("fb")), "b")
-             .select(F.when(F.col("fa") > F.col("fb"), F.col("a")).otherwise(F.col("b")).alias("id")))
-    return (later if gone is None else later.unionByName(gone)).distinct()
+             .select(F.when(turned, F.col("a")).otherwise(F.col("b")).alias("later"),
+                     F.when(turned, F.col("b")).otherwise(F.col("a")).alias("earlier"), "apart"))
+    if hot.isEmpty():
+        return confirmed(found, sets, docs, ranks, threshold)
+    busy = cut(postings(sets, "first").join(hot, "code", "left_semi"), "lines-busy")
+    pivots = busy.groupBy("code").agg(F.min(F.struct("first", "id", "n", "pos", "parity")).alias("p")).select(
+        "code", "p.*")
+    earlier = F.expr("a.code = b.code and b.first < a.first and " + fits(threshold))
+    ends = (F.col("a.id").alias("later"), F.col("b.id").alias("earlier"), apart)
+    star = busy.alias("a").join(pivots.alias("b"), earlier).select(*ends).distinct()
+    gone = cut(confirmed(star, sets, docs, ranks, threshold), "lines-gone")
+    rest = busy.join(gone, "id", "left_anti")
+    found = (found.unionByName(rest.alias("a").join(busy.alias("b"), earlier).select(*ends).distinct())
+             .join(gone.withColumnRenamed("id", "later"), "later", "left_anti"))
+    return confirmed(found, sets, docs, ranks, threshold).unionByName(gone).distinct()
 
 
 def removed_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
     """Per document with later matches: ``doc_id``, ``row`` (hash of its text) and ``gone`` (their line numbers)."""
     docs = docs.select("doc_id", "text")
-    ranks = word_ranks(docs)
+    ranks = cut(word_ranks(docs), "lines-ranks")
     lines = cut(set_lines(docs, ranks, threshold, min_words), "lines")
     sets = cut(lines.groupBy("h1", "h2").agg(
         F.min(F.struct("doc_id", "line_no", "row")).alias("first"), F.count("*").alias("copies"),
@@ -194,18 +191,21 @@ def removed_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, min_words: i
 def dedup_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
     """All documents, ``text`` without its later matches, and two more columns: ``n_lines``, ``n_removed``."""
     gone = removed_lines(docs, threshold, min_words)
-    key, row, at = fresh(docs, "line_key"), fresh(docs, "line_row"), fresh(docs, "line_gone")
-    gone = gone.select(F.col("doc_id").alias(key), F.col("row").alias(row), F.col("gone").alias(at))
-    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone[key])
-                       & (F.xxhash64(docs["text"]) == gone[row]), "left")
-    kept = F.expr(f"""array_join(transform(
-        array_sort(array_except(sequence(0, size(split(text, '\\n')) - 1), `{at}`)),
-        i -> element_at(split(text, '\\n'), i + 1)), '\\n')""")
-    lines = F.split("text", "\n")
-    pieces = joined.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)))
-    pieces = pieces.withColumn("n_removed", F.coalesce(F.size(at), F.lit(0)))
-    return (pieces.withColumn("text", F.when(F.col(at).isNull(), F.col("text")).otherwise(kept))
-            .drop(key, row, at))
+    key, row, at, lines = (fresh(docs, f"line_{name}") for name in ("key", "row", "gone", "parts"))
+    gone = cut(gone.select(F.col("doc_id").alias(key), F.col("row").alias(row), F.col("gone").alias(at)), "lines-at")
+    # Documents that surely keep all lines are not shuffled.
+    touched = among([docs["doc_id"].cast("long"), F.xxhash64(docs["text"])], gone, [key, row])
+    near = docs.where(touched)
+    near = near.join(gone, near["doc_id"].cast("long").eqNullSafe(gone[key])
+                     & (F.xxhash64(near["text"]) == gone[row]), "left").drop(key, row)
+    joined = near.unionByName(docs.where(~touched).withColumn(at, F.lit(None).cast("array<int>")))
+    joined = joined.withColumn(lines, settled(F.split("text", "\n")))
+    kept = F.expr(f"""array_join(transform(sort_array(array_except(sequence(0, size(`{lines}`) - 1), `{at}`)),
+                                           i -> element_at(`{lines}`, i + 1)), '\n')""")
+    return (joined.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)))
+            .withColumn("n_removed", F.coalesce(F.size(at), F.lit(0)))
+            .withColumn("text", F.when(F.col(at).isNull(), F.col("text")).otherwise(kept))
+            .drop(at, lines))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
