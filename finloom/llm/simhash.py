@@ -21,14 +21,13 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from finloom.llm.common import components, cut, fresh, table, text_of
+from finloom.llm.shingles import near_copies, shingle_hashes
 
-SEED = 42
 SEGMENTS, WIDTH = 4, 16
 BITS = 3
 HOT_KEY = 64  # distinct fingerprints under one two-segment key, above which the third segment joins the key
@@ -36,16 +35,9 @@ LANES = np.uint64(0x0101010101010101)
 
 
 def fingerprint(text: str, shingle: int) -> int:
-    words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: only A-Z change, only ASCII space splits
-    if not words:
+    hashes = shingle_hashes(text, shingle)
+    if not len(hashes):
         return 0
-    joined = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    size = min(shingle, len(words))
-    starts = np.concatenate([[0], ends[:-1] + 1])[: len(words) - size + 1].tolist()
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, ends[size - 1:].tolist(), strict=True)),
-                         np.uint64, len(starts))
     counts = np.zeros(64, np.int64)
     for begin in range(0, len(hashes), 255 * 4096):  # a lane of a byte holds 255 ones
         part = hashes[begin:begin + 255 * 4096]
@@ -167,11 +159,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, text: str = "text", doc_i
 def keep_first(docs: DataFrame, shingle: int = 5, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents without the near copies of an earlier one; all columns stay as they are.
 
-    Of rows with one ``doc_id`` all stay or go; documents without an id stay.
+    Texts are near copies from a Jaccard similarity of 0.8 of their shingles on, which a few bits of a fingerprint
+    can't tell. Of rows with one ``doc_id`` all stay or go; documents without an id stay.
     """
     own = fresh(docs, "gone")
-    gone = (near_duplicates(docs, shingle, text, doc_id).where("component_id <> doc_id")
-            .select(F.col("doc_id").alias(own)).distinct())
+    known = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"),
+                                                         text_of(text).alias("text"))
+    of_class, links = near_copies(known, shingle)
+    gone = (of_class.join(components(links), F.col("rep") == F.col("node"), "left")
+            .where(F.coalesce("root", "rep") != F.col("doc_id")).select(F.col("doc_id").alias(own)).distinct())
     return docs.join(gone, docs[doc_id].cast("long") == gone[own], "left_anti")
 
 
