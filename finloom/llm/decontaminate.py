@@ -8,6 +8,10 @@ are lined up by their distance (position in the document minus position in the i
 placeholders must agree: every value in the item stands for one value in the document and back. An item leaked when
 one such line holds ``ENOUGH`` consistent windows, or all the item has if these are fewer.
 
+What is a name depends on the case of the copy, so windows are also matched in lower case, with only numbers and units
+as slots. A line takes the windows of both kinds and their slots together. ``by_case=True`` leaves the lower-case
+windows out: the rule of ``OP9_SQL``, which the registered query follows.
+
 Only window hashes of documents are exploded, and nothing is collected. The benchmark is broadcast when its windows
 number at most ``BROADCAST_ROWS``, otherwise both sides are shuffled by the hash; the rows are the same.
 
@@ -18,6 +22,8 @@ windows go to the earlier place in the document.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,38 +52,60 @@ def template_word(word: Column) -> Column:
             .when(first != F.lower(first), "<name>").otherwise(low))
 
 
+def folded_word(word: Column) -> Column:
+    low, template = F.lower(word), template_word(word)
+    return F.when(template == "<name>", low).otherwise(template)
+
+
 def is_slot(template: Column) -> Column:
     return F.substring(template, 1, 1) == "<"
 
 
-def with_hashes(texts: DataFrame) -> DataFrame:
-    """Adds ``hashes``, that of every window of template words, and their words as ``words``."""
-    out = texts.withColumn("words", settled(words_of(F.col("text"))))
-    out = out.withColumn("each", settled(F.transform("words", lambda w: F.xxhash64(template_word(w)))))
-    return out.withColumn("hashes", F.when(F.size("each") >= WINDOW, F.transform(
+def with_hashes(texts: DataFrame, template: Callable[[Column], Column] = template_word,
+                name: str = "hashes") -> DataFrame:
+    """Adds the hash of every window of template words, and their words as ``words``."""
+    out = texts if "words" in texts.columns else texts.withColumn("words", settled(words_of(F.col("text"))))
+    out = out.withColumn("each", settled(F.transform("words", lambda w: F.xxhash64(template(w)))))
+    return out.withColumn(name, F.when(F.size("each") >= WINDOW, F.transform(
         F.sequence(F.lit(1), F.size("each") - WINDOW + 1), lambda i: F.xxhash64(F.slice("each", i, WINDOW)))))
 
 
-def item_windows(benchmark: DataFrame) -> DataFrame:
+def item_windows(benchmark: DataFrame, folded: bool = False) -> DataFrame:
     """Usable windows: ``item_id, item_pos, hash, item_words, item_templates, usable`` (windows of the item)."""
+    template = folded_word if folded else template_word
     items = with_hashes(benchmark.where("item_id is not null and text is not null").select("item_id", "text")
-                        .distinct()).withColumn("templates", F.transform("words", template_word))
+                        .distinct(), template).withColumn("templates", F.transform("words", template))
     windows = items.select("item_id", "words", "templates", F.posexplode("hashes").alias("item_pos", "hash"))
     at = F.col("item_pos") + 1
     windows = windows.select(
-        "item_id", F.xxhash64("words").alias("version"), "item_pos", "hash",
+        "item_id", F.xxhash64("words").alias("version"), F.lit(folded).alias("folded"), "item_pos", "hash",
         F.slice("words", at, WINDOW).alias("item_words"), F.slice("templates", at, WINDOW).alias("item_templates"))
     windows = windows.where(F.size(F.filter("item_templates", lambda w: ~is_slot(w))) >= LITERALS)
     usable = windows.groupBy("item_id", "version").agg(F.count("*").alias("usable"))
     return windows.join(usable, ["item_id", "version"])
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def all_of_a_kind() -> list[Column]:
+    """Whether a line holds all usable windows of its item, as ``all_typed`` and ``all_folded``."""
+    return [F.coalesce(F.count_distinct(F.when(kind, F.col("item_pos"))) >= F.max(F.when(kind, F.col("usable"))),
+                       F.lit(False)).alias(name)
+            for kind, name in ((~F.col("folded"), "all_typed"), (F.col("folded"), "all_folded"))]
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, by_case: bool = False) -> DataFrame:
     """Leaked items by document: ``doc_id, row`` (hash of its text), ``item_id, n_windows, first_word``."""
-    windows = cut(item_windows(benchmark), "leak-items")
+    windows = item_windows(benchmark)
+    windows = cut(windows if by_case else windows.unionByName(item_windows(benchmark, folded=True)), "leak-items")
     texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                                                   F.xxhash64("text").alias("row"))
-    hashes = with_hashes(texts).select("doc_id", "row", F.posexplode("hashes").alias("doc_pos", "hash"))
+    hashes = with_hashes(texts)
+    if by_case:
+        hashes = hashes.select("doc_id", "row", F.posexplode("hashes").alias("doc_pos", "hash"))
+    else:  # a window without a name has one hash
+        hashes = with_hashes(hashes, folded_word, "lower")
+        hashes = hashes.select("doc_id", "row", F.posexplode(F.arrays_zip("hashes", "lower")).alias("doc_pos", "z"))
+        hashes = hashes.select("doc_id", "row", "doc_pos",
+                               F.explode(F.array_distinct(F.array("z.hashes", "z.lower"))).alias("hash"))
     known = windows.select("hash").distinct()
     if windows.count() <= BROADCAST_ROWS:
         known = F.broadcast(known)
@@ -95,19 +123,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.slice(F.col("words"), s["doc_pos"] + 1, WINDOW).alias("doc_words")))).alias("w")
     ).select("doc_id", "row", "w.*").distinct()
     aligned = (seen.join(windows, "hash")
-               .where(F.transform("doc_words", template_word) == F.col("item_templates"))
+               .where(F.when(F.col("folded"), F.transform("doc_words", folded_word))
+                      .otherwise(F.transform("doc_words", template_word)) == F.col("item_templates"))
                .withColumn("line", F.col("doc_pos") - F.col("item_pos")))
     slots = F.filter(F.arrays_zip("item_templates", "item_words", "doc_words"),
                      lambda z: is_slot(z["item_templates"]))
     lines = aligned.withColumn("slots", slots).groupBy("doc_id", "row", "item_id", "version", "line").agg(
-        F.count_distinct("item_pos").alias("n_windows"), F.first("usable").alias("usable"),
+        F.count_distinct("item_pos").alias("n_windows"), *all_of_a_kind(),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))  # bounded by the item's length
 
     def values(side: str) -> Column:
         return F.size(F.array_distinct(F.transform("slots", lambda z: F.struct(z["item_templates"], z[side]))))
 
     consistent = (values("item_words") == F.size("slots")) & (values("doc_words") == F.size("slots"))
-    best = lines.where(consistent & (F.col("n_windows") >= F.least(F.lit(ENOUGH), F.col("usable"))))
+    best = lines.where(consistent & ((F.col("n_windows") >= ENOUGH) | F.col("all_typed") | F.col("all_folded")))
     return (best.groupBy("doc_id", "row", "item_id")
             .agg(F.max(F.struct("n_windows", (-F.col("line")).alias("place"))).alias("b"))
             .select("doc_id", "row", "item_id", F.col("b.n_windows").alias("n_windows"),
@@ -123,7 +152,7 @@ def drop_leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), by_case=True)
     return found.select("doc_id", "item_id", F.col("n_windows").cast("int").alias("n_windows"), "first_word")
 
 

@@ -57,3 +57,14 @@ def test_main_path_has_no_python(spark, items):
     docs = spark.createDataFrame([(1, QUESTION)], "doc_id long, text string")
     plan = decontaminate.drop_leaked(docs, items)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_copies_in_other_case(spark, items):
+    changed = QUESTION.replace("12", "31").replace("km", "miles")
+    texts = [PAD + QUESTION.upper(), PAD + QUESTION.lower(), changed.upper(), PAD + QUESTION.title(), PAD.upper() * 3,
+             changed.upper().replace("31", "32", 1).replace("7", "8")]
+    assert found(spark, items, texts) == {(0, 1), (1, 1), (2, 1), (3, 1)}
+
+
+def test_an_item_of_names_alone(spark, items):
+    assert found(spark, items, [PAD + ITEMS[3][1], ITEMS[3][1].lower(), PAD]) == {(0, 4), (1, 4)}
