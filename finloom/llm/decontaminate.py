@@ -5,12 +5,13 @@ placeholders, other words into lower case, so a question whose numbers or names
 Windows of ``WINDOW`` neighbouring template words are hashed and joined with those of the benchmark; windows with
 fewer than ``LITERALS`` ordinary words say too little and are left out. The windows that a document shares with an item
 are lined up by their distance (position in the document minus position in the item). The words behind their
-placeholders must agree: every value in the item stands for one value in the document and back. An item leaked when
-one such line holds ``ENOUGH`` consistent windows, or all the item has if these are fewer.
+placeholders must agree: every value in the item stands for itself or for one other value in the document; two values
+may become one. An item leaked when one such line holds ``ENOUGH`` windows, or all the item has if these are fewer, or
+when a line, whatever its other slots, holds as many windows word for word.
 
 What is a name depends on the case of the copy, so windows are also matched in lower case, with only numbers and units
 as slots. A line takes the windows of both kinds and their slots together. ``by_case=True`` leaves the lower-case
-windows out: the rule of ``OP9_SQL``, which the registered query follows.
+windows out and asks for slots that agree one to one: the rule of ``OP9_SQL``, which the registered query follows.
 
 Only window hashes of documents are exploded, and nothing is collected. The benchmark is broadcast when its windows
 number at most ``BROADCAST_ROWS``, otherwise both sides are shuffled by the hash; the rows are the same.
@@ -126,17 +127,32 @@ def leaks(docs: DataFrame, benchmark: DataFrame, by_case: bool = False) -> DataF
                .where(F.when(F.col("folded"), F.transform("doc_words", folded_word))
                       .otherwise(F.transform("doc_words", template_word)) == F.col("item_templates"))
                .withColumn("line", F.col("doc_pos") - F.col("item_pos")))
+    def said(column: str) -> Column:
+        return F.col(column) if by_case else F.transform(column, F.lower)
+
+    aligned = aligned.withColumn("item_words", said("item_words")).withColumn("doc_words", said("doc_words"))
     slots = F.filter(F.arrays_zip("item_templates", "item_words", "doc_words"),
                      lambda z: is_slot(z["item_templates"]))
+    verbatim = F.when(F.col("folded") & (F.col("item_words") == F.col("doc_words")), F.col("item_pos"))
     lines = aligned.withColumn("slots", slots).groupBy("doc_id", "row", "item_id", "version", "line").agg(
         F.count_distinct("item_pos").alias("n_windows"), *all_of_a_kind(),
+        F.count_distinct(verbatim).alias("verbatim"), F.max(F.when(F.col("folded"), F.col("usable"))).alias("all"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))  # bounded by the item's length
 
-    def values(side: str) -> Column:
-        return F.size(F.array_distinct(F.transform("slots", lambda z: F.struct(z["item_templates"], z[side]))))
+    def agree(slots: Column, side: str) -> Column:
+        """No two slots have one value on that side."""
+        values = F.transform(slots, lambda z: F.struct(z["item_templates"], z[side]))
+        return F.size(F.array_distinct(values)) == F.size(slots)
 
-    consistent = (values("item_words") == F.size("slots")) & (values("doc_words") == F.size("slots"))
-    best = lines.where(consistent & ((F.col("n_windows") >= ENOUGH) | F.col("all_typed") | F.col("all_folded")))
+    if by_case:
+        consistent, copied = agree(F.col("slots"), "item_words") & agree(F.col("slots"), "doc_words"), F.lit(False)
+    else:
+        changed = F.filter("slots", lambda z: z["item_words"] != z["doc_words"])
+        consistent = agree(changed, "item_words")
+        copied = F.coalesce(F.col("verbatim") >= F.least(F.lit(ENOUGH), F.col("all")), F.lit(False))
+    whole = consistent & ((F.col("n_windows") >= ENOUGH) | F.col("all_typed") | F.col("all_folded"))
+    best = lines.where(whole | copied).withColumn("n_windows", F.when(whole, F.col("n_windows"))
+                                                  .otherwise(F.col("verbatim")))
     return (best.groupBy("doc_id", "row", "item_id")
             .agg(F.max(F.struct("n_windows", (-F.col("line")).alias("place"))).alias("b"))
             .select("doc_id", "row", "item_id", F.col("b.n_windows").alias("n_windows"),

@@ -68,3 +68,14 @@ def test_copies_in_other_case(spark, items):
 
 def test_an_item_of_names_alone(spark, items):
     assert found(spark, items, [PAD + ITEMS[3][1], ITEMS[3][1].lower(), PAD]) == {(0, 4), (1, 4)}
+
+
+def test_values_that_coincide_or_change_in_one_place(spark, items):
+    verbatim = "The farmer walks slowly along the river and sings about old ships in the cold harbour every morning. "
+    long = spark.createDataFrame([(1, QUESTION), (7, f"The man saw 5 boats. {verbatim}The end of 5 days is 5 far away")],
+                                 "item_id long, text string").withColumn("usable", F.lit("x"))
+    texts = [PAD + QUESTION.replace("12", "4").replace("7", "4"),  # two values become one
+             PAD + QUESTION.replace("12", "31", 1),  # one of two equal numbers
+             f"A man saw 6 boats. {verbatim}One end of 7 days is 8 far away",  # slots clash beside verbatim windows
+             PAD + QUESTION.replace("12", "31", 1).replace("12", "32").replace("7", "8").replace("many", "few")]
+    assert found(spark, long, texts) == {(0, 1), (1, 1), (2, 7)}
