@@ -3,13 +3,14 @@
 Pages of one host share a template. They are brought together by host; a host with many pages is dealt into cells of
 about ``CELL`` pages, so that no host meets in one task. Inside a cell every page is parsed into a tree of its
 elements, without those that never hold an article (menus, headers, footers, sidebars, forms, scripts, notices,
-adverts, reader comments: by element or by name). All trees are aligned with the first page's by simple tree
-matching: the largest set of node pairs that keeps order, parents and tags. A node whose text is the same on every
-page of the cell is template; nodes whose text varies are slots. The element that holds the varying text (an article or
+adverts, reader comments: by element or by name). Trees are aligned with the fullest page of their layout by simple tree
+matching: the largest set of node pairs that keeps order, parents and tags. A node whose text is the same on most
+pages of the layout is template; nodes whose text varies are slots. The element that holds the varying text (an article or
 main element where there is one) is the content, and its text without template nodes is the result.
 
-A node counts as template only where at least ``SAME_PAGES`` different pages all have it, and only while such
-nodes are a small part of the content: pages that are copies of each other are no template.
+A node counts as template only where at least ``SAME_PAGES`` different pages, ``SAME_SHARE`` of those of the layout, have
+it, and only while such nodes are a small part of the content on the middle page of the layout: pages that are copies
+of each other are no template. Pages without text take no part.
 
 Defined cases: a null or empty html gives an empty text; a page alone on its host is its own slot; a null or odd url
 is a host of its own; repeated rows are extracted alike; a line break inside a block is white space; white space is what
@@ -31,6 +32,7 @@ from finloom.llm.common import cut, table
 CELL = 64
 BROADCAST_ROWS = 200_000  # busy hosts, of about 50 bytes
 SAME_PAGES = 8
+SAME_SHARE = 0.8
 TEMPLATE_SHARE = 0.3
 DEPTH = 200  # elements nested deeper stand beside each other, as browsers do it
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)"
@@ -242,33 +244,53 @@ def block_texts(node: Node, template: set[int]) -> Iterator[str]:
     yield from flush()
 
 
+def layouts(trees: list[Node]) -> Iterator[list[tuple[int, dict[int, Node]]]]:
+    """Pages with text by layout: their numbers, and their nodes by the id of the node of the layout's fullest page.
+
+    A page is of a layout if half of its elements, or of the fullest page's, are aligned with it.
+    """
+    sizes = [sum(1 for _ in below(tree)) for tree in trees]
+    left = [i for i, tree in enumerate(trees) if any(x.text() for x in below(tree))]
+    while len(left) >= SAME_PAGES:
+        fullest = max(left, key=lambda i: sizes[i])
+        found = {i: align(trees[fullest], trees[i]) for i in left}  # the fullest with itself, so that it takes part
+        own = [i for i in left if 2 * len(found[i]) >= min(sizes[i], sizes[fullest])]
+        yield [(i, found[i]) for i in own]
+        left = [i for i in left if i not in set(own)]
+
+
 def induce(trees: list[Node]) -> list[set[int]]:
     """For each page of a cell the ids of its template nodes."""
     pages = [set() for _ in trees]
-    first = trees[0]
-    if len({tuple(x.text() for x in below(t)) for t in trees}) < SAME_PAGES:
-        return pages
-    aligned = [align(first, tree) for tree in trees]  # the first with itself, so that it takes part
-    for node in below(first):
-        text = node.text()
-        others = [found.get(id(node)) for found in aligned]
-        if text and all(x is not None and x.text() == text for x in others):
-            for page, x in zip(pages, others, strict=True):
-                page.add(id(x))
+    texts = [tuple(x.text() for x in below(tree)) for tree in trees]
+    for layout in layouts(trees):
+        different = len({texts[i] for i, _ in layout})
+        said: dict[tuple[int, str], list[tuple[int, Node]]] = {}
+        for i, found in layout:
+            for at, node in found.items():
+                if node.text():
+                    said.setdefault((at, node.text()), []).append((i, node))
+        for same in said.values():
+            support = len({texts[i] for i, _ in same})
+            if support >= SAME_PAGES and support >= SAME_SHARE * different:
+                for i, node in same:
+                    pages[i].add(id(node))
+        shares = []
+        for i, _ in layout:
+            content = container(trees[i], pages[i])
+            whole = mass(content, set())
+            shares.append((whole - mass(content, pages[i])) / max(1, whole))
+        if sorted(shares)[len(shares) // 2] > TEMPLATE_SHARE:
+            for i, _ in layout:
+                pages[i].clear()
     return pages
 
 
 def extract(htmls: list[str]) -> list[str]:
     """Main texts of pages that share a host."""
     trees = [parse(html) for html in htmls]
-    out = []
-    for tree, template in zip(trees, induce(trees), strict=True):
-        content = container(tree, template)
-        whole = mass(content, set())
-        if whole - mass(content, template) > TEMPLATE_SHARE * whole:
-            template = set()
-        out.append("\n".join(block_texts(content, template)))
-    return out
+    return ["\n".join(block_texts(container(tree, template), template))
+            for tree, template in zip(trees, induce(trees), strict=True)]
 
 
 def main_texts(pages: DataFrame) -> DataFrame:

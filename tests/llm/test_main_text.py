@@ -65,6 +65,18 @@ def test_template_of_a_host_without_an_article_element():
     assert extract([page(i) for i in range(3)])[0].startswith("Daily News")
 
 
+def test_template_beside_empty_short_and_other_pages():
+    def page(i, story):
+        return f"<body><div>Daily News</div><div><p>{story}</p><p>and ends {i * i}</p></div><div>Imprint</div>"
+
+    told = [f"Story {i} begins, " * 6 + "goes on" for i in range(20)]
+    told[3] = "Brief."
+    pages = ["", *(page(i, story) for i, story in enumerate(told)), "plain", "<table><tr><td>other</table>"]
+    wanted = ["", *(f"{story}\nand ends {i * i}" for i, story in enumerate(told)), "plain", "other"]
+    assert extract(pages) == wanted
+    assert extract(pages[::-1]) == wanted[::-1]
+
+
 def test_copies_of_an_article_are_no_template():
     same = "<p>" + "the same long paragraph of all copies " * 5 + "</p>"
     pages = [f"<article><h1>Copy {i}</h1>{same}</article>" for i in range(12)]
