@@ -63,6 +63,10 @@ FENCES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
           "th": {"table", "tr"}}
 
 
+FLAGS = frozenset("has no with without".split())
+MARKED = frozenset(("article", "main"))
+
+
 class Node:
     """A block element: its texts and child blocks in page order. Inline elements leave only their text."""
 
@@ -87,18 +91,42 @@ def skipped(tag: str, rest: str) -> bool:
         return True
     if tag in ("html", "body", "main", "article") or not rest:
         return False
-    if UNSEEN.search(rest):
-        return True
+    return bool(UNSEEN.search(rest))
+
+
+def named(rest: str) -> bool:
+    """Whether a class, id or role says that an element is no content; ``has-sidebar`` and the like say nothing."""
     for _, a, b, c in NAMES.findall(rest):
         for name in (a or b or c).lower().split():
-            if name in SKIP_NAMES or not SKIP_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", name)):
+            words = re.split(r"[^a-z0-9]+", name)
+            if name in SKIP_NAMES or words[0] not in FLAGS and not SKIP_WORDS.isdisjoint(words):
                 return True
     return False
 
 
 def parse(html: str) -> Node:
-    """The tree of a page without what is never content."""
+    """The tree of a page without what is never content.
+
+    Elements go by their names too, but not where all articles of the page, or else all its text, are below such.
+    An article with such a name of its own (a reader's comment) is none.
+    """
+    root = tree_of(html, set())
+    if any(x.tag in MARKED for x in below(root)):
+        return root
+    wrappers: set[int] = set()
+    whole = tree_of(html, None, wrappers)
+    if wrappers:
+        return tree_of(html, wrappers)
+    return root if any(x.text() for x in below(root)) else whole
+
+
+def tree_of(html: str, spared: set[int] | None, wrappers: set[int] | None = None) -> Node:
+    """The tree without elements named so, except those that begin at ``spared`` places (None: all).
+
+    ``wrappers`` takes the places of the elements named so around articles and main elements.
+    """
     root = Node("html")
+    begun: list[int] = []  # places of the open elements, -1 where the name says nothing
     stack = [root]
     at, size = 0, len(html)
     while at < size:
@@ -136,10 +164,16 @@ def parse(html: str) -> Node:
             del stack[1:]
         if tag in ("html", "body"):
             continue
-        skip = stack[-1].skip or skipped(tag, rest)
+        own = tag not in ("html", "body", "main") and bool(rest) and named(rest)
+        skip = stack[-1].skip or skipped(tag, rest) or (
+            own and tag != "article" and spared is not None and at not in spared)
         if not (block or skip):
             continue
         del stack[DEPTH:]
+        del begun[len(stack) - 1:]
+        if wrappers is not None and tag in MARKED and not skip and not own:
+            wrappers.update(x for x in begun if x >= 0)
+        begun.append(at if own and tag != "article" else -1)
         node = Node(tag, skip)
         if not skip:
             stack[-1].parts.append(node)

@@ -53,6 +53,13 @@ def test_one_page(inner, text):
     assert extract([FURNITURE % inner]) == [text]
 
 
+@pytest.mark.parametrize("name", ["has-sidebar", "no-sidebar", "with-comments", "search-result", "article-share"])
+def test_a_name_takes_no_article_away(name):
+    inner = "<div class='%s'><div class=ad>Buy</div><article><p>one</p><div class=related>no</div></article></div>" % name
+    assert extract([FURNITURE % inner]) == ["one"]
+    assert extract([f"<body><nav>Home</nav><div class='{name}'><p>one</p><p>two</p></div>"]) == ["one\ntwo"]
+
+
 def test_template_of_a_host_without_an_article_element():
     def page(i):
         return f"<body><div>Daily News</div><div><p>{told(i)}</p><p>and ends {i * i}</p></div><div>Imprint</div>"
