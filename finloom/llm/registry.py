@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 
 from finloom.llm.decontaminate import OP9_SQL, op9_decontaminate
+from finloom.llm.lexical import OP13_SQL, op13_reversed_search
 from finloom.llm.line_dedup import OP1_SQL, op1_line_dedup
 from finloom.llm.main_text import op10_main_text
 from finloom.llm.nearest import OP2_SQL, op2_nearest
@@ -28,5 +29,6 @@ def registry() -> dict:
         "op8_suffix_array": (op8_suffix_array, None),
         "op9_decontaminate": (op9_decontaminate, OP9_SQL),
         "op10_main_text": (op10_main_text, None),
+        "op13_reversed_search": (op13_reversed_search, OP13_SQL),
         "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     }
