@@ -9,6 +9,7 @@ from finloom.llm.lexical import OP13_SQL, op13_reversed_search
 from finloom.llm.line_dedup import OP1_SQL, op1_line_dedup
 from finloom.llm.main_text import op10_main_text
 from finloom.llm.nearest import OP2_SQL, op2_nearest
+from finloom.llm.ngram_join import OP12_SQL, op12_ngram_jaccard
 from finloom.llm.packing import OP3_SQL, op3_length_buckets
 from finloom.llm.quality import op5_quality
 from finloom.llm.sentence_spans import OP6_SQL, op6_sentence_spans
@@ -29,6 +30,7 @@ def registry() -> dict:
         "op8_suffix_array": (op8_suffix_array, None),
         "op9_decontaminate": (op9_decontaminate, OP9_SQL),
         "op10_main_text": (op10_main_text, None),
+        "op12_ngram_jaccard": (op12_ngram_jaccard, OP12_SQL),
         "op13_reversed_search": (op13_reversed_search, OP13_SQL),
         "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     }
