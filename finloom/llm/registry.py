@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
+from finloom.llm.collocations import OP11_SQL, op11_collocations
 from finloom.llm.decontaminate import OP9_SQL, op9_decontaminate
 from finloom.llm.lexical import OP13_SQL, op13_reversed_search
 from finloom.llm.line_dedup import OP1_SQL, op1_line_dedup
@@ -30,6 +31,7 @@ def registry() -> dict:
         "op8_suffix_array": (op8_suffix_array, None),
         "op9_decontaminate": (op9_decontaminate, OP9_SQL),
         "op10_main_text": (op10_main_text, None),
+        "op11_collocations": (op11_collocations, OP11_SQL),
         "op12_ngram_jaccard": (op12_ngram_jaccard, OP12_SQL),
         "op13_reversed_search": (op13_reversed_search, OP13_SQL),
         "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
