@@ -23,8 +23,9 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_right
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import count as numbers
 
 import numpy as np
 import pandas as pd
@@ -39,8 +40,8 @@ from finloom.llm.common import cut, table
 MIN_COUNT, MAX_WORDS, TOP, COVERED = 100, 5, 2000, 100
 FILTER_BITS = 1 << 26
 FILTER_BLOCKS = 128
-CHUNK = 1 << 22  # bytes of text looked at together
-SEEN = 1 << 21  # different hashes a task adds up before it hands them on
+CHUNK = 1 << 20  # bytes of text looked at together
+SEEN = 1 << 20  # different hashes a task adds up before it hands them on
 SHARD = 1 << 18
 RANGE = 1 << 12
 SLOTS, FAN = 16, 32
@@ -215,15 +216,18 @@ def count_phrases(chunk: Chunk, bits: list[np.ndarray], length: int, counts: Cou
     each = list(chunk.phrases(bits, length))
     for lang, n in enumerate(np.bincount(chunk.lang, minlength=len(chunk.langs)).tolist()):
         counts[(chunk.langs[lang],)] += n
-    data, number, ids = chunk.data.tobytes(), {}, np.zeros(len(chunk.starts), np.int64)
+    data, number, ids = chunk.data.tobytes(), defaultdict(numbers().__next__), np.zeros(len(chunk.starts), np.int64)
     at = each[0][0]
-    ids[at] = [number.setdefault(data[a:b], len(number))
-               for a, b in zip(chunk.starts[at].tolist(), chunk.ends[at].tolist(), strict=True)]
+    said = map(data.__getitem__, map(slice, chunk.starts[at].tolist(), chunk.ends[at].tolist()))
+    ids[at] = np.fromiter(map(number.__getitem__, said), np.int64, len(at))
     words = list(number)
-    rank = chunk.lang.astype(np.int64)
-    for n, (at, _) in enumerate(each, 1):
+    rank = chunk.lang * len(words) + ids
+    times = np.bincount(rank[at])
+    for key in np.flatnonzero(times).tolist():
+        counts[(chunk.langs[key // len(words)], words[key % len(words)])] += int(times[key])
+    for n, (at, _) in enumerate(each[1:], 2):
         # Phrases are told apart by that of their first words and their last word, both exact numbers.
-        _, first, place, times = np.unique(rank[at] * (len(words) + 1) + ids[at + n - 1], return_index=True,
+        _, first, place, times = np.unique(rank[at] * len(words) + ids[at + n - 1], return_index=True,
                                            return_inverse=True, return_counts=True)
         for start, times_here in zip(at[first].tolist(), times.tolist(), strict=True):
             counts[(chunk.langs[chunk.lang[start]], *(words[i] for i in ids[start:start + n].tolist()))] += times_here
