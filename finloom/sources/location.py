@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
+from finloom.sources.record import Record, read_record, write_record
 
 ABSENT = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
 
@@ -33,7 +36,9 @@ class Location:
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         if self.schema is not None:
             return spark.table(self.name(table))
-        return spark.read.parquet(self.name(table))
+        record = read_record(spark, self.name(table))
+        reader = spark.read.schema(record.schema) if record else spark.read
+        return reader.parquet(self.name(table))
 
     def find(self, spark: SparkSession, table: str) -> DataFrame | None:
         """The table, or None when there is none."""
@@ -49,6 +54,30 @@ class Location:
     def exists(self, spark: SparkSession, table: str) -> bool:
         return self.find(spark, table) is not None
 
+    def partitioning(self, spark: SparkSession, table: str) -> tuple[str, ...] | None:
+        """The columns a table is partitioned by, in order; None for files without a record."""
+        if self.schema is not None:
+            return tuple(c.name for c in spark.catalog.listColumns(self.name(table)) if c.isPartition)
+        record = read_record(spark, self.name(table))
+        return record.partition_by if record else None
+
+    def take_on(self, spark: SparkSession, table: str, before: StructType | None, after: StructType,
+                partition_by: Sequence[str]) -> None:
+        """Make ``after`` the columns of the table, ahead of rows that need them."""
+        if self.schema is None:
+            record = read_record(spark, self.name(table))
+            if record is None or record.schema != after:
+                version = record.version + 1 if record else 1
+                write_record(spark, self.name(table), Record(after, tuple(partition_by), version))
+        elif before is not None:
+            known = {field.name: field.dataType for field in before.fields}
+            wide = [f.name for f in after.fields if known.get(f.name, f.dataType) != f.dataType]
+            if wide:
+                raise ValueError(f"{table}: a catalog's Parquet table can't widen {wide}")
+            new = [f"`{f.name}` {f.dataType.simpleString()}" for f in after.fields if f.name not in known]
+            if new:
+                spark.sql(f"ALTER TABLE {self.name(table)} ADD COLUMNS ({', '.join(new)})")
+
     def ensure(self, spark: SparkSession) -> None:
         if self.schema is not None:
             quoted = ".".join(f"`{part}`" for part in self.schema.split("."))
