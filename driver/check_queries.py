@@ -11,7 +11,7 @@ from driver.generated import SHOWCASE, project
 from driver.oracle import Rendering, stream_ctes, table_ctes
 from driver.tables import KEYS, domain_sql, ids_sql, read, row_ids_of, size
 from finloom import functions as fn
-from finloom.operators import checks, conformance
+from finloom.operators import bitmaps, checks, conformance, estimates
 from finloom.plans import specs as s
 from finloom.plans.tables import ROW_ID, TABLES
 from finloom.sources.contract import Contract, ContractColumn
@@ -438,6 +438,115 @@ def generated_conformance_sql() -> str:
     return f"WITH {table_ctes(ids_sql('customer'), rendering)} {tally_sql(parts)}"
 
 
+# Bitmaps and estimates ------------------------------------------------------------------------------------------
+
+WHOLE_KEYS = {table: keys[0] for table, keys in TABLE_KEYS.items() if len(keys) == 1}
+
+
+def pk_uniqueness_bitmap(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys of one whole number on bitmaps, a foreign key and one with NULLs among them."""
+    late = F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("open_key")
+    return checks.union_reports([
+        *(bitmaps.bitmap_key_check(read(spark, sf, table), table, key) for table, key in WHOLE_KEYS.items()),
+        bitmaps.bitmap_key_check(read(spark, sf, "lineitem"), "lineitem", "l_orderkey"),
+        bitmaps.bitmap_key_check(read(spark, sf, "orders").select(late), "orders_null_key", "open_key"),
+        bitmaps.bitmap_key_check(read(spark, sf, "events").where("event_type = 'refund'"), "events_refund", "event_id")])
+
+
+def pk_uniqueness_bitmap_sql() -> str:
+    parts = [key_part(table, f"SELECT {key} FROM {table}", (key,)) for table, key in WHOLE_KEYS.items()]
+    parts.append(key_part("lineitem", "SELECT l_orderkey FROM lineitem", ("l_orderkey",)))
+    parts.append(key_part("orders_null_key", "SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS open_key FROM orders",
+                          ("open_key",)))
+    parts.append(key_part("events_refund", "SELECT event_id FROM events WHERE event_type = 'refund'", ("event_id",)))
+    ok = "(row_count = distinct_keys AND row_count > 0)"
+    return (f"WITH c AS ({' UNION ALL '.join(parts)}) SELECT *, row_count - distinct_keys AS failures, "
+            f"{REPORT_TAIL.format(ok=ok)} FROM c")
+
+
+def fk_orphans_bitmap(spark: SparkSession, sf: str) -> DataFrame:
+    orders, customer = (read(spark, sf, table) for table in ("orders", "customer"))
+    open_orders = orders.withColumn("open_custkey", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")))
+    wanted = [(read(spark, sf, child), child, column, read(spark, sf, parent), parent, key)
+              for child, column, parent, key in REFERENCES]
+    wanted += [(orders, "orders", "o_custkey", solvent(spark, sf), "solvent", "c_custkey"),
+               (open_orders, "orders", "open_custkey", customer, "customer", "c_custkey")]
+    return checks.union_reports([bitmaps.bitmap_reference_check(*check) for check in wanted])
+
+
+def fk_orphans_bitmap_sql() -> str:
+    parts = [reference_part("foreign_key", *relation) for relation in REFERENCES]
+    parts.append(reference_part("foreign_key", "orders", "o_custkey", "solvent", "c_custkey", None, SOLVENT_SQL))
+    parts.append(reference_part("foreign_key", "orders", "open_custkey", "customer", "c_custkey", OPEN_ORDERS_SQL))
+    return report_sql(parts)
+
+
+ESTIMATED = (("orders", "o_orderkey", "o_orderstatus"), ("lineitem", "l_orderkey", "l_returnflag"),
+             ("events", "event_id", "event_type"), ("customer", "c_custkey", "c_mktsegment"))
+
+
+def pk_estimate(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys by sketches of slices that are merged; the exact counts beside them show the bound kept."""
+    parts = []
+    for table, key, slice_ in ESTIMATED:
+        df = read(spark, sf, table)
+        report = estimates.key_estimate(estimates.key_sketches(df, key, [slice_]), table, key)
+        exact = checks.key_check(df, table, [key]).select("distinct_keys")
+        within = F.abs(F.col("distinct_estimate") - F.col("distinct_keys")) <= F.col("error_bound") * F.col("distinct_keys")
+        parts.append(report.crossJoin(exact).withColumn("within", within).drop("distinct_estimate"))  # one row each
+    return checks.union_reports(parts)
+
+
+def pk_estimate_sql() -> str:
+    parts = [f"""SELECT '{table}' AS table_name, '{key}' AS column_name, count(*) AS row_count,
+  count(*) FILTER ({key} IS NULL) AS null_count, {estimates.sketch_error()!r}::DOUBLE AS error_bound,
+  CASE WHEN count(*) > count(DISTINCT {key}) * 1.2 THEN 'failed' ELSE 'estimated' END AS status,
+  count(DISTINCT {key}) AS distinct_keys, true AS within FROM {table}""" for table, key, _ in ESTIMATED]
+    return " UNION ALL ".join(parts)
+
+
+FITS = (("events", "event_type", EVENT_WEIGHTS), ("orders", "o_orderstatus", STATUS_WEIGHTS),
+        ("customer", "c_mktsegment", dict.fromkeys(("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"), 1)),
+        ("customer", "c_mktsegment", {"AUTOMOBILE": 2, "BUILDING": 1, "FURNITURE": 1, "HOUSEHOLD": 1, "MACHINERY": 1}),
+        ("lineitem", "l_linestatus", {"O": 1, "F": 0}))
+
+
+def weight_fit(spark: SparkSession, sf: str) -> DataFrame:
+    return checks.union_reports([
+        estimates.weight_fit(read(spark, sf, table), table, column, tuple(weights), tuple(weights.values()))
+        for table, column, weights in FITS])
+
+
+def weight_fit_sql() -> str:
+    parts = []
+    for table, column, weights in FITS:
+        listed = {value: weight / sum(weights.values()) for value, weight in weights.items() if weight}
+        seen = ", ".join(f"count(*) FILTER ({column} = '{value}') AS n{i}" for i, value in enumerate(listed))
+        terms = " + ".join(f"(n{i} - row_count * {share!r}::DOUBLE) * (n{i} - row_count * {share!r}::DOUBLE) / "
+                           f"(row_count * {share!r}::DOUBLE)" for i, share in enumerate(listed.values()))
+        freedom = len(listed) - 1
+        critical = estimates.chi_square_critical(freedom, 0.001) if freedom else 0.0
+        parts.append(f"""SELECT '{table}' AS table_name, '{column}' AS column_name, row_count,
+  row_count - ({" + ".join(f"n{i}" for i in range(len(listed)))}) AS unlisted, {terms} AS statistic,
+  {freedom} AS freedom, {critical!r}::DOUBLE AS critical FROM (SELECT count({column}) AS row_count, {seen} FROM {table})""")
+    return f"SELECT *, unlisted = 0 AND statistic <= critical AS ok FROM ({' UNION ALL '.join(parts)})"
+
+
+def null_rate_fit(spark: SparkSession, sf: str) -> DataFrame:
+    """A third of the orders lose their customer by a hash of their key; half and none are declared as well."""
+    third = F.when(F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) != 0, F.col("o_custkey"))
+    orders = read(spark, sf, "orders").select("o_orderdate", third.alias("some_custkey"), third.alias("half_custkey"))
+    report = estimates.null_rate_fit(orders, "orders", {"some_custkey": 1 / 3, "half_custkey": 0.5, "o_orderdate": 0.0})
+    return report.drop("null_count")
+
+
+NULL_RATE_FIT_SQL = """SELECT 'orders' AS table_name, column_name, row_count, declared_rate,
+  CASE WHEN declared_rate > 0 THEN 4.0 * sqrt(row_count * declared_rate * (1 - declared_rate)) + 0.5 ELSE 0.0 END AS allowed, ok
+FROM (SELECT count(*) AS row_count FROM orders),
+     (VALUES ('some_custkey', (1.0::DOUBLE / 3), true), ('half_custkey', 0.5::DOUBLE, false),
+             ('o_orderdate', 0.0::DOUBLE, true)) AS v(column_name, declared_rate, ok)"""
+
+
 def check_queries() -> dict[str, tuple[Callable, str]]:
     return {
         "pk_uniqueness": (pk_uniqueness, pk_uniqueness_sql),
@@ -457,6 +566,11 @@ def check_queries() -> dict[str, tuple[Callable, str]]:
         "domain_offenders": (domain_offenders, DOMAIN_OFFENDERS_SQL),
         "weight_check": (weight_check, WEIGHT_CHECK_SQL),
         "null_rates": (null_rates, null_rates_sql),
+        "pk_uniqueness_bitmap": (pk_uniqueness_bitmap, pk_uniqueness_bitmap_sql),
+        "fk_orphans_bitmap": (fk_orphans_bitmap, fk_orphans_bitmap_sql),
+        "pk_estimate": (pk_estimate, pk_estimate_sql),
+        "weight_fit": (weight_fit, weight_fit_sql),
+        "null_rate_fit": (null_rate_fit, NULL_RATE_FIT_SQL),
         "template_check": (template_check, TEMPLATE_CHECK_SQL),
         "range_check": (range_check, RANGE_CHECK_SQL),
         "key_round_trip": (key_round_trip, KEY_ROUND_TRIP_SQL),
