@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driver.oracle import Rendering, table_ctes, table_sql
-from driver.tables import domain_sizes, domain_sql, ids_sql, row_ids_of, size
-from finloom.operators.checks import integrity_report
+from driver.tables import DOMAIN_SOURCES, KEYS, domain_sizes, domain_sql, ids_sql, read, row_ids_of, size
+from finloom.operators.checks import integrity_report, union_reports
 from finloom.operators.writer import tune_session
 from finloom.plans import specs as s
-from finloom.plans.dataset import build_dataset, contract_of, dependencies
+from finloom.plans.dataset import PlanChanged, build_dataset, contract_of, dependencies
 from finloom.plans.hierarchies import profit_center_hierarchy
 from finloom.plans.tables import ROW_ID, TABLES, build_table, project_table
 from finloom.sources import values as v
@@ -162,6 +162,7 @@ def generated_queries() -> dict[str, tuple[Callable, str]]:
     found["build_company_code_renamed"] = renamed("supplier", TABLES["company_code"],
                                                   {"company_cd": "firm_code", "company_nm": "firm_name"})
     found["dataset_build_integrity"] = (dataset_build_integrity, dataset_build_integrity_sql)
+    found["dataset_job_report"] = (dataset_job_report, dataset_job_report_sql)
     found["generated_star_integrity"] = (generated_star_integrity, generated_star_integrity_sql)
     return found
 
@@ -176,7 +177,9 @@ def generated_star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         checked = sorted({column for _, _, table, column in ledger_relations() + natural_relations()
                           if table == parent})
         if checked:
-            tables[parent] = build_table(spark, parent, sizes[parent], None, sizes, columns=checked)
+            tables[parent] = (project_table(member_ids(spark, sf, parent), parent, sizes[parent], sizes, columns=checked)
+                              if parent in DOMAIN_SOURCES
+                              else build_table(spark, parent, sizes[parent], None, sizes, columns=checked))
     return tables
 
 
@@ -198,19 +201,36 @@ def generated_star_integrity(spark: SparkSession, sf: str) -> DataFrame:
                             ledger_relations(), natural_relations())
 
 
+# Rows that a parent lacks: suppliers in debt are no companies.
+THINNED = {"company_code": "s_acctbal >= 0"}
+
 # What the dataset job writes in its registered query: the fact and some of its dimensions.
 DATASET_TABLES = ("general_ledger_fact", "calendar_fiscal_period_v", "profit_center", "company_code",
                   "gl_account_dim", "version_forecast_mapping")
 
 
+def member_ids(spark: SparkSession, sf: str, table: str) -> DataFrame:
+    """The rows of a dimension: those of its driver table, of which a thinned one lost some."""
+    source = DOMAIN_SOURCES[table]
+    ids = read(spark, sf, source).where(THINNED.get(table, "true"))
+    return ids.select((F.col(KEYS[source]).cast("bigint") + 1).alias(ROW_ID))
+
+
+def job_sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    dimensions = [table for table in DATASET_TABLES if table in DOMAIN_SOURCES]
+    return {"general_ledger_fact": row_ids_of(spark, sf, "orders")} | {
+        table: member_ids(spark, sf, table) for table in dimensions}
+
+
 def dataset_build_integrity(spark: SparkSession, sf: str) -> DataFrame:
-    """Run the dataset job at the driver tables' sizes, then check what was written.
+    """Run the dataset job over the driver tables' rows, then check what was written.
 
-    Relations to tables that were not written are left out of the report.
+    The suppliers in debt are no companies, so the ledger has orphans. Relations to tables that were not written are left
+    out of the report.
     """
     volumes = Volumes({**domain_sizes(spark, sf), "general_ledger_fact": size(spark, sf, "orders")})
     place = passing_folder(spark, "dataset")
-    written = build_dataset(spark, place, volumes, DATASET_TABLES)
+    written = build_dataset(spark, place, volumes, DATASET_TABLES, sources=job_sources(spark, sf))
     tables = {table: place.read(spark, table) for table in written}
     keys = {table: contract_of(table, spark).key for table in written}
     foreign, natural = ([r for r in relations if r[2] in tables]
@@ -218,14 +238,57 @@ def dataset_build_integrity(spark: SparkSession, sf: str) -> DataFrame:
     return integrity_report(spark, tables, keys, foreign, natural)
 
 
+def members_sql(table: str) -> str:
+    """The numbers of a dimension's rows."""
+    if table not in DOMAIN_SOURCES:
+        return f"SELECT unnest(generate_series(1, {domain_sql()[table]})) AS n"
+    source = DOMAIN_SOURCES[table]
+    return f"SELECT {KEYS[source]}::BIGINT + 1 AS n FROM {source} WHERE {THINNED.get(table, 'true')}"
+
+
 def dataset_build_integrity_sql() -> str:
-    sizes = domain_sql() | {"general_ledger_fact": "(SELECT count(*) FROM orders)"}
-    keys = [f"""SELECT 'key', '{table}', '{",".join(contract_key(table))}', '', ({sizes[table]})::BIGINT,
-  ({sizes[table]})::BIGINT, 0::BIGINT""" for table in DATASET_TABLES if table != "general_ledger_fact"]
+    keys = [f"""SELECT 'key', '{table}', '{",".join(contract_key(table))}', '', count(*)::BIGINT,
+  count(DISTINCT n)::BIGINT, (count(*) - count(DISTINCT n))::BIGINT FROM ({members_sql(table)})"""
+            for table in DATASET_TABLES if table != "general_ledger_fact"]
     return star_report_sql([r for r in ledger_relations() if r[2] in DATASET_TABLES],
                            [r for r in natural_relations() if r[2] in DATASET_TABLES], keys)
 
 
+def dataset_job_report(spark: SparkSession, sf: str) -> DataFrame:
+    """A job in four runs: stopped after two tables, gone on with, run again, and refused with another plan.
+
+    Per table the run that wrote it, its rows, and how many of the last run's plans were refused before a write.
+    """
+    volumes = Volumes({**domain_sizes(spark, sf), "general_ledger_fact": size(spark, sf, "orders")})
+    place, sources = passing_folder(spark, "job"), job_sources(spark, sf)
+    runs = [build_dataset(spark, place, volumes, DATASET_TABLES[2:4], sources=sources),
+            build_dataset(spark, place, volumes, DATASET_TABLES, sources=sources, resume=True),
+            build_dataset(spark, place, volumes, DATASET_TABLES, sources=sources, resume=True)]
+    refused = 0
+    fewer = sources | {"profit_center": sources["profit_center"].where(f"{ROW_ID} > 1")}
+    for changes in ({"seed": 43, "sources": sources}, {"options": s.Options(independent_codes=True), "sources": sources},
+                    {"sources": fewer}, {"sources": sources, "overrides": {"company_code": {"rows": 7}}}):
+        try:
+            runs.append(build_dataset(spark, place, volumes, DATASET_TABLES, resume=True, **changes))
+        except PlanChanged:
+            refused += 1
+    wrote = {table: n for n, run in enumerate(runs, 1) for table in run}
+    counts = [place.read(spark, table).select(F.lit(table).alias("table_name"), F.lit(wrote[table]).alias("written_in_run"))
+              .groupBy("table_name", "written_in_run").agg(F.count(F.lit(1)).alias("row_count"))
+              for table in DATASET_TABLES]
+    return union_reports(counts).withColumn("runs", F.lit(len(runs))).withColumn("refused", F.lit(refused))
+
+
+def dataset_job_report_sql() -> str:
+    parts = []
+    for table in DATASET_TABLES:
+        rows = "SELECT 1 FROM orders" if table == "general_ledger_fact" else members_sql(table)
+        run = 1 if table in DATASET_TABLES[2:4] else 2
+        parts.append(f"SELECT '{table}' AS table_name, {run} AS written_in_run, count(*) AS row_count, 3 AS runs, 4 AS refused "
+                     f"FROM ({rows})")
+    return " UNION ALL ".join(parts)
+
+
 def contract_key(table: str) -> tuple[str, ...]:
     return ("fiscal_year_period_nbr",) if table == "calendar_fiscal_period_v" else TABLES[table].key
 
@@ -235,13 +298,13 @@ def generated_star_integrity_sql() -> str:
 
 
 def star_report_sql(foreign: list[tuple], natural: list[tuple], more: list[str]) -> str:
-    """Parents are the dense ranges themselves, so orphans are keys outside ``1..size``."""
+    """Parents are the numbers of their driver tables' rows, less those that a thinned one lost."""
     rendering = Rendering(TABLES["general_ledger_fact"], "(SELECT count(*) FROM orders)", domain_sql())
     ctes = table_ctes(ids_sql("orders"), rendering, "fact")
     sizes = domain_sql()
 
     def parent_sql(table: str, column: str) -> str:
-        numbers = f"SELECT unnest(generate_series(1, {sizes[table]})) AS n"
+        numbers = members_sql(table)
         if table == "calendar_fiscal_period_v":
             return f"SELECT (2018 + (n - 1) // 12) * 100 + (n - 1) % 12 + 1 AS k FROM ({numbers})"
         prefix, pad = {"cost_center_nbr": ("CC_", 6), "gl_account_nbr": ("GL_", 6), "profit_center_nbr": ("PC_", 6),

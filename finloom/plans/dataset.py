@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +14,9 @@ from finloom.operators.checks import integrity_report
 from finloom.operators.writer import BUILD_TUNING, TUNING, session_settings, write_table
 from finloom.plans import calendar
 from finloom.plans.specs import DEFAULT_SEED, Options, TextKey
-from finloom.plans.tables import FACT_NAMES, TABLES, build_table, find, table_names
+from finloom.plans.tables import FACT_NAMES, ROW_ID, TABLES, build_table, find, project_table, table_names
 from finloom.sources.contract import Contract, ContractColumn, ContractRelation
+from finloom.sources.domains import read_domains
 from finloom.sources.location import Location
 from finloom.sources.rows import bucket_count, hash_sample
 from finloom.sources.volumes import Volumes
@@ -47,6 +50,11 @@ class Step:
     rows: int
     partitions: int | None
     build: Callable[[], DataFrame]
+    manifest: dict
+
+
+class PlanChanged(RuntimeError):
+    """A table was built to another plan than the one that is to go on."""
 
 
 def referenced_column(column: str, ref_table: str) -> str:
@@ -90,8 +98,12 @@ def dependencies(table: str) -> list[str]:
 
 def plan(spark: SparkSession, volumes: Volumes, tables: Iterable[str] | None = None,
          with_dependencies: bool = False, seed: int = DEFAULT_SEED, domains=None,
-         options: Options = Options()) -> list[Step]:
-    """Lazy builders in reading order: dimensions, facts, hierarchies."""
+         options: Options = Options(), sources: Mapping[str, DataFrame] | None = None) -> list[Step]:
+    """Lazy builders in reading order: dimensions, facts, hierarchies.
+
+    ``sources`` gives a table's row ids (column ``__row_id``) where they are not simply ``1..rows``.
+    """
+    sources = {name.lower(): ids for name, ids in (sources or {}).items()}
     wanted = [t.lower() for t in tables] if tables is not None else list(CURRENT_TABLES)
     unknown = [t for t in wanted if t not in table_names()]
     if unknown:
@@ -105,12 +117,32 @@ def plan(spark: SparkSession, volumes: Volumes, tables: Iterable[str] | None = N
     def step(table: str) -> Step:
         rows, partitions = sizes.get(table, volumes.rows(table)), volumes.partitions(table)
         choices = {"seed": seed, "domains": domains, "options": options}
+        manifest = {"rows": rows, "seed": seed, "options": asdict(options),
+                    "domains": digest(read_domains(domains)),
+                    "parents": {parent: sizes.get(parent) for parent in dependencies(table)}}
+        if table in sources:
+            ids = sources[table]
+            return Step(table, rows, partitions, lambda: project_table(ids, table, rows, sizes, **choices),
+                        manifest | {"source": ids_digest(ids)})
         return Step(table, rows, partitions,
-                    lambda: build_table(spark, table, rows, partitions, sizes, **choices))
+                    lambda: build_table(spark, table, rows, partitions, sizes, **choices), manifest)
 
+    foreign = [name for name in sources if name not in TABLES]
+    if foreign:
+        raise KeyError(f"no row ids can be given for {foreign}")
     return [step(table) for table in sorted(set(wanted), key=lambda t: (_phase(t), order.index(t)))]
 
 
+def digest(value) -> str:
+    return hashlib.sha256(json.dumps(value, sort_keys=True, default=str).encode()).hexdigest()[:16]
+
+
+def ids_digest(ids: DataFrame) -> str:
+    """The set of row ids, told by its size and the sum of its hashes: one scan, whatever the partitions."""
+    size, total = ids.agg(F.count(ROW_ID), F.sum(F.xxhash64(ROW_ID).cast("decimal(38,0)"))).first()
+    return f"{size}:{total}"
+
+
 def _phase(table: str) -> int:
     if table in FACT_NAMES:
         return 1
@@ -127,13 +159,18 @@ def build_dataset(
     partition_by: Mapping[str, Sequence[str]] | None = None,
     with_dependencies: bool = False,
     skip_existing: bool = False,
+    resume: bool = False,
     **choices,
 ) -> list[str]:
     """Write the chosen tables and return their names in order.
 
-    ``overrides`` hold for this run only. ``skip_existing`` lets a job that was
-    stopped go on with the tables it has not written yet.
+    ``overrides`` hold for this run only. Each finished table keeps a manifest of what it was built to. ``resume`` lets a
+    job that was stopped go on: tables that are finished to this plan stay, those that were begun are built again, and
+    where one was finished to another plan ``PlanChanged`` is raised before anything is written. ``skip_existing`` leaves
+    out every table that is there, however it came about.
     """
+    if resume and mode != "overwrite":
+        raise ValueError("a job that appends can't be resumed: what it has appended would come twice")
     volumes = volumes if isinstance(volumes, Volumes) else Volumes(volumes)
     volumes = volumes.with_overrides(overrides, table_names())
     location.ensure(spark)
@@ -141,14 +178,44 @@ def build_dataset(
     settings["spark.sql.shuffle.partitions"] = str(volumes.shuffle_partitions())
     written = []
     with session_settings(spark, settings):
-        for step in plan(spark, volumes, tables, with_dependencies, **choices):
-            if skip_existing and location.exists(spark, step.table):
+        steps = plan(spark, volumes, tables, with_dependencies, **choices)
+        manifests = {}
+        for step in steps:
+            keys = list((partition_by or {}).get(step.table, ()))
+            manifests[step.table] = step.manifest | {"partition_by": keys, "columns": digest(
+                [contract.type for contract in contract_of(step.table, spark).columns])}
+        finished = unchanged(spark, location, manifests) if resume else set()
+        for step in steps:
+            if step.table in finished or skip_existing and location.exists(spark, step.table):
                 continue
-            write_table(step.build(), location, step.table, mode, (partition_by or {}).get(step.table, ()))
+            manifest = manifests[step.table]
+            write_table(step.build(), location, step.table, mode, manifest["partition_by"])
+            if mode == "overwrite":
+                location.note(spark, step.table, MANIFEST, json.dumps(manifest, sort_keys=True, default=str))
             written.append(step.table)
     return written
 
 
+MANIFEST = "built"
+
+
+def unchanged(spark: SparkSession, location: Location, manifests: Mapping[str, dict]) -> set[str]:
+    """The tables that are finished to their manifest; raises where one was finished to another."""
+    finished, changed = set(), []
+    for table, manifest in manifests.items():
+        noted = location.noted(spark, table, MANIFEST)
+        if noted is None:
+            continue
+        now, then = json.loads(json.dumps(manifest, default=str)), json.loads(noted)
+        apart = sorted(name for name in now.keys() | then.keys() if now.get(name) != then.get(name))
+        if apart:
+            changed.append(f"{table}: " + ", ".join(f"{n} was {then.get(n)}, is {now.get(n)}" for n in apart))
+        finished.add(table)
+    if changed:
+        raise PlanChanged("; ".join(changed))
+    return finished
+
+
 CENTRAL_FACT = "general_ledger_fact"
 
 

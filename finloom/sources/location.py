@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from finloom.sources.record import Record, read_record, write_record
+from finloom.sources.record import Record, read_note, read_record, write_note, write_record
 
 ABSENT = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
 
@@ -78,6 +78,22 @@ class Location:
             if new:
                 spark.sql(f"ALTER TABLE {self.name(table)} ADD COLUMNS ({', '.join(new)})")
 
+    def note(self, spark: SparkSession, table: str, name: str, text: str) -> None:
+        """Keep a text with the table until it is overwritten: beside its files, or as a property in the catalog."""
+        if self.schema is None:
+            write_note(spark, self.name(table), name, text)
+        else:
+            said = text.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {self.name(table)} SET TBLPROPERTIES ('finloom.{name}' = '{said}')")
+
+    def noted(self, spark: SparkSession, table: str, name: str) -> str | None:
+        if self.schema is None:
+            return read_note(spark, self.name(table), name)
+        if not spark.catalog.tableExists(self.name(table)):
+            return None
+        rows = spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").where(f"key = 'finloom.{name}'").collect()
+        return rows[0]["value"] if rows else None
+
     def ensure(self, spark: SparkSession) -> None:
         if self.schema is not None:
             quoted = ".".join(f"`{part}`" for part in self.schema.split("."))

@@ -33,17 +33,36 @@ def _place(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def _text_of(spark: SparkSession, files, path) -> str:
+    stream = files.open(path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def read_note(spark: SparkSession, path: str, name: str) -> str | None:
+    """A text kept beside a table's data, or None. It goes when the table is overwritten."""
+    place, files = _place(spark, f"{path.rstrip('/')}/_finloom-{name}")
+    return _text_of(spark, files, place) if files.exists(place) else None
+
+
+def write_note(spark: SparkSession, path: str, name: str, text: str) -> None:
+    place, files = _place(spark, f"{path.rstrip('/')}/_finloom-{name}")
+    stream = files.create(place)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def read_record(spark: SparkSession, path: str) -> Record | None:
     """The newest record of a table, or None where it has none."""
     found, files = _place(spark, f"{path.rstrip('/')}/{STEM}*.json")
     newest = max((status.getPath() for status in files.globStatus(found) or ()), key=lambda p: p.getName(), default=None)
     if newest is None:
         return None
-    stream = files.open(newest)
-    try:
-        held = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
+    held = json.loads(_text_of(spark, files, newest))
     return Record(StructType.fromJson(held["schema"]), tuple(held["partition_by"]), held["version"])
 
 
