@@ -155,24 +155,61 @@ def _type(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
-def _key_rows(df: DataFrame, check: int, value: str, integral: bool, child: bool) -> DataFrame:
-    """(check, number, text, n, parent): a key of either kind, counted for a child and flagged for a parent."""
-    number = f"cast({value} AS bigint)" if integral else "cast(NULL AS bigint)"
-    text = "cast(NULL AS string)" if integral else value
-    return df.selectExpr(f"{check} AS check", f"{number} AS number", f"{text} AS text",
-                         f"{1 if child else 0}L AS n", f"{'false' if child else 'true'} AS parent")
+@dataclass(frozen=True)
+class _Side:
+    """One side of a check: a column of a table, counted for a child and flagged for a parent."""
+
+    df: DataFrame
+    check: int
+    column: str
+    integral: bool
+    child: bool
 
+    def entry(self) -> str:
+        number = f"cast(`{self.column}` AS bigint)" if self.integral else "cast(NULL AS bigint)"
+        text = "cast(NULL AS string)" if self.integral else f"`{self.column}`"
+        return (f"named_struct('check', {self.check}, 'number', {number}, 'text', {text}, 'n', {int(self.child)}L, "
+                f"'parent', {str(not self.child).lower()})")
 
-def run_checks(spark: SparkSession, wanted: Sequence[KeyCheck | ReferenceCheck]) -> DataFrame:
+
+def _key_rows(sides: Sequence[_Side], one_scan: bool) -> list[DataFrame]:
+    """(check, number, text, n, parent) of all sides; with ``one_scan`` a table is scanned once, whatever hangs on it.
+
+    Each row is then unfolded into one entry a check, which the grouping folds again before anything is shuffled.
+    """
+    shared: list[list[_Side]] = []
+    by_hash: dict[int, list[list[_Side]]] = {}
+    for side in sides:
+        alike = by_hash.setdefault(side.df.semanticHash(), [])
+        # Plans are the same under any names, so names are compared as well.
+        same = next((group for group in alike
+                     if one_scan and group[0].df.columns == side.df.columns and group[0].df.sameSemantics(side.df)), None)
+        if same is None:
+            same = []
+            alike.append(same)
+            shared.append(same)
+        same.append(side)
+    parts = []
+    for group in shared:
+        entries = f"array({', '.join(side.entry() for side in group)})"
+        if not all(side.child for side in group):  # a parent's NULL is no key
+            entries = f"filter({entries}, x -> NOT x.parent OR x.number IS NOT NULL OR x.text IS NOT NULL)"
+        parts.append(group[0].df.selectExpr(f"inline({entries})"))
+    return parts
+
+
+def run_checks(spark: SparkSession, wanted: Sequence[KeyCheck | ReferenceCheck], one_scan: bool = False) -> DataFrame:
     """All checks in one report; single whole-number and text keys in one pass, every other key natively on its own.
 
-    In the shared pass the keys of every table meet in a single grouping. Children bring a count per key value and
+    In the shared pass the keys of every table meet in a single grouping. A scan reads the column of one check alone, or
+    with ``one_scan`` those of all checks of its table: the same bytes, but what a table is computed from (a sample, a
+    join) is then computed once. Children bring a count per key value and
     parents a flag, so an orphan is a group without a flag and no join is needed. However many checks there are, it
     takes one shuffle of map-side folded keys and a tiny second one, and no key value, however frequent, lands on
     one task as rows. Composite keys and other types are grouped by their own columns: a value is never turned into
     text, so what counts as equal is what a grouping or a join calls equal.
     """
-    parts, labels, apart = [], [], []
+    sides, labels, apart = [], [], []
     for item in wanted:
         check = len(labels)
         if isinstance(item, KeyCheck):
@@ -180,7 +217,7 @@ def run_checks(spark: SparkSession, wanted: Sequence[KeyCheck | ReferenceCheck])
             if len(item.keys) > 1 or kind not in FOLDED:
                 apart.append(key_check(item.df, item.table, item.keys))
                 continue
-            parts.append(_key_rows(item.df, check, _quoted(item.keys)[0], kind in INTEGRAL, True))
+            sides.append(_Side(item.df, check, item.keys[0], kind in INTEGRAL, True))
             labels.append(("key", item.table, item.keys[0], ""))
             continue
         kinds = {_type(item.df, item.column), _type(item.ref, item.ref_column)}
@@ -189,13 +226,13 @@ def run_checks(spark: SparkSession, wanted: Sequence[KeyCheck | ReferenceCheck])
             apart.append(reference_check(item.df, item.table, item.column, item.ref, item.ref_table, item.ref_column,
                                          item.nulls_are_orphans))
             continue
-        parent = item.ref.where(F.col(item.ref_column).isNotNull())
-        parts.append(_key_rows(item.df, check, f"`{item.column}`", integral, True))
-        parts.append(_key_rows(parent, check, f"`{item.ref_column}`", integral, False))
+        sides.append(_Side(item.df, check, item.column, integral, True))
+        sides.append(_Side(item.ref, check, item.ref_column, integral, False))
         labels.append(("foreign_key" if item.nulls_are_orphans else "natural_key", item.table, item.column,
                        f"{item.ref_table}.{item.ref_column}"))
     if not labels:
         return union_reports(apart)
+    parts = _key_rows(sides, one_scan)
     # One empty row per check keeps the checks of empty tables in the report.
     parts.append(spark.range(0, len(labels), 1, 1).selectExpr(
         "cast(id AS int) AS check", "cast(NULL AS bigint) AS number", "cast(NULL AS string) AS text",
@@ -236,7 +273,7 @@ def integrity_report(
     Foreign and natural keys are (table, column, parent table, parent column).
     ``sample`` may thin a fact before its references are checked.
     """
-    wanted, skipped = [], []
+    wanted, skipped, thinned = [], [], {}
     for name, key in keys.items():
         if name in tables and key:
             wanted.append(KeyCheck(name, tables[name], tuple(key)))
@@ -245,11 +282,13 @@ def integrity_report(
     for relations, nulls in ((foreign_keys, True), (natural_keys, False)):
         for child, column, parent, parent_column in relations:
             if child in tables and parent in tables:
-                wanted.append(ReferenceCheck(child, sample(child, tables[child]), column, parent, tables[parent],
+                if child not in thinned:
+                    thinned[child] = sample(child, tables[child])
+                wanted.append(ReferenceCheck(child, thinned[child], column, parent, tables[parent],
                                              parent_column, nulls))
             else:
                 skipped.append(("foreign_key" if nulls else "natural_key", child, column, f"{parent}.{parent_column}"))
-    reports = [run_checks(spark, wanted)] if wanted else []
+    reports = [run_checks(spark, wanted, one_scan=True)] if wanted else []
     if skipped:
         names = ", ".join(f"struct({', '.join(sql_literal(text) for text in label)})" for label in skipped)
         counts = [f"cast(NULL AS bigint) AS {name}" for name in ("row_count", "distinct_keys", "failures")]

@@ -179,7 +179,7 @@ def verify_contracts(spark: SparkSession, contracts: Mapping[str, Contract],
                for name, column, parent, parent_column in checks.references]
     if wanted:
         rule = F.when(F.col("family") == "key", "key").otherwise("reference")
-        parts.append(run_checks(spark, wanted).select(
+        parts.append(run_checks(spark, wanted, one_scan=True).select(
             "table_name", "column_name", rule.alias("rule"), F.col("reference").alias("expected"),
             F.lit("").alias("actual"), "row_count", "failures", "status", "ok"))
     return union_reports(parts)

@@ -18,7 +18,7 @@ from finloom.plans.tables import FACT_NAMES, ROW_ID, TABLES, build_table, find,
 from finloom.sources.contract import Contract, ContractColumn, ContractRelation
 from finloom.sources.domains import read_domains
 from finloom.sources.location import Location
-from finloom.sources.rows import bucket_count, hash_sample
+from finloom.sources.rows import bucket_count, hash_sample, row_ids
 from finloom.sources.volumes import Volumes
 
 DIMENSION_ORDER = (
@@ -41,6 +41,8 @@ NATURAL_KEYS = {
     "division_nbr": ("division_text", "division_nbr"),
     "fiscal_year_period_nbr": ("calendar_fiscal_period_v", "fiscal_year_period_nbr"),
 }
+# Ids are narrow, the rows made of them are not: about a million ids a task.
+PLACED_TUNING = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m"}
 SECONDARY_FACTS = ("cis_fact", "consolidated_balance_sheet_fact")
 
 
@@ -49,7 +51,7 @@ class Step:
     table: str
     rows: int
     partitions: int | None
-    build: Callable[[], DataFrame]
+    build: Callable[..., DataFrame]
     manifest: dict
 
 
@@ -122,10 +124,13 @@ def plan(spark: SparkSession, volumes: Volumes, tables: Iterable[str] | None = N
                     "parents": {parent: sizes.get(parent) for parent in dependencies(table)}}
         if table in sources:
             ids = sources[table]
-            return Step(table, rows, partitions, lambda: project_table(ids, table, rows, sizes, **choices),
-                        manifest | {"source": ids_digest(ids)})
-        return Step(table, rows, partitions,
-                    lambda: build_table(spark, table, rows, partitions, sizes, **choices), manifest)
+            manifest["source"] = ids_digest(ids)
+        elif table not in TABLES:
+            return Step(table, rows, partitions, lambda by=(): build_table(spark, table, rows, partitions, sizes, **choices),
+                        manifest)
+        else:
+            ids = row_ids(spark, rows, partitions, ROW_ID, len(find(table).fields()))
+        return Step(table, rows, partitions, lambda by=(): placed(ids, table, rows, sizes, by, choices), manifest)
 
     foreign = [name for name in sources if name not in TABLES]
     if foreign:
@@ -133,6 +138,19 @@ def plan(spark: SparkSession, volumes: Volumes, tables: Iterable[str] | None = N
     return [step(table) for table in sorted(set(wanted), key=lambda t: (_phase(t), order.index(t)))]
 
 
+def placed(ids: DataFrame, table: str, rows: int, sizes: Mapping[str, int], by: Sequence[str], choices: Mapping
+           ) -> DataFrame:
+    """The table over its row ids; where it is to be partitioned, the ids are dealt first.
+
+    A row follows from its id, so no more than the id and the partition columns crosses the network. All columns are made
+    where the id arrives.
+    """
+    if by:
+        keyed = project_table(ids, table, rows, sizes, columns=by, extra=[(ROW_ID, F.col(ROW_ID))], **choices)
+        ids = keyed.hint("rebalance", *by).select(ROW_ID)
+    return project_table(ids, table, rows, sizes, **choices)
+
+
 def digest(value) -> str:
     return hashlib.sha256(json.dumps(value, sort_keys=True, default=str).encode()).hexdigest()[:16]
 
@@ -174,7 +192,7 @@ def build_dataset(
     volumes = volumes if isinstance(volumes, Volumes) else Volumes(volumes)
     volumes = volumes.with_overrides(overrides, table_names())
     location.ensure(spark)
-    settings = TUNING | BUILD_TUNING
+    settings = TUNING | BUILD_TUNING | PLACED_TUNING
     settings["spark.sql.shuffle.partitions"] = str(volumes.shuffle_partitions())
     written = []
     with session_settings(spark, settings):
@@ -189,7 +207,8 @@ def build_dataset(
             if step.table in finished or skip_existing and location.exists(spark, step.table):
                 continue
             manifest = manifests[step.table]
-            write_table(step.build(), location, step.table, mode, manifest["partition_by"])
+            by = manifest["partition_by"]
+            write_table(step.build(by), location, step.table, mode, by, rebalanced=step.table in TABLES)
             if mode == "overwrite":
                 location.note(spark, step.table, MANIFEST, json.dumps(manifest, sort_keys=True, default=str))
             written.append(step.table)

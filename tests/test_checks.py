@@ -220,3 +220,21 @@ def test_contract_check_counts_nulls_in_required_columns(spark):
     df = spark.createDataFrame([(1,), (None,)], "id long")
     required = conformance.contract_check(spark, df, contract).where(F.col("rule") == "required").first()
     assert (required.failures, required.ok) == (1, False)
+
+
+def test_every_table_of_a_report_is_scanned_once(spark, tmp_path):
+    for name, frame in (("fact", spark.range(50).selectExpr("id", "id % 7 AS a", "id % 5 AS b", "cast(id % 3 AS string) AS c")),
+                        ("dim", spark.range(6).selectExpr("id", "cast(id AS string) AS code"))):
+        frame.write.parquet(str(tmp_path / name))
+
+    def load(name):
+        return spark.read.parquet(str(tmp_path / name))
+
+    relations = [("fact", "a", "dim", "id"), ("fact", "b", "dim", "id"), ("fact", "c", "dim", "code")]
+    report = checks.run_checks(spark, [
+        checks.KeyCheck("fact", load("fact"), ("id",)), checks.KeyCheck("dim", load("dim"), ("code",)),
+        *(checks.ReferenceCheck(c, load(c), column, p, load(p), key) for c, column, p, key in relations)], one_scan=True)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+    assert {(r.column_name, r.failures, r.distinct_keys) for r in report.collect()} == {
+        ("id", 0, 50), ("code", 0, 6), ("a", 7, 7), ("b", 0, 5), ("c", 0, 3)}

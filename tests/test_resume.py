@@ -32,12 +32,12 @@ def test_a_stopped_job_goes_on(spark, place, monkeypatch):
 
     real, calls = dataset.write_table, []
 
-    def stops(df, location, table, *rest):
+    def stops(df, location, table, *rest, **more):
         calls.append(table)
         if len(calls) == 2:
             df.limit(3).write.parquet(location.name(table))  # begun, not finished
             raise KeyboardInterrupt
-        real(df, location, table, *rest)
+        real(df, location, table, *rest, **more)
 
     monkeypatch.setattr(dataset, "write_table", stops)
     with pytest.raises(KeyboardInterrupt):
@@ -94,3 +94,21 @@ def test_manifests_in_a_catalog(spark):
             build_dataset(spark, place, VOLUMES, ["company_code"], resume=True, seed=1, **same)
     finally:
         spark.sql("DROP SCHEMA resume_here CASCADE")
+
+
+def test_a_partitioned_build_moves_ids_alone(spark, place):
+    import re
+
+    from finloom.plans.dataset import plan
+
+    by = ["fiscal_year_period_nbr"]
+    (step,) = plan(spark, VOLUMES, ["general_ledger_fact"])
+    text = step.build(by)._jdf.queryExecution().optimizedPlan().toString()
+    below = text[text.index("RebalancePartitions"):].splitlines()
+    moved = re.search(r"Project \[(.*)\]", below[1]).group(1)
+    assert len(re.findall(r" AS ", moved)) == 2, below[1]
+    whole = build_table(spark, "general_ledger_fact", 200, None, VOLUMES.domain_sizes())
+    build_dataset(spark, place, VOLUMES, ["general_ledger_fact"], partition_by={"general_ledger_fact": by})
+    found = place.read(spark, "general_ledger_fact")
+    assert place.partitioning(spark, "general_ledger_fact") == tuple(by)
+    assert found.select(*whole.columns).exceptAll(whole).isEmpty() and found.count() == 200
