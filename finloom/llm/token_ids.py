@@ -12,7 +12,7 @@ Parquet with their partition and number, through its commit protocol: a task los
 system Spark knows will do. Partition and number order the blocks; a block can be read without its neighbours.
 
 An id costs most where its word is new: texts are cut at single spaces and line ends between other signs, where a
-byte-level pre-tokeniser cuts as well, and a worker remembers what it has seen. Other texts are encoded whole.
+byte-level pre-tokeniser cuts as well, and a worker remembers frequent words. Other texts are encoded whole.
 
 Defined cases: a null or empty text holds the end id alone; rows with one ``doc_id`` are ordered by their text; a
 null ``doc_id`` comes first and is stored with a flag; other columns are not read.
@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import re
 import struct
+import sys
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 from zlib import crc32
@@ -37,7 +39,8 @@ from finloom.llm.common import table, text_of, work_folder
 
 BLOCK_IDS = 1 << 18
 END_ID = 0
-REMEMBERED = 300_000  # words a worker keeps before it starts anew
+REMEMBERED = 500_000  # words in each of the two generations that a worker keeps
+LONGEST = 64  # signs of a word that is kept: a generation so has at most about 100 MB
 MAGIC = b"S8B1"
 HEAD = struct.Struct("<4s5I")
 NO_ID = np.int64(-(1 << 63))
@@ -46,17 +49,28 @@ ENCODERS: dict[int, Encoder] = {}  # per worker process
 
 
 class Words(dict):
-    """Text piece -> its ids as bytes, filled on demand."""
+    """Text piece -> its ids as bytes, filled on demand.
+
+    When a generation is full it becomes the old one, and what is met again moves on into the next. Frequent words so
+    stay, and what was met once is forgotten.
+    """
 
     def __init__(self, tokenizer, before: str):
         super().__init__()
-        self.tokenizer, self.before = tokenizer, before
+        self.tokenizer, self.before, self.old = tokenizer, before, {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = self.tokenizer.encode(self.before + piece, add_special_tokens=False).ids
-        self[piece] = found = np.array(ids, "<u4").tobytes()
+        found = self.old.get(piece)
+        if found is None:
+            found = array("I", self.tokenizer.encode(self.before + piece, add_special_tokens=False).ids)
+            if sys.byteorder == "big":
+                found.byteswap()
+            found = found.tobytes()
+        if len(piece) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = found
         return found
 
 
