@@ -26,7 +26,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,17 +36,21 @@ from finloom.operators.conformance import tally
 from finloom.sources.contract import Contract, base_type, spark_type
 
 COLUMNS = ("table_name", "column_name", "rule", "expected", "actual", "row_count", "failures", "status", "ok")
+PLAIN = {kind().simpleString() for kind in (T.ByteType, T.ShortType, T.BinaryType, T.TimestampType, T.TimestampNTZType)}
 KNOWN = {"bigint", "long", "int", "integer", "float", "double", "date", "boolean", "decimal", "string"}
 
 
 def declared_type(declared: str) -> str:
-    """The Spark type a contract asks for; beyond the contract's own names any Spark type may be declared."""
-    if base_type(declared) in KNOWN:
-        return spark_type(declared).simpleString()
-    try:
-        return T.DataType.fromDDL(declared).simpleString()
-    except PySparkException:
-        return spark_type(declared).simpleString()
+    """The Spark type a contract asks for. Beyond the contract's own names, Spark's plain types and arrays may be declared.
+
+    Needs no session.
+    """
+    text = declared.lower().strip()
+    if text.startswith("array<") and text.endswith(">"):
+        return f"array<{declared_type(text.removeprefix('array<').removesuffix('>'))}>"
+    if base_type(text) not in KNOWN and text in PLAIN:
+        return text
+    return spark_type(text).simpleString()
 
 
 def cycles(contracts: Mapping[str, Contract]) -> list[tuple[str, ...]]:
