@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -30,6 +30,19 @@ def find(name: str) -> TableSpec:
     return spec
 
 
+def check_domain_names(domains: Iterable[str], spec: TableSpec) -> None:
+    """Raise for names that are no column of any table, so that a misspelt one is not passed over.
+
+    One set of domains may serve several tables: a name need not be a column of the table at hand.
+    """
+    columns = {one.name: {name for name, _ in one.fields()} for one in (*TABLES.values(), spec)}
+    known = set().union(*columns.values())
+    strange = [name for name in domains if (name not in known if "." not in name
+                                            else name.split(".", 1)[1] not in columns.get(name.split(".", 1)[0], ()))]
+    if strange:
+        raise KeyError(f"domains for columns that no table has: {strange}")
+
+
 def project_table(
     source: DataFrame,
     spec: TableSpec | str,
@@ -50,7 +63,9 @@ def project_table(
     subset and ``rename`` changes names; all in the same select.
     """
     spec = find(spec) if isinstance(spec, str) else spec
-    build = Build(spec.name, rows, row_id, sizes or {}, seed, read_domains(domains), options)
+    chosen = read_domains(domains)
+    check_domain_names(chosen, spec)
+    build = Build(spec.name, rows, row_id, sizes or {}, seed, chosen, options)
     made = spec.project(source, build, columns, extra)
     return made.withColumnsRenamed(dict(rename)) if rename else made
 

@@ -125,3 +125,14 @@ def test_referenced_column_and_dependencies():
     assert "calendar_fiscal_period_v" in dependencies("general_ledger_fact")
     assert dependencies("calendar_fiscal_period_v") == []
     assert find("CIS_fact") is TABLES["cis_fact"]
+
+
+@pytest.mark.parametrize("name", ["no_such_column", "company_code.no_such_column", "no_such_table.company_cd"])
+def test_domains_for_columns_that_no_table_has_are_refused(spark, name):
+    with pytest.raises(KeyError, match=name):
+        build_table(spark, "company_code", 5, domains={name: {"values": ["x"]}})
+
+
+def test_one_set_of_domains_serves_several_tables(spark):
+    domains = {"currency_cd": {"values": ["USD"]}, "general_ledger_fact.sales_qty": {"min": 1, "max": 2}}
+    assert build_table(spark, "company_code", 5, domains=domains).count() == 5
