@@ -169,11 +169,11 @@ def _phase(table: str) -> int:
 
 def build_dataset(
     spark: SparkSession,
-    location: Location,
+    location: Location | None,
     volumes: Volumes | Mapping | str | None = None,
     tables: Iterable[str] | None = None,
     overrides: Mapping[str, Mapping] | None = None,
-    mode: str = "overwrite",
+    mode: str | None = None,
     partition_by: Mapping[str, Sequence[str]] | None = None,
     with_dependencies: bool = False,
     skip_existing: bool = False,
@@ -182,14 +182,17 @@ def build_dataset(
 ) -> list[str]:
     """Write the chosen tables and return their names in order.
 
-    ``overrides`` hold for this run only. Each finished table keeps a manifest of what it was built to. ``resume`` lets a
+    A location or mode of None is what the volumes' ``environment`` says. ``overrides`` hold for this run only. Each finished table keeps a manifest of what it was built to. ``resume`` lets a
     job that was stopped go on: tables that are finished to this plan stay, those that were begun are built again, and
     where one was finished to another plan ``PlanChanged`` is raised before anything is written. ``skip_existing`` leaves
     out every table that is there, however it came about.
     """
+    volumes = volumes if isinstance(volumes, Volumes) else Volumes(volumes)
+    location, mode = location or volumes.place(), mode or volumes.write_mode()
+    if location is None:
+        raise ValueError("give a location, or name one in the environment of the volumes")
     if resume and mode != "overwrite":
         raise ValueError("a job that appends can't be resumed: what it has appended would come twice")
-    volumes = volumes if isinstance(volumes, Volumes) else Volumes(volumes)
     volumes = volumes.with_overrides(overrides, table_names())
     location.ensure(spark)
     settings = TUNING | BUILD_TUNING | PLACED_TUNING

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from finloom.sources.domains import load_mapping
+from finloom.sources.location import Location
 from finloom.sources.values import DIVISION_ROWS
 
 # Settings of a table that declares nothing.
@@ -47,15 +48,23 @@ DEFAULT_VOLUMES = {
 }
 
 SETTINGS = ("rows", "partitions", "shuffle_partitions")
+ENVIRONMENT = ("catalog", "schema", "path", "write_mode", "use_delta", "delta_optimize")  # the last two say nothing here
 
 
 class Volumes:
-    """Declared sizes. A value is a row count or ``{rows, partitions, shuffle_partitions}``."""
+    """Declared sizes, and where and how a job writes.
+
+    A value is a row count or ``{rows, partitions, shuffle_partitions}``; the block ``environment`` names the place
+    (``catalog`` and ``schema``, or ``path``) and the ``write_mode``.
+    """
 
     def __init__(self, declared: Mapping | str | None = None):
         source = load_mapping(declared) if isinstance(declared, str) else declared
         source = DEFAULT_VOLUMES if source is None else source
-        self._declared = {}
+        self._declared, self.environment = {}, dict(source.get("environment") or {})
+        unknown = set(self.environment) - set(ENVIRONMENT)
+        if unknown:
+            raise ValueError(f"environment: unknown settings {sorted(unknown)}")
         for name, entry in source.items():
             if name == "environment":
                 continue
@@ -69,7 +78,7 @@ class Volumes:
 
     def with_overrides(self, overrides: Mapping[str, Mapping] | None, known: list[str]) -> Volumes:
         """A copy for one run; a name that is no table raises."""
-        changed = Volumes({name: dict(entry) for name, entry in self._declared.items()})
+        changed = Volumes({name: dict(entry) for name, entry in self._declared.items()} | {"environment": self.environment})
         for name, entry in (overrides or {}).items():
             if name.lower() not in known:
                 raise KeyError(f"override for unknown table {name}")
@@ -78,6 +87,18 @@ class Volumes:
             changed._check(name)
         return changed
 
+    def place(self) -> Location | None:
+        """Where the environment says that tables live, or None where it doesn't."""
+        catalog, schema, path = (self.environment.get(name) for name in ("catalog", "schema", "path"))
+        if path and (schema or catalog) or catalog and not schema:
+            raise ValueError("environment: give a path, a schema, or a catalog and a schema")
+        if path:
+            return Location(path=path)
+        return Location(schema=".".join(filter(None, (catalog, schema)))) if schema else None
+
+    def write_mode(self) -> str:
+        return self.environment.get("write_mode", "overwrite")
+
     def declares(self, table: str) -> bool:
         return "rows" in self._declared.get(table.lower(), {})
 

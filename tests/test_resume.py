@@ -112,3 +112,18 @@ def test_a_partitioned_build_moves_ids_alone(spark, place):
     found = place.read(spark, "general_ledger_fact")
     assert place.partitioning(spark, "general_ledger_fact") == tuple(by)
     assert found.select(*whole.columns).exceptAll(whole).isEmpty() and found.count() == 200
+
+
+def test_the_environment_names_place_and_mode(spark, tmp_path):
+    volumes = Volumes({"environment": {"path": str(tmp_path), "write_mode": "append"}, "company_code": 5})
+    for n in (5, 10):
+        assert build_dataset(spark, None, volumes, ["company_code"]) == ["company_code"]
+        assert volumes.place().read(spark, "company_code").count() == n
+    build_dataset(spark, None, volumes, ["company_code"], mode="overwrite", overrides={"company_code": {"rows": 3}})
+    assert volumes.place().read(spark, "company_code").count() == 3
+    assert Volumes({"environment": {"catalog": "c", "schema": "s"}}).place() == Location(schema="c.s")
+    with pytest.raises(ValueError, match="give a location"):
+        build_dataset(spark, None, {"company_code": 5}, ["company_code"])
+    for wrong in ({"catalog": "c"}, {"path": "p", "schema": "s"}, {"plaec": "p"}):
+        with pytest.raises(ValueError, match="environment"):
+            Volumes({"environment": wrong}).place()
