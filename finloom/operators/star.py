@@ -8,6 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from finloom.operators.reduction import reduced
 
 BROADCAST_BYTES = 256 * 1024 * 1024
 TEXT_BYTES, VALUE_BYTES, ROW_BYTES = 64, 16, 32
@@ -18,13 +19,15 @@ class Branch:
     """One dimension or hierarchy of the star, equi-joined on ``fact_key = key``.
 
     ``rows`` is an upper bound of its size when one is known, as it is for every
-    declared or counted dimension.
+    declared or counted dimension. ``partial`` says that it lacks many of the fact's
+    keys, as a hierarchy over a part of its dimension does.
     """
 
     table: DataFrame
     fact_key: str
     key: str
     rows: int | None = None
+    partial: bool = False
 
     def bytes_bound(self) -> int | None:
         """Generous size bound from the row bound and the column types."""
@@ -39,27 +42,43 @@ class Branch:
         return F.broadcast(self.table) if bound is not None and bound <= limit else self.table
 
 
+def broadcast_plan(branches: Sequence[Branch], limit: int) -> list[bool]:
+    """Which branches to broadcast, in their order: as many as the limit holds together."""
+    chosen = []
+    for branch in branches:
+        bound = branch.bytes_bound()
+        chosen.append(bound is not None and bound <= limit)
+        limit -= bound if chosen[-1] else 0
+    return chosen
+
+
+def reduce_fact(fact: DataFrame, branches: Sequence[Branch], chosen: Sequence[bool]) -> DataFrame:
+    """The fact thinned by the keys of all partial branches that are not broadcast, before any join moves it."""
+    for branch, small in zip(branches, chosen):
+        if branch.partial and not small:
+            fact = reduced(fact, branch.fact_key, branch.table, branch.key, branch.rows)
+    return fact
+
+
 def star_join(fact: DataFrame, branches: Sequence[Branch], broadcast_limit: int = BROADCAST_BYTES) -> DataFrame:
     """Inner-join the branches in the order given; put the ones that filter most first.
 
     Branches with a proven small size are broadcast, so the fact is not moved for them, as long as all of them together
     stay within the limit. Any other is left to Spark: its own size check, or a sort-merge join in which adaptive
-    execution splits hot fact keys.
+    execution splits hot fact keys. Where such a branch is partial, a filter over its keys thins the fact first.
     """
-    joined, left = fact, broadcast_limit
-    for branch in branches:
-        bound = branch.bytes_bound()
-        side = branch.side(left)
-        if bound is not None and bound <= left:
-            left -= bound
+    chosen = broadcast_plan(branches, broadcast_limit)
+    joined = reduce_fact(fact, branches, chosen)
+    for branch, small in zip(branches, chosen):
+        side = F.broadcast(branch.table) if small else branch.table
         joined = joined.join(side, F.col(branch.fact_key) == F.col(branch.key), "inner")
     return joined
 
 
 def star_aggregate(fact: DataFrame, branches: Sequence[Branch], group_by: Sequence[Column | str],
-                   measures: Mapping[str, Column]) -> DataFrame:
+                   measures: Mapping[str, Column], broadcast_limit: int = BROADCAST_BYTES) -> DataFrame:
     """The star join grouped by fact and dimension attributes."""
-    return (star_join(fact, branches)
+    return (star_join(fact, branches, broadcast_limit)
             .groupBy(*group_by)
             .agg(*[measure.alias(name) for name, measure in measures.items()]))
 
@@ -82,12 +101,15 @@ def survival_by_key(fact: DataFrame, branch: Branch) -> DataFrame:
                  .cast("bigint").alias("surviving")))
 
 
-def surviving_rows(fact: DataFrame, branches: Sequence[Branch]) -> DataFrame:
+def surviving_rows(fact: DataFrame, branches: Sequence[Branch], broadcast_limit: int = BROADCAST_BYTES) -> DataFrame:
     """Fact rows that find a partner in every branch; a semi join cannot multiply rows."""
-    kept = fact
-    for branch in branches:
-        keys = replace(branch, table=branch.table.select(F.col(branch.key).alias("parent_key"))).side()
-        kept = kept.join(keys, F.col(branch.fact_key) == F.col("parent_key"), "left_semi")
+    only_keys = [replace(branch, table=branch.table.select(F.col(branch.key).alias("parent_key")), key="parent_key")
+                 for branch in branches]
+    chosen = broadcast_plan(only_keys, broadcast_limit)
+    kept = reduce_fact(fact, only_keys, chosen)
+    for branch, small in zip(only_keys, chosen):
+        side = F.broadcast(branch.table) if small else branch.table
+        kept = kept.join(side, F.col(branch.fact_key) == F.col("parent_key"), "left_semi")
     return kept
 
 

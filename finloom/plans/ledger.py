@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finloom.operators.star import Branch, star_aggregate, survival_estimate, surviving_rows
+from finloom.operators.star import BROADCAST_BYTES, Branch, star_aggregate, survival_estimate, surviving_rows
 
 FACT_GROUPS = (
     "fiscal_year_period_nbr", "general_ledger_fact_ind", "cis_delta_ind",
@@ -44,13 +44,13 @@ def hierarchy_branches(tables: Mapping[str, DataFrame], sizes: Mapping[str, int]
     for name, key, fact_key in HIERARCHY_KEYS:
         column, label = HIERARCHY_NAMES[name]
         side = tables[name].select(F.col(key).alias(f"__{name}"), F.col(column).alias(label))
-        branches.append(Branch(side, fact_key, f"__{name}", sizes.get(name)))
+        branches.append(Branch(side, fact_key, f"__{name}", sizes.get(name), partial=True))
     return branches
 
 
 def ledger_aggregate(tables: Mapping[str, DataFrame], sizes: Mapping[str, int] | None = None,
                      group_by: Sequence[str] = FACT_GROUPS + DIMENSION_GROUPS,
-                     sums: Sequence[str] = SUMS) -> DataFrame:
+                     sums: Sequence[str] = SUMS, broadcast_limit: int = BROADCAST_BYTES) -> DataFrame:
     """Sums of the ledger amounts for the rows that every hierarchy covers.
 
     ``sizes`` holds known row counts; they bound what may be broadcast. The
@@ -69,12 +69,13 @@ def ledger_aggregate(tables: Mapping[str, DataFrame], sizes: Mapping[str, int] |
     ]
     measures = {"row_count": F.count(F.lit(1))}
     measures |= {name: F.sum(name).cast("decimal(38,5)") for name in sums}
-    return star_aggregate(tables["general_ledger_fact"], branches, list(group_by), measures)
+    return star_aggregate(tables["general_ledger_fact"], branches, list(group_by), measures, broadcast_limit)
 
 
-def ledger_survivors(tables: Mapping[str, DataFrame], sizes: Mapping[str, int] | None = None) -> DataFrame:
+def ledger_survivors(tables: Mapping[str, DataFrame], sizes: Mapping[str, int] | None = None,
+                     broadcast_limit: int = BROADCAST_BYTES) -> DataFrame:
     """The fact rows that every hierarchy covers."""
-    return surviving_rows(tables["general_ledger_fact"], hierarchy_branches(tables, sizes or {}))
+    return surviving_rows(tables["general_ledger_fact"], hierarchy_branches(tables, sizes or {}), broadcast_limit)
 
 
 def expected_aggregate_rows(sizes: Mapping[str, int]) -> int:

@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from finloom.operators.reduction import KEY_BITS, MAX_WORDS, filter_words, reduced
 from finloom.operators.star import (
     Branch, fiscal_roll_up, level_totals, roll_up, star_aggregate, star_join, survival_by_key, survival_estimate,
     surviving_rows,
@@ -45,6 +46,56 @@ def test_star_join_and_aggregate(spark):
         g: (sum(1 for x, _ in kept if x == g), sum(a for x, a in kept if x == g)) for g in range(3)}
 
 
+def unbroadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+
+def test_large_partial_branches_thin_the_fact_before_its_first_shuffle(spark):
+    data, fact = facts(spark)
+    pcs = spark.range(20).select(F.col("id").alias("pc_id"), (F.col("id") % 3).alias("grp"))
+    ccs = spark.range(15).select(F.col("id").cast("int").alias("cc_id"))
+    branches = [Branch(pcs, "pc", "pc_id", 20, True), Branch(ccs, "cc", "cc_id", 15, True)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    unbroadcast(spark)
+    try:
+        joined = star_join(fact, branches, broadcast_limit=0)
+        plan = joined._jdf.queryExecution().executedPlan().toString().splitlines()
+        moved = next(n for n, line in enumerate(plan) if "Exchange hashpartitioning(pc#" in line)
+        below = next(line for line in plan[moved + 1:] if "Join" in line or "Exchange" in line)
+        assert "BroadcastHashJoin" in below and "LeftSemi" in below
+        assert sum("LeftSemi" in line for line in plan) == 2
+        kept = sorted((p, c, a) for p, c, a in data if p < 20 and c < 15)
+        assert sorted((r.pc, r.cc, r.amt) for r in joined.collect()) == kept
+        rows = surviving_rows(fact, branches, broadcast_limit=0).collect()
+        assert sorted((r.pc, r.cc, r.amt) for r in rows) == kept
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_key_filters_lose_no_partner_and_most_of_the_rest(spark):
+    fact = spark.range(20_000).select(F.expr("if(id % 100 = 0, null, id)").alias("k"), F.lit("x").alias("id"))
+    table = spark.range(0, 20_000, 10).withColumnRenamed("id", "key").unionByName(
+        spark.createDataFrame([(None,)], "key long"))
+    thin = reduced(fact, "k", table, "key", 2_001)
+    partners = fact.join(table, F.col("k") == F.col("key"), "left_semi")
+    assert partners.count() == 1_800 and partners.join(thin, "k", "left_anti").isEmpty()
+    assert thin.where("k is null").isEmpty() and thin.columns == fact.columns
+    assert thin.count() - 1_800 < 20_000 * 2 / KEY_BITS
+    named = fact.select(F.col("k").cast("string").alias("k"))
+    texts = table.select(F.col("key").cast("string").alias("key"))
+    assert partners.count() <= reduced(named, "k", texts, "key").count() < 4_000
+    assert reduced(fact, "k", table.limit(0), "key", 0).isEmpty()
+
+
+def test_key_filters_are_left_out_where_they_cannot_hold(spark):
+    fact = spark.range(5).withColumnRenamed("id", "k")
+    table = spark.range(3).withColumnRenamed("id", "key")
+    assert reduced(fact, "other", table, "key") is fact
+    assert reduced(fact, "k", table.selectExpr("cast(key as double) AS key"), "key") is fact
+    assert reduced(fact, "k", table, "key", MAX_WORDS * 64 + 1) is fact
+    assert filter_words(0) == 1 and filter_words(None) == filter_words(10**12) == MAX_WORDS and filter_words(100) == 32
+
+
 def test_semi_join_survival_is_not_multiplied_by_duplicates(spark):
     data, fact = facts(spark)
     twice = spark.range(20).union(spark.range(20)).toDF("pc_id")
