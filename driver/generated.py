@@ -81,6 +81,23 @@ OPTION_SHOWCASE = {
     "gen_enums_independent": ("gen_enums", s.Options(independent_codes=True)),
 }
 
+# A declared table every kind of whose columns gets other values than it declares.
+REPLACED = (
+    s.DenseKey("id"), s.Pick("territory", v.TERRITORIES), s.Pick("country_cd", v.COUNTRIES[:9]),
+    s.Pick("country_nm", tuple(v.COUNTRY_NAMES.values())[:9]), s.Pick("etm_ind", (0, 1), (85, 15), type="int"),
+    s.Whole("small", 1, 6), s.Amount("ledger_amt", -2_000_000, 5_000_000), s.Real("space", 500.0, 50_000.0),
+    s.Day("valid_from", null_rate=0.1), s.Period("fiscal_year_period_nbr"), s.YearOf("fiscal_yr", "fiscal_year_period_nbr"),
+    s.Cycle("in_blocks", v.ROLES, every=10), s.CodeOf("document_cd", tuple(v.DOCUMENT_TYPES), "id"),
+    s.CodeOf("document_nm", tuple(v.DOCUMENT_TYPES.values()), "id"), s.Constant("language_cd", "EN"))
+REPLACEMENTS = {
+    "territory": {"values": ["north", "it's south"], "weights": [2, 5]},
+    "country_cd+country_nm": {"pairs": [["XA", "Xandria"], ["XB", "Xebec"], ["XC", "Xcel"]], "weights": [6, 3, 1]},
+    "etm_ind": {"values": [7, 8, 9]}, "small": {"min": -3, "max": 3}, "ledger_amt": {"min": "0.5", "max": "1.25"},
+    "space": {"min": -1.5, "max": 2.5}, "valid_from": {"min": "2024-02-28", "max": "2024-03-01"},
+    "fiscal_year_period_nbr": {"min": 201911, "max": 202102}, "in_blocks": {"values": ["a", "b", "c"]},
+    "document_cd+document_nm": {"pairs": [["D1", "First"], ["D2", "Second"]]}, "language_cd": {"constant": "FR"},
+}
+
 # Driver table whose ids each catalogue table is generated over.
 BUILD_OVER = {
     "general_ledger_fact": "orders", "cis_fact": "events", "consolidated_balance_sheet_fact": "events",
@@ -103,7 +120,7 @@ SEEDED = {"division_text": "nation", "division_text_dim_v": "nation", "atscale_g
 
 
 def project(spark: SparkSession, sf: str, source: str, spec: s.TableSpec, options: s.Options,
-            columns: list[str] | None = None) -> DataFrame:
+            columns: list[str] | None = None, domains=None) -> DataFrame:
     needed = {getattr(c, "table", None) for c in spec.columns} | {getattr(c, "domain", None) for c in spec.columns}
     rows = spec.max_rows or size(spark, sf, source)
     ids = row_ids_of(spark, sf, source)
@@ -111,19 +128,20 @@ def project(spark: SparkSession, sf: str, source: str, spec: s.TableSpec, option
         ids = ids.selectExpr(f"({ROW_ID} - 1) % {spec.max_rows} + 1 AS {ROW_ID}").distinct()
         rows = min(rows, spec.max_rows)
     tune_session(spark)
-    return project_table(ids, spec, rows, domain_sizes(spark, sf, needed), options=options, columns=columns)
+    return project_table(ids, spec, rows, domain_sizes(spark, sf, needed), options=options, columns=columns,
+                         domains=domains)
 
 
-def generator(source: str, spec: s.TableSpec, options: s.Options = s.Options()) -> tuple[Callable, str]:
+def generator(source: str, spec: s.TableSpec, options: s.Options = s.Options(), domains=None) -> tuple[Callable, str]:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return project(spark, sf, source, spec, options)
+        return project(spark, sf, source, spec, options, domains=domains)
 
     if spec.max_rows:
         ids = f"SELECT DISTINCT id FROM (SELECT (id - 1) % {spec.max_rows} + 1 AS id FROM ({ids_sql(source)}))"
         rows = str(spec.max_rows)
     else:
         ids, rows = ids_sql(source), f"(SELECT count(*) FROM {source})"
-    return run, lambda: table_sql(ids, Rendering(spec, rows, domain_sql(), options=options))
+    return run, lambda: table_sql(ids, Rendering(spec, rows, domain_sql(), options=options, domains=domains))
 
 
 def renamed(source: str, spec: s.TableSpec, names: dict[str, str]) -> tuple[Callable, Callable]:
@@ -151,6 +169,8 @@ def generated_queries() -> dict[str, tuple[Callable, str]]:
     for name, (shown, options) in OPTION_SHOWCASE.items():
         source, columns = SHOWCASE[shown]
         found[name] = generator(source, s.TableSpec(shown, (), columns), options)
+    found["gen_domains_replaced"] = generator("orders", s.TableSpec("gen_domains_replaced", (), REPLACED),
+                                              domains=REPLACEMENTS)
     for table, source in (BUILD_OVER | SEEDED).items():
         found[f"build_{table}"] = generator(source, TABLES[table])
     found["build_cost_center_dim_v_linked"] = generator(

@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import string
 import struct
+from dataclasses import replace
 from functools import singledispatch
 
 from finloom.functions.streams import salt
 from finloom.functions.templates import template_runs
 from finloom.functions.values import amount_units, clamp_rate, weight_slots
 from finloom.plans import specs as s
+from finloom.sources.domains import read_domains
 
 MASK = 2**64
 P1, P2, P3 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
@@ -52,9 +54,11 @@ class Rendering:
     """Collects the streams a table needs while its columns are rendered."""
 
     def __init__(self, spec: s.TableSpec, rows: str, sizes: dict[str, str], seed: int = s.DEFAULT_SEED,
-                 options: s.Options = DEFAULT_OPTIONS, columns: list[str] | None = None):
+                 options: s.Options = DEFAULT_OPTIONS, columns: list[str] | None = None, domains=None):
         self.wanted = columns or [name for name, _ in spec.fields()]
-        self.owners = {name: column for column in spec.columns for name, _ in column.fields()}
+        self.domains = read_domains(domains)
+        self.owners = {name: replaced(column, self.domains.get(name)) for column in spec.columns
+                       for name, _ in column.fields()}
         self.spec, self.rows, self.sizes, self.seed, self.options = spec, rows, sizes, seed, options
         self.streams: dict[str, int] = {}
         self.made: dict[str, str] = {}
@@ -86,6 +90,21 @@ class Rendering:
         return [salt(self.seed, self.spec.name, name) for name in self.streams] or [0]
 
 
+def replaced(column: s.Spec, own) -> s.Spec:
+    """The declaration that a domain stands for."""
+    if own is None:
+        return column
+    if isinstance(column, s.Pick):
+        return replace(column, values=own.values, weights=own.weights, draws_as=own.draws_as or column.draws_as)
+    if isinstance(column, (s.Cycle, s.CodeOf)):
+        return replace(column, values=own.values)
+    if isinstance(column, s.Day):
+        return replace(column, begin=own.low, end=own.high)
+    if isinstance(column, s.Constant):
+        return replace(column, constant=own.values[0])
+    return column if isinstance(column, s.Period) else replace(column, low=own.low, high=own.high)
+
+
 def table_ctes(ids_sql: str, rendering: Rendering, name: str = "built") -> str:
     projection = rendering.render()
     return f"{stream_ctes(ids_sql, rendering.salts())},\n{name} AS (SELECT {projection}\nFROM drawn)"
@@ -229,7 +248,11 @@ def _(c: s.Day, r):
 
 @sql_of.register
 def _(c: s.Period, r):
-    place = f"({r.draw(c.name)} % {r.size(c.table)})"
+    place, own = f"({r.draw(c.name)} % {r.size(c.table)})", r.domains.get(c.name)
+    if own:
+        first, last = (f"DATE '{n // 100}-{n % 100:02d}-01'" for n in (own.low, own.high))
+        month = f"({first} + to_months(({r.draw(c.name)} % (date_diff('month', {first}, {last}) + 1))::INT))"
+        return {c.name: f"(year({month}) * 100 + month({month}))::INTEGER"}
     start = r.options.start_year if c.start_year is None else c.start_year
     return {c.name: f"(({start} + {place} // 12) * 100 + {place} % 12 + 1)::INTEGER"}
 

@@ -30,6 +30,23 @@ def fiscal_period(draw: str, count: int | None, start_year: int = START_YEAR, ye
     return nth_period(F.expr(f"{draw} % {period_count(count, years)}L"), start_year)
 
 
+def place_of(period: int, start_year: int) -> int:
+    """0-based position of a period given as a number."""
+    year, month = divmod(period, 100)
+    if not 1 <= month <= 12:
+        raise ValueError(f"{period} is no fiscal period")
+    return (year - start_year) * 12 + month - 1
+
+
+def period_between(draw: str, low: int, high: int, count: int | None, start_year: int = START_YEAR,
+                   years: int = YEARS) -> Column:
+    """Uniform period between two, both included; both must be among the first ``count`` of the calendar."""
+    first, last, held = place_of(low, start_year), place_of(high, start_year), period_count(count, years)
+    if not 0 <= first <= last < held:
+        raise ValueError(f"periods {low}..{high} are not a range of the calendar's {held} periods from {start_year}")
+    return nth_period(F.expr(f"{draw} % {last - first + 1}L + {first}L"), start_year)
+
+
 def fiscal_year(period: Column) -> Column:
     return F.call_function("div", period, F.lit(100)).cast("int")
 

@@ -100,6 +100,18 @@ class Spec:
             value = streams.null_out(value, b.draw(self.null_stream(b.options)), rate)
         return {self.name: value}
 
+    takes = None  # kind of domain that may replace the values: "list", "range" or none
+
+    def refusal(self, own: Domain) -> str | None:
+        """Why this domain can't replace the column's values, if it can't."""
+        if self.takes is None:
+            return "its values follow from other columns or rows"
+        if own.is_range != (self.takes == "range"):
+            return f"it takes a {self.takes}"
+        if not own.is_range and not own.values:
+            return "the list is empty"
+        return None
+
     def null_stream(self, options: Options) -> str:
         shared = self.path if options.ragged and self.path else self.name
         return f"{shared}#null"
@@ -195,6 +207,7 @@ class Pick(Spec):
     values: Sequence
     weights: Sequence[int] | None = None
     draws_as: str | None = None
+    takes = "list"
 
     def stream_name(self, options: Options) -> str:
         return self.name if options.independent_codes or not self.draws_as else self.draws_as
@@ -209,6 +222,9 @@ class Pick(Spec):
 
     def value(self, b):
         values, weights = self.choices(b)
+        own = b.domain(self.name)
+        if own and own.draws_as:
+            return fn.pick(b.draw(own.draws_as), values, weights, self.type)
         name = self.stream_name(b.options)
         if name != self.name and not self._pairs_with(b.owners[name].choices(b), (values, weights)):
             name = self.name
@@ -227,10 +243,18 @@ class Cycle(Spec):
 
     values: Sequence
     every: int = 1
+    takes = "list"
+
+    def refusal(self, own):
+        return super().refusal(own) or ("its values come in order, without weights" if own.weights else None)
+
+    def members(self, b):
+        own = b.domain(self.name)
+        return [int(v) if self.type in ("int", "bigint") else str(v) for v in own.values] if own else self.values
 
     def value(self, b):
         step = b.row_id if self.every == 1 else f"({b.row_id} - 1) div {self.every} + 1"
-        return fn.cycle(step, self.values, self.type)
+        return fn.cycle(step, self.members(b), self.type)
 
 
 @dataclass(frozen=True)
@@ -243,12 +267,18 @@ class CodeOf(Spec):
     values: Sequence
     key: str
     table: str | None = None
+    takes = "list"
+
+    def refusal(self, own):
+        return super().refusal(own) or ("its values follow its ids, without weights" if own.weights else None)
 
     def value(self, b):
+        own = b.domain(self.name)
+        values = [str(v) for v in own.values] if own else self.values
         if b.options.independent_codes:
-            return fn.pick(b.draw(self.name), self.values)
+            return fn.pick(b.draw(own.draws_as if own and own.draws_as else self.name), values)
         number = f"{b.draw(self.key)} % {b.size_of(self.table)}L + 1L" if self.table else b.row_id
-        return fn.cycle(number, self.values)
+        return fn.cycle(number, values)
 
 
 @dataclass(frozen=True)
@@ -265,13 +295,14 @@ class Amount(Spec):
     high: object = 5_000_000
     precision: int = 28
     scale: int = 5
+    takes = "range"
 
     def fields(self):
         return [(self.name, f"decimal({self.precision},{self.scale})")]
 
     def bounds(self, b):
         own = b.domain(self.name)
-        return (own.low, own.high) if own and own.low is not None else (self.low, self.high)
+        return (own.low, own.high) if own else (self.low, self.high)
 
     def value(self, b):
         return fn.amount(b.draw(self.name), *self.bounds(b), self.precision, self.scale)
@@ -282,10 +313,11 @@ class Whole(Spec):
     low: int
     high: int
     type: str = field(default="int", kw_only=True)
+    takes = "range"
 
     def value(self, b):
         own = b.domain(self.name)
-        low, high = (own.low, own.high) if own and own.low is not None else (self.low, self.high)
+        low, high = (own.low, own.high) if own else (self.low, self.high)
         return fn.whole(b.draw(self.name), int(low), int(high), self.type)
 
 
@@ -294,9 +326,12 @@ class Real(Spec):
     low: float
     high: float
     type: str = field(default="float", kw_only=True)
+    takes = "range"
 
     def value(self, b):
-        return fn.real(b.draw(self.name), self.low, self.high)
+        own = b.domain(self.name)
+        low, high = (float(own.low), float(own.high)) if own else (self.low, self.high)
+        return fn.real(b.draw(self.name), low, high)
 
 
 @dataclass(frozen=True)
@@ -304,9 +339,12 @@ class Day(Spec):
     begin: str = "2015-01-01"
     end: str = "2025-12-31"
     type: str = field(default="date", kw_only=True)
+    takes = "range"
 
     def value(self, b):
-        return fn.day(b.draw(self.name), self.begin, self.end)
+        own = b.domain(self.name)
+        begin, end = (str(own.low), str(own.high)) if own else (self.begin, self.end)  # YAML reads dates as dates
+        return fn.day(b.draw(self.name), begin, end)
 
 
 @dataclass(frozen=True)
@@ -317,9 +355,14 @@ class Period(Spec):
     declared: bool = True
     start_year: int | None = None  # of its own calendar, if that is not the dataset's
     type: str = field(default="int", kw_only=True)
+    takes = "range"
 
     def value(self, b):
         start = b.options.start_year if self.start_year is None else self.start_year
+        own = b.domain(self.name)
+        if own:
+            return fn.period_between(b.draw(self.name), int(own.low), int(own.high), b.size_of(self.table), start,
+                                     b.options.years)
         return fn.fiscal_period(b.draw(self.name), b.size_of(self.table), start, b.options.years)
 
 
@@ -381,9 +424,14 @@ class Label(Spec):
 @dataclass(frozen=True)
 class Constant(Spec):
     constant: str
+    takes = "list"
+
+    def refusal(self, own):
+        return super().refusal(own) or ("it has one value" if len(own.values) != 1 else None)
 
     def value(self, b):
-        return F.lit(self.constant).cast(self.type)
+        own = b.domain(self.name)
+        return F.lit(str(own.values[0]) if own else self.constant).cast(self.type)
 
 
 @dataclass(frozen=True)
@@ -410,6 +458,38 @@ class TableSpec:
         if self.max_rows is not None and rows > self.max_rows:
             raise ValueError(f"{self.name} has at most {self.max_rows} distinct rows, not {rows}")
 
+    def check_domains(self, b: Build) -> None:
+        """Raise where a domain does not suit its column, or a pair's columns are not drawn alike."""
+        refused = {}
+        for name, spec in b.owners.items():
+            own = b.domain(name)
+            why = spec.refusal(own) if own else None
+            if own and not why and own.draws_as:
+                partner = b.domain(own.draws_as)
+                why = self.unpaired(name, own, b.owners.get(own.draws_as), partner, b)
+            if why:
+                refused[name] = why
+        if refused:
+            raise ValueError(f"{self.name}: no domain can replace these values: {refused}")
+
+    @staticmethod
+    def unpaired(name: str, own: Domain, partner: Spec | None, other: Domain | None, b: Build) -> str | None:
+        """Why a pair's two columns would not name the same member, if they would not."""
+        spec = b.owners[name]
+        if partner is None:
+            return f"its partner {own.draws_as} is not in the table"
+        if other is None or len(other.values) != len(own.values) or other.weights != own.weights or other.draws_as:
+            return f"another domain replaced that of its partner {own.draws_as}"
+        if type(partner) is not type(spec) or not isinstance(spec, (Pick, Cycle, CodeOf)):
+            return f"it is not drawn as its partner {own.draws_as} is"
+        if isinstance(spec, Cycle) and spec.every != partner.every:
+            return f"it is not repeated as its partner {own.draws_as} is"
+        if isinstance(spec, CodeOf) and (spec.key, spec.table) != (partner.key, partner.table):
+            return f"it follows other ids than its partner {own.draws_as}"
+        if isinstance(spec, Pick) and not b.options.independent_codes and partner.draws_as:
+            return f"its partner {own.draws_as} is drawn as {partner.draws_as}"
+        return None
+
     def project(self, source: DataFrame, b: Build, columns: Sequence[str] | None = None,
                 extra: Sequence[tuple[str, Column]] = ()) -> DataFrame:
         """One select over the row ids: a narrow stage, whatever the column count."""
@@ -419,9 +499,7 @@ class TableSpec:
                 and name.split(".", 1)[1] not in b.owners]
         if lost:
             raise KeyError(f"domains for columns that {self.name} does not have: {lost}")
-        fixed = [name for name, spec in b.owners.items() if b.domain(name) and not isinstance(spec, (Pick, Whole, Amount))]
-        if fixed:
-            raise ValueError(f"{self.name}: no domain can replace the values of {fixed}")
+        self.check_domains(b)
         names = list(b.owners) if columns is None else list(columns)
         unknown = [name for name in names if name not in b.owners]
         if unknown:

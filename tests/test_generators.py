@@ -151,6 +151,69 @@ def test_paired_lists_stay_paired_only_while_they_match(spark):
     assert {row.nm for row in one.where("cd = 'z'").select("nm").distinct().collect()} == {"A", "B"}
 
 
+PAIR = {"cd+nm": {"pairs": [["x", "X"], ["y", "Y"], ["z", "Z"]], "weights": [5, 2, 1]}}
+
+
+@pytest.mark.parametrize("options", [s.Options(), s.Options(independent_codes=True)])
+@pytest.mark.parametrize("columns", [
+    (s.Pick("cd", ("a", "b")), s.Pick("nm", ("A", "B", "C"), (3, 1, 1))),
+    (s.Pick("cd", ("a", "b")), s.Pick("nm", ("A", "B"), draws_as="cd", null_rate=0.3))])
+def test_pairs_name_one_member_whatever_the_columns_were(spark, columns, options):
+    frame = build(spark, columns, domains=read_domains(PAIR), options=options)
+    assert frame.where(F.col("nm") != F.upper("cd")).isEmpty()
+    assert {row.cd for row in frame.select("cd").distinct().collect()} == {"x", "y", "z"}
+    shares = {row.cd: row["count"] / frame.count() for row in frame.groupBy("cd").count().collect()}
+    assert shares["x"] > shares["y"] > shares["z"] > 0
+
+
+@pytest.mark.parametrize("options", [s.Options(), s.Options(independent_codes=True)])
+def test_pairs_of_ordered_and_linked_columns(spark, options):
+    pairs = {"cd+nm": {"pairs": [["x", "X"], ["y", "Y"], ["z", "Z"]]}}
+    for columns in ((s.Cycle("cd", ("a",), 4), s.Cycle("nm", ("A", "B"), 4)),
+                    (s.CodeOf("cd", ("a", "b"), "id"), s.CodeOf("nm", ("A", "B"), "id"))):
+        frame = build(spark, columns, domains=read_domains(pairs), options=options)
+        assert frame.where(F.col("nm") != F.upper("cd")).isEmpty() and frame.select("cd").distinct().count() == 3
+
+
+def test_ranges_of_reals_dates_and_periods(spark):
+    columns = (s.Real("r", 0.0, 1.0), s.Day("d"), s.Period("p", "cal"), s.YearOf("y", "p"), s.Constant("c", "EN"))
+    domains = read_domains({"r": {"min": -2, "max": -1}, "d": {"min": "2024-02-28", "max": "2024-03-01"},
+                            "p": {"min": 201911, "max": 202002}, "c": {"constant": "FR"}})
+    frame = build(spark, columns, domains=domains, sizes={"cal": 192})
+    assert frame.where("r not between -2 and -1 or c <> 'FR' or y <> p div 100").isEmpty()
+    assert sorted(str(row.d) for row in frame.select("d").distinct().collect()) == [
+        "2024-02-28", "2024-02-29", "2024-03-01"]
+    assert sorted(row.p for row in frame.select("p").distinct().collect()) == [201911, 201912, 202001, 202002]
+
+
+@pytest.mark.parametrize("columns, domains, why", [
+    ((s.Period("p", "cal"),), {"p": {"min": 201711, "max": 201802}}, "not a range"),
+    ((s.Period("p", "cal"),), {"p": {"min": 201801, "max": 202101}}, "not a range"),
+    ((s.Period("p", "cal"),), {"p": {"min": 201813, "max": 201902}}, "no fiscal period"),
+    ((s.Day("d"),), {"d": {"min": "2024-03-01", "max": "2024-02-01"}}, "empty range"),
+    ((s.Day("d"),), {"d": {"values": ["2024-03-01"]}}, "takes a range"),
+    ((s.Pick("k", ("a",)),), {"k": {"min": 1, "max": 2}}, "takes a list"),
+    ((s.Pick("k", ("a",)),), {"k": {"values": []}}, "empty"),
+    ((s.Cycle("k", ("a",)),), {"k": {"values": ["a", "b"], "weights": [1, 2]}}, "without weights"),
+    ((s.Constant("k", "a"),), {"k": {"values": ["a", "b"]}}, "one value"),
+    ((s.Template("k", "rr"),), {"k": {"values": ["a"]}}, "follow from"),
+    ((s.Pick("cd", ("a",)), s.Cycle("nm", ("A",))), {"cd+nm": {"pairs": [["x", "X"]]}}, "not drawn as"),
+    ((s.Cycle("cd", ("a",), 2), s.Cycle("nm", ("A",))), {"cd+nm": {"pairs": [["x", "X"]]}}, "not repeated as"),
+    ((s.Pick("cd", ("a",)), s.Pick("nm", ("A",))), {**PAIR, "t.cd": {"values": ["q"]}}, "another domain"),
+    ((s.Pick("o", ("a",)), s.Pick("cd", ("a",), draws_as="o"), s.Pick("nm", ("A",))), PAIR, "is drawn as o"),
+])
+def test_domains_that_do_not_suit_their_column_are_refused(spark, columns, domains, why):
+    with pytest.raises(ValueError, match=why):
+        build(spark, columns, domains=read_domains(domains), sizes={"cal": 24}).collect()
+
+
+@pytest.mark.parametrize("broken", [{"cd": {"pairs": [["x", "X"]]}}, {"cd+nm": {"pairs": [["x"]]}}, {"cd+nm": {"pairs": []}},
+                                    {"k": {"min": 1, "max": None}}])
+def test_malformed_domains_are_refused(broken):
+    with pytest.raises(ValueError):
+        read_domains(broken)
+
+
 def test_subset_extra_and_rename(spark):
     frame = build(spark, MIXED, columns=["kind", "id"], extra=[("twice", F.col(ROW_ID) * 2)], rename={"kind": "sort"})
     assert frame.columns == ["sort", "id", "twice"]
