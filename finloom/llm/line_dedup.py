@@ -2,7 +2,7 @@
 
 A line is the set of its lower-cased words. A later line goes when an earlier one (by ``doc_id``, then line
 number) has a Jaccard similarity of at least ``threshold`` with it, whether that earlier line stays or not. Lines
-of fewer than ``min_words`` distinct words are never removed: so little text is no sign of copying.
+without words are never removed, nor are those of fewer than ``min_words`` distinct words where a caller asks for it.
 
 1. Words are counted over the corpus in ``RANKS`` hash buckets. The level of a bucket's count followed by 58 bits
    of the word's hash is one long that orders words from rare to common and identifies the word.
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from finloom.llm.common import among, array_of, cut, fresh, settled, table
 
 THRESHOLD = Fraction(4, 5)
-MIN_WORDS = 5
+MIN_WORDS = 1
 RANKS = 1 << 18  # buckets of a byte each
 SKETCH = 1 << 16
 HOT = 512
@@ -72,14 +72,19 @@ def with_codes(lines: DataFrame, ranks: DataFrame) -> DataFrame:
 
 
 def set_lines(docs: DataFrame, ranks: DataFrame, threshold: Fraction, min_words: int) -> DataFrame:
-    """The lines long enough to count, with the 128-bit name of their set, its size, parity and prefix."""
+    """The lines with words, with the 128-bit name of their set, its size, parity and prefix.
+
+    A set so small that no other set can be similar has no prefix: it takes part by its name alone.
+    """
     top, below = threshold.numerator, threshold.denominator
-    return (with_codes(lines_of(docs), ranks).withColumn("n", F.size("codes")).where(F.col("n") >= min_words)
+    length = f"if(n * {below - top} >= {top}, n - ({top} * n + {below - 1}) div {below} + 1, 0)"
+    return (with_codes(lines_of(docs), ranks).withColumn("n", F.size("codes"))
+            .where(F.col("n") >= max(1, min_words))
             .select("doc_id", "row", "line_no", "n",
                     F.xxhash64("codes").alias("h1"), F.xxhash64(F.lit("second"), "codes").alias("h2"),
                     F.expr("aggregate(h, 0L, (a, x) -> a ^ shiftleft(1L, cast(shiftrightunsigned(x, 58) as int)))")
                     .alias("parity"),
-                    F.expr(f"transform(slice(codes, 1, cast(n - ({top} * n + {below - 1}) div {below} + 1 as int)),"
+                    F.expr(f"transform(slice(codes, 1, cast({length} as int)),"
                            " x -> cast(shiftright(shiftleft(x, 32), 32) as int))").alias("prefix")))
 
 
@@ -221,16 +226,16 @@ WITH lines AS (
 worded AS (
   SELECT doc_id, line_no, list_sort(list_distinct(list_filter(
            string_split_regex(lower(line), '[\\x09-\\x0D ]+'), lambda w: w <> ''))) AS words FROM lines),
-long_lines AS (SELECT * FROM worded WHERE len(words) >= 5),
+worded_lines AS (SELECT * FROM worded WHERE len(words) >= 1),
 sets AS (SELECT words, min(row(doc_id, line_no)) AS first, len(words) AS n,
-                row_number() OVER (ORDER BY words) AS id FROM long_lines GROUP BY words),
+                row_number() OVER (ORDER BY words) AS id FROM worded_lines GROUP BY words),
 prefixes AS (SELECT id, n, unnest(words[1:(n - (4 * n + 4) // 5 + 1)]) AS w FROM sets),
 pairs AS (SELECT DISTINCT a.id AS a, b.id AS b FROM prefixes a JOIN prefixes b
           ON a.w = b.w AND a.id < b.id AND a.n * 5 >= b.n * 4 AND b.n * 5 >= a.n * 4),
 alike AS (SELECT CASE WHEN x.first > y.first THEN x.id ELSE y.id END AS id
             FROM pairs JOIN sets x ON x.id = pairs.a JOIN sets y ON y.id = pairs.b
             WHERE 9 * len(list_intersect(x.words, y.words)) >= 4 * (x.n + y.n)),
-gone AS (SELECT DISTINCT l.doc_id, l.line_no FROM long_lines l JOIN sets s ON s.words = l.words
+gone AS (SELECT DISTINCT l.doc_id, l.line_no FROM worded_lines l JOIN sets s ON s.words = l.words
          WHERE s.id IN (SELECT id FROM alike) OR s.first <> row(l.doc_id, l.line_no)),
 kept AS (SELECT l.doc_id, count(*)::INTEGER AS n_lines, count(g.line_no)::INTEGER AS n_removed,
                 coalesce(string_agg(l.line, chr(10) ORDER BY l.line_no) FILTER (g.line_no IS NULL), '') AS text

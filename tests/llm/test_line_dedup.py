@@ -2,6 +2,7 @@
 
 import random
 import re
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from finloom.llm import line_dedup
 
 
-def plain(docs, least=5):
+def plain(docs, least=1):
     """doc rows -> text after removal, by comparing every line with every earlier one."""
     lines = [(d, n, line) for d, text in sorted(docs) if text is not None
              for n, line in enumerate(text.split("\n"))]
@@ -26,7 +27,7 @@ def plain(docs, least=5):
 def some_docs(seed, docs):
     rng = random.Random(seed)
     vocabulary = ["the", "of", "and"] * 6 + [f"w{i}" for i in range(60)]
-    base = [[rng.choice(vocabulary) for _ in range(rng.randint(3, 16))] for _ in range(14)]
+    base = [[rng.choice(vocabulary) for _ in range(rng.randint(1, 16))] for _ in range(14)]
     out = []
     for d in range(docs):
         lines = []
@@ -58,7 +59,22 @@ def test_odd_rows(spark):
     rows = {r.doc_id: r for r in line_dedup.dedup_lines(frame).collect()}
     assert {d: r.text for d, r in rows.items()} == plain(docs)
     assert rows[4].text == "" and rows[4].n_lines == rows[4].n_removed == 1
-    assert rows[1].n_lines == 0 and rows[3].n_removed == 1 and rows[3].line_key == "x"
+    assert rows[1].n_lines == 0 and rows[3].n_removed == 2 and rows[3].line_key == "x"
+
+
+def test_short_lines_go_when_an_earlier_one_has_their_words(spark):
+    docs = [(1, "Menu\n一行没有空格的文字\na b c d"), (2, "menu MENU\n一行没有空格的文字\n \na b c d e"), (3, "a b c\na b x\n\nd c b a")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()}
+    assert found == plain(docs) == {1: docs[0][1], 2: " ", 3: "a b c\na b x\n"}
+    kept = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame, min_words=5).collect()}
+    assert kept == plain(docs, 5) == dict(docs)
+
+
+def test_no_similarity_but_equality(spark):
+    frame = spark.createDataFrame([(1, "a b c d e f g h"), (2, "h g f e d c b a\na b c d e f g h i")], "doc_id long, text string")
+    found = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame, threshold=Fraction(1)).collect()}
+    assert found == {1: "a b c d e f g h", 2: "a b c d e f g h i"}
 
 
 def test_repeated_rows_and_null_ids(spark):
