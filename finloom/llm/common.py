@@ -26,17 +26,38 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def cut(frame: DataFrame, purpose: str) -> DataFrame:
-    """The frame written as Parquet to the shared folder and read again.
+def cut(frame: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
+    """The frame written as Parquet to the shared folder (or ``path``) and read again.
 
     Later steps then neither recompute it nor depend on the executors that made it.
     """
     spark = frame.sparkSession
-    path = work_folder(spark, purpose)
+    path = path or work_folder(spark, purpose)
     frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+class Scratch:
+    """Cuts that serve only the steps of a ``with`` block: their folders go when it ends.
+
+    What the block hands on must be cut outside of it (by ``cut``), since nothing can be computed again afterwards.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def cut(self, frame: DataFrame, purpose: str) -> DataFrame:
+        self.paths.append(work_folder(self.spark, purpose))
+        return cut(frame, purpose, self.paths[-1])
+
+    def __exit__(self, *failure) -> None:
+        for path in self.paths:
+            drop_folder(self.spark, path)
+
+
 def fresh(frame: DataFrame, stem: str) -> str:
     """A column name that the frame does not have yet; names compare without case."""
     taken = {name.lower() for name in frame.columns}

@@ -9,7 +9,8 @@ without words are never removed, nor are those of fewer than ``min_words`` disti
 2. Equal sets become one row with their first occurrence, so copies never meet each other in a join.
 3. Similar sets share a word among their rarest ones (prefix filter). The join on it keeps pairs whose sizes and
    word positions still allow the similarity; a 64-bit parity of the words bounds their symmetric difference.
-4. Survivors are verified on their full word sets, which are read again for those lines alone.
+4. Pairs that the common words of their prefixes still allow are verified on their full word sets, which are read again
+   for those lines alone.
 
 A word in the prefix of very many distinct sets (``HOT`` or more) is joined in two steps: each of its sets meets
 the first one, and only sets that this does not remove meet the others. Near copies by the thousand so cost one
@@ -26,11 +27,11 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finloom.llm.common import among, array_of, cut, fresh, settled, table
+from finloom.llm.common import Scratch, among, array_of, cut, fresh, settled, table
 
 THRESHOLD = Fraction(4, 5)
 MIN_WORDS = 1
-RANKS = 1 << 18  # buckets of a byte each
+RANKS = 1 << 18  # buckets, 2 MB of longs
 SKETCH = 1 << 16
 HOT = 512
 SPLIT = "'[\\\\x09-\\\\x0D ]+'"
@@ -41,12 +42,13 @@ def words_sql(text: str) -> str:
 
 
 def word_ranks(docs: DataFrame) -> DataFrame:
-    """One row with ``RANKS`` bytes: for each hash bucket of words the level of its count."""
+    """One row with ``RANKS`` longs: for each hash bucket of words the level of its count, in the bits above 58."""
     counted = (docs.select(F.explode(F.expr(words_sql("text"))).alias("w"))
                .select(F.expr(f"cast(xxhash64(w) & {RANKS - 1} as int)").alias("i"))
                .groupBy("i").agg(F.count("*").alias("n")))
-    levels = counted.select("i", F.least(F.lit(31), F.floor(0.7 * F.log2(F.col("n") + 1))).alias("v"))
-    return array_of(levels, RANKS).select(F.col("numbers").cast("array<tinyint>").alias("numbers"))
+    levels = counted.select("i", F.shiftleft(
+        F.least(F.lit(31), F.floor(0.7 * F.log2(F.col("n") + 1))).cast("long"), 58).alias("v"))
+    return array_of(levels, RANKS)
 
 
 def overlap_sql(threshold: Fraction, a: str, b: str) -> str:
@@ -65,8 +67,7 @@ def with_codes(lines: DataFrame, ranks: DataFrame) -> DataFrame:
     """The distinct words of each line as sorted codes, rare ones first."""
     words = F.array_distinct(F.transform(F.expr(words_sql("line")), lambda w: F.xxhash64(w)))
     hashed = lines.withColumn("h", settled(words)).withColumn("numbers", ranks.scalar())
-    codes = F.transform("h", lambda x: F.shiftleft(
-        F.element_at("numbers", x.bitwiseAND(RANKS - 1).cast("int") + 1).cast("long"), 58).bitwiseOR(
+    codes = F.transform("h", lambda x: F.get("numbers", x.bitwiseAND(RANKS - 1).cast("int")).bitwiseOR(
         F.shiftrightunsigned(x, 6)))
     return hashed.withColumn("codes", settled(F.sort_array(codes))).drop("line", "numbers")
 
@@ -84,6 +85,7 @@ def set_lines(docs: DataFrame, ranks: DataFrame, threshold: Fraction, min_words:
                     F.xxhash64("codes").alias("h1"), F.xxhash64(F.lit("second"), "codes").alias("h2"),
                     F.expr("aggregate(h, 0L, (a, x) -> a ^ shiftleft(1L, cast(shiftrightunsigned(x, 58) as int)))")
                     .alias("parity"),
+                    F.expr(f"element_at(codes, cast(nullif({length}, 0) as int))").alias("last"),
                     F.expr(f"transform(slice(codes, 1, cast({length} as int)),"
                            " x -> cast(shiftright(shiftleft(x, 32), 32) as int))").alias("prefix")))
 
@@ -111,17 +113,38 @@ def hot_codes(sets: DataFrame) -> DataFrame:
                "lines-hot")
 
 
-def word_sets(ids: DataFrame, sets: DataFrame, docs: DataFrame, ranks: DataFrame) -> DataFrame:
+def plausible(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
+    """The pairs of sets (``a``, ``b``) whose prefixes allow the similarity: ``later``, ``earlier``, ``apart``.
+
+    Of two sets take the one whose last prefix word is the rarer. What it has in common with the other up to that word
+    lies in both prefixes; all it may share beyond is its other words. This thins out long lines, which parity cannot
+    tell apart. Prefixes hold 32 bits a word: a clash of two words in one prefix counts as one more common word.
+    """
+    need = overlap_sql(threshold, "x.n", "y.n")
+
+    def most(end: str) -> str:
+        return f"{end}.n - size(array_distinct({end}.prefix))"
+
+    ends = sets.select("id", F.struct("first", "n", "last", "prefix", "parity").alias("end"))
+    return (pairs.join(ends.select(F.col("id").alias("a"), F.col("end").alias("x")), "a")
+            .join(ends.select(F.col("id").alias("b"), F.col("end").alias("y")), "b")
+            .where(f"size(array_intersect(x.prefix, y.prefix)) + if(x.last <= y.last, {most('x')}, {most('y')}) >= {need}")
+            .select(F.when(F.col("x.first") > F.col("y.first"), F.col("a")).otherwise(F.col("b")).alias("later"),
+                    F.when(F.col("x.first") > F.col("y.first"), F.col("b")).otherwise(F.col("a")).alias("earlier"),
+                    F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity"))).alias("apart")))
+
+
+def word_sets(ids: DataFrame, sets: DataFrame, docs: DataFrame, ranks: DataFrame, own: Scratch) -> DataFrame:
     """The full word sets of some ids, read again from the lines where they first occur."""
-    wanted = cut(sets.join(ids.distinct(), "id", "left_semi").select("id", "first.*", "h1", "h2"), "lines-wanted")
+    wanted = own.cut(sets.join(ids.distinct(), "id", "left_semi").select("id", "first.*", "h1", "h2"), "lines-wanted")
     lines = lines_of(docs)
     place = ["doc_id", "row", "line_no"]
     likely = lines.where(among([lines[c] for c in place], wanted, place))
     same = [likely[c].eqNullSafe(wanted[c]) for c in place]
     read = likely.join(wanted, same).select("id", "h1", "h2", "line")
-    return cut(with_codes(read, ranks).where((F.xxhash64("codes") == F.col("h1"))
-                                             & (F.xxhash64(F.lit("second"), "codes") == F.col("h2")))
-               .dropDuplicates(["id"]).select("id", "codes"), "lines-coded")
+    return own.cut(with_codes(read, ranks).where((F.xxhash64("codes") == F.col("h1"))
+                                                 & (F.xxhash64(F.lit("second"), "codes") == F.col("h2")))
+                   .dropDuplicates(["id"]).select("id", "codes"), "lines-coded")
 
 
 def alike(pairs: DataFrame, coded: DataFrame, threshold: Fraction) -> DataFrame:
@@ -132,72 +155,71 @@ def alike(pairs: DataFrame, coded: DataFrame, threshold: Fraction) -> DataFrame:
             .where(f"size(array_intersect(x, y)) >= {need}").select(F.col("later").alias("id")).distinct())
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, ranks: DataFrame, threshold: Fraction) -> DataFrame:
-    """Ids of the sets that resemble an earlier one of their pairs (``later``, ``earlier``, ``apart``).
+def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, ranks: DataFrame, threshold: Fraction,
+              done: DataFrame | None = None) -> DataFrame:
+    """Ids of the sets that resemble an earlier one of their pairs (``a``, ``b``), written. Those in ``done`` are settled.
 
     A set goes as soon as one pair holds. Each set's closest pair by parity is verified first; only sets that it does
     not settle are held against all their others.
     """
-    pairs = cut(pairs, "lines-pairs")
-    coded = word_sets(pairs.select(F.explode(F.array("later", "earlier")).alias("id")), sets, docs, ranks)
-    closest = pairs.groupBy("later").agg(F.min(F.struct("apart", "earlier")).alias("p")).select("later", "p.earlier")
-    settled_first = cut(alike(closest, coded, threshold), "lines-settled")
-    rest = pairs.join(settled_first.withColumnRenamed("id", "later"), "later", "left_anti")
-    return settled_first.unionByName(alike(rest, coded, threshold))
+    with Scratch(sets.sparkSession) as own:
+        pairs = plausible(pairs, sets, threshold)
+        pairs = own.cut(pairs.join(done, "later", "left_anti") if done else pairs, "lines-pairs")
+        coded = word_sets(pairs.select(F.explode(F.array("later", "earlier")).alias("id")), sets, docs, ranks, own)
+        closest = pairs.groupBy("later").agg(F.min(F.struct("apart", "earlier")).alias("p")).select("later", "p.earlier")
+        first = own.cut(alike(closest, coded, threshold), "lines-settled")
+        rest = pairs.join(first.withColumnRenamed("id", "later"), "later", "left_anti")
+        return cut(first.unionByName(alike(rest, coded, threshold)), "lines-gone")
 
 
 def later_sets(sets: DataFrame, docs: DataFrame, ranks: DataFrame, threshold: Fraction) -> DataFrame:
     """Ids of the sets that resemble a set which occurs earlier."""
-    apart = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity"))).alias("apart")
     hot = hot_codes(sets)
     usual = postings(sets).join(hot, "code", "left_anti")
+    ends = (F.col("a.id").alias("a"), F.col("b.id").alias("b"))
     found = (usual.alias("a").join(usual.alias("b"), F.expr("a.code = b.code and a.id < b.id and " + fits(threshold)))
-             .select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), apart).distinct())
-    firsts = sets.select("id", "first")
-    turned = F.col("fa") > F.col("fb")
-    found = (found.join(firsts.select(F.col("id").alias("a"), F.col("first").alias("fa")), "a")
-             .join(firsts.select(F.col("id").alias("b"), F.col("first").alias("fb")), "b")
-             .select(F.when(turned, F.col("a")).otherwise(F.col("b")).alias("later"),
-                     F.when(turned, F.col("b")).otherwise(F.col("a")).alias("earlier"), "apart"))
+             .select(*ends).distinct())
     if hot.isEmpty():
         return confirmed(found, sets, docs, ranks, threshold)
-    busy = cut(postings(sets, "first").join(hot, "code", "left_semi"), "lines-busy")
-    pivots = busy.groupBy("code").agg(F.min(F.struct("first", "id", "n", "pos", "parity")).alias("p")).select(
-        "code", "p.*")
-    earlier = F.expr("a.code = b.code and b.first < a.first and " + fits(threshold))
-    ends = (F.col("a.id").alias("later"), F.col("b.id").alias("earlier"), apart)
-    star = busy.alias("a").join(pivots.alias("b"), earlier).select(*ends).distinct()
-    gone = cut(confirmed(star, sets, docs, ranks, threshold), "lines-gone")
-    rest = busy.join(gone, "id", "left_anti")
-    found = (found.unionByName(rest.alias("a").join(busy.alias("b"), earlier).select(*ends).distinct())
-             .join(gone.withColumnRenamed("id", "later"), "later", "left_anti"))
-    return confirmed(found, sets, docs, ranks, threshold).unionByName(gone).distinct()
+    with Scratch(sets.sparkSession) as own:
+        busy = own.cut(postings(sets, "first").join(hot, "code", "left_semi"), "lines-busy")
+        pivots = busy.groupBy("code").agg(F.min(F.struct("first", "id", "n", "pos", "parity")).alias("p")).select(
+            "code", "p.*")
+        earlier = F.expr("a.code = b.code and b.first < a.first and " + fits(threshold))
+        star = busy.alias("a").join(pivots.alias("b"), earlier).select(*ends).distinct()
+        gone = confirmed(star, sets, docs, ranks, threshold)
+        rest = busy.join(gone, "id", "left_anti")
+        met = rest.alias("a").join(busy.alias("b"), earlier).select(*ends).distinct()
+        done = gone.withColumnRenamed("id", "later")
+        found = found.unionByName(met)
+        return confirmed(found, sets, docs, ranks, threshold, done).unionByName(gone).distinct()
 
 
 def removed_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
     """Per document with later matches: ``doc_id``, ``row`` (hash of its text) and ``gone`` (their line numbers)."""
     docs = docs.select("doc_id", "text")
-    ranks = cut(word_ranks(docs), "lines-ranks")
-    lines = cut(set_lines(docs, ranks, threshold, min_words), "lines")
-    sets = cut(lines.groupBy("h1", "h2").agg(
-        F.min(F.struct("doc_id", "line_no", "row")).alias("first"), F.count("*").alias("copies"),
-        F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))
-        .withColumn("id", F.monotonically_increasing_id()), "lines-sets")
-    later = later_sets(sets, docs, ranks, threshold)
-    touched = (sets.select("id", "h1", "h2", "first", "copies")
-               .join(later.withColumn("later", F.lit(True)), "id", "left")
-               .where("later or copies > 1").select("h1", "h2", "first", "later"))
-    same = " and ".join(f"first.{c} <=> {c}" for c in ("doc_id", "line_no", "row"))
-    return (lines.select("doc_id", "row", "line_no", "h1", "h2").join(touched, ["h1", "h2"])
-            .where(f"later or not ({same})")
-            .groupBy("doc_id", "row").agg(F.collect_set("line_no").alias("gone")))
+    with Scratch(docs.sparkSession) as own:
+        ranks = own.cut(word_ranks(docs), "lines-ranks")
+        lines = own.cut(set_lines(docs, ranks, threshold, min_words), "lines")
+        sets = own.cut(lines.groupBy("h1", "h2").agg(
+            F.min(F.struct("doc_id", "line_no", "row")).alias("first"), F.count("*").alias("copies"),
+            *[F.first(name).alias(name) for name in ("n", "parity", "last", "prefix")])
+            .withColumn("id", F.monotonically_increasing_id()), "lines-sets")
+        later = later_sets(sets, docs, ranks, threshold)
+        touched = (sets.select("id", "h1", "h2", "first", "copies")
+                   .join(later.withColumn("later", F.lit(True)), "id", "left")
+                   .where("later or copies > 1").select("h1", "h2", "first", "later"))
+        same = " and ".join(f"first.{c} <=> {c}" for c in ("doc_id", "line_no", "row"))
+        return cut(lines.select("doc_id", "row", "line_no", "h1", "h2").join(touched, ["h1", "h2"])
+                   .where(f"later or not ({same})")
+                   .groupBy("doc_id", "row").agg(F.collect_set("line_no").alias("gone")), "lines-at")
 
 
 def dedup_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
     """All documents, ``text`` without its later matches, and two more columns: ``n_lines``, ``n_removed``."""
     gone = removed_lines(docs, threshold, min_words)
     key, row, at, lines = (fresh(docs, f"line_{name}") for name in ("key", "row", "gone", "parts"))
-    gone = cut(gone.select(F.col("doc_id").alias(key), F.col("row").alias(row), F.col("gone").alias(at)), "lines-at")
+    gone = gone.select(F.col("doc_id").alias(key), F.col("row").alias(row), F.col("gone").alias(at))
     # Documents that surely keep all lines are not shuffled.
     touched = among([docs["doc_id"].cast("long"), F.xxhash64(docs["text"])], gone, [key, row])
     near = docs.where(touched)
