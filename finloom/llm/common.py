@@ -107,6 +107,16 @@ def among(values: list[Column], rows: DataFrame, keys: list[str]) -> Column:
     return F.call_function("shiftrightunsigned", word, bit(own)).bitwiseAND(F.lit(1)) == 1
 
 
+def without(docs: DataFrame, values: list[Column], gone: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose values (nulls equal nulls) are not those of a row in ``gone``, which must be written.
+
+    Only rows that may be among them are shuffled; all others stay where they are read.
+    """
+    likely = among(values, gone, keys)
+    same = [value.eqNullSafe(gone[key]) for value, key in zip(values, keys, strict=True)]
+    return docs.where(likely).join(gone, same, "left_anti").unionByName(docs.where(~likely))
+
+
 def array_of(numbers: DataFrame, size: int) -> DataFrame:
     """One row with one array ``numbers``: column ``v`` by index ``i`` of at most ``size`` rows, zero where absent."""
     spark = numbers.sparkSession

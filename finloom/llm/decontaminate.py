@@ -10,8 +10,7 @@ may become one. An item leaked when one such line holds ``ENOUGH`` windows, or a
 when a line, whatever its other slots, holds as many windows word for word.
 
 What is a name depends on the case of the copy, so windows are also matched in lower case, with only numbers and units
-as slots. A line takes the windows of both kinds and their slots together. ``by_case=True`` leaves the lower-case
-windows out and asks for slots that agree one to one: the rule of ``OP9_SQL``, which the registered query follows.
+as slots. A line takes the windows of both kinds and their slots together.
 
 Only window hashes of documents are exploded, and nothing is collected. The benchmark is broadcast when its windows
 number at most ``BROADCAST_ROWS``, otherwise both sides are shuffled by the hash; the rows are the same.
@@ -28,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finloom.llm.common import among, cut, fresh, settled, table
+from finloom.llm.common import among, cut, fresh, settled, table, without
 
 WINDOW, LITERALS, ENOUGH = 8, 4, 6
 BROADCAST_ROWS = 500_000  # of 24 bytes
@@ -93,20 +92,15 @@ def all_of_a_kind() -> list[Column]:
             for kind, name in ((~F.col("folded"), "all_typed"), (F.col("folded"), "all_folded"))]
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, by_case: bool = False) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Leaked items by document: ``doc_id, row`` (hash of its text), ``item_id, n_windows, first_word``."""
-    windows = item_windows(benchmark)
-    windows = cut(windows if by_case else windows.unionByName(item_windows(benchmark, folded=True)), "leak-items")
+    windows = cut(item_windows(benchmark).unionByName(item_windows(benchmark, folded=True)), "leak-items")
     texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                                                   F.xxhash64("text").alias("row"))
-    hashes = with_hashes(texts)
-    if by_case:
-        hashes = hashes.select("doc_id", "row", F.posexplode("hashes").alias("doc_pos", "hash"))
-    else:  # a window without a name has one hash
-        hashes = with_hashes(hashes, folded_word, "lower")
-        hashes = hashes.select("doc_id", "row", F.posexplode(F.arrays_zip("hashes", "lower")).alias("doc_pos", "z"))
-        hashes = hashes.select("doc_id", "row", "doc_pos",
-                               F.explode(F.array_distinct(F.array("z.hashes", "z.lower"))).alias("hash"))
+    hashes = with_hashes(with_hashes(texts), folded_word, "lower")
+    hashes = hashes.select("doc_id", "row", F.posexplode(F.arrays_zip("hashes", "lower")).alias("doc_pos", "z"))
+    hashes = hashes.select("doc_id", "row", "doc_pos",  # a window without a name has one hash
+                           F.explode(F.array_distinct(F.array("z.hashes", "z.lower"))).alias("hash"))
     known = windows.select("hash").distinct()
     if windows.count() <= BROADCAST_ROWS:
         known = F.broadcast(known)
@@ -127,10 +121,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, by_case: bool = False) -> DataF
                .where(F.when(F.col("folded"), F.transform("doc_words", folded_word))
                       .otherwise(F.transform("doc_words", template_word)) == F.col("item_templates"))
                .withColumn("line", F.col("doc_pos") - F.col("item_pos")))
-    def said(column: str) -> Column:
-        return F.col(column) if by_case else F.transform(column, F.lower)
-
-    aligned = aligned.withColumn("item_words", said("item_words")).withColumn("doc_words", said("doc_words"))
+    aligned = aligned.withColumns({side: F.transform(side, F.lower) for side in ("item_words", "doc_words")})
     slots = F.filter(F.arrays_zip("item_templates", "item_words", "doc_words"),
                      lambda z: is_slot(z["item_templates"]))
     verbatim = F.when(F.col("folded") & (F.col("item_words") == F.col("doc_words")), F.col("item_pos"))
@@ -139,17 +130,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, by_case: bool = False) -> DataF
         F.count_distinct(verbatim).alias("verbatim"), F.max(F.when(F.col("folded"), F.col("usable"))).alias("all"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))  # bounded by the item's length
 
-    def agree(slots: Column, side: str) -> Column:
-        """No two slots have one value on that side."""
-        values = F.transform(slots, lambda z: F.struct(z["item_templates"], z[side]))
-        return F.size(F.array_distinct(values)) == F.size(slots)
-
-    if by_case:
-        consistent, copied = agree(F.col("slots"), "item_words") & agree(F.col("slots"), "doc_words"), F.lit(False)
-    else:
-        changed = F.filter("slots", lambda z: z["item_words"] != z["doc_words"])
-        consistent = agree(changed, "item_words")
-        copied = F.coalesce(F.col("verbatim") >= F.least(F.lit(ENOUGH), F.col("all")), F.lit(False))
+    changed = F.filter("slots", lambda z: z["item_words"] != z["doc_words"])
+    stand_for = F.transform(changed, lambda z: F.struct(z["item_templates"], z["item_words"]))
+    consistent = F.size(F.array_distinct(stand_for)) == F.size(changed)
+    copied = F.coalesce(F.col("verbatim") >= F.least(F.lit(ENOUGH), F.col("all")), F.lit(False))
     whole = consistent & ((F.col("n_windows") >= ENOUGH) | F.col("all_typed") | F.col("all_folded"))
     best = lines.where(whole | copied).withColumn("n_windows", F.when(whole, F.col("n_windows"))
                                                   .otherwise(F.col("verbatim")))
@@ -162,13 +146,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, by_case: bool = False) -> DataF
 def drop_leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item; all columns stay as they are."""
     key, row = fresh(docs, "leak_id"), fresh(docs, "leak_row")
-    gone = leaks(docs, benchmark).select(F.col("doc_id").alias(key), F.col("row").alias(row)).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone[key])
-                     & (F.xxhash64(docs["text"]) == gone[row]), "left_anti")
+    gone = cut(leaks(docs, benchmark).select(F.col("doc_id").alias(key), F.col("row").alias(row)).distinct(), "leak-gone")
+    return without(docs, [docs["doc_id"].cast("long"), F.xxhash64(docs["text"])], gone, [key, row])
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), by_case=True)
+    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", F.col("n_windows").cast("int").alias("n_windows"), "first_word")
 
 
@@ -177,29 +160,43 @@ WITH texts AS (
   SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
 worded AS (SELECT kind, id, regexp_extract_all(text, '[\\p{{L}}\\p{{M}}]+|[0-9]+(?:[.,][0-9]+)*') AS words FROM texts),
 templated AS (
-  SELECT *, list_transform(words, lambda w: CASE
+  SELECT *, list_transform(words, lambda w: lower(w)) AS said, list_transform(words, lambda w: CASE
     WHEN w[1] BETWEEN '0' AND '9' THEN '<num>'
     WHEN lower(w) IN ({", ".join(f"'{u}'" for u in UNITS)}) THEN '<unit>'
     WHEN w[1] <> lower(w[1]) THEN '<name>' ELSE lower(w) END) AS templates FROM worded),
 starts AS (SELECT *, unnest(range(len(words) - {WINDOW - 1})) AS pos FROM templated WHERE len(words) >= {WINDOW}),
-windows AS (SELECT kind, id, pos, words[pos + 1:pos + {WINDOW}] AS ws, templates[pos + 1:pos + {WINDOW}] AS ts
-            FROM starts),
+typed AS (SELECT kind, id, pos, said[pos + 1:pos + {WINDOW}] AS ws, templates[pos + 1:pos + {WINDOW}] AS ts FROM starts),
+windows AS (
+  SELECT *, false AS folded FROM typed UNION ALL
+  SELECT kind, id, pos, ws, list_transform(list_zip(ws, ts), lambda z: CASE WHEN z[2] = '<name>' THEN z[1] ELSE z[2] END),
+         true FROM typed),
 items AS (
-  SELECT id AS item_id, pos AS item_pos, ws AS item_words, ts,
-         count(*) OVER (PARTITION BY id) AS usable FROM windows
+  SELECT id AS item_id, pos AS item_pos, ws AS item_words, ts, folded,
+         count(*) OVER (PARTITION BY id, folded) AS usable FROM windows
   WHERE kind = 'b' AND len(list_filter(ts, lambda t: t[1] <> '<')) >= {LITERALS}),
 hits AS (
-  SELECT w.id AS doc_id, w.pos - item_pos AS line, item_id, item_pos, usable, ts, item_words, w.ws AS doc_words
-  FROM windows w JOIN items USING (ts) WHERE kind = 'd'),
+  SELECT w.id AS doc_id, w.pos - item_pos AS line, item_id, item_pos, usable, folded, ts, item_words, w.ws AS doc_words
+  FROM windows w JOIN items USING (ts, folded) WHERE kind = 'd'),
 slots AS (
   SELECT DISTINCT doc_id, item_id, line, unnest(ts) AS t, unnest(item_words) AS x, unnest(doc_words) AS y FROM hits),
 clashes AS (
-  SELECT doc_id, item_id, line FROM slots WHERE t[1] = '<' GROUP BY ALL
-  HAVING count(*) <> count(DISTINCT (t, x)) OR count(*) <> count(DISTINCT (t, y))),
+  SELECT DISTINCT doc_id, item_id, line, true AS clash FROM (
+    SELECT doc_id, item_id, line FROM slots WHERE t[1] = '<' AND x <> y
+    GROUP BY doc_id, item_id, line, t, x HAVING count(*) > 1)),
 lines AS (
-  SELECT doc_id, item_id, line, count(DISTINCT item_pos) AS n, any_value(usable) AS usable
-  FROM hits ANTI JOIN clashes USING (doc_id, item_id, line) GROUP BY ALL)
-SELECT doc_id, item_id, n::INTEGER AS n_windows, line::INTEGER AS first_word FROM lines
-WHERE n >= least({ENOUGH}, usable)
+  SELECT doc_id, item_id, line, count(DISTINCT item_pos) AS n,
+         count(DISTINCT item_pos) FILTER (NOT folded) >= max(usable) FILTER (NOT folded) AS all_typed,
+         count(DISTINCT item_pos) FILTER (folded) >= max(usable) FILTER (folded) AS all_folded,
+         count(DISTINCT item_pos) FILTER (folded AND item_words = doc_words) AS verbatim,
+         max(usable) FILTER (folded) AS every
+  FROM hits GROUP BY ALL),
+judged AS (
+  SELECT doc_id, item_id, line, n, verbatim,
+         clash IS NULL AND (n >= {ENOUGH} OR coalesce(all_typed, false) OR coalesce(all_folded, false)) AS whole,
+         verbatim >= least({ENOUGH}, every) AS copied
+  FROM lines LEFT JOIN clashes USING (doc_id, item_id, line)),
+found AS (
+  SELECT doc_id, item_id, line, CASE WHEN whole THEN n ELSE verbatim END AS n FROM judged WHERE whole OR copied)
+SELECT doc_id, item_id, n::INTEGER AS n_windows, line::INTEGER AS first_word FROM found
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n DESC, line) = 1
 """

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from finloom.llm.common import components, cut, fresh, table, text_of
+from finloom.llm.common import components, cut, fresh, table, text_of, without
 from finloom.llm.shingles import near_copies, shingle_hashes
 
 SEGMENTS, WIDTH = 4, 16
@@ -168,7 +168,7 @@ def keep_first(docs: DataFrame, shingle: int = 5, text: str = "text", doc_id: st
     of_class, links = near_copies(known, shingle)
     gone = (of_class.join(components(links), F.col("rep") == F.col("node"), "left")
             .where(F.coalesce("root", "rep") != F.col("doc_id")).select(F.col("doc_id").alias(own)).distinct())
-    return docs.join(gone, docs[doc_id].cast("long") == gone[own], "left_anti")
+    return without(docs, [docs[doc_id].cast("long")], cut(gone, "near-gone"), [own])
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
