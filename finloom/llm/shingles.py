@@ -13,6 +13,7 @@ its kind.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from fractions import Fraction
 
 import numpy as np
@@ -61,16 +62,18 @@ def band_keys(hashes: np.ndarray) -> list[int]:
                     np.uint64).view(np.int64).tolist()
 
 
-def set_column(text: Column, shingle: int) -> Column:
-    """The 128-bit name of the set of shingles, its size and its keys."""
-    @F.pandas_udf("h1 long, h2 long, n int, bands array<long>")
+def set_column(text: Column, shingle: int, fingerprint: Callable[[np.ndarray], int] | None = None) -> Column:
+    """The 128-bit name of the set of shingles, its size, its keys and, where asked for, a fingerprint of all shingles."""
+    @F.pandas_udf("h1 long, h2 long, n int, bands array<long>, f long")
     def described(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for text in texts:
-            hashes = np.unique(shingle_hashes(text, shingle))
+            every = shingle_hashes(text, shingle)
+            hashes = np.unique(every)
             h1, h2 = np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), "<i8").tolist()
-            rows.append((h1, h2, len(hashes), band_keys(hashes)))
-        return pd.DataFrame(rows, columns=["h1", "h2", "n", "bands"])
+            f = int(np.uint64(fingerprint(every)).astype(np.int64)) if fingerprint else None
+            rows.append((h1, h2, len(hashes), band_keys(hashes), f))
+        return pd.DataFrame(rows, columns=["h1", "h2", "n", "bands", "f"]).astype({"f": "Int64"})
 
     return described(text)
 
@@ -126,12 +129,14 @@ def similar_sizes(threshold: Fraction, one: str, other: str) -> Column:
     return F.expr(f"{one} * {below} >= {other} * {top} and {other} * {below} >= {one} * {top}")
 
 
-def near_copies(docs: DataFrame, shingle: int = 5, threshold: Fraction = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """Of ``doc_id`` (long, not null) and ``text`` (not null): ``doc_id, rep`` by row, and the links ``a, b`` of reps.
+def near_copies(docs: DataFrame, shingle: int = 5, threshold: Fraction = THRESHOLD,
+                fingerprint: Callable[[np.ndarray], int] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Of ``doc_id`` (long, not null) and ``text`` (not null): ``doc_id, rep, f`` by row, and the links ``a, b`` of reps.
 
-    ``rep`` is the smallest ``doc_id`` with the same shingles. The components of the links are those of all pairs.
+    ``rep`` is the smallest ``doc_id`` with the same shingles, ``f`` the fingerprint, as a signed long. The components
+    of the links are those of all pairs.
     """
-    sets = cut(docs.select("doc_id", set_column(F.col("text"), shingle).alias("s")).select("doc_id", "s.*"),
+    sets = cut(docs.select("doc_id", set_column(F.col("text"), shingle, fingerprint).alias("s")).select("doc_id", "s.*"),
                "shingles-sets")
     classes = cut(sets.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"),
                                                F.first("bands").alias("bands"))
@@ -156,4 +161,4 @@ def near_copies(docs: DataFrame, shingle: int = 5, threshold: Fraction = THRESHO
     named = (links.join(classes.select(F.col("id").alias("a"), F.col("rep").alias("x")), "a")
              .join(classes.select(F.col("id").alias("b"), F.col("rep").alias("y")), "b")
              .select(F.col("x").alias("a"), F.col("y").alias("b")))
-    return sets.join(classes.select("h1", "h2", "rep"), ["h1", "h2"]).select("doc_id", "rep"), named
+    return sets.join(classes.select("h1", "h2", "rep"), ["h1", "h2"]).select("doc_id", "rep", "f"), named

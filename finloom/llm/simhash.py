@@ -12,7 +12,7 @@ key, with every change the budget still allows, so its members meet only those t
 
 Defined cases: a null or empty text has fingerprint zero, which links like any other; rows with equal
 ``doc_id`` are kept as they are and share a component; rows whose ``doc_id`` is null take no part and have
-a null component. Columns beside ``doc_id`` and ``text`` are not read by ``fingerprints``.
+a null component. Columns beside ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations
@@ -34,8 +34,8 @@ HOT_KEY = 64  # distinct fingerprints under one two-segment key, above which the
 LANES = np.uint64(0x0101010101010101)
 
 
-def fingerprint(text: str, shingle: int) -> int:
-    hashes = shingle_hashes(text, shingle)
+def fingerprint(hashes: np.ndarray) -> int:
+    """Of the hashes of all shingles of a text, repeats included."""
     if not len(hashes):
         return 0
     counts = np.zeros(64, np.int64)
@@ -51,7 +51,7 @@ def fingerprint(text: str, shingle: int) -> int:
 def fingerprint_column(text: Column, shingle: int) -> Column:
     @F.pandas_udf(LongType())
     def signed(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))
+        return pd.Series(np.array([fingerprint(shingle_hashes(t, shingle)) for t in texts], np.uint64).view(np.int64))
 
     return signed(text)
 
@@ -136,18 +136,24 @@ def near_pairs(prints: DataFrame) -> DataFrame:
             .select(F.least("probe", "f").alias("a"), F.greatest("probe", "f").alias("b")).distinct())
 
 
+def print_links(prints: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of ``doc_id`` (long, not null) and ``f``: ``f, rep`` by fingerprint, and the links ``a, b`` of reps.
+
+    A fingerprint is known by the smallest document that has it. ``prints`` must be written.
+    """
+    classes = cut(prints.groupBy("f").agg(F.min("doc_id").alias("rep")), "simhash-classes")
+    pairs = cut(near_pairs(classes.select("f")), "simhash-pairs")
+    return classes, (pairs.join(classes.select(F.col("f").alias("a"), F.col("rep").alias("x")), "a")
+                     .join(classes.select(F.col("f").alias("b"), F.col("rep").alias("y")), "b")
+                     .select(F.col("x").alias("a"), F.col("y").alias("b")))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: ``doc_id``, ``fingerprint`` (hex), ``component_id`` (smallest linked doc_id)."""
     prints = cut(docs.select(F.col(doc_id).cast("long").alias("doc_id"),
                              fingerprint_column(text_of(text), shingle).alias("f")), "simhash-prints")
-    known = prints.where("doc_id is not null")
-    # A fingerprint is known by the smallest document that has it.
-    classes = cut(known.groupBy("f").agg(F.min("doc_id").alias("rep")), "simhash-classes")
-    pairs = cut(near_pairs(classes.select("f")), "simhash-pairs")
-    named = (pairs.join(classes.select(F.col("f").alias("a"), F.col("rep").alias("x")), "a")
-             .join(classes.select(F.col("f").alias("b"), F.col("rep").alias("y")), "b")
-             .select(F.col("x").alias("a"), F.col("y").alias("b")))
-    roots = components(named)
+    classes, links = print_links(prints.where("doc_id is not null"))
+    roots = components(links)
     of_class = (classes.join(roots, F.col("rep") == F.col("node"), "left")
                 .select("f", F.coalesce("root", "rep").alias("component_id")))
     # Equal texts may be a third of all rows: the class table is the small side, AQE splits its hot key.
@@ -159,14 +165,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, text: str = "text", doc_i
 def keep_first(docs: DataFrame, shingle: int = 5, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents without the near copies of an earlier one; all columns stay as they are.
 
-    Texts are near copies from a Jaccard similarity of 0.8 of their shingles on, which a few bits of a fingerprint
-    can't tell. Of rows with one ``doc_id`` all stay or go; documents without an id stay.
+    Texts are near copies where their fingerprints link, as in ``near_duplicates``, and from a Jaccard similarity of 0.8
+    of their shingles on, since a few bits can't tell those of edited copies: the components are those of both links.
+    Of rows with one ``doc_id`` all stay or go; documents without an id stay.
     """
     own = fresh(docs, "gone")
     known = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"),
                                                          text_of(text).alias("text"))
-    of_class, links = near_copies(known, shingle)
-    gone = (of_class.join(components(links), F.col("rep") == F.col("node"), "left")
+    of_class, links = near_copies(known, shingle, fingerprint=fingerprint)
+    of_class = cut(of_class, "near-classes")
+    by_print, print_pairs = print_links(of_class.select(F.col("rep").alias("doc_id"), "f"))
+    same_print = of_class.join(by_print.withColumnRenamed("rep", "first"), "f").select(
+        F.col("rep").alias("a"), F.col("first").alias("b"))
+    roots = components(links.unionByName(print_pairs).unionByName(same_print))
+    gone = (of_class.join(roots, F.col("rep") == F.col("node"), "left")
             .where(F.coalesce("root", "rep") != F.col("doc_id")).select(F.col("doc_id").alias(own)).distinct())
     return without(docs, [docs[doc_id].cast("long")], cut(gone, "near-gone"), [own])
 

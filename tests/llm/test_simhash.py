@@ -92,3 +92,15 @@ def test_components_of_a_chain_and_a_hub(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 160)}
+
+
+def test_links_of_fingerprints_count_in_keep_first(spark):
+    rng = random.Random(5)
+    one = " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(7))
+    # A passage repeated many times sets all bits; what stands around it makes other sets of shingles.
+    docs = [(d, f"{one} " * 400 + " ".join(f"v{rng.randrange(10 ** 6)}" for _ in range(40))) for d in (3, 1, 2)]
+    docs.append((4, "quite another text of a few words"))
+    prints = {d: plain_fingerprint(t, 5) for d, t in docs}
+    assert all((prints[1] ^ prints[d]).bit_count() <= 3 for d in (2, 3))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.keep_first(frame).collect()) == [1, 4]
