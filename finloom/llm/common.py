@@ -26,14 +26,23 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(frame: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     """The frame written as Parquet to the shared folder (or ``path``) and read again.
 
-    Later steps then neither recompute it nor depend on the executors that made it.
+    Later steps then neither recompute it nor depend on the executors that made it. Shuffle files of the write go with
+    its end: many cuts would otherwise fill the disks before the driver collects what refers to them.
     """
     spark = frame.sparkSession
     path = path or work_folder(spark, purpose)
-    frame.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        frame.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -8,7 +8,8 @@ without words are never removed, nor are those of fewer than ``min_words`` disti
    of the word's hash is one long that orders words from rare to common and identifies the word.
 2. Equal sets become one row with their first occurrence, so copies never meet each other in a join.
 3. Similar sets share a word among their rarest ones (prefix filter). The join on it keeps pairs whose sizes and
-   word positions still allow the similarity; a 64-bit parity of the words bounds their symmetric difference.
+   word positions still allow the similarity; a 64-bit parity of the words bounds their symmetric difference. Long
+   lines, which 64 bits can't tell apart, have one of 256 bits: else their chance pairs would grow with the square.
 4. Pairs that the common words of their prefixes still allow are verified on their full word sets, which are read again
    for those lines alone.
 
@@ -34,11 +35,15 @@ MIN_WORDS = 1
 RANKS = 1 << 18  # buckets, 2 MB of longs
 SKETCH = 1 << 16
 HOT = 512
+WIDE = 96  # words from which on a line has a wide parity
+WIDTH = 4  # longs of it
 SPLIT = "'[\\\\x09-\\\\x0D ]+'"
 
 
 def words_sql(text: str) -> str:
-    return f"array_remove(split(lower({text}), {SPLIT}), '')"
+    # A split at one sign needs no pattern; it does where no white space but spaces and line ends is there.
+    other = " or ".join(f"contains({text}, chr({sign}))" for sign in (9, 11, 12, 13))
+    return f"array_remove(split(replace(lower({text}), chr(10), ' '), if({other}, {SPLIT}, ' ')), '')"
 
 
 def word_ranks(docs: DataFrame) -> DataFrame:
@@ -78,29 +83,34 @@ def set_lines(docs: DataFrame, ranks: DataFrame, threshold: Fraction, min_words:
     A set so small that no other set can be similar has no prefix: it takes part by its name alone.
     """
     top, below = threshold.numerator, threshold.denominator
+    bits = "a ^ shiftleft(1L, cast(shiftrightunsigned(x, 58) as int))"
+    wide = ", ".join(f"'w{k}', aggregate(h, 0L, (a, x) -> if((shiftrightunsigned(x, 56) & 3) = {k}, {bits}, a))"
+                     for k in range(WIDTH))
     length = f"if(n * {below - top} >= {top}, n - ({top} * n + {below - 1}) div {below} + 1, 0)"
     return (with_codes(lines_of(docs), ranks).withColumn("n", F.size("codes"))
             .where(F.col("n") >= max(1, min_words))
             .select("doc_id", "row", "line_no", "n",
                     F.xxhash64("codes").alias("h1"), F.xxhash64(F.lit("second"), "codes").alias("h2"),
-                    F.expr("aggregate(h, 0L, (a, x) -> a ^ shiftleft(1L, cast(shiftrightunsigned(x, 58) as int)))")
-                    .alias("parity"),
+                    F.expr(f"aggregate(h, 0L, (a, x) -> {bits})").alias("parity"),
+                    F.expr(f"if(n >= {WIDE}, named_struct({wide}), null)").alias("wide"),
                     F.expr(f"element_at(codes, cast(nullif({length}, 0) as int))").alias("last"),
                     F.expr(f"transform(slice(codes, 1, cast({length} as int)),"
                            " x -> cast(shiftright(shiftleft(x, 32), 32) as int))").alias("prefix")))
 
 
 def postings(sets: DataFrame, *more: str) -> DataFrame:
-    return sets.select("id", "n", "parity", *more, F.posexplode("prefix").alias("pos", "code"))
+    return sets.select("id", "n", "parity", "wide", *more, F.posexplode("prefix").alias("pos", "code"))
 
 
 def fits(threshold: Fraction) -> str:
     """Length, positional and parity filters on a pair of postings ``a`` and ``b``."""
     top, below = threshold.numerator, threshold.denominator
     need = overlap_sql(threshold, "a.n", "b.n")
+    apart = " + ".join(f"bit_count(a.wide.w{k} ^ b.wide.w{k})" for k in range(WIDTH))
     return (f"a.n * {below} >= b.n * {top} and b.n * {below} >= a.n * {top}"
             f" and 1 + least(a.n - a.pos, b.n - b.pos) - 1 >= {need}"
-            f" and bit_count(a.parity ^ b.parity) <= a.n + b.n - 2 * {need}")
+            f" and bit_count(a.parity ^ b.parity) <= a.n + b.n - 2 * {need}"
+            f" and coalesce({apart}, 0) <= a.n + b.n - 2 * {need}")
 
 
 def hot_codes(sets: DataFrame) -> DataFrame:
@@ -183,7 +193,7 @@ def later_sets(sets: DataFrame, docs: DataFrame, ranks: DataFrame, threshold: Fr
         return confirmed(found, sets, docs, ranks, threshold)
     with Scratch(sets.sparkSession) as own:
         busy = own.cut(postings(sets, "first").join(hot, "code", "left_semi"), "lines-busy")
-        pivots = busy.groupBy("code").agg(F.min(F.struct("first", "id", "n", "pos", "parity")).alias("p")).select(
+        pivots = busy.groupBy("code").agg(F.min(F.struct("first", "id", "n", "pos", "parity", "wide")).alias("p")).select(
             "code", "p.*")
         earlier = F.expr("a.code = b.code and b.first < a.first and " + fits(threshold))
         star = busy.alias("a").join(pivots.alias("b"), earlier).select(*ends).distinct()
@@ -203,7 +213,7 @@ def removed_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, min_words: i
         lines = own.cut(set_lines(docs, ranks, threshold, min_words), "lines")
         sets = own.cut(lines.groupBy("h1", "h2").agg(
             F.min(F.struct("doc_id", "line_no", "row")).alias("first"), F.count("*").alias("copies"),
-            *[F.first(name).alias(name) for name in ("n", "parity", "last", "prefix")])
+            *[F.first(name).alias(name) for name in ("n", "parity", "wide", "last", "prefix")])
             .withColumn("id", F.monotonically_increasing_id()), "lines-sets")
         later = later_sets(sets, docs, ranks, threshold)
         touched = (sets.select("id", "h1", "h2", "first", "copies")

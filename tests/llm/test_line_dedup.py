@@ -89,3 +89,35 @@ def test_main_path_has_no_python(spark):
     frame = spark.createDataFrame(some_docs(1, 20), "doc_id long, text string")
     plan = line_dedup.dedup_lines(frame)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_long_lines_do_not_meet_by_chance(spark):
+    """Long lines that share a rare word and little else are no candidates; similar ones go as by brute force."""
+    rng = random.Random(2)
+    lines = [[f"rare{i % 40}", *(f"w{rng.randrange(4000)}" for _ in range(180))] for i in range(400)]
+    near = [[*line[:-6], *(f"x{rng.randrange(4000)}" for _ in range(6))] for line in lines[:20]]
+    docs = [(d, "  ".join(words)) for d, words in enumerate(lines + near)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    ranks = line_dedup.word_ranks(frame)
+    postings = line_dedup.postings(line_dedup.set_lines(frame, ranks, line_dedup.THRESHOLD, 1).withColumn("id", F.col("doc_id")))
+    met = postings.alias("a").join(postings.alias("b"), F.expr(
+        "a.code = b.code and a.id < b.id and " + line_dedup.fits(line_dedup.THRESHOLD)))
+    assert {(r.a, r.b) for r in met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).collect()} == {
+        (d, 400 + d) for d in range(20)}
+    found = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()}
+    assert found == plain(docs) and sum(text == "" for text in found.values()) == 20
+
+
+@pytest.mark.parametrize("sign", [" ", "  ", "\t", "\v", "\f", "\r"])
+def test_every_white_space_parts_words(spark, sign):
+    docs = [(1, f"a b c d e{sign}\n"), (2, f"{sign}a{sign}b c{sign}d e"), (3, f"a{sign}b c d e")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()} == plain(docs)
+
+
+def test_cuts_leave_no_shuffle_files(spark):
+    from finloom.llm import common
+
+    before = spark.conf.get(common.DROP_SHUFFLES, "false")
+    written = common.cut(spark.range(2000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n")), "cleanup")
+    assert spark.conf.get(common.DROP_SHUFFLES) == before and {r.n for r in written.collect()} == {285, 286}
