@@ -17,6 +17,7 @@ from finloom.plans.hierarchies import profit_center_hierarchy
 from finloom.plans.tables import ROW_ID, TABLES, build_table, project_table
 from finloom.sources import values as v
 from finloom.sources.location import passing_folder
+from finloom.sources.rows import dealt
 from finloom.sources.volumes import Volumes
 
 # One small declared table per group of column generators.
@@ -128,6 +129,7 @@ def project(spark: SparkSession, sf: str, source: str, spec: s.TableSpec, option
         ids = ids.selectExpr(f"({ROW_ID} - 1) % {spec.max_rows} + 1 AS {ROW_ID}").distinct()
         rows = min(rows, spec.max_rows)
     tune_session(spark)
+    ids = dealt(ids, rows, len(columns or spec.fields()), ROW_ID)
     return project_table(ids, spec, rows, domain_sizes(spark, sf, needed), options=options, columns=columns,
                          domains=domains)
 
@@ -150,7 +152,9 @@ def renamed(source: str, spec: s.TableSpec, names: dict[str, str]) -> tuple[Call
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
         sizes = domain_sizes(spark, sf)
-        return project_table(row_ids_of(spark, sf, source), spec, size(spark, sf, source), sizes, rename=kept,
+        rows = size(spark, sf, source)
+        ids = dealt(row_ids_of(spark, sf, source), rows, len(spec.fields()), ROW_ID)
+        return project_table(ids, spec, rows, sizes, rename=kept,
                              extra=[("parity", F.expr(f"{ROW_ID} % 2"))])
 
     def sql() -> str:

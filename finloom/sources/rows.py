@@ -23,6 +23,15 @@ def row_ids(spark: SparkSession, rows: int, partitions: int | None = None, name:
     return spark.range(1, rows + 1, 1, parts).withColumnRenamed("id", name)
 
 
+def dealt(ids: DataFrame, rows: int, columns: int = 1, name: str = "__row_id") -> DataFrame:
+    """Given ids over as many partitions as ``row_ids`` would make for them.
+
+    Ids read from files are few bytes, so the files' partitions are too few for a wide table. Only the ids move.
+    """
+    parts = partitions_for(rows, columns, ids.sparkSession.sparkContext.defaultParallelism)
+    return ids.repartition(parts, name) if parts > 1 else ids
+
+
 def bucket_count(total_rows: int, wanted_rows: int) -> int:
     """How many hash buckets leave about ``wanted_rows`` in each."""
     return max(1, total_rows // max(1, wanted_rows))

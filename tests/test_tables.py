@@ -3,6 +3,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from finloom.plans.dataset import (
     CURRENT_TABLES, RETIRED_TABLES, contract_of, dependencies, plan, referenced_column,
@@ -136,3 +137,15 @@ def test_domains_for_columns_that_no_table_has_are_refused(spark, name):
 def test_one_set_of_domains_serves_several_tables(spark):
     domains = {"currency_cd": {"values": ["USD"]}, "general_ledger_fact.sales_qty": {"min": 1, "max": 2}}
     assert build_table(spark, "company_code", 5, domains=domains).count() == 5
+
+
+def test_given_ids_are_dealt_by_the_cells_they_become(spark):
+    from finloom.sources.rows import dealt, partitions_for
+
+    ids = spark.range(1, 60_001).coalesce(1).withColumnRenamed("id", "__row_id")
+    cores = spark.sparkContext.defaultParallelism
+    assert partitions_for(60_000, 136, cores) == min(cores, 9)
+    wide = dealt(ids, 60_000, 136)
+    sizes = [r["count"] for r in wide.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) == min(cores, 9) and sum(sizes) == 60_000 and max(sizes) < 2 * min(sizes)
+    assert dealt(ids, 60_000, 10) is ids and wide.distinct().count() == 60_000
