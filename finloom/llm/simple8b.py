@@ -12,6 +12,7 @@ import numpy as np
 # Fixed values: (values per word, bits per value) by selector; selector 0 is the escape.
 SELECTORS = ((1, 60), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12),
              (4, 15), (3, 20), (2, 30), (1, 60))
+COUNTS = np.array([count for count, _ in SELECTORS])
 PAYLOAD = np.uint64((1 << 60) - 1)
 
 
@@ -19,20 +20,18 @@ def choose(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each word starts, and its selector: at every place the one that takes most values."""
     size = len(values)
     selector = np.zeros(size, np.uint8)
-    step = np.ones(size, np.int64)
     for at in range(len(SELECTORS) - 1, 0, -1):
         count, width = SELECTORS[at]
         # Values beyond the end count as zeros.
         wide = np.zeros(size + count + 1, np.int32)
         np.cumsum(values >= np.uint64(1 << width), out=wide[1:size + 1])
         wide[size + 1:] = wide[size]
-        fits = wide[count:size + count] == wide[:size]
-        selector[fits], step[fits] = at, count
-    following = (np.arange(size) + step).tolist()
+        np.copyto(selector, np.uint8(at), where=wide[count:size + count] == wide[:size])
+    steps = COUNTS[selector].astype(np.uint8).tobytes()  # as bytes they are read without a list of numbers
     starts, at = [], 0
     while at < size:
         starts.append(at)
-        at = following[at]
+        at += steps[at]
     starts = np.array(starts, np.int64)
     return starts, selector[starts]
 
@@ -57,7 +56,7 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def decode(words: np.ndarray, escaped: np.ndarray, size: int) -> np.ndarray:
     """The first ``size`` values of the words."""
     selectors = (words >> np.uint64(60)).astype(np.int64)
-    counts = np.array([count for count, _ in SELECTORS])[selectors]
+    counts = COUNTS[selectors]
     starts = np.cumsum(counts) - counts
     out = np.zeros(size + 128, np.uint64)
     for at, (count, width) in enumerate(SELECTORS):

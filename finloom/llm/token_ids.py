@@ -12,7 +12,9 @@ Parquet with their partition and number, through its commit protocol: a task los
 system Spark knows will do. Partition and number order the blocks; a block can be read without its neighbours.
 
 An id costs most where its word is new: texts are cut at single spaces and line ends between other signs, where a
-byte-level pre-tokeniser cuts as well, and a worker remembers frequent words. Other texts are encoded whole.
+byte-level pre-tokeniser cuts as well, and a worker remembers frequent words. It also cuts between a run of letters or of
+digits and the punctuation behind it, so a new word that is no more than that goes to the tokenizer's model at once and
+is known with any punctuation. Other words go through the whole tokenizer; other texts are encoded whole.
 
 Defined cases: a null or empty text holds the end id alone; rows with one ``doc_id`` are ordered by their text; a
 null ``doc_id`` comes first and is stored with a flag; other columns are not read.
@@ -22,8 +24,6 @@ from __future__ import annotations
 
 import re
 import struct
-import sys
-from array import array
 from collections.abc import Iterator
 from pathlib import Path
 from zlib import crc32
@@ -45,27 +45,49 @@ MAGIC = b"S8B1"
 HEAD = struct.Struct("<4s5I")
 NO_ID = np.int64(-(1 << 63))
 LOOSE = re.compile(r"\s\s|^\s|\s\Z")
+# Signs that have been letters in every version of Unicode that has them, or digits, then ASCII punctuation.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏЀ-ҁぁ-ゖァ-ヺ一-鿌가-힣]+|[0-9]+)([!-/:-@\\[-`{-~]*)")
 ENCODERS: dict[int, Encoder] = {}  # per worker process
 
 
+def byte_signs() -> dict[int, str]:
+    """The sign that stands for a byte in a byte-level vocabulary."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [byte for byte in range(256) if byte not in shown]
+    return {byte: chr(byte) for byte in shown} | {byte: chr(256 + at) for at, byte in enumerate(hidden)}
+
+
+BYTE_SIGNS = byte_signs()
+
+
+def loose(text: str) -> bool:
+    """Whether white space stands at an end or beside other white space."""
+    words, cuts = text.split(), text.count(" ") + text.count("\n")
+    # As many single cuts as words ask for and no other white space: the usual case, told without a search.
+    usual = len(words) == cuts + 1 and sum(map(len, words)) + cuts == len(text)
+    return not usual and LOOSE.search(text) is not None
+
+
 class Words(dict):
     """Text piece -> its ids as bytes, filled on demand.
 
     When a generation is full it becomes the old one, and what is met again moves on into the next. Frequent words so
-    stay, and what was met once is forgotten.
+    stay, and what was met once is forgotten. ``plain`` says that the tokenizer cuts as byte-level ones do.
     """
 
-    def __init__(self, tokenizer, before: str):
+    def __init__(self, tokenizer, before: str, plain: bool):
         super().__init__()
-        self.tokenizer, self.before, self.old = tokenizer, before, {}
+        self.tokenizer, self.before, self.plain, self.old, self.ends = tokenizer, before, plain, {}, {}
+        self.model, self.mark = tokenizer.model, self.signs(before)
+
+    @staticmethod
+    def signs(piece: str) -> str:
+        return "".join(map(BYTE_SIGNS.__getitem__, piece.encode()))
 
     def __missing__(self, piece: str) -> bytes:
         found = self.old.get(piece)
         if found is None:
-            found = array("I", self.tokenizer.encode(self.before + piece, add_special_tokens=False).ids)
-            if sys.byteorder == "big":
-                found.byteswap()
-            found = found.tobytes()
+            found = self.encoded(piece)
         if len(piece) <= LONGEST:
             if len(self) >= REMEMBERED:
                 self.old = dict(self)
@@ -73,6 +95,26 @@ class Words(dict):
             self[piece] = found
         return found
 
+    def encoded(self, piece: str) -> bytes:
+        plain = PLAIN.fullmatch(piece) if self.plain else None
+        if plain is None:
+            ids = self.tokenizer.encode(self.before + piece, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
+        word, end = plain.groups()
+        if end:
+            return self[word] + (self.ends.get(end) or self.end_ids(end))
+        return self.model_ids(self.mark + (piece if piece.isascii() else self.signs(piece)))
+
+    def end_ids(self, end: str) -> bytes:
+        found = self.model_ids(end)
+        if len(end) <= 2:  # a thousand or so
+            self.ends[end] = found
+        return found
+
+    def model_ids(self, signs: str) -> bytes:
+        ids = [token.id for token in self.model.tokenize(signs)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
 
 class Encoder:
     def __init__(self, definition: str):
@@ -84,10 +126,11 @@ class Encoder:
         self.cuts = (self.tokenizer.normalizer is None
                      and type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel"
                      and not self.tokenizer.pre_tokenizer.add_prefix_space)
-        self.spaced, self.first = Words(self.tokenizer, " "), Words(self.tokenizer, "")
+        plain = self.cuts and self.tokenizer.pre_tokenizer.use_regex and type(self.tokenizer.model).__name__ == "BPE"
+        self.spaced, self.first = Words(self.tokenizer, " ", plain), Words(self.tokenizer, "", plain)
 
     def ids(self, text: str) -> np.ndarray:
-        if not self.cuts or LOOSE.search(text) or any(token in text for token in self.special):
+        if not self.cuts or loose(text) or any(token in text for token in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
         out = []
         for at, line in enumerate(text.split("\n")) if text else ():

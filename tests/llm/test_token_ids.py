@@ -68,3 +68,24 @@ def test_empty_table(spark, tmp_path):
     frame = spark.createDataFrame([], "doc_id long, text string")
     token_ids.write_ids(frame, str(tmp_path / "none"), Path(FILE).read_text(encoding="utf-8"))
     assert token_ids.read_ids(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_plain_words_have_the_ids_of_the_whole_tokenizer():
+    encoder = token_ids.Encoder(Path(FILE).read_text(encoding="utf-8"))
+    signs = "abXYZéßĀɏЀҁяぁゖァヺ一鿌가힣ñ09,.;:'!?-_()[]`~{}$+<=>|^\\/\"#%&*@"
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list(signs), rng.integers(1, 6))) + end for end in ("", ".", "'s", "')", "...", "'")
+             for _ in range(400)] + ["Straße,", "12.", "don't", "re'"]
+    for known in (encoder.spaced, encoder.first):
+        assert known.plain
+        for word in words:
+            assert np.frombuffer(known[word], "<u4").tolist() == encoder.tokenizer.encode(
+                known.before + word, add_special_tokens=False).ids
+    calls = []
+    encoder.spaced.tokenizer = type("Counted", (), {"encode": lambda self, text, **_: calls.append(text)})()
+    assert encoder.spaced["unheard"] and encoder.spaced["unheard,"] and not calls
+
+
+@pytest.mark.parametrize("text", ["a b", "a\tb  c", " a", "a ", "a\n\nb", "a\nb c", "", "a b  c", "a  b", "a\x1cb"])
+def test_loose_is_what_the_pattern_says(text):
+    assert token_ids.loose(text) == bool(token_ids.LOOSE.search(text))
