@@ -14,19 +14,40 @@ SELECTORS = ((1, 60), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10
              (4, 15), (3, 20), (2, 30), (1, 60))
 COUNTS = np.array([count for count, _ in SELECTORS])
 PAYLOAD = np.uint64((1 << 60) - 1)
+SMALL = 1 << 18  # numbers below have their bits in a table
+BITS = np.frexp(np.arange(SMALL))[1].astype(np.uint8)
+
+
+def bits_of(values: np.ndarray) -> np.ndarray:
+    """The bits of each value, as bytes."""
+    if not len(values) or values.max() < SMALL:
+        return BITS[values.astype(np.intp)]
+    return np.searchsorted(np.uint64(1) << np.arange(64, dtype=np.uint64), values, side="right").astype(np.uint8)
+
+
+def widest(bits: np.ndarray) -> dict[int, np.ndarray]:
+    """By number of values: the most bits that so many of them have, from each place on."""
+    size, longest = len(bits), int(COUNTS.max())
+    runs, length = {1: np.concatenate([bits, np.zeros(longest, np.uint8)])}, 1
+    while 2 * length <= longest:
+        runs[2 * length] = np.maximum(runs[length][:-length], runs[length][length:])
+        length *= 2
+    out = {}
+    for count in set(COUNTS.tolist()):  # two runs of a power of two, which may overlap
+        half = 1 << (count.bit_length() - 1)
+        run = runs[half]
+        out[count] = np.maximum(run[:size], run[count - half:count - half + size])
+    return out
 
 
 def choose(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each word starts, and its selector: at every place the one that takes most values."""
     size = len(values)
     selector = np.zeros(size, np.uint8)
+    most = widest(bits_of(values))  # values beyond the end count as zeros
     for at in range(len(SELECTORS) - 1, 0, -1):
         count, width = SELECTORS[at]
-        # Values beyond the end count as zeros.
-        wide = np.zeros(size + count + 1, np.int32)
-        np.cumsum(values >= np.uint64(1 << width), out=wide[1:size + 1])
-        wide[size + 1:] = wide[size]
-        np.copyto(selector, np.uint8(at), where=wide[count:size + count] == wide[:size])
+        np.copyto(selector, np.uint8(at), where=most[count] <= width)
     steps = COUNTS[selector].astype(np.uint8).tobytes()  # as bytes they are read without a list of numbers
     starts, at = [], 0
     while at < size:

@@ -14,7 +14,9 @@ system Spark knows will do. Partition and number order the blocks; a block can b
 An id costs most where its word is new: texts are cut at single spaces and line ends between other signs, where a
 byte-level pre-tokeniser cuts as well, and a worker remembers frequent words. It also cuts between a run of letters or of
 digits and the punctuation behind it, so a new word that is no more than that goes to the tokenizer's model at once and
-is known with any punctuation. Other words go through the whole tokenizer; other texts are encoded whole.
+is known with any punctuation. Other words go through the whole tokenizer; other texts are encoded whole. That a text is
+such a one shows when a piece of it is met for the first time, so known pieces are not looked at again. Arrow cuts some
+``SLICE`` bytes of texts at a time and numbers their different pieces; only those are looked up, once each.
 
 Defined cases: a null or empty text holds the end id alone; rows with one ``doc_id`` are ordered by their text; a
 null ``doc_id`` comes first and is stored with a flag; other columns are not read.
@@ -30,6 +32,8 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,6 +44,7 @@ from finloom.llm.common import table, text_of, work_folder
 BLOCK_IDS = 1 << 18
 END_ID = 0
 REMEMBERED = 500_000  # words in each of the two generations that a worker keeps
+SLICE = 1 << 22  # bytes of texts cut at a time, or one text
 LONGEST = 64  # signs of a word that is kept: a generation so has at most about 100 MB
 MAGIC = b"S8B1"
 HEAD = struct.Struct("<4s5I")
@@ -47,6 +52,7 @@ NO_ID = np.int64(-(1 << 63))
 LOOSE = re.compile(r"\s\s|^\s|\s\Z")
 # Signs that have been letters in every version of Unicode that has them, or digits, then ASCII punctuation.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏЀ-ҁぁ-ゖァ-ヺ一-鿌가-힣]+|[0-9]+)([!-/:-@\\[-`{-~]*)")
+PACKS = [struct.Struct(f"<{n}I").pack for n in range(2 * LONGEST)]
 ENCODERS: dict[int, Encoder] = {}  # per worker process
 
 
@@ -68,6 +74,14 @@ def loose(text: str) -> bool:
     return not usual and LOOSE.search(text) is not None
 
 
+class Loose(Exception):
+    """A piece that stands beside white space, so that the text can't be cut there."""
+
+
+def packed(ids: list[int]) -> bytes:
+    return PACKS[len(ids)](*ids) if len(ids) < len(PACKS) else struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Words(dict):
     """Text piece -> its ids as bytes, filled on demand.
 
@@ -88,6 +102,9 @@ class Words(dict):
         found = self.old.get(piece)
         if found is None:
             found = self.encoded(piece)
+        return self.kept(piece, found)
+
+    def kept(self, piece: str, found: bytes) -> bytes:
         if len(piece) <= LONGEST:
             if len(self) >= REMEMBERED:
                 self.old = dict(self)
@@ -98,12 +115,14 @@ class Words(dict):
     def encoded(self, piece: str) -> bytes:
         plain = PLAIN.fullmatch(piece) if self.plain else None
         if plain is None:
-            ids = self.tokenizer.encode(self.before + piece, add_special_tokens=False).ids
-            return struct.pack(f"<{len(ids)}I", *ids)
+            if not piece or loose(piece):
+                raise Loose
+            return packed(self.tokenizer.encode(self.before + piece, add_special_tokens=False).ids)
         word, end = plain.groups()
-        if end:
-            return self[word] + (self.ends.get(end) or self.end_ids(end))
-        return self.model_ids(self.mark + (piece if piece.isascii() else self.signs(piece)))
+        if not end:
+            return self.word_ids(word)
+        found = self.get(word) or self.old.get(word) or self.word_ids(word)
+        return self.kept(word, found) + (self.ends.get(end) or self.end_ids(end))
 
     def end_ids(self, end: str) -> bytes:
         found = self.model_ids(end)
@@ -111,9 +130,23 @@ class Words(dict):
             self.ends[end] = found
         return found
 
+    def word_ids(self, word: str) -> bytes:
+        return self.model_ids(self.mark + (word if word.isascii() else self.signs(word)))
+
     def model_ids(self, signs: str) -> bytes:
-        ids = [token.id for token in self.model.tokenize(signs)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return packed([token.id for token in self.model.tokenize(signs)])
+
+
+class Lines(Words):
+    """As ``Words``, of pieces that follow a space or, with the line end before them, start a line."""
+
+    def __init__(self, tokenizer, first: Words):
+        super().__init__(tokenizer, " ", first.plain)
+        self.first = first
+        self.line_end = packed(tokenizer.encode("\n", add_special_tokens=False).ids)
+
+    def encoded(self, piece: str) -> bytes:
+        return self.line_end + self.first[piece[1:]] if piece[:1] == "\n" else super().encoded(piece)
 
 
 class Encoder:
@@ -127,19 +160,48 @@ class Encoder:
                      and type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel"
                      and not self.tokenizer.pre_tokenizer.add_prefix_space)
         plain = self.cuts and self.tokenizer.pre_tokenizer.use_regex and type(self.tokenizer.model).__name__ == "BPE"
-        self.spaced, self.first = Words(self.tokenizer, " ", plain), Words(self.tokenizer, "", plain)
-
-    def ids(self, text: str) -> np.ndarray:
-        if not self.cuts or loose(text) or any(token in text for token in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-        out = []
-        for at, line in enumerate(text.split("\n")) if text else ():
-            if at:
-                out.append(self.first["\n"])
-            head, *rest = line.split(" ")
-            out.append(self.first[head])
-            out.extend(map(self.spaced.__getitem__, rest))
-        return np.frombuffer(b"".join(out), "<u4")
+        self.first = Words(self.tokenizer, "", plain)
+        self.spaced = Lines(self.tokenizer, self.first)
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def ids(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each of some texts."""
+        if not self.cuts:
+            return [self.whole(text) for text in texts.to_pylist()]
+        marked = pc.binary_join_element_wise("\n", pc.replace_substring(texts, "\n", " \n"), "")
+        pieces = pc.split_pattern(marked, " ")
+        numbered = pieces.flatten().dictionary_encode()
+        known, beside = [], np.zeros(len(numbered.dictionary), bool)
+        for at, piece in enumerate(numbered.dictionary.to_numpy(zero_copy_only=False)):
+            try:
+                known.append(self.spaced[piece])
+            except Loose:
+                known.append(b"")
+                beside[at] = True
+        starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, known), np.int64, len(known)) // 4)])
+        lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(np.frombuffer(b"".join(known), "<u4")))
+        taken = lists.take(numbered.indices)
+        first = pieces.offsets.to_numpy()  # of each text among all pieces
+        at = taken.offsets.to_numpy()[first].tolist()
+        flat, skipped = taken.values.to_numpy(), len(self.spaced.line_end) // 4  # the mark before each text
+        out = [flat[a + skipped:b] for a, b in zip(at, at[1:], strict=False)]
+        odd = np.concatenate([[0], np.cumsum(beside[numbered.indices.to_numpy()])])[first]
+        odd = odd[1:] > odd[:-1]
+        for token in self.special:
+            odd = odd | pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        for text in np.flatnonzero(odd).tolist():
+            out[text] = self.whole(texts[text].as_py())
+        return out
+
+
+def slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in runs of about ``SLICE`` bytes."""
+    run = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64)) // SLICE
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(texts)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        yield texts.slice(a, b - a)
 
 
 def encoder_of(definition: str) -> Encoder:
@@ -186,18 +248,21 @@ def write_ids(docs: DataFrame, path: str, definition: str, end_id: int = END_ID)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(definition)  # the vocabulary file, a few MB
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = encoder_of(shared.value), TaskContext.get().partitionId()
         number, size, keys, ids = 0, 0, [], []
 
         def block():
-            return pd.DataFrame({"part": [part], "number": [number], "n_ids": [size],
-                                 "block": [write_block(keys, ids)]})
+            return pa.RecordBatch.from_pydict({
+                "part": pa.array([part], pa.int32()), "number": pa.array([number], pa.int32()),
+                "n_ids": pa.array([size], pa.int64()), "block": pa.array([write_block(keys, ids)], pa.binary())})
 
         for batch in batches:
-            for doc_id, missing, text in zip(batch["doc_id"], batch["missing"], batch["text"], strict=True):
+            keyed = zip(batch.column("doc_id").to_numpy(), batch.column("missing").to_pylist(), strict=True)
+            encoded = (own for texts in slices(batch.column("text")) for own in encoder.ids(texts))
+            for (doc_id, missing), own in zip(keyed, encoded, strict=True):
                 keys.append(None if missing else doc_id)
-                ids.append(np.append(encoder.ids(text), np.uint32(end_id)))
+                ids.append(np.append(own, np.uint32(end_id)))
                 size += len(ids[-1])
                 if size >= BLOCK_IDS:
                     yield block()
@@ -210,7 +275,7 @@ def write_ids(docs: DataFrame, path: str, definition: str, end_id: int = END_ID)
                        text_of().alias("text"))
     order = [F.desc("missing"), "doc_id"]
     (rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
-     .mapInPandas(pack, "part int, number int, n_ids long, block binary")
+     .mapInArrow(pack, "part int, number int, n_ids long, block binary")
      .write.option("compression", "zstd").parquet(path))
 
 
@@ -237,7 +302,9 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame
                 }).astype({"doc_id": "Int64", "ids_crc32": "int64"})
                 yield rows.assign(ids=each) if with_ids else rows
 
-    return blocks.select("part", "number", "block").join(starts, ["part", "number"]).select("block", "begin").mapInPandas(
+    # One small row per block goes to the blocks, which stay where they are read.
+    placed = blocks.select("part", "number", "block").join(F.broadcast(starts), ["part", "number"])
+    return placed.select("block", "begin").mapInPandas(
         unpack, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids)
 
 

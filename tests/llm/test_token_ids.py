@@ -89,3 +89,40 @@ def test_plain_words_have_the_ids_of_the_whole_tokenizer():
 @pytest.mark.parametrize("text", ["a b", "a\tb  c", " a", "a ", "a\n\nb", "a\nb c", "", "a b  c", "a  b", "a\x1cb"])
 def test_loose_is_what_the_pattern_says(text):
     assert token_ids.loose(text) == bool(token_ids.LOOSE.search(text))
+
+
+@pytest.mark.parametrize("size", [1, 40, 1 << 22])
+def test_pieces_of_a_slice_are_looked_up_once(monkeypatch, size):
+    import pyarrow as pa
+
+    monkeypatch.setattr(token_ids, "SLICE", size)
+    encoder = token_ids.Encoder(Path(FILE).read_text(encoding="utf-8"))
+    texts = ["the same words", "", " lead", "a\nthe same words\nb", "two  spaces", "end\n", "x <|endoftext|> y", "a\tb c"] * 9
+    asked, known = [], encoder.spaced
+
+    class Asked:
+        line_end = known.line_end
+
+        def __getitem__(self, piece):
+            asked.append(piece)
+            return known[piece]
+
+    encoder.spaced = Asked()
+    parts = list(token_ids.slices(pa.array(texts)))
+    found = [ids.tolist() for part in parts for ids in encoder.ids(part)]
+    assert found == [encoder.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert sum(map(len, parts)) == len(texts) and (len(parts) == 1) == (size > 40)
+    assert size < 50 or len(asked) == len(set(asked))
+
+
+def test_blocks_are_read_where_they_lie(spark, tmp_path):
+    """The blocks' places are broadcast to them, also where Spark by itself would shuffle both."""
+    frame = spark.createDataFrame([(1, "x y"), (2, "z")], "doc_id long, text string")
+    token_ids.write_ids(frame, str(tmp_path / "ids"), Path(FILE).read_text(encoding="utf-8"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = token_ids.read_ids(spark, str(tmp_path / "ids"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not any("number#" in line.split("]")[0] for line in plan.split("\n") if "SortMergeJoin" in line)
