@@ -4,16 +4,17 @@ A line is the set of its lower-cased words. A later line goes when an earlier on
 number) has a Jaccard similarity of at least ``threshold`` with it, whether that earlier line stays or not. Lines
 without words are never removed, nor are those of fewer than ``min_words`` distinct words where a caller asks for it.
 
-1. Words are counted over the corpus in ``RANKS`` hash buckets. The level of a bucket's count followed by 58 bits
-   of the word's hash is one long that orders words from rare to common and identifies the word.
+1. A word is one long: its length, long words first, then 57 bits of its hash. Long words are rare ones, mostly, and no
+   pass over the corpus is needed to know them. ``counted`` orders words by their counts over the corpus instead,
+   in ``RANKS`` hash buckets; the order decides how many candidates there are, not what is found.
 2. Equal sets become one row with their first occurrence, so copies never meet each other in a join.
-3. Similar sets share a word among their rarest ones (prefix filter). The join on it keeps pairs whose sizes and
-   word positions still allow the similarity; a 64-bit parity of the words bounds their symmetric difference. Long
-   lines, which 64 bits can't tell apart, have one of 256 bits: else their chance pairs would grow with the square.
+3. Similar sets share two neighbours in that order among their first ones (``prefix_sql``). Keys of one set
+   go before the join, which keeps pairs whose sizes allow the similarity and 64 bits of parity, which bound their
+   symmetric difference. Very long lines, which these can't tell apart, have 256 bits.
 4. Pairs that the common words of their prefixes still allow are verified on their full word sets, which are read again
    for those lines alone.
 
-A word in the prefix of very many distinct sets (``HOT`` or more) is joined in two steps: each of its sets meets
+A key of very many distinct sets (``HOT`` or more) is joined in two steps: each of its sets meets
 the first one, and only sets that this does not remove meet the others. Near copies by the thousand so cost one
 comparison each.
 
@@ -25,7 +26,7 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from finloom.llm.common import Scratch, among, array_of, cut, fresh, settled, table
@@ -33,17 +34,25 @@ from finloom.llm.common import Scratch, among, array_of, cut, fresh, settled, ta
 THRESHOLD = Fraction(4, 5)
 MIN_WORDS = 1
 RANKS = 1 << 18  # buckets, 2 MB of longs
-SKETCH = 1 << 16
 HOT = 512
-WIDE = 96  # words from which on a line has a wide parity
+PAIRS = Fraction(3, 4)  # least threshold at which similar sets surely share two neighbours
+WIDE = 160  # words from which on a line has a wide parity
 WIDTH = 4  # longs of it
 SPLIT = "'[\\\\x09-\\\\x0D ]+'"
 
 
-def words_sql(text: str) -> str:
+def pieces_sql(text: str, lower: str = "lower({})") -> str:
     # A split at one sign needs no pattern; it does where no white space but spaces and line ends is there.
     other = " or ".join(f"contains({text}, chr({sign}))" for sign in (9, 11, 12, 13))
-    return f"array_remove(split(replace(lower({text}), chr(10), ' '), if({other}, {SPLIT}, ' ')), '')"
+    return f"split({lower.format(text)}, if({other}, {SPLIT}, ' '))"
+
+
+def words_sql(text: str) -> str:
+    return f"array_remove({pieces_sql(text, lower="replace(lower({}), chr(10), ' ')")}, '')"
+
+
+def code_of(word: Column) -> Column:
+    return F.shiftleft(-F.octet_length(word).cast("long"), 57).bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 7))
 
 
 def word_ranks(docs: DataFrame) -> DataFrame:
@@ -68,74 +77,100 @@ def lines_of(docs: DataFrame) -> DataFrame:
         F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
-def with_codes(lines: DataFrame, ranks: DataFrame) -> DataFrame:
+def with_codes(lines: DataFrame, ranks: DataFrame | None) -> DataFrame:
     """The distinct words of each line as sorted codes, rare ones first."""
+    if ranks is None:
+        pieces = F.transform(F.expr(pieces_sql("line")), code_of)
+        codes = F.array_except(pieces, F.array(code_of(F.lit(""))))
+        return lines.withColumn("codes", settled(F.sort_array(codes))).drop("line")
     words = F.array_distinct(F.transform(F.expr(words_sql("line")), lambda w: F.xxhash64(w)))
     hashed = lines.withColumn("h", settled(words)).withColumn("numbers", ranks.scalar())
     codes = F.transform("h", lambda x: F.get("numbers", x.bitwiseAND(RANKS - 1).cast("int")).bitwiseOR(
         F.shiftrightunsigned(x, 6)))
-    return hashed.withColumn("codes", settled(F.sort_array(codes))).drop("line", "numbers")
+    return hashed.withColumn("codes", settled(F.sort_array(codes))).drop("line", "numbers", "h")
+
+
+def span_of(threshold: Fraction) -> int:
+    """Words in a key."""
+    return 2 if threshold >= PAIRS else 1
 
 
-def set_lines(docs: DataFrame, ranks: DataFrame, threshold: Fraction, min_words: int) -> DataFrame:
+def prefix_sql(threshold: Fraction) -> str:
+    """The number of first words that hold a common key of any two similar sets; none if no other set can be similar.
+
+    One word: of n at least t * n are common. Two neighbours: each word of a set that the other lacks parts two pairs of
+    its own and one of the other's. With c common words 2 * (n - c) + (m - c) pairs of the set of n are parted at most,
+    which is 2 * (1 - t) * n or less, as c is t / (1 + t) * (n + m) or more and m is t * n or more. At t = 3/4 and above
+    every set that can have a similar one has more pairs than that, so the first common pair is among those.
+    """
+    top, below = threshold.numerator, threshold.denominator
+    words = (f"2 * {below - top} * n div {below} + 2" if span_of(threshold) == 2
+             else f"n - ({top} * n + {below - 1}) div {below} + 1")
+    return f"if(n * {below - top} >= {top}, {words}, 0)"
+
+
+def set_lines(docs: DataFrame, ranks: DataFrame | None, threshold: Fraction, min_words: int) -> DataFrame:
     """The lines with words, with the 128-bit name of their set, its size, parity and prefix.
 
     A set so small that no other set can be similar has no prefix: it takes part by its name alone.
     """
-    top, below = threshold.numerator, threshold.denominator
-    bits = "a ^ shiftleft(1L, cast(shiftrightunsigned(x, 58) as int))"
-    wide = ", ".join(f"'w{k}', aggregate(h, 0L, (a, x) -> if((shiftrightunsigned(x, 56) & 3) = {k}, {bits}, a))"
+    bits = "a ^ shiftleft(1L, cast(x & 63 as int))"
+    wide = ", ".join(f"'w{k}', aggregate(codes, 0L, (a, x) -> if((shiftrightunsigned(x, 6) & 3) = {k}, {bits}, a))"
                      for k in range(WIDTH))
-    length = f"if(n * {below - top} >= {top}, n - ({top} * n + {below - 1}) div {below} + 1, 0)"
+    length = prefix_sql(threshold)
     return (with_codes(lines_of(docs), ranks).withColumn("n", F.size("codes"))
             .where(F.col("n") >= max(1, min_words))
             .select("doc_id", "row", "line_no", "n",
                     F.xxhash64("codes").alias("h1"), F.xxhash64(F.lit("second"), "codes").alias("h2"),
-                    F.expr(f"aggregate(h, 0L, (a, x) -> {bits})").alias("parity"),
+                    F.expr("aggregate(codes, 0L, (a, x) -> a ^ shiftleft(1L, hash(x)))").alias("parity"),
                     F.expr(f"if(n >= {WIDE}, named_struct({wide}), null)").alias("wide"),
                     F.expr(f"element_at(codes, cast(nullif({length}, 0) as int))").alias("last"),
-                    F.expr(f"transform(slice(codes, 1, cast({length} as int)),"
-                           " x -> cast(shiftright(shiftleft(x, 32), 32) as int))").alias("prefix")))
+                    F.expr(f"transform(slice(codes, 1, cast({length} as int)), x -> hash(x))").alias("prefix")))
 
 
-def postings(sets: DataFrame, *more: str) -> DataFrame:
-    return sets.select("id", "n", "parity", "wide", *more, F.posexplode("prefix").alias("pos", "code"))
+def postings(sets: DataFrame, *more: str, span: int = 2) -> DataFrame:
+    """A row for each key of a set, ``code``: a word, or two neighbours."""
+    first = F.col("word").cast("long")
+    second = F.get("prefix", F.col("pos") + 1).cast("long")
+    code = first if span == 1 else F.shiftleft(first, 32).bitwiseOR(second.bitwiseAND(0xFFFFFFFF))
+    return (sets.select("id", "n", "parity", "wide", *more, "prefix", F.posexplode("prefix").alias("pos", "word"))
+            .where(F.col("pos") <= F.size("prefix") - span)
+            .select("id", "n", "parity", "wide", *more, code.alias("code")))
 
 
 def fits(threshold: Fraction) -> str:
-    """Length, positional and parity filters on a pair of postings ``a`` and ``b``."""
+    """Length and parity filters on a pair of postings ``a`` and ``b``."""
     top, below = threshold.numerator, threshold.denominator
     need = overlap_sql(threshold, "a.n", "b.n")
     apart = " + ".join(f"bit_count(a.wide.w{k} ^ b.wide.w{k})" for k in range(WIDTH))
     return (f"a.n * {below} >= b.n * {top} and b.n * {below} >= a.n * {top}"
-            f" and 1 + least(a.n - a.pos, b.n - b.pos) - 1 >= {need}"
             f" and bit_count(a.parity ^ b.parity) <= a.n + b.n - 2 * {need}"
             f" and coalesce({apart}, 0) <= a.n + b.n - 2 * {need}")
 
 
-def hot_codes(sets: DataFrame) -> DataFrame:
-    """Prefix words of ``HOT`` sets or more. A sketch of fixed size rules most words out before they are counted."""
-    codes = sets.select(F.explode("prefix").alias("code"))
-    bucket = F.pmod(F.xxhash64("code"), F.lit(SKETCH)).cast("int")
-    sketch = cut(array_of(codes.groupBy(bucket.alias("i")).agg(F.count("*").alias("v")), SKETCH), "lines-sketch")
-    likely = codes.where(F.element_at(sketch.scalar(), bucket + 1) >= HOT)
-    return cut(likely.groupBy("code").agg(F.count("*").alias("n")).where(F.col("n") >= HOT).select("code"),
-               "lines-hot")
+def shared_postings(sets: DataFrame, threshold: Fraction) -> DataFrame:
+    """The postings of keys that two postings or more have, with their number, ``many``.
+
+    Most keys are of one set. Only keys and ids are shuffled to see which; what the join asks for is fetched for the rest.
+    """
+    every = postings(sets, span=span_of(threshold)).select("code", "id")
+    found = every.withColumn("many", F.count("*").over(Window.partitionBy("code"))).where("many > 1")
+    return found.join(sets.select("id", "n", "parity", "wide"), "id")
 
 
 def plausible(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
-    """The pairs of sets (``a``, ``b``) whose prefixes allow the similarity: ``later``, ``earlier``, ``apart``.
+    """The pairs of sets (``a``, ``b``; written) whose prefixes allow the similarity: ``later``, ``earlier``, ``apart``.
 
     Of two sets take the one whose last prefix word is the rarer. What it has in common with the other up to that word
-    lies in both prefixes; all it may share beyond is its other words. This thins out long lines, which parity cannot
-    tell apart. Prefixes hold 32 bits a word: a clash of two words in one prefix counts as one more common word.
+    lies in both prefixes; all it may share beyond is its other words. Prefixes hold 32 bits a word: a clash of two words in one prefix counts as one more common word.
     """
     need = overlap_sql(threshold, "x.n", "y.n")
 
     def most(end: str) -> str:
         return f"{end}.n - size(array_distinct({end}.prefix))"
 
-    ends = sets.select("id", F.struct("first", "n", "last", "prefix", "parity").alias("end"))
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    ends = sets.where(among([sets["id"]], ids, ["id"])).select("id", F.struct("first", "n", "last", "prefix", "parity").alias("end"))
     return (pairs.join(ends.select(F.col("id").alias("a"), F.col("end").alias("x")), "a")
             .join(ends.select(F.col("id").alias("b"), F.col("end").alias("y")), "b")
             .where(f"size(array_intersect(x.prefix, y.prefix)) + if(x.last <= y.last, {most('x')}, {most('y')}) >= {need}")
@@ -144,10 +179,11 @@ def plausible(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFra
                     F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity"))).alias("apart")))
 
 
-def word_sets(ids: DataFrame, sets: DataFrame, docs: DataFrame, ranks: DataFrame, own: Scratch) -> DataFrame:
+def word_sets(ids: DataFrame, sets: DataFrame, docs: DataFrame, ranks: DataFrame | None, own: Scratch) -> DataFrame:
     """The full word sets of some ids, read again from the lines where they first occur."""
     wanted = own.cut(sets.join(ids.distinct(), "id", "left_semi").select("id", "first.*", "h1", "h2"), "lines-wanted")
-    lines = lines_of(docs)
+    here = among([docs["doc_id"].cast("long"), F.xxhash64(docs["text"])], wanted, ["doc_id", "row"])
+    lines = lines_of(docs.where(here))
     place = ["doc_id", "row", "line_no"]
     likely = lines.where(among([lines[c] for c in place], wanted, place))
     same = [likely[c].eqNullSafe(wanted[c]) for c in place]
@@ -165,7 +201,7 @@ def alike(pairs: DataFrame, coded: DataFrame, threshold: Fraction) -> DataFrame:
             .where(f"size(array_intersect(x, y)) >= {need}").select(F.col("later").alias("id")).distinct())
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, ranks: DataFrame, threshold: Fraction,
+def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, ranks: DataFrame | None, threshold: Fraction,
               done: DataFrame | None = None) -> DataFrame:
     """Ids of the sets that resemble an earlier one of their pairs (``a``, ``b``), written. Those in ``done`` are settled.
 
@@ -173,7 +209,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, ranks: DataFra
     not settle are held against all their others.
     """
     with Scratch(sets.sparkSession) as own:
-        pairs = plausible(pairs, sets, threshold)
+        pairs = plausible(own.cut(pairs, "lines-met"), sets, threshold)
         pairs = own.cut(pairs.join(done, "later", "left_anti") if done else pairs, "lines-pairs")
         coded = word_sets(pairs.select(F.explode(F.array("later", "earlier")).alias("id")), sets, docs, ranks, own)
         closest = pairs.groupBy("later").agg(F.min(F.struct("apart", "earlier")).alias("p")).select("later", "p.earlier")
@@ -182,19 +218,18 @@ def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, ranks: DataFra
         return cut(first.unionByName(alike(rest, coded, threshold)), "lines-gone")
 
 
-def later_sets(sets: DataFrame, docs: DataFrame, ranks: DataFrame, threshold: Fraction) -> DataFrame:
+def later_sets(sets: DataFrame, docs: DataFrame, ranks: DataFrame | None, threshold: Fraction) -> DataFrame:
     """Ids of the sets that resemble a set which occurs earlier."""
-    hot = hot_codes(sets)
-    usual = postings(sets).join(hot, "code", "left_anti")
-    ends = (F.col("a.id").alias("a"), F.col("b.id").alias("b"))
-    found = (usual.alias("a").join(usual.alias("b"), F.expr("a.code = b.code and a.id < b.id and " + fits(threshold)))
-             .select(*ends).distinct())
-    if hot.isEmpty():
-        return confirmed(found, sets, docs, ranks, threshold)
     with Scratch(sets.sparkSession) as own:
-        busy = own.cut(postings(sets, "first").join(hot, "code", "left_semi"), "lines-busy")
-        pivots = busy.groupBy("code").agg(F.min(F.struct("first", "id", "n", "pos", "parity", "wide")).alias("p")).select(
-            "code", "p.*")
+        shared = own.cut(shared_postings(sets, threshold), "lines-shared")
+        usual, busy = shared.where(F.col("many") < HOT), shared.where(F.col("many") >= HOT)
+        ends = (F.col("a.id").alias("a"), F.col("b.id").alias("b"))
+        found = (usual.alias("a").join(usual.alias("b"), F.expr("a.code = b.code and a.id < b.id and " + fits(threshold)))
+                 .select(*ends).distinct())
+        if busy.isEmpty():
+            return confirmed(found, sets, docs, ranks, threshold)
+        busy = own.cut(busy.join(sets.select("id", "first"), "id"), "lines-busy")
+        pivots = busy.groupBy("code").agg(F.min(F.struct("first", "id", "n", "parity", "wide")).alias("p")).select("code", "p.*")
         earlier = F.expr("a.code = b.code and b.first < a.first and " + fits(threshold))
         star = busy.alias("a").join(pivots.alias("b"), earlier).select(*ends).distinct()
         gone = confirmed(star, sets, docs, ranks, threshold)
@@ -205,11 +240,12 @@ def later_sets(sets: DataFrame, docs: DataFrame, ranks: DataFrame, threshold: Fr
         return confirmed(found, sets, docs, ranks, threshold, done).unionByName(gone).distinct()
 
 
-def removed_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
+def removed_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, min_words: int = MIN_WORDS,
+                  counted: bool = False) -> DataFrame:
     """Per document with later matches: ``doc_id``, ``row`` (hash of its text) and ``gone`` (their line numbers)."""
     docs = docs.select("doc_id", "text")
     with Scratch(docs.sparkSession) as own:
-        ranks = own.cut(word_ranks(docs), "lines-ranks")
+        ranks = own.cut(word_ranks(docs), "lines-ranks") if counted else None
         lines = own.cut(set_lines(docs, ranks, threshold, min_words), "lines")
         sets = own.cut(lines.groupBy("h1", "h2").agg(
             F.min(F.struct("doc_id", "line_no", "row")).alias("first"), F.count("*").alias("copies"),
@@ -225,9 +261,10 @@ def removed_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, min_words: i
                    .groupBy("doc_id", "row").agg(F.collect_set("line_no").alias("gone")), "lines-at")
 
 
-def dedup_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, min_words: int = MIN_WORDS,
+                counted: bool = False) -> DataFrame:
     """All documents, ``text`` without its later matches, and two more columns: ``n_lines``, ``n_removed``."""
-    gone = removed_lines(docs, threshold, min_words)
+    gone = removed_lines(docs, threshold, min_words, counted)
     key, row, at, lines = (fresh(docs, f"line_{name}") for name in ("key", "row", "gone", "parts"))
     gone = gone.select(F.col("doc_id").alias(key), F.col("row").alias(row), F.col("gone").alias(at))
     # Documents that surely keep all lines are not shuffled.

@@ -108,6 +108,43 @@ def test_long_lines_do_not_meet_by_chance(spark):
     assert found == plain(docs) and sum(text == "" for text in found.values()) == 20
 
 
+def test_one_common_word_is_no_key(spark):
+    """Lines that share a rare word alone do not meet, however many they are; similar ones have a key in common."""
+    lines = [["commonest", *(f"w{i}x{k}" for k in range(19))] for i in range(300)]
+    near = [[*line[:-2], "changed"] for line in lines[:10]]
+    frame = spark.createDataFrame([(d, " ".join(words)) for d, words in enumerate(lines + near)], "doc_id long, text string")
+    sets = line_dedup.set_lines(frame, line_dedup.word_ranks(frame), line_dedup.THRESHOLD, 1).withColumn("id", F.col("doc_id"))
+    keys = line_dedup.postings(sets).select("code", "id").distinct()
+    met = keys.alias("a").join(keys.alias("b"), F.expr("a.code = b.code and a.id < b.id")).select("a.id", "b.id").distinct()
+    assert {tuple(r) for r in met.collect()} == {(d, 300 + d) for d in range(10)}
+
+
+@pytest.mark.parametrize("n", [5, 9, 10, 20, 45])
+@pytest.mark.parametrize("hot", [2, 512])
+def test_differences_that_part_the_most_neighbours(spark, monkeypatch, n, hot):
+    """Every other one of the first words is missing: as many keys are lost as can be."""
+    monkeypatch.setattr(line_dedup, "HOT", hot)
+    words = ["x" * (n + 3 - i) for i in range(n)]
+    fewer = [w for i, w in enumerate(words) if i % 2 == 0 or i >= 2 * (n // 5)]
+    assert 5 * len(fewer) >= 4 * n
+    docs = [(1, " ".join(words)), (2, " ".join(fewer)), (3, " ".join(fewer[1:])), (4, " ".join([*words, "yy"]))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()} == plain(docs)
+
+
+def test_words_by_counts_and_low_thresholds_find_the_same(spark):
+    docs = some_docs(7, 50)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in line_dedup.dedup_lines(frame, counted=True).collect()} == plain(docs)
+    lines = [(d, n, set(line.lower().split())) for d, text in docs for n, line in enumerate(text.split("\n"))]
+    for threshold in (Fraction(1, 2), Fraction(3, 4)):
+        removed = {d: 0 for d, _ in docs}
+        for i, (d, _, words) in enumerate(lines):
+            removed[d] += any(words and len(words & other) >= threshold * len(words | other) for _, _, other in lines[:i])
+        found = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(frame, threshold=threshold).collect()}
+        assert found == removed
+
+
 @pytest.mark.parametrize("sign", [" ", "  ", "\t", "\v", "\f", "\r"])
 def test_every_white_space_parts_words(spark, sign):
     docs = [(1, f"a b c d e{sign}\n"), (2, f"{sign}a{sign}b c{sign}d e"), (3, f"a{sign}b c d e")]
