@@ -34,9 +34,9 @@ from finloom.llm.common import Scratch, among, array_of, cut, fresh, settled, ta
 THRESHOLD = Fraction(4, 5)
 MIN_WORDS = 1
 RANKS = 1 << 18  # buckets, 2 MB of longs
-HOT = 512
+HOT = 64  # sets of a key from which on it is joined in two steps
 PAIRS = Fraction(3, 4)  # least threshold at which similar sets surely share two neighbours
-WIDE = 160  # words from which on a line has a wide parity
+WIDE = 96  # words from which on a line has a wide parity
 WIDTH = 4  # longs of it
 SPLIT = "'[\\\\x09-\\\\x0D ]+'"
 
