@@ -10,13 +10,13 @@ without words are never removed, nor are those of fewer than ``min_words`` disti
 2. Equal sets become one row with their first occurrence, so copies never meet each other in a join.
 3. Similar sets share two neighbours in that order among their first ones (``prefix_sql``). Keys of one set
    go before the join, which keeps pairs whose sizes allow the similarity and 64 bits of parity, which bound their
-   symmetric difference. Very long lines, which these can't tell apart, have 256 bits.
+   symmetric difference. Very long lines, which these can't tell apart, have 256 bits: these 64, and 192 more.
 4. Pairs that the common words of their prefixes still allow are verified on their full word sets, which are read again
    for those lines alone.
 
-A key of very many distinct sets (``HOT`` or more) is joined in two steps: each of its sets meets
-the first one, and only sets that this does not remove meet the others. Near copies by the thousand so cost one
-comparison each.
+A key of very many distinct sets (``HOT`` or more) makes no pairs: a semi join that holds the full words of its sets asks
+for each whether any earlier one is similar, and stops at the first. Near copies by the thousand so cost a few comparisons
+each; a set without a similar one still meets all sets of its key.
 
 Defined cases: a null text stays null; blank lines stay; rows with one ``doc_id`` and one text are the same
 document and fare alike; a null ``doc_id`` comes before all others; other columns pass through untouched.
@@ -34,10 +34,10 @@ from finloom.llm.common import Scratch, among, array_of, cut, fresh, settled, ta
 THRESHOLD = Fraction(4, 5)
 MIN_WORDS = 1
 RANKS = 1 << 18  # buckets, 2 MB of longs
-HOT = 64  # sets of a key from which on it is joined in two steps
+HOT = 64  # sets of a key from which on it makes no pairs
 PAIRS = Fraction(3, 4)  # least threshold at which similar sets surely share two neighbours
 WIDE = 96  # words from which on a line has a wide parity
-WIDTH = 4  # longs of it
+WIDE_BITS = (1, 2, 3)  # which words each long of it takes: those whose code has all these bits above the lowest six
 SPLIT = "'[\\\\x09-\\\\x0D ]+'"
 
 
@@ -114,15 +114,16 @@ def set_lines(docs: DataFrame, ranks: DataFrame | None, threshold: Fraction, min
 
     A set so small that no other set can be similar has no prefix: it takes part by its name alone.
     """
-    bits = "a ^ shiftleft(1L, cast(x & 63 as int))"
-    wide = ", ".join(f"'w{k}', aggregate(codes, 0L, (a, x) -> if((shiftrightunsigned(x, 6) & 3) = {k}, {bits}, a))"
-                     for k in range(WIDTH))
+    def bits(words: str) -> str:
+        return f"aggregate({words}, 0L, (a, x) -> a ^ shiftleft(1L, cast(x & 63 as int)))"
+
+    wide = ", ".join(f"'w{k}', {bits(f'filter(codes, x -> (x & {k << 6}) = {k << 6})')}" for k in WIDE_BITS)
     length = prefix_sql(threshold)
     return (with_codes(lines_of(docs), ranks).withColumn("n", F.size("codes"))
             .where(F.col("n") >= max(1, min_words))
             .select("doc_id", "row", "line_no", "n",
                     F.xxhash64("codes").alias("h1"), F.xxhash64(F.lit("second"), "codes").alias("h2"),
-                    F.expr("aggregate(codes, 0L, (a, x) -> a ^ shiftleft(1L, hash(x)))").alias("parity"),
+                    F.expr(bits("codes")).alias("parity"),
                     F.expr(f"if(n >= {WIDE}, named_struct({wide}), null)").alias("wide"),
                     F.expr(f"element_at(codes, cast(nullif({length}, 0) as int))").alias("last"),
                     F.expr(f"transform(slice(codes, 1, cast({length} as int)), x -> hash(x))").alias("prefix")))
@@ -139,10 +140,16 @@ def postings(sets: DataFrame, *more: str, span: int = 2) -> DataFrame:
 
 
 def fits(threshold: Fraction) -> str:
-    """Length and parity filters on a pair of postings ``a`` and ``b``."""
+    """Length and parity filters on a pair of postings ``a`` and ``b``.
+
+    Wide parity is that of the words with both, with only one and with neither of two bits: four times 64 bits, made
+    of ``parity`` and the three longs by exclusive or.
+    """
     top, below = threshold.numerator, threshold.denominator
     need = overlap_sql(threshold, "a.n", "b.n")
-    apart = " + ".join(f"bit_count(a.wide.w{k} ^ b.wide.w{k})" for k in range(WIDTH))
+    one, two, both = (f"a.wide.w{k} ^ b.wide.w{k}" for k in WIDE_BITS)
+    apart = " + ".join(f"bit_count({bits})" for bits in (
+        both, f"{one} ^ {both}", f"{two} ^ {both}", f"a.parity ^ b.parity ^ {one} ^ {two} ^ {both}"))
     return (f"a.n * {below} >= b.n * {top} and b.n * {below} >= a.n * {top}"
             f" and bit_count(a.parity ^ b.parity) <= a.n + b.n - 2 * {need}"
             f" and coalesce({apart}, 0) <= a.n + b.n - 2 * {need}")
@@ -201,43 +208,39 @@ def alike(pairs: DataFrame, coded: DataFrame, threshold: Fraction) -> DataFrame:
             .where(f"size(array_intersect(x, y)) >= {need}").select(F.col("later").alias("id")).distinct())
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, ranks: DataFrame | None, threshold: Fraction,
-              done: DataFrame | None = None) -> DataFrame:
-    """Ids of the sets that resemble an earlier one of their pairs (``a``, ``b``), written. Those in ``done`` are settled.
+def with_earlier(busy: DataFrame, sets: DataFrame, coded: DataFrame, threshold: Fraction) -> DataFrame:
+    """Ids of the sets that resemble an earlier one with which they share a key of ``busy``.
 
-    A set goes as soon as one pair holds. Each set's closest pair by parity is verified first; only sets that it does
-    not settle are held against all their others.
+    A semi join looks for one such set and no further, so it hands on no more rows than there are postings.
     """
-    with Scratch(sets.sparkSession) as own:
-        pairs = plausible(own.cut(pairs, "lines-met"), sets, threshold)
-        pairs = own.cut(pairs.join(done, "later", "left_anti") if done else pairs, "lines-pairs")
-        coded = word_sets(pairs.select(F.explode(F.array("later", "earlier")).alias("id")), sets, docs, ranks, own)
-        closest = pairs.groupBy("later").agg(F.min(F.struct("apart", "earlier")).alias("p")).select("later", "p.earlier")
-        first = own.cut(alike(closest, coded, threshold), "lines-settled")
-        rest = pairs.join(first.withColumnRenamed("id", "later"), "later", "left_anti")
-        return cut(first.unionByName(alike(rest, coded, threshold)), "lines-gone")
+    held = busy.drop("many").join(sets.select("id", "first"), "id").join(coded, "id")
+    need = overlap_sql(threshold, "a.n", "b.n")
+    # Both sides need the same columns, so one shuffle serves both.
+    earlier = F.expr(f"a.code = b.code and a.id <> b.id and b.first < a.first and {fits(threshold)}"
+                     f" and size(array_intersect(a.codes, b.codes)) >= {need}")
+    return held.alias("a").join(held.alias("b"), earlier, "left_semi").select("id").distinct()
 
 
 def later_sets(sets: DataFrame, docs: DataFrame, ranks: DataFrame | None, threshold: Fraction) -> DataFrame:
-    """Ids of the sets that resemble a set which occurs earlier."""
+    """Ids of the sets that resemble a set which occurs earlier.
+
+    A set goes as soon as one pair holds. Sets of hot keys are settled first, then each set's closest pair by parity is
+    verified; only sets that these do not settle are held against all their others.
+    """
     with Scratch(sets.sparkSession) as own:
         shared = own.cut(shared_postings(sets, threshold), "lines-shared")
         usual, busy = shared.where(F.col("many") < HOT), shared.where(F.col("many") >= HOT)
-        ends = (F.col("a.id").alias("a"), F.col("b.id").alias("b"))
-        found = (usual.alias("a").join(usual.alias("b"), F.expr("a.code = b.code and a.id < b.id and " + fits(threshold)))
-                 .select(*ends).distinct())
-        if busy.isEmpty():
-            return confirmed(found, sets, docs, ranks, threshold)
-        busy = own.cut(busy.join(sets.select("id", "first"), "id"), "lines-busy")
-        pivots = busy.groupBy("code").agg(F.min(F.struct("first", "id", "n", "parity", "wide")).alias("p")).select("code", "p.*")
-        earlier = F.expr("a.code = b.code and b.first < a.first and " + fits(threshold))
-        star = busy.alias("a").join(pivots.alias("b"), earlier).select(*ends).distinct()
-        gone = confirmed(star, sets, docs, ranks, threshold)
-        rest = busy.join(gone, "id", "left_anti")
-        met = rest.alias("a").join(busy.alias("b"), earlier).select(*ends).distinct()
-        done = gone.withColumnRenamed("id", "later")
-        found = found.unionByName(met)
-        return confirmed(found, sets, docs, ranks, threshold, done).unionByName(gone).distinct()
+        met = (usual.alias("a").join(usual.alias("b"), F.expr("a.code = b.code and a.id < b.id and " + fits(threshold)))
+               .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
+        pairs = own.cut(plausible(own.cut(met, "lines-met"), sets, threshold), "lines-pairs")
+        ids = pairs.select(F.explode(F.array("later", "earlier")).alias("id")).unionByName(busy.select("id"))
+        coded = word_sets(ids, sets, docs, ranks, own)
+        hot = own.cut(with_earlier(busy, sets, coded, threshold), "lines-busy")
+        pairs = pairs.join(hot.withColumnRenamed("id", "later"), "later", "left_anti")
+        closest = pairs.groupBy("later").agg(F.min(F.struct("apart", "earlier")).alias("p")).select("later", "p.earlier")
+        first = own.cut(hot.unionByName(alike(closest, coded, threshold)), "lines-settled")
+        rest = pairs.join(first.withColumnRenamed("id", "later"), "later", "left_anti")
+        return cut(first.unionByName(alike(rest, coded, threshold)), "lines-gone")
 
 
 def removed_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, min_words: int = MIN_WORDS,

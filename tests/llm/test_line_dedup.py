@@ -158,3 +158,23 @@ def test_cuts_leave_no_shuffle_files(spark):
     before = spark.conf.get(common.DROP_SHUFFLES, "false")
     written = common.cut(spark.range(2000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n")), "cleanup")
     assert spark.conf.get(common.DROP_SHUFFLES) == before and {r.n for r in written.collect()} == {285, 286}
+
+
+def test_near_copies_of_a_hot_key_make_no_pairs(spark, monkeypatch):
+    """Near copies that do not resemble the first of their key are settled without a row for each two of them."""
+    from finloom.llm import common
+
+    made, cut = {}, common.Scratch.cut
+
+    def counted(self, frame, purpose):
+        written = cut(self, frame, purpose)
+        made[purpose] = max(made.get(purpose, 0), written.count())
+        return written
+
+    monkeypatch.setattr(line_dedup.Scratch, "cut", counted)
+    core = " ".join(f"corewords{i:02}" for i in range(20))
+    docs = [(0, core + "".join(f" f{i}" for i in range(12))), *((d, f"{core} u{d}") for d in range(1, 120))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()}
+    assert found == plain(docs) and sum(text == "" for text in found.values()) == 118
+    assert made["lines-met"] <= len(docs) and made["lines-pairs"] <= len(docs)
