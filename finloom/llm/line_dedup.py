@@ -208,14 +208,19 @@ def alike(pairs: DataFrame, coded: DataFrame, threshold: Fraction) -> DataFrame:
             .where(f"size(array_intersect(x, y)) >= {need}").select(F.col("later").alias("id")).distinct())
 
 
-def with_earlier(busy: DataFrame, sets: DataFrame, coded: DataFrame, threshold: Fraction) -> DataFrame:
+def matched(busy: DataFrame, threshold: Fraction) -> DataFrame:
+    """The postings that length and parity allow a partner at their key: most need no words to be read."""
+    other = F.expr("a.code = b.code and a.id <> b.id and " + fits(threshold))
+    return busy.alias("a").join(busy.alias("b"), other, "left_semi")
+
+
+def with_earlier(busy: DataFrame, coded: DataFrame, threshold: Fraction) -> DataFrame:
     """Ids of the sets that resemble an earlier one with which they share a key of ``busy``.
 
     A semi join looks for one such set and no further, so it hands on no more rows than there are postings.
     """
-    held = busy.drop("many").join(sets.select("id", "first"), "id").join(coded, "id")
+    held = busy.join(coded, "id")
     need = overlap_sql(threshold, "a.n", "b.n")
-    # Both sides need the same columns, so one shuffle serves both.
     earlier = F.expr(f"a.code = b.code and a.id <> b.id and b.first < a.first and {fits(threshold)}"
                      f" and size(array_intersect(a.codes, b.codes)) >= {need}")
     return held.alias("a").join(held.alias("b"), earlier, "left_semi").select("id").distinct()
@@ -233,9 +238,11 @@ def later_sets(sets: DataFrame, docs: DataFrame, ranks: DataFrame | None, thresh
         met = (usual.alias("a").join(usual.alias("b"), F.expr("a.code = b.code and a.id < b.id and " + fits(threshold)))
                .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
         pairs = own.cut(plausible(own.cut(met, "lines-met"), sets, threshold), "lines-pairs")
+        busy = busy.drop("many").join(sets.select("id", "first"), "id")
+        busy = own.cut(matched(own.cut(busy, "lines-hot"), threshold), "lines-busy")
         ids = pairs.select(F.explode(F.array("later", "earlier")).alias("id")).unionByName(busy.select("id"))
         coded = word_sets(ids, sets, docs, ranks, own)
-        hot = own.cut(with_earlier(busy, sets, coded, threshold), "lines-busy")
+        hot = own.cut(with_earlier(busy, coded, threshold), "lines-hot-gone")
         pairs = pairs.join(hot.withColumnRenamed("id", "later"), "later", "left_anti")
         closest = pairs.groupBy("later").agg(F.min(F.struct("apart", "earlier")).alias("p")).select("later", "p.earlier")
         first = own.cut(hot.unionByName(alike(closest, coded, threshold)), "lines-settled")
