@@ -7,7 +7,8 @@ within a piece. Everything is counted by language (null: ``und``).
    counts the hashes of just those phrases whose shorter ones were frequent. The hashes of the frequent ones become a bit
    array of ``FILTER_BITS`` bits. Hashes rule out, they don't decide: what collides is counted again by its words.
 2. Shards. A last pass counts the phrases that are left by their words. The language is a phrase's first symbol and its
-   own count that of all words. Every ``SHARD`` phrases of a task, sorted, become a count transducer (``automata``).
+   own count that of all words. A task holds them as rows of word numbers in arrays and adds them up whenever ``HELD``
+   rows have come; ``SHARD`` at a time, sorted, become a count transducer (``automata``).
 3. Prefix ranges. Phrases whose hash is a multiple of ``RANGE`` are the borders between ranges: about ``RANGE`` phrases
    lie between two, below whatever prefix, so no range grows with a frequent word. Shards are cut at the borders, and the
    transducers of a range are united, counts added, first in ``SLOTS`` groups, then as a whole.
@@ -15,6 +16,9 @@ within a piece. Everything is counted by language (null: ``und``).
    composed with the count transducer, and the answer goes back.
 5. Scores are exact: Python integers. Candidates that a longer one covers go, and each language keeps its first ones.
 
+What a task holds depends on none of the input's size, the documents in a file or the shards in one: Spark hands rows on in
+batches of ``BATCH`` rows or ``BATCH_BYTES``.
+
 Defined cases: a null or empty text has no words; rows with one ``doc_id`` all count; ``doc_id`` and other columns are not
 read; an empty table gives an empty result; a null language and ``und`` are one.
 """
@@ -22,10 +26,12 @@ read; an empty table gives an empty result; a null language and ``und`` are one.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_right
-from collections import Counter, defaultdict
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import count as numbers
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -34,17 +40,20 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from finloom.llm.automata import Automaton, build, compose, union
-from finloom.llm.common import cut, table
+from finloom.llm.automata import Automaton, build, built, compose, summed, union
+from finloom.llm.common import Scratch, cut, table
 
 MIN_COUNT, MAX_WORDS, TOP, COVERED = 100, 5, 2000, 100
 FILTER_BITS = 1 << 26
 FILTER_BLOCKS = 128
-CHUNK = 1 << 20  # bytes of text looked at together
-SEEN = 1 << 20  # different hashes a task adds up before it hands them on
-SHARD = 1 << 18
+CHUNK = 1 << 19  # bytes of text looked at together
+SEEN = 1 << 19  # different hashes a task adds up before it hands them on
+HELD = 3 << 18  # rows of phrases a task adds up before it hands them on
+SHARD = 1 << 16
 RANGE = 1 << 12
 SLOTS, FAN = 16, 32
+BATCH, BATCH_BYTES = 1000, 4 << 20
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH, "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}
 NO_LANGUAGE = "und"
 
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -206,62 +215,87 @@ def filter_of(spark: SparkSession, hashes: DataFrame):
                           F.expr("cast(shiftrightunsigned(h, 38) & 524287 as int)").alias("place"))
     rows = spots.repartition("block").sortWithinPartitions("block").mapInPandas(fill, "block int, bits binary")
     whole = bytearray(FILTER_BITS // 8)
-    for row in rows.toLocalIterator():  # FILTER_BLOCKS rows of fixed size
-        whole[row["block"] * block_bytes:(row["block"] + 1) * block_bytes] = zlib.decompress(row["bits"])
+    with Scratch(spark) as scratch:  # written, so that the counts leave the disks
+        for row in scratch.cut(rows, "phrase-filter").toLocalIterator():  # FILTER_BLOCKS rows of fixed size
+            whole[row["block"] * block_bytes:(row["block"] + 1) * block_bytes] = zlib.decompress(row["bits"])
     return spark.sparkContext.broadcast(bytes(whole))
 
 
-def count_phrases(chunk: Chunk, bits: list[np.ndarray], length: int, counts: Counter) -> None:
-    """Adds the chunk's phrases to ``counts``, by their words; the language is the first symbol."""
-    each = list(chunk.phrases(bits, length))
-    for lang, n in enumerate(np.bincount(chunk.lang, minlength=len(chunk.langs)).tolist()):
-        counts[(chunk.langs[lang],)] += n
-    data, number, ids = chunk.data.tobytes(), defaultdict(numbers().__next__), np.zeros(len(chunk.starts), np.int64)
-    at = each[0][0]
-    said = map(data.__getitem__, map(slice, chunk.starts[at].tolist(), chunk.ends[at].tolist()))
-    ids[at] = np.fromiter(map(number.__getitem__, said), np.int64, len(at))
-    words = list(number)
-    rank = chunk.lang * len(words) + ids
-    times = np.bincount(rank[at])
-    for key in np.flatnonzero(times).tolist():
-        counts[(chunk.langs[key // len(words)], words[key % len(words)])] += int(times[key])
-    for n, (at, _) in enumerate(each[1:], 2):
+def phrase_rows(chunk: Chunk, bits: list[np.ndarray], length: int, number: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The chunk's different phrases as rows of numbers of their language and words (``number``), with their counts."""
+    langs = np.array([number[lang] for lang in chunk.langs], np.int32)
+    totals = np.bincount(chunk.lang, minlength=len(langs))
+    blocks, counts = [np.full((len(langs), length + 1), -1, np.int32)], [totals]
+    blocks[0][:, 0] = langs
+    data, ids, rank = chunk.data.tobytes(), np.full(len(chunk.starts), -1, np.int64), chunk.lang.astype(np.int64)
+    for n, (at, _) in enumerate(chunk.phrases(bits, length), 1):
+        if n == 1:
+            said = map(data.__getitem__, map(slice, chunk.starts[at].tolist(), chunk.ends[at].tolist()))
+            ids[at] = np.fromiter(map(number.__getitem__, said), np.int64, len(at))
         # Phrases are told apart by that of their first words and their last word, both exact numbers.
-        _, first, place, times = np.unique(rank[at] * len(words) + ids[at + n - 1], return_index=True,
+        _, first, place, times = np.unique(rank[at] * len(number) + ids[at + n - 1], return_index=True,
                                            return_inverse=True, return_counts=True)
-        for start, times_here in zip(at[first].tolist(), times.tolist(), strict=True):
-            counts[(chunk.langs[chunk.lang[start]], *(words[i] for i in ids[start:start + n].tolist()))] += times_here
         rank[at] = place
+        own = at[first]
+        rows = np.full((len(own), length + 1), -1, np.int32)
+        rows[:, 0] = langs[chunk.lang[own]]
+        rows[:, 1:n + 1] = ids[own[:, None] + np.arange(n)]
+        blocks.append(rows)
+        counts.append(times)
+    ids, counts = np.concatenate(blocks), np.concatenate(counts)
+    return ids[counts > 0], counts[counts > 0]
 
 
 def shards_of(docs: DataFrame, filters: list, length: int) -> DataFrame:
     """Count transducers of the phrases that are left (``data``), and the borders among them (``border``)."""
 
-    def shard(counts: Counter) -> pa.RecordBatch:
-        phrases = sorted(counts.items())
-        borders = [pack(p) for p, _ in phrases if len(p) > 1 and is_border(p)]
-        return pa.RecordBatch.from_arrays([pa.array([build(phrases).to_bytes()], pa.binary()),
-                                           pa.array([borders], pa.list_(pa.binary()))], ["data", "borders"])
+    def shards(number: dict, ids: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        words, known = sorted(number), list(number)
+        order = {word: i for i, word in enumerate(words)}
+        ids, counts = summed(np.array([*map(order.__getitem__, known), -1], np.int32)[ids], counts, len(words))
+        for start in range(0, len(ids), SHARD):
+            own = ids[start:start + SHARD]
+            borders = [pack(tuple(words[i] for i in row if i >= 0)) for row in own[are_borders(words, own, RANGE)].tolist()]
+            data = built(words, own, counts[start:start + SHARD]).to_bytes()
+            yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary()), pa.array([borders], pa.list_(pa.binary()))],
+                                             ["data", "borders"])
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, counts = [np.frombuffer(shared.value, np.uint8) for shared in filters], Counter()
+        bits = [np.frombuffer(shared.value, np.uint8) for shared in filters]
+        number, parts, size = defaultdict(numbers().__next__), [], 0
         for chunk in chunks_of(batches):
-            count_phrases(chunk, bits, length, counts)
-            if len(counts) >= SHARD:
-                yield shard(counts)
-                counts = Counter()
-        if counts:
-            yield shard(counts)
+            parts.append(phrase_rows(chunk, bits, length, number))
+            size += len(parts[-1][0])
+            if size >= HELD or len(number) >= HELD // 8:
+                parts = [added_rows(parts, len(number))]
+                size = len(parts[0][0])
+                if size >= HELD * 3 // 4 or len(number) >= HELD // 8:
+                    yield from shards(number, *parts.pop())
+                    number, size = defaultdict(numbers().__next__), 0
+        if parts:
+            yield from shards(number, *added_rows(parts, len(number)))
 
     return docs.mapInArrow(look, "data binary, borders array<binary>")
 
 
+def added_rows(parts: list[tuple[np.ndarray, np.ndarray]], words: int) -> tuple[np.ndarray, np.ndarray]:
+    ids, counts = np.concatenate([ids for ids, _ in parts]), np.concatenate([counts for _, counts in parts])
+    parts.clear()
+    return summed(ids, counts, words)
+
+
 def pack(phrase: tuple[bytes, ...]) -> bytes:
     return build([(phrase, 1)]).to_bytes()
 
 
-def is_border(phrase: tuple[bytes, ...]) -> bool:
-    return xxhash.xxh64_intdigest(b"\n".join(phrase)) % RANGE == 0
+def are_borders(words: list[bytes], ids: np.ndarray, every: int) -> np.ndarray:
+    """Which phrases are borders: by a hash of their words, so it is the same ones in each shard."""
+    own = np.array([*map(xxhash.xxh64_intdigest, words), 0], np.uint64)
+    h = np.zeros(len(ids), np.uint64)
+    for column in ids.T:
+        longer = (h ^ own[column]) * MIXERS[0]
+        h = np.where(column >= 0, longer ^ (longer >> np.uint64(29)), h)
+    return (h % np.uint64(every) == 0) & ((ids >= 0).sum(axis=1) > 1)
 
 
 def cut_at(phrases: Iterator[tuple[tuple[bytes, ...], int]], borders: list) -> Iterator[tuple[int, Automaton]]:
@@ -278,6 +312,21 @@ def cut_at(phrases: Iterator[tuple[tuple[bytes, ...], int]], borders: list) -> I
         yield now, build(held)
 
 
+def cut_rows(whole: Automaton, borders: list) -> Iterator[tuple[int, Automaton]]:
+    """The same of a whole automaton, by the rows that the borders stand before."""
+    ids, counts = whole.rows()
+
+    def phrase(row: int) -> tuple[bytes, ...]:
+        return tuple(whole.words[i] for i in ids[row].tolist() if i >= 0)
+
+    start, place = 0, bisect_right(borders, phrase(0)) if len(ids) else 0
+    while start < len(ids):
+        end = bisect_left(range(len(ids)), borders[place], start, key=phrase) if place < len(borders) else len(ids)
+        if end > start:
+            yield place, built(whole.words, ids[start:end], counts[start:end])
+        start, place = end, place + 1
+
+
 def united(pieces: DataFrame, keys: list[str], least: int = 1) -> DataFrame:
     """One transducer for each key, ``FAN`` at a time in memory. Totals of a language stay whatever their count."""
 
@@ -285,10 +334,7 @@ def united(pieces: DataFrame, keys: list[str], least: int = 1) -> DataFrame:
         key, held = None, []
 
         def done() -> pd.DataFrame:
-            whole = union(held)
-            if least > 1:
-                whole = build((p, w) for p, w in whole.items() if w >= least or len(p) == 1)
-            return pd.DataFrame({"range": [key[0]], "data": [whole.to_bytes()]})
+            return pd.DataFrame({"range": [key[0]], "data": [union(held, least, always=1).to_bytes()]})
 
         for batch in batches:
             for *own, data in zip(*(batch[k] for k in keys), batch["data"], strict=True):
@@ -312,8 +358,7 @@ def ranges_of(shards: DataFrame, borders, least: int) -> DataFrame:
         for batch in batches:
             for data in batch["data"]:
                 slot = xxhash.xxh64_intdigest(data) % SLOTS
-                rows = [(place, slot, part.to_bytes())
-                        for place, part in cut_at(Automaton.from_bytes(data).items(), borders.value)]
+                rows = [(place, slot, part.to_bytes()) for place, part in cut_rows(Automaton.from_bytes(data), borders.value)]
                 yield pd.DataFrame(rows, columns=["range", "slot", "data"])
 
     pieces = shards.select("data").mapInPandas(slices, "range int, slot int, data binary")
@@ -382,23 +427,41 @@ def scored(ranges: DataFrame, answers: DataFrame) -> DataFrame:
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         place, own, known = None, None, {}
-        columns = ["lang", "phrase", "a", "l", "r", "n", "score", "inner"]
+
+        def frames() -> Iterator[pd.DataFrame]:
+            rows = rows_of(own, known)
+            while some := list(islice(rows, BATCH)):
+                yield pd.DataFrame(some, columns=["lang", "phrase", "a", "l", "r", "n", "score", "inner"])
+
         for batch in batches:
             for at, source, data in zip(batch["range"], batch["source"], batch["data"], strict=True):
                 if source < 0:
                     if own is not None:
-                        yield pd.DataFrame(rows_of(own, known), columns=columns)
+                        yield from frames()
                     place, own, known = at, Automaton.from_bytes(data), {}
                 elif at == place:
                     known.update(Automaton.from_bytes(data).items())
         if own is not None:
-            yield pd.DataFrame(rows_of(own, known), columns=columns)
+            yield from frames()
 
     both = ranges.select("range", F.lit(-1).alias("source"), "data").unionByName(answers)
     return both.repartition("range").sortWithinPartitions("range", "source").mapInPandas(
         score, "lang string, phrase string, a long, l long, r long, n long, score long, inner array<string>")
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs meanwhile hands rows to Python in small batches; a larger one holds all shards of a file at once."""
+    before = {key: spark.conf.get(key) for key in SMALL_BATCHES}
+    for key, value in SMALL_BATCHES.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS):
     """The count transducers of all frequent phrases by prefix range, and the borders of the ranges."""
     spark = docs.sparkSession
@@ -407,11 +470,12 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
     filters = []
     for length in range(1, max_words + 1):
         filters.append(filter_of(spark, hash_counts(plain, filters, length).where(F.col("n") >= min_count)))
-    shards = cut(shards_of(plain, filters, max_words), "phrase-shards")
-    found = shards.select(F.explode("borders").alias("border")).distinct()
-    borders = sorted(next(Automaton.from_bytes(row["border"]).items())[0] for row in found.toLocalIterator())
-    shared = spark.sparkContext.broadcast(borders)  # one phrase in RANGE
-    return cut(ranges_of(shards, shared, min_count), "phrase-ranges"), shared
+    with Scratch(spark) as scratch:
+        shards = scratch.cut(shards_of(plain, filters, max_words), "phrase-shards")
+        found = shards.select(F.explode("borders").alias("border")).distinct()
+        borders = sorted(next(Automaton.from_bytes(row["border"]).items())[0] for row in found.toLocalIterator())
+        shared = spark.sparkContext.broadcast(borders)  # one phrase in RANGE
+        return cut(ranges_of(shards, shared, min_count), "phrase-ranges"), shared
 
 
 def collocations(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, top: int = TOP,
@@ -420,8 +484,9 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = M
 
     A candidate goes if some longer one that holds it occurs in ``covered`` percent of its places or more.
     """
-    ranges, borders = frequent_phrases(docs, min_count, max_words)
-    candidates = cut(scored(ranges, answered(ranges, asked(ranges, borders))), "phrase-candidates")
+    with small_batches(docs.sparkSession):
+        ranges, borders = frequent_phrases(docs, min_count, max_words)
+        candidates = cut(scored(ranges, answered(ranges, asked(ranges, borders))), "phrase-candidates")
     longer = (candidates.select("lang", F.explode("inner").alias("phrase"), "a")
               .groupBy("lang", "phrase").agg(F.max("a").alias("longer")))
     kept = candidates.drop("inner").join(longer, ["lang", "phrase"], "left").where(

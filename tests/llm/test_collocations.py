@@ -4,10 +4,12 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from finloom.llm import collocations as C
-from finloom.llm.automata import Automaton, build, compose, union
+from finloom.llm import automata as A
+from finloom.llm.automata import Automaton, build, built, compose, union
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -120,3 +122,63 @@ def test_odd_rows(spark):
     assert found(spark, [], min_count=1) == []
     frame = spark.createDataFrame([("en", "a b", 1, "x", None)], "lang string, text string, n int, phrase string, rank int")
     assert [tuple(r)[:4] for r in C.collocations(frame, min_count=1).collect()] == [("en", 1, "a b", 1)]
+
+
+@pytest.mark.parametrize("small", [0, 512])
+def test_arrays_fold_as_phrases_one_by_one(monkeypatch, small):
+    monkeypatch.setattr(A, "SMALL", small)
+    for seed in range(40):
+        phrases = sorted(some_phrases(seed, seed * 20).items())
+        words = sorted({word for phrase, _ in phrases for word in phrase})
+        ids = np.array([[*map(words.index, p), *[-1] * (5 - len(p))] for p, _ in phrases], np.int32).reshape(-1, 5)
+        one, other = build(phrases), built(words, ids, np.array([n for _, n in phrases], np.int64))
+        assert (other.words, len(other.first), len(other.label)) == (one.words, len(one.first), len(one.label))
+        for automaton in (one, other, Automaton.from_bytes(other.to_bytes())):
+            assert list(automaton.items()) == phrases
+            unfolded, counts = automaton.rows()
+            assert [(tuple(automaton.words[i] for i in row if i >= 0), n)
+                    for row, n in zip(unfolded.tolist(), counts.tolist(), strict=True)] == phrases
+        assert union([one, other], 3, always=1).words == union([build((p, 2 * n) for p, n in phrases if 2 * n >= 3 or
+                                                                      len(p) == 1)]).words
+
+
+def test_a_shard_holds_no_more_than_its_phrases(spark, monkeypatch):
+    monkeypatch.setattr(C, "SHARD", 50)
+    monkeypatch.setattr(C, "HELD", 300, raising=False)
+    docs = [(lang or "und", text) for lang, text in made(6, 60)]
+    frame = spark.createDataFrame(docs, "lang string, text string").repartition(2).selectExpr(
+        "cast(lang as binary) lang", "cast(text as binary) text")
+    shards = [list(Automaton.from_bytes(row["data"]).items()) for row in C.shards_of(frame, [], 3).collect()]
+    assert len(shards) > 10 and max(map(len, shards)) <= 50
+    added = Counter()
+    for shard in shards:
+        added.update(dict(shard))
+    expected = Counter()
+    for lang, text in docs:
+        for piece in re.split(rb"[.,;:!?\x0A-\x0D]", text.translate(LOWER).encode()):
+            words = re.findall(rb"[^\x20\x09]+", piece)
+            expected[(lang.encode(),)] += len(words)
+            expected.update((lang.encode(), *words[i:i + k]) for k in (1, 2, 3) for i in range(len(words) - k + 1))
+    assert added == Counter({p: n for p, n in expected.items() if n})
+
+
+def test_ranges_are_cut_at_the_borders():
+    phrases = sorted(some_phrases(9, 300).items())
+    for borders in ([], [phrases[0][0]], [p for p, _ in phrases[5::7]], [(b"",), *(p for p, _ in phrases[100:104]), (b"z",)]):
+        whole = Automaton.from_bytes(build(phrases).to_bytes())
+        assert ([(place, list(part.items())) for place, part in C.cut_rows(whole, borders)]
+                == [(place, list(part.items())) for place, part in C.cut_at(phrases, borders)])
+
+
+def test_python_gets_small_batches_meanwhile(spark, monkeypatch):
+    names = [f"spark.sql.execution.arrow.{x}PerBatch" for x in ("maxRecords", "maxBytes")]
+    before, seen = [spark.conf.get(name) for name in names], []
+
+    def stop(*_):
+        seen.extend(int(spark.conf.get(name)) for name in names)
+        raise KeyError("stop")
+
+    monkeypatch.setattr(C, "frequent_phrases", stop)
+    with pytest.raises(KeyError, match="stop"):
+        found(spark, [("en", "a b")])
+    assert seen[0] <= 1000 and seen[1] <= 4 << 20 and [spark.conf.get(name) for name in names] == before
